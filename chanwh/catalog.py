@@ -11,6 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chanwh import oracle as O
+from chanwh.operators import channels as C
+from chanwh.operators import enrich as EN
+from chanwh.operators import load as L
+from chanwh.operators import profile as P
+from chanwh.operators import quality as Q
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
 from chanwh.sources import fixtures as FX
@@ -30,12 +35,16 @@ TOP_MIN_LENGTH = 4
 _WH: dict[tuple, M.Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, detections: bool = True) -> M.Warehouse:
-    """The star schema over the fixture; dimensions are materialised once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir, detections)
+def warehouse(spark: SparkSession, sf_dir: str, detections: bool = True, dup: bool = False) -> M.Warehouse:
+    """The star schema over the fixture; dimensions are materialised once per session.
+
+    ``dup`` builds it over the raw table with re-scraped copies (duplicate reports).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, detections, dup)
     if key not in _WH:
         raw_d = FX.raw_image_detections(spark, sf_dir) if detections else None
-        _WH[key] = M.warehouse(FX.raw_messages(spark, sf_dir), raw_d)
+        raw_m = FX.raw_messages_dup(spark, sf_dir) if dup else FX.raw_messages(spark, sf_dir)
+        _WH[key] = M.warehouse(raw_m, raw_d)
     return _WH[key]
 
 
@@ -208,3 +217,291 @@ def q_visual_overall(spark, sf_dir):
 
 QUERIES["visual_envelope"] = lambda spark, sf_dir: R.visual_envelope(
     warehouse(spark, sf_dir).fct_image_detections, warehouse(spark, sf_dir).dim_channels)
+
+
+# ---------------------------------------------------------------------------
+# A1 / A15 / A16 enrichment
+# ---------------------------------------------------------------------------
+_ROLLUP_SQL = f"""
+select channel_name, message_id, string_agg(class_name, ', ' order by class_name) as detected_classes,
+  cast(count(*) as int) as total_detections, round(max(confidence), 4) as max_confidence,
+  {O.classify('list_distinct(list(lower(class_name)))')} as image_category
+from channel_boxes group by channel_name, message_id"""
+
+
+@register("box_rollup", O.with_ctes(_ROLLUP_SQL, "channel_boxes"))
+def q_box_rollup(spark, sf_dir):
+    return EN.rollup_boxes(FX.channel_boxes(spark, sf_dir))
+
+
+@register("rollup_category_breakdown", O.with_ctes(f"""
+select image_category, count(*) as count, {O.pct('count(*)', '(select count(*) from r)', 1)} as percentage
+from r group by image_category""", "channel_boxes").replace("\nselect image_category", f", r as ({_ROLLUP_SQL})\nselect image_category", 1))
+def q_rollup_category_breakdown(spark, sf_dir):
+    return EN.category_breakdown(EN.rollup_boxes(FX.channel_boxes(spark, sf_dir)), digits=1)
+
+
+@register("class_frequency", O.with_ctes("""
+select class_name, count, (select count(*) from cnt) as unique_classes from cnt
+order by count desc, class_name limit 10""", "channel_boxes").replace(
+    "\nselect class_name, count,",
+    f""", r as ({_ROLLUP_SQL}),
+cnt as (select trim(x) as class_name, count(*) as count from (select unnest(string_split(detected_classes, ',')) as x
+  from r where detected_classes is not null and detected_classes <> '') s group by trim(x))
+select class_name, count,""", 1))
+def q_class_frequency(spark, sf_dir):
+    return EN.class_frequency(EN.rollup_boxes(FX.channel_boxes(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Profiles A12-A14, A17
+# ---------------------------------------------------------------------------
+@register("raw_profile", O.with_ctes("""
+select count(*) as total_messages, count(distinct channel_name) as unique_channels,
+  min(message_date) as earliest_date, max(message_date) as latest_date from raw_messages""", "raw_messages"))
+def q_raw_profile(spark, sf_dir):
+    return P.raw_profile(FX.raw_messages(spark, sf_dir))
+
+
+@register("detection_profile", O.with_ctes("""
+select count(*) as total_detections, count(distinct channel_name) as unique_channels,
+  count(distinct message_id) as unique_messages, count(distinct image_category) as unique_categories
+from raw_image_detections""", "raw_image_detections"))
+def q_detection_profile(spark, sf_dir):
+    return P.detection_profile(FX.raw_image_detections(spark, sf_dir))
+
+
+@register("category_breakdown", O.with_ctes(f"""
+select image_category, count(*) as count,
+  {O.pct('count(*)', '(select count(*) from raw_image_detections)', 2)} as percentage
+from raw_image_detections group by image_category""", "raw_image_detections"))
+def q_category_breakdown(spark, sf_dir):
+    return EN.category_breakdown(FX.raw_image_detections(spark, sf_dir), digits=2)
+
+
+@register("channel_counts", O.with_ctes("""
+select channel_name, count(*) as message_count, min(message_date) as first_message, max(message_date) as last_message
+from raw_messages_dup group by channel_name""", "raw_messages_dup"))
+def q_channel_counts(spark, sf_dir):
+    return P.channel_counts(FX.raw_messages_dup(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Duplicate reports A19-A21
+# ---------------------------------------------------------------------------
+def _agg_list(c: str) -> str:
+    return f"array_to_string(list_sort(list_distinct(list({c}))), ', ')"
+
+
+@register("dup_mart", O.with_ctes(f"""
+select fm.message_id, count(*) as count, {_agg_list('fm.channel_key')} as channel_keys,
+  {_agg_list('dc.channel_name')} as channel_names
+from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+group by fm.message_id having count(*) > 1""", "fct_messages", raw="raw_messages_dup"))
+def q_dup_mart(spark, sf_dir):
+    w = warehouse(spark, sf_dir, detections=False, dup=True)
+    return P.dup_mart(w.fct_messages, w.dim_channels)
+
+
+@register("dup_raw", O.with_ctes("""
+select message_id, channel_name, count(*) as count, min(message_date) as first_date, max(message_date) as last_date
+from raw_messages_dup group by message_id, channel_name having count(*) > 1
+order by count desc, message_id nulls first, channel_name nulls first limit 10""", "raw_messages_dup"))
+def q_dup_raw(spark, sf_dir):
+    return P.dup_raw(FX.raw_messages_dup(spark, sf_dir))
+
+
+@register("dup_cross_channel", O.with_ctes(f"""
+select message_id, count(distinct channel_name) as channel_count, {_agg_list('channel_name')} as channels
+from raw_messages_dup where channel_name is not null group by message_id having count(distinct channel_name) > 1
+order by channel_count desc, message_id nulls first limit 10""", "raw_messages_dup"))
+def q_dup_cross_channel(spark, sf_dir):
+    return P.dup_cross_channel(FX.raw_messages_dup(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Q1-Q9 quality report
+# ---------------------------------------------------------------------------
+QUALITY_AS_OF = "2024-01-15 12:00:00"
+
+
+@register("quality_report", O.with_ctes(O.quality_sql(Q.ALL_CHECKS, QUALITY_AS_OF), "fct_messages",
+                                        "fct_image_detections"))
+def q_quality_report(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    tables = {"stg_telegram_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
+              "dim_channels": w.dim_channels, "dim_dates": w.dim_dates,
+              "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
+    return Q.run_checks(tables, as_of=QUALITY_AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# S6 / S7 insert-or-skip
+# ---------------------------------------------------------------------------
+def _batch_sql(table: str, col: str) -> str:
+    return (f"target as (select * from {table} where {col} < timestamp '2024-01-08'),\n"
+            f"batch as (select *, 0 as batch_seq from {table} where {col} >= timestamp '2024-01-05'\n"
+            f"  union all select *, 1 as batch_seq from {table} where {col} >= timestamp '2024-01-12'),\n")
+
+
+_INSERT_SQL = O.with_ctes("""
+d as (select * exclude (rn) from (select *, row_number() over (partition by message_id, channel_name, message_date
+   order by batch_seq) as rn from batch) b where rn = 1)
+select * exclude (batch_seq) from d where not exists (select 1 from target t where t.message_id = d.message_id
+  and t.channel_name = d.channel_name and t.message_date = d.message_date)""", "raw_messages")
+_INSERT_SQL = _INSERT_SQL.replace("\nd as (", ",\n" + _batch_sql("raw_messages", "message_date") + "d as (", 1)
+
+
+@register("insert_or_skip", _INSERT_SQL)
+def q_insert_or_skip(spark, sf_dir):
+    target, batch = FX.insert_scenario(spark, sf_dir)
+    return L.insert_or_skip(target, batch, ["message_id", "channel_name", "message_date"], ["batch_seq"])
+
+
+_INSERT_DET_SQL = O.with_ctes("""
+d as (select * exclude (rn) from (select *, row_number() over (partition by message_id, channel_name
+   order by batch_seq) as rn from batch where message_id is not null and channel_name is not null) b where rn = 1)
+select * exclude (batch_seq) from d where not exists (select 1 from target t where t.message_id = d.message_id
+  and t.channel_name = d.channel_name)""", "raw_image_detections")
+_INSERT_DET_SQL = _INSERT_DET_SQL.replace(
+    "\nd as (", ",\n" + _batch_sql("raw_image_detections", "processed_at") + "d as (", 1)
+
+
+@register("insert_detections", _INSERT_DET_SQL)
+def q_insert_detections(spark, sf_dir):
+    target, batch = FX.detection_insert_scenario(spark, sf_dir)
+    return L.insert_or_skip(target, batch, ["message_id", "channel_name"], ["batch_seq"], reject_null_keys=True)
+
+
+# ---------------------------------------------------------------------------
+# Channels: J10-J12, P13, W1, A22, A23
+# ---------------------------------------------------------------------------
+QUOTA_CAPS = {"CheMed123": (40, 10), "lobelia4cosmetics": (None, 25), "tikvahpharma": (0, 5)}
+
+
+def _config_sql(caps) -> str:
+    rows = []
+    for ch, pat, order in FX.CONFIG_CHANNELS:
+        mm, mi = caps.get(ch, (None, None))
+        rows.append((ch, pat, order, mi if mi is not None else FX.DEFAULT_MAX_IMAGES, mm))
+    return O.values_sql(rows, "channel, pattern, pattern_order, max_images, max_messages")
+
+
+def _resolved_sql(caps, names_from: str = "raw_messages") -> str:
+    return f"""config as {_config_sql(caps)},
+names as (select distinct channel_name from {names_from} where channel_name is not null),
+best as (select n.channel_name, arg_min({{'c': c.channel, 'mi': c.max_images, 'mm': c.max_messages}},
+    case when n.channel_name = c.channel then 1 when lower(n.channel_name) = lower(c.channel) then 2
+         else 10 + c.pattern_order end) as cfg
+  from names n join config c on n.channel_name = c.channel or lower(n.channel_name) = lower(c.channel)
+    or contains(regexp_replace(lower(n.channel_name), '[ _-]', '', 'g'), c.pattern)
+  group by n.channel_name),
+resolved as (select n.channel_name, coalesce(b.cfg.c, n.channel_name) as config_channel,
+  coalesce(b.cfg.mi, {FX.DEFAULT_MAX_IMAGES}) as max_images, b.cfg.mm as max_messages, b.cfg is not null as matched
+  from names n left join best b on n.channel_name = b.channel_name)"""
+
+
+def _after_ctes(sql: str, extra: str, marker: str) -> str:
+    return sql.replace("\n" + marker, ",\n" + extra + "\n" + marker, 1)
+
+
+@register("resolve_channel", _after_ctes(O.with_ctes("select * from resolved", "raw_messages"),
+                                         _resolved_sql({}), "select * from resolved"))
+def q_resolve_channel(spark, sf_dir):
+    names = C.distinct_names(FX.raw_messages(spark, sf_dir))
+    return C.resolve_channels(names, FX.channel_config(spark))
+
+
+_QUOTA_FINAL = """select message_id, channel_name, config_channel, message_date, has_photo,
+  coalesce(has_photo and irn <= greatest(max_images, 0), false) as image_downloaded from p"""
+_QUOTA_EXTRA = _resolved_sql(QUOTA_CAPS) + """,
+m as (select r.message_id, r.channel_name, r.message_date, coalesce(v.config_channel, r.channel_name) as config_channel,
+  v.max_messages, coalesce(v.max_images, 1500) as max_images,
+  coalesce(r.image_path is not null and r.image_path <> '', false) as has_photo
+  from raw_messages r left join resolved v on r.channel_name = v.channel_name),
+k as (select *, row_number() over (partition by config_channel order by message_date desc, message_id desc) as rn from m),
+kept as (select * from k where max_messages is null or rn <= max_messages),
+p as (select *, row_number() over (partition by config_channel, has_photo order by message_date desc, message_id desc)
+  as irn from kept)"""
+
+
+@register("quota", _after_ctes(O.with_ctes(_QUOTA_FINAL, "raw_messages"), _QUOTA_EXTRA, _QUOTA_FINAL.split("\n")[0]))
+def q_quota(spark, sf_dir):
+    raw = FX.raw_messages(spark, sf_dir)
+    resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark, QUOTA_CAPS))
+    q = C.apply_quota(raw, resolved)
+    return q.select("message_id", "channel_name", "config_channel", "message_date", "has_photo", "image_downloaded")
+
+
+_EXPECTED_ROWS = [(ch, v) for ch, vs in FX.EXPECTED_CHANNELS for v in vs]
+
+
+def _found(names: str) -> str:
+    return (f"exists (select 1 from expected v, {names} l where v.expected_channel = x.expected_channel and "
+            f"(contains(lower(l.channel_name), lower(v.variant)) or contains(lower(v.variant), lower(l.channel_name))))")
+
+
+_EXPECTED_FINAL = f"""select x.expected_channel, {_found('lake')} as found_in_lake, {_found('tab')} as found_in_table
+from (select distinct expected_channel from expected) x"""
+
+
+@register("expected_channels", _after_ctes(O.with_ctes(_EXPECTED_FINAL, "stg_messages"), f"""expected as {O.values_sql(_EXPECTED_ROWS, 'expected_channel, variant')},
+lake as (select distinct channel_name from raw_messages where channel_name is not null),
+tab as (select distinct channel_name from stg_messages)""", _EXPECTED_FINAL.split("\n")[0]))
+def q_expected_channels(spark, sf_dir):
+    raw = FX.raw_messages(spark, sf_dir)
+    stg = M.stg_messages(raw)
+    return C.expected_presence(C.distinct_names(raw), C.distinct_names(stg), FX.expected_channels(spark))
+
+
+@register("reconcile", O.with_ctes("""
+select coalesce(a.channel_name, b.channel_name) as channel_name, coalesce(a.lake_count, 0) as lake_count,
+  coalesce(b.table_count, 0) as table_count,
+  case when a.lake_count is null then 'missing_in_lake' when b.table_count is null then 'missing_in_table' else 'ok' end
+    as status
+from (select channel_name, count(*) as lake_count from raw_messages group by channel_name) a
+full outer join (select channel_name, count(*) as table_count from stg_messages group by channel_name) b
+  on a.channel_name = b.channel_name""", "stg_messages"))
+def q_reconcile(spark, sf_dir):
+    raw = FX.raw_messages(spark, sf_dir)
+    return C.reconcile(raw, M.stg_messages(raw))
+
+
+@register("valid_usernames", O.with_ctes(r"""
+select channel_name, coalesce(regexp_full_match(regexp_replace(channel_name, '^@+', ''), '[\p{L}\p{N}_]{5,}'), false)
+  as valid from (select distinct channel_name from raw_messages where channel_name is not null) n""", "raw_messages"))
+def q_valid_usernames(spark, sf_dir):
+    return C.valid_usernames(C.distinct_names(FX.raw_messages(spark, sf_dir)))
+
+
+_LAYERS = [("raw", "telegram_messages", "raw_messages"), ("raw", "image_detections", "raw_image_detections"),
+           ("staging", "stg_telegram_messages", "stg_messages"), ("staging", "stg_image_detections", "stg_detections"),
+           ("marts", "dim_channels", "dim_channels"), ("marts", "dim_dates", "dim_dates"),
+           ("marts", "fct_messages", "fct_messages"), ("marts", "fct_image_detections", "fct_image_detections")]
+
+
+@register("layer_counts", O.with_ctes("\nunion all ".join(
+    f"select {O.q(layer)} as layer, {O.q(name)} as table_name, count(*) as row_count from {cte}"
+    for layer, name, cte in _LAYERS), "fct_messages", "fct_image_detections"))
+def q_layer_counts(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    dfs = {"raw_messages": FX.raw_messages(spark, sf_dir), "raw_image_detections": FX.raw_image_detections(spark, sf_dir),
+           "stg_messages": w.stg_messages, "stg_detections": w.stg_detections, "dim_channels": w.dim_channels,
+           "dim_dates": w.dim_dates, "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
+    return P.layer_counts({(layer, name): dfs[cte] for layer, name, cte in _LAYERS})
+
+
+_SUMMARY_FINAL = f"""select g.channel_name, v.config_channel, g.total_dates, g.total_messages, g.images_posted, v.max_images,
+  least(g.images_posted, cast(v.max_images as bigint)) as images_within_cap
+from (select channel_name, count(distinct coalesce(cast(message_date as date), date '{AS_OF}')) as total_dates,
+        count(*) as total_messages,
+        cast(sum(case when image_path is not null and image_path <> '' then 1 else 0 end) as bigint) as images_posted
+      from raw_messages group by channel_name) g left join resolved v on g.channel_name = v.channel_name"""
+
+
+@register("ingest_summary", _after_ctes(O.with_ctes(_SUMMARY_FINAL, "raw_messages"), _resolved_sql({}),
+                                        _SUMMARY_FINAL.split("\n")[0]))
+def q_ingest_summary(spark, sf_dir):
+    raw = FX.raw_messages(spark, sf_dir)
+    resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark))
+    return P.ingest_summary(raw, resolved, as_of=AS_OF)

@@ -75,7 +75,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
 
 
-cte("raw_messages", [], f"""
+cte("raw_base", [], f"""
 select d.doc_id as message_id, {fixture_channel('d.source')} as channel_name, e.ts as message_date,
   case when d.doc_id % 41 = 0 then null when d.doc_id % 37 = 0 then '   ' else d.text end as message_text,
   e.event_type <> 'error' as has_media,
@@ -88,10 +88,12 @@ select d.doc_id as message_id, {fixture_channel('d.source')} as channel_name, e.
   e.ts as scraped_at, e.ts as loaded_at
 from documents d join events e on e.event_id = d.doc_id * 5""")
 
-cte("raw_messages_dup", ["raw_messages"], f"""
-select message_id, channel_name, message_date, {RAW_REST} from raw_messages
-union all select message_id, channel_name, message_date + interval 1 day, {RAW_REST} from raw_messages where not has_media
-union all select message_id, 'CheMed', message_date, {RAW_REST} from raw_messages
+cte("raw_messages", ["raw_base"], "select * from raw_base")
+
+cte("raw_messages_dup", ["raw_base"], f"""
+select message_id, channel_name, message_date, {RAW_REST} from raw_base
+union all select message_id, channel_name, message_date + interval 1 day, {RAW_REST} from raw_base where not has_media
+union all select message_id, 'CheMed', message_date, {RAW_REST} from raw_base
   where forwards is not null and channel_name <> 'CheMed'""")
 
 cte("stg_messages", ["raw_messages"], """
@@ -180,19 +182,26 @@ from stg_detections sd join stg_messages sm on sd.message_id = sm.message_id and
   join dim_dates dd on sm.message_date_only = dd.full_date""")
 
 
-def with_ctes(final: str, *names: str) -> str:
+def with_ctes(final: str, *names: str, raw: str = "raw_messages") -> str:
+    """``final`` prefixed by the named CTEs and their dependencies, in dependency order.
+
+    ``raw='raw_messages_dup'`` builds the models over the duplicate-bearing raw table.
+    """
+    ctes = dict(CTES)
+    if raw != "raw_messages":
+        ctes["raw_messages"] = ([raw], f"select * from {raw}")
     order: list[str] = []
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for dep in CTES[n][0]:
+        for dep in ctes[n][0]:
             visit(dep)
         order.append(n)
 
     for n in names:
         visit(n)
-    body = ",\n".join(f"{n} as ({CTES[n][1]}\n)" for n in order)
+    body = ",\n".join(f"{n} as ({ctes[n][1]}\n)" for n in order)
     return f"with {body}\n{final}"
 
 
@@ -208,3 +217,67 @@ def terms_cte(min_length: int) -> str:
     return (f"(select term from (select unnest(string_split(lower(trim(message_text)), ' ')) as term "
             f"from fct_messages where message_text is not null and length(trim(message_text)) > 0) t "
             f"where {term_filter(min_length)})")
+
+
+# ---------------------------------------------------------------------------
+# Quality checks in SQL (same check list as ``operators.quality``)
+# ---------------------------------------------------------------------------
+CHECK_TABLE_CTE = {"stg_telegram_messages": "stg_messages", "stg_image_detections": "stg_detections"}
+
+
+def _tbl(name: str) -> str:
+    return CHECK_TABLE_CTE.get(name, name)
+
+
+def check_failures_sql(c, as_of: str) -> str:
+    t = _tbl(c.table)
+    col = c.columns[0]
+    if c.kind == "not_null":
+        return f"(select count(*) from {t} where {col} is null)"
+    if c.kind == "accepted_range":
+        conds = []
+        if c.lo is not None:
+            conds.append(f"{col} >= {c.lo}")
+        if c.hi is not None:
+            conds.append(f"{col} <= {c.hi}")
+        return f"(select count(*) from {t} where not ({' and '.join(conds)}))"
+    if c.kind == "accepted_values":
+        return f"(select count(distinct {col}) from {t} where {col} not in {qlist(c.values)})"
+    if c.kind == "unique":
+        return f"(select count(*) from (select {col} from {t} where {col} is not null group by {col} having count(*) > 1) u)"
+    if c.kind == "unique_combination":
+        cols = ", ".join(c.columns)
+        return f"(select count(*) from (select {cols} from {t} group by {cols} having count(*) > 1) u)"
+    if c.kind == "relationships":
+        pt, pc = c.to
+        return (f"(select count(*) from {t} ch where ch.{col} is not null and not exists "
+                f"(select 1 from {_tbl(pt)} p where p.{pc} = ch.{col}))")
+    if c.name == "assert_no_future_messages":
+        ts = f"timestamp '{as_of}'"
+        return f"(select count(*) from {t} where message_date > {ts} or message_date_only > cast({ts} as date))"
+    if c.name == "assert_positive_views":
+        return f"(select count(*) from {t} where view_count < 0)"
+    if c.name == "assert_valid_date_range":
+        return (f"(select count(*) from {t} where message_date_only < date '2020-01-01' "
+                f"or message_date_only > date '2030-12-31')")
+    raise ValueError(c.kind)
+
+
+def quality_sql(checks, as_of: str) -> str:
+    rows = []
+    for c in checks:
+        f = check_failures_sql(c, as_of)
+        rows.append(f"select {q(c.check_id)} as check_id, {q(c.table)} as table_name, "
+                    f"{q(','.join(c.columns))} as column_name, cast({f} as bigint) as failures, {f} = 0 as passed")
+    return "\nunion all ".join(rows)
+
+
+def values_sql(rows, cols: str) -> str:
+    def lit(v):
+        if v is None:
+            return "null"
+        if isinstance(v, str):
+            return q(v)
+        return str(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(select * from (values {body}) t({cols}))"

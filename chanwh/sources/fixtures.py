@@ -169,3 +169,14 @@ def expected_channels(spark: SparkSession) -> DataFrame:
     rows = [(ch, v) for ch, variants in EXPECTED_CHANNELS for v in variants]
     return spark.createDataFrame(rows, "expected_channel string, variant string")
 
+
+
+def detection_insert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(target, batch) for the detection load: processed before Jan 8 is stored; the batch
+    re-delivers everything from Jan 5, and everything from Jan 12 a second time."""
+    r = raw_image_detections(spark, sf_dir)
+    ts = F.col("processed_at")
+    target = r.where(ts < F.lit("2024-01-08").cast("timestamp_ntz"))
+    first = r.where(ts >= F.lit("2024-01-05").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(0))
+    again = r.where(ts >= F.lit("2024-01-12").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(1))
+    return target, first.unionByName(again)
