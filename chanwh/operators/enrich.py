@@ -57,7 +57,8 @@ def category_breakdown(df: DataFrame, digits: int = 2) -> DataFrame:
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     g = df.groupBy("image_category").agg(F.count(F.lit(1)).alias("count"))
-    return g.select("image_category", "count", X.pct("count", total, digits).alias("percentage")) \
+    g = g.select("image_category", "count", total.alias("_total"))
+    return g.select("image_category", "count", X.pct("count", "_total", digits).alias("percentage")) \
             .orderBy(F.desc("count"), F.asc_nulls_first("image_category"))
 
 

@@ -54,9 +54,13 @@ def top_terms(fct: DataFrame, limit: int = 10, min_length: int = 4) -> DataFrame
     of all such occurrences (A5), by frequency desc then term (T1)."""
     check_range("limit", limit, 1, 100)
     counts = term_counts(fct, min_length).where(F.col("frequency") >= 2)
+    # the denominator is one scalar subquery over the same (reused) aggregate, bound once to
+    # a column so the rounding expression does not re-plan it
     total = counts.agg(F.sum("frequency")).scalar()
-    top = counts.orderBy(F.desc("frequency"), F.asc("term")).limit(limit)
-    return top.select("term", "frequency", X.pct("frequency", total).alias("percentage"))
+    scored = counts.select("term", "frequency", total.alias("_total"))
+    scored = scored.select("term", "frequency", X.pct("frequency", "_total").alias("percentage"))
+    # Limit directly over Sort → TakeOrderedAndProject: per-partition top-k, no global sort
+    return scored.orderBy(F.desc("frequency"), F.asc("term")).limit(limit)
 
 
 def top_terms_total(fct: DataFrame, min_length: int = 4) -> DataFrame:
@@ -101,24 +105,19 @@ def _channel_facts(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
 def channel_totals(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
     """N2 header: dimension attributes + lifetime totals (A7); ignores the look-back window."""
     info = channel_row(dc, channel).select("channel_name", "channel_type", "first_post_date", "last_post_date")
-    s = _channel_facts(fct, dc, channel).agg(
-        F.count(F.lit(1)).alias("total_messages"),
+    s = _channel_facts(fct, dc, channel).groupBy("channel_name").agg(
+        F.count(F.lit(1)).alias("_n"),
         F.sum("view_count").alias("_tv"),
         F.sum("forward_count").alias("_tf"),
     )
-    stats = s.select(
-        "total_messages",
+    j = info.join(s, "channel_name", "left")          # one row each side
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    return j.select(
+        "channel_name", "channel_type",
+        n.alias("total_messages"),
         F.coalesce(F.col("_tv"), F.lit(0)).alias("total_views"),
-        F.coalesce(X.mean("_tv", "total_messages"), F.lit(0.0)).alias("avg_views"),
+        F.coalesce(X.mean("_tv", "_n"), F.lit(0.0)).alias("avg_views"),
         F.coalesce(F.col("_tf"), F.lit(0)).alias("total_forwards"),
-    )
-    # one-row × one-row: a scalar lookup, not a join of two data sets
-    return info.select(
-        "channel_name", "channel_type",
-        stats.select("total_messages").scalar().alias("total_messages"),
-        stats.select("total_views").scalar().alias("total_views"),
-        stats.select("avg_views").scalar().alias("avg_views"),
-        stats.select("total_forwards").scalar().alias("total_forwards"),
         "first_post_date", "last_post_date",
     )
 

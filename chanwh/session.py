@@ -19,6 +19,7 @@ def get_spark(master: str | None = None, app: str = "chanwh", shuffle_partitions
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -13,8 +13,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A test table. ``heavy`` inputs (per-row CPU work follows: text explode, box rollup) are
+    spread over the cluster when the file has fewer splits than cores.
+
+    The test files are single row groups, so a scan is one task and everything up to the
+    first shuffle would run serially. A lake of many files already has enough splits and
+    is read as is (no extra shuffle); small lookup sides are never spread.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if heavy else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def fixture_channel(source: Column) -> Column:
@@ -29,7 +44,7 @@ def fixture_channel(source: Column) -> Column:
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw.telegram_messages`` rows: one per document, dated by its event."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "source")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     j = d.join(e, e.event_id == d.doc_id * 5)
     doc = F.col("doc_id")
@@ -81,7 +96,7 @@ def insert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Box-level detections, one per lineitem; an order is an image."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", heavy=True)
     k = F.col("l_partkey") % 8
     cls = (F.when(k == 0, "person").when(k == 1, "bottle").when(k == 2, "cup").when(k == 3, "dog")
            .when(k == 4, "book").when(k == 5, "car").when(k == 6, "potted plant").otherwise("chair"))
