@@ -34,8 +34,8 @@ def parse_lake_text(files: DataFrame) -> DataFrame:
 
 def read_lake_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file text of every *.json under ``path`` (recursive)."""
-    t = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-         .option("pathGlobFilter", "*.json").text(path))
+    # .text() has its own wholetext=False parameter, which would override an option
+    t = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     return t.select("value", F.col("_metadata.file_path").alias("_file"))
 
 
