@@ -329,10 +329,11 @@ QUALITY_AS_OF = "2024-01-15 12:00:00"
                                         "fct_image_detections"))
 def q_quality_report(spark, sf_dir):
     w = warehouse(spark, sf_dir)
+    # each fact is read twice: one pass for row checks + relationships, one for uniqueness
     tables = {"stg_telegram_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
               "dim_channels": w.dim_channels, "dim_dates": w.dim_dates,
               "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
-    return Q.run_checks(tables, as_of=QUALITY_AS_OF)
+    return Q.run_checks(tables, as_of=QUALITY_AS_OF, sizes={"dim_channels": w.n_channels, "dim_dates": w.n_dates})
 
 
 # ---------------------------------------------------------------------------

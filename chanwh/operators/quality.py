@@ -5,8 +5,8 @@ A check passes with 0 failures. Failure counts follow the usual test semantics:
 not_null / accepted_range / custom → failing rows; unique / unique_combination → duplicated
 values; accepted_values → distinct invalid values; relationships → orphan child rows.
 
-All row-level checks of one table run in ONE aggregation pass; each uniqueness check is one
-grouped count; each relationship is one anti join against the parent's distinct keys.
+All row-level checks of one table, and its relationships to broadcastable parents, run in
+ONE aggregation pass; each uniqueness check is one grouped count.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanwh.functions.exprs import CHANNEL_TYPES, IMAGE_CATEGORIES
+from chanwh.session import DIM_BROADCAST_MAX_ROWS, sized_broadcast
 
 
 @dataclass(frozen=True)
@@ -134,28 +135,66 @@ def _result(c: Check, failures: F.Column) -> F.Column:
                     F.lit(",".join(c.columns)).alias("column_name"), failures.cast("bigint").alias("failures"))
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None,
+               sizes: dict[str, int] | None = None) -> DataFrame:
+    """Run ``checks`` over ``tables`` (name → DataFrame) and return one row per check.
+
+    ``sizes`` gives known row counts of parent tables (e.g. dimensions counted when built);
+    other parents are materialised and counted before being broadcast.
+
+    Per table, every row-level check — and every relationship whose parent key set passes
+    the size-checked broadcast bound — is evaluated in ONE scan: the child is left-joined to
+    each broadcast parent key set (distinct, so no fan-out) and all failures are counted in
+    a single aggregate. Uniqueness checks are one grouped count each; a relationship to a
+    parent too large to broadcast is an anti join.
+    """
     checks = ALL_CHECKS if checks is None else checks
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
+    separate: list[Check] = []
+    parent_keys: dict[Check, DataFrame] = {}
+    sized: dict[tuple[str, str], tuple[DataFrame, int]] = {}
     for c in checks:
         if c.kind in ("not_null", "accepted_range", "custom", "accepted_values"):
             by_table.setdefault(c.table, []).append(c)
+        elif c.kind == "relationships":
+            ptable, pcol = c.to
+            if (ptable, pcol) not in sized:
+                pk = tables[ptable].where(F.col(pcol).isNotNull()).select(pcol).distinct()
+                known = (sizes or {}).get(ptable)
+                if known is not None and known <= DIM_BROADCAST_MAX_ROWS:
+                    sized[(ptable, pcol)] = (F.broadcast(pk), known)     # distinct keys ≤ rows
+                else:
+                    sized[(ptable, pcol)] = sized_broadcast(pk)
+            keys, n = sized[(ptable, pcol)]
+            if n <= DIM_BROADCAST_MAX_ROWS:
+                parent_keys[c] = keys
+                by_table.setdefault(c.table, []).append(c)
+            else:
+                separate.append(c)
+        else:
+            separate.append(c)
     for table, cs in by_table.items():
+        df = tables[table]
         aggs = []
         for i, c in enumerate(cs):
-            if c.kind == "accepted_values":
+            if c.kind == "relationships":
+                rk = f"_rk{i}"
+                keys = parent_keys[c].select(F.col(c.to[1]).alias(rk))
+                df = df.join(keys, df[c.columns[0]] == keys[rk], "left")
+                orphan = F.col(c.columns[0]).isNotNull() & F.col(rk).isNull()
+                aggs.append(F.sum(F.when(orphan, 1).otherwise(0)).alias(f"_c{i}"))
+            elif c.kind == "accepted_values":
                 v = F.col(c.columns[0])
                 aggs.append(F.count_distinct(F.when(~v.isin(*c.values), v)).alias(f"_c{i}"))
             else:
                 aggs.append(F.sum(F.when(row_predicate(c, as_of), 1).otherwise(0)).alias(f"_c{i}"))
-        one = tables[table].agg(*aggs)
+        one = df.agg(*aggs)
         parts.append(one.select(F.inline(F.array(*[_result(c, F.coalesce(F.col(f"_c{i}"), F.lit(0)))
                                                    for i, c in enumerate(cs)]))))
-    for c in checks:
-        if c.kind in ("unique", "unique_combination", "relationships"):
-            n = failing_rows(tables, c, as_of).agg(F.count(F.lit(1)).alias("_n"))
-            parts.append(n.select(F.inline(F.array(_result(c, F.col("_n"))))))
+    for c in separate:
+        n = failing_rows(tables, c, as_of).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(n.select(F.inline(F.array(_result(c, F.col("_n"))))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -67,7 +67,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     counts.update(build_warehouse(spark, raw_m, raw_d, cfg.out))
     tables = {n: spark.table(n) for n in ("stg_telegram_messages", "stg_image_detections", "dim_channels",
                                           "dim_dates", "fct_messages", "fct_image_detections")}
-    checks = run_checks(tables, as_of=cfg.as_of)
+    checks = run_checks(tables, as_of=cfg.as_of,
+                        sizes={"dim_channels": counts["dim_channels"], "dim_dates": counts["dim_dates"]})
     failed = checks.where(~F.col("passed")).select("check_id", "failures").collect()   # ≤ 60 rows
     counts["checks_failed"] = {r["check_id"]: r["failures"] for r in failed}
     return counts
