@@ -178,6 +178,21 @@ def q_search_count(spark, sf_dir):
     return R.search_count(w.fct_messages, w.dim_channels, SEARCH_QUERY)
 
 
+SEARCH_CHANNEL = "Tikvah | Pharma"
+
+
+@register("search_channel", O.with_ctes(f"""
+select fm.message_id, dc.channel_name, left(fm.message_text, 500) as message_text, fm.message_date,
+  fm.view_count, fm.forward_count, fm.has_image, cast(1.0 as double) as relevance_score
+from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+where {_LIKE} and dc.channel_name = {O.q(SEARCH_CHANNEL)}
+order by fm.view_count desc, fm.message_date desc, fm.message_id, dc.channel_name limit {SEARCH_LIMIT}""",
+                                        "fct_messages"))
+def q_search_channel(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return R.search_messages(w.fct_messages, w.dim_channels, SEARCH_QUERY, SEARCH_LIMIT, channel=SEARCH_CHANNEL)
+
+
 # ---------------------------------------------------------------------------
 # N4 visual content
 # ---------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chanwh import schemas as S
 from chanwh.functions import exprs as X
+from chanwh.session import materialize
 
 
 def _any_null(keys: list[str]):
@@ -82,6 +83,9 @@ def write_message_lake(df: DataFrame, path: str, existing: DataFrame | None = No
             F.col("message_id").cast("string").alias("_id"))
         rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
                          & (rows.message_id.cast("string") == ex._id), "left_anti")
+    # materialise first: the returned rows are exactly the ones written, even though the
+    # anti join reads the same lake the write appends to
+    rows = materialize(rows)
     rows.write.mode("append").partitionBy("dt", "channel").json(path)
     return rows
 

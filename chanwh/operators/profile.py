@@ -108,3 +108,11 @@ def ingest_summary(raw: DataFrame, resolved: DataFrame, as_of=None) -> DataFrame
         F.least("images_posted", F.col("max_images").cast("bigint")).alias("images_within_cap"),
     )
 
+
+
+def lake_channel_counts(records: DataFrame) -> DataFrame:
+    """Posts per channel straight from the message lake (``scan_message_lake`` output),
+    most active first. Records without a channel name are not counted."""
+    return (records.where(F.col("channel_name").isNotNull())
+            .groupBy("channel_name").agg(F.count(F.lit(1)).alias("message_count"))
+            .orderBy(F.desc("message_count"), F.asc("channel_name")))

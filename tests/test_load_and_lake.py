@@ -71,6 +71,8 @@ def test_scan_message_lake(spark, tmp_path):
     got = rows(raw, "message_id", "channel_name", "views", "message_date", "has_media")
     assert got == [(3, None, None, None, None), (7, None, None, T(2026, 1, 19, 7), True),
                    (9, "B", 12, None, None), (None, None, None, None, None)]
+    from chanwh.operators.profile import lake_channel_counts
+    assert rows(lake_channel_counts(LK.scan_message_lake(spark, root))) == [("B", 1)]
 
 
 def test_lake_writer_merges_partitions(spark, tmp_path):
