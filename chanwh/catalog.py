@@ -18,6 +18,7 @@ from chanwh.operators import profile as P
 from chanwh.operators import quality as Q
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
+from chanwh.session import materialize
 from chanwh.sources import fixtures as FX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,22 +33,49 @@ SEARCH_LIMIT = 20
 TOP_LIMIT = 10
 TOP_MIN_LENGTH = 4
 
+_RAW: dict[tuple, DataFrame] = {}
 _WH: dict[tuple, M.Warehouse] = {}
 
+_RAW_BUILDERS = {
+    "messages": FX.raw_messages,                 # raw.telegram_messages
+    "detections": FX.raw_image_detections,       # raw.image_detections
+    "messages_dup": FX.raw_messages_dup,         # raw.telegram_messages with re-scraped copies
+    "boxes": FX.channel_boxes,                   # box-level detections (inference output contract)
+}
+
+
+def raw_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The raw layer derived from the test tables, materialised once per session with a
+    reliable checkpoint — the analogue of the loaded raw tables every model reads."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _RAW:
+        _RAW[key] = materialize(_RAW_BUILDERS[name](spark, sf_dir))
+    return _RAW[key]
 
-def warehouse(spark: SparkSession, sf_dir: str, detections: bool = True, dup: bool = False) -> M.Warehouse:
-    """The star schema over the fixture; dimensions are materialised once per session.
 
-    ``dup`` builds it over the raw table with re-scraped copies (duplicate reports).
-    """
+def warehouse(spark: SparkSession, sf_dir: str, detections: bool = True, dup: bool = False) -> M.Warehouse:
+    """The star schema over the raw layer: dimensions and facts materialised once per session
+    (the marts the reports read). ``dup`` builds it over the raw table with re-scraped copies."""
     key = (spark.sparkContext.applicationId, sf_dir, detections, dup)
     if key not in _WH:
-        raw_d = FX.raw_image_detections(spark, sf_dir) if detections else None
-        raw_m = FX.raw_messages_dup(spark, sf_dir) if dup else FX.raw_messages(spark, sf_dir)
-        _WH[key] = M.warehouse(raw_m, raw_d)
+        raw_d = raw_layer(spark, sf_dir, "detections") if detections else None
+        raw_m = raw_layer(spark, sf_dir, "messages_dup" if dup else "messages")
+        w = M.warehouse(raw_m, raw_d)
+        w.fct_messages = materialize(w.fct_messages)
+        if w.fct_image_detections is not None:
+            w.fct_image_detections = materialize(w.fct_image_detections)
+        _WH[key] = w
     return _WH[key]
 
 
+def build_layers(spark: SparkSession, sf_dir: str) -> None:
+    """Build every layer the registered queries read (raw, dimensions, facts)."""
+    for name in _RAW_BUILDERS:
+        raw_layer(spark, sf_dir, name)
+    warehouse(spark, sf_dir)
+    warehouse(spark, sf_dir, detections=False, dup=True)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -62,22 +90,22 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 @register("stg_messages", O.with_ctes("select * from stg_messages", "stg_messages"))
 def q_stg_messages(spark, sf_dir):
-    return M.stg_messages(FX.raw_messages(spark, sf_dir))
+    return M.stg_messages(raw_layer(spark, sf_dir, "messages"))
 
 
 @register("stg_detections", O.with_ctes("select * from stg_detections", "stg_detections"))
 def q_stg_detections(spark, sf_dir):
-    return M.stg_detections(FX.raw_image_detections(spark, sf_dir))
+    return M.stg_detections(raw_layer(spark, sf_dir, "detections"))
 
 
 @register("dim_channels", O.with_ctes("select * from dim_channels", "dim_channels"))
 def q_dim_channels(spark, sf_dir):
-    return M.dim_channels(M.stg_messages(FX.raw_messages(spark, sf_dir)))
+    return M.dim_channels(M.stg_messages(raw_layer(spark, sf_dir, "messages")))
 
 
 @register("dim_dates", O.with_ctes("select * from dim_dates", "dim_dates"))
 def q_dim_dates(spark, sf_dir):
-    return M.dim_dates(M.stg_messages(FX.raw_messages(spark, sf_dir)))
+    return M.dim_dates(M.stg_messages(raw_layer(spark, sf_dir, "messages")))
 
 
 @register("fct_messages", O.with_ctes("select * from fct_messages", "fct_messages"))
@@ -246,14 +274,14 @@ from channel_boxes group by channel_name, message_id"""
 
 @register("box_rollup", O.with_ctes(_ROLLUP_SQL, "channel_boxes"))
 def q_box_rollup(spark, sf_dir):
-    return EN.rollup_boxes(FX.channel_boxes(spark, sf_dir))
+    return EN.rollup_boxes(raw_layer(spark, sf_dir, "boxes"))
 
 
 @register("rollup_category_breakdown", O.with_ctes(f"""
 select image_category, count(*) as count, {O.pct('count(*)', '(select count(*) from r)', 1)} as percentage
 from r group by image_category""", "channel_boxes").replace("\nselect image_category", f", r as ({_ROLLUP_SQL})\nselect image_category", 1))
 def q_rollup_category_breakdown(spark, sf_dir):
-    return EN.category_breakdown(EN.rollup_boxes(FX.channel_boxes(spark, sf_dir)), digits=1)
+    return EN.category_breakdown(EN.rollup_boxes(raw_layer(spark, sf_dir, "boxes")), digits=1)
 
 
 @register("class_frequency", O.with_ctes("""
@@ -265,7 +293,7 @@ cnt as (select trim(x) as class_name, count(*) as count from (select unnest(stri
   from r where detected_classes is not null and detected_classes <> '') s group by trim(x))
 select class_name, count,""", 1))
 def q_class_frequency(spark, sf_dir):
-    return EN.class_frequency(EN.rollup_boxes(FX.channel_boxes(spark, sf_dir)))
+    return EN.class_frequency(EN.rollup_boxes(raw_layer(spark, sf_dir, "boxes")))
 
 
 # ---------------------------------------------------------------------------
@@ -275,7 +303,7 @@ def q_class_frequency(spark, sf_dir):
 select count(*) as total_messages, count(distinct channel_name) as unique_channels,
   min(message_date) as earliest_date, max(message_date) as latest_date from raw_messages""", "raw_messages"))
 def q_raw_profile(spark, sf_dir):
-    return P.raw_profile(FX.raw_messages(spark, sf_dir))
+    return P.raw_profile(raw_layer(spark, sf_dir, "messages"))
 
 
 @register("detection_profile", O.with_ctes("""
@@ -283,7 +311,7 @@ select count(*) as total_detections, count(distinct channel_name) as unique_chan
   count(distinct message_id) as unique_messages, count(distinct image_category) as unique_categories
 from raw_image_detections""", "raw_image_detections"))
 def q_detection_profile(spark, sf_dir):
-    return P.detection_profile(FX.raw_image_detections(spark, sf_dir))
+    return P.detection_profile(raw_layer(spark, sf_dir, "detections"))
 
 
 @register("category_breakdown", O.with_ctes(f"""
@@ -291,14 +319,14 @@ select image_category, count(*) as count,
   {O.pct('count(*)', '(select count(*) from raw_image_detections)', 2)} as percentage
 from raw_image_detections group by image_category""", "raw_image_detections"))
 def q_category_breakdown(spark, sf_dir):
-    return EN.category_breakdown(FX.raw_image_detections(spark, sf_dir), digits=2)
+    return EN.category_breakdown(raw_layer(spark, sf_dir, "detections"), digits=2)
 
 
 @register("channel_counts", O.with_ctes("""
 select channel_name, count(*) as message_count, min(message_date) as first_message, max(message_date) as last_message
 from raw_messages_dup group by channel_name""", "raw_messages_dup"))
 def q_channel_counts(spark, sf_dir):
-    return P.channel_counts(FX.raw_messages_dup(spark, sf_dir))
+    return P.channel_counts(raw_layer(spark, sf_dir, "messages_dup"))
 
 
 # ---------------------------------------------------------------------------
@@ -323,7 +351,7 @@ select message_id, channel_name, count(*) as count, min(message_date) as first_d
 from raw_messages_dup group by message_id, channel_name having count(*) > 1
 order by count desc, message_id nulls first, channel_name nulls first limit 10""", "raw_messages_dup"))
 def q_dup_raw(spark, sf_dir):
-    return P.dup_raw(FX.raw_messages_dup(spark, sf_dir))
+    return P.dup_raw(raw_layer(spark, sf_dir, "messages_dup"))
 
 
 @register("dup_cross_channel", O.with_ctes(f"""
@@ -331,7 +359,7 @@ select message_id, count(distinct channel_name) as channel_count, {_agg_list('ch
 from raw_messages_dup where channel_name is not null group by message_id having count(distinct channel_name) > 1
 order by channel_count desc, message_id nulls first limit 10""", "raw_messages_dup"))
 def q_dup_cross_channel(spark, sf_dir):
-    return P.dup_cross_channel(FX.raw_messages_dup(spark, sf_dir))
+    return P.dup_cross_channel(raw_layer(spark, sf_dir, "messages_dup"))
 
 
 # ---------------------------------------------------------------------------
@@ -370,7 +398,7 @@ _INSERT_SQL = _INSERT_SQL.replace("\nd as (", ",\n" + _batch_sql("raw_messages",
 
 @register("insert_or_skip", _INSERT_SQL)
 def q_insert_or_skip(spark, sf_dir):
-    target, batch = FX.insert_scenario(spark, sf_dir)
+    target, batch = FX.insert_scenario(raw_layer(spark, sf_dir, "messages"))
     return L.insert_or_skip(target, batch, ["message_id", "channel_name", "message_date"], ["batch_seq"])
 
 
@@ -385,7 +413,7 @@ _INSERT_DET_SQL = _INSERT_DET_SQL.replace(
 
 @register("insert_detections", _INSERT_DET_SQL)
 def q_insert_detections(spark, sf_dir):
-    target, batch = FX.detection_insert_scenario(spark, sf_dir)
+    target, batch = FX.detection_insert_scenario(raw_layer(spark, sf_dir, "detections"))
     return L.insert_or_skip(target, batch, ["message_id", "channel_name"], ["batch_seq"], reject_null_keys=True)
 
 
@@ -424,7 +452,7 @@ def _after_ctes(sql: str, extra: str, marker: str) -> str:
 @register("resolve_channel", _after_ctes(O.with_ctes("select * from resolved", "raw_messages"),
                                          _resolved_sql({}), "select * from resolved"))
 def q_resolve_channel(spark, sf_dir):
-    names = C.distinct_names(FX.raw_messages(spark, sf_dir))
+    names = C.distinct_names(raw_layer(spark, sf_dir, "messages"))
     return C.resolve_channels(names, FX.channel_config(spark))
 
 
@@ -443,7 +471,7 @@ p as (select *, row_number() over (partition by config_channel, has_photo order
 
 @register("quota", _after_ctes(O.with_ctes(_QUOTA_FINAL, "raw_messages"), _QUOTA_EXTRA, _QUOTA_FINAL.split("\n")[0]))
 def q_quota(spark, sf_dir):
-    raw = FX.raw_messages(spark, sf_dir)
+    raw = raw_layer(spark, sf_dir, "messages")
     resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark, QUOTA_CAPS))
     q = C.apply_quota(raw, resolved)
     return q.select("message_id", "channel_name", "config_channel", "message_date", "has_photo", "image_downloaded")
@@ -465,7 +493,7 @@ from (select distinct expected_channel from expected) x"""
 lake as (select distinct channel_name from raw_messages where channel_name is not null),
 tab as (select distinct channel_name from stg_messages)""", _EXPECTED_FINAL.split("\n")[0]))
 def q_expected_channels(spark, sf_dir):
-    raw = FX.raw_messages(spark, sf_dir)
+    raw = raw_layer(spark, sf_dir, "messages")
     stg = M.stg_messages(raw)
     return C.expected_presence(C.distinct_names(raw), C.distinct_names(stg), FX.expected_channels(spark))
 
@@ -479,7 +507,7 @@ from (select channel_name, count(*) as lake_count from raw_messages group by cha
 full outer join (select channel_name, count(*) as table_count from stg_messages group by channel_name) b
   on a.channel_name = b.channel_name""", "stg_messages"))
 def q_reconcile(spark, sf_dir):
-    raw = FX.raw_messages(spark, sf_dir)
+    raw = raw_layer(spark, sf_dir, "messages")
     return C.reconcile(raw, M.stg_messages(raw))
 
 
@@ -487,7 +515,7 @@ def q_reconcile(spark, sf_dir):
 select channel_name, coalesce(regexp_full_match(regexp_replace(channel_name, '^@+', ''), '[\p{L}\p{N}_]{5,}'), false)
   as valid from (select distinct channel_name from raw_messages where channel_name is not null) n""", "raw_messages"))
 def q_valid_usernames(spark, sf_dir):
-    return C.valid_usernames(C.distinct_names(FX.raw_messages(spark, sf_dir)))
+    return C.valid_usernames(C.distinct_names(raw_layer(spark, sf_dir, "messages")))
 
 
 _LAYERS = [("raw", "telegram_messages", "raw_messages"), ("raw", "image_detections", "raw_image_detections"),
@@ -501,7 +529,7 @@ _LAYERS = [("raw", "telegram_messages", "raw_messages"), ("raw", "image_detectio
     for layer, name, cte in _LAYERS), "fct_messages", "fct_image_detections"))
 def q_layer_counts(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    dfs = {"raw_messages": FX.raw_messages(spark, sf_dir), "raw_image_detections": FX.raw_image_detections(spark, sf_dir),
+    dfs = {"raw_messages": raw_layer(spark, sf_dir, "messages"), "raw_image_detections": raw_layer(spark, sf_dir, "detections"),
            "stg_messages": w.stg_messages, "stg_detections": w.stg_detections, "dim_channels": w.dim_channels,
            "dim_dates": w.dim_dates, "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
     return P.layer_counts({(layer, name): dfs[cte] for layer, name, cte in _LAYERS})
@@ -518,6 +546,6 @@ from (select channel_name, count(distinct coalesce(cast(message_date as date), d
 @register("ingest_summary", _after_ctes(O.with_ctes(_SUMMARY_FINAL, "raw_messages"), _resolved_sql({}),
                                         _SUMMARY_FINAL.split("\n")[0]))
 def q_ingest_summary(spark, sf_dir):
-    raw = FX.raw_messages(spark, sf_dir)
+    raw = raw_layer(spark, sf_dir, "messages")
     resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark))
     return P.ingest_summary(raw, resolved, as_of=AS_OF)

@@ -30,7 +30,7 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
     names(channel_name) distinct; config(channel, pattern, pattern_order, max_images, max_messages)
     → (channel_name, config_channel, max_images, max_messages, matched)
     """
-    cfg, _ = sized_broadcast(config)
+    cfg, _ = sized_broadcast(config, materialise=False)      # a configuration list
     n = F.col("channel_name")
     c = F.col("channel")
     rank = (F.when(n == c, F.lit(1))
@@ -53,7 +53,7 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
 
 def _presence(names: DataFrame, expected: DataFrame, label: str) -> DataFrame:
     """Per expected channel: is any variant a case-insensitive substring of a name, or vice versa."""
-    ex, _ = sized_broadcast(expected)
+    ex, _ = sized_broadcast(expected, materialise=False)     # a configuration list
     ln, lv = F.lower(F.col("channel_name")), F.lower(F.col("variant"))
     hits = names.join(ex, ln.contains(lv) | lv.contains(ln), "inner")
     return hits.groupBy("expected_channel").agg(F.count_distinct("channel_name").alias(label))
@@ -136,8 +136,8 @@ def apply_quota(messages: DataFrame, resolved: DataFrame, existing_images: DataF
         else F.col("max_messages").alias("msg_cap"),
         F.greatest(F.col("max_images") - F.coalesce("existing", F.lit(0)), F.lit(0)).alias("img_cap"),
     )
-    caps_b, _ = sized_broadcast(caps)
-    bounds = caps.agg(F.max("msg_cap").alias("m"), F.max("img_cap").alias("i")).first()
+    caps_b, _ = sized_broadcast(caps)                 # one row per channel, materialised
+    bounds = caps_b.agg(F.max("msg_cap").alias("m"), F.max("img_cap").alias("i")).first()
     max_msg, max_img = bounds["m"], bounds["i"]
 
     m = messages.join(caps_b, "channel_name", "left").withColumn(

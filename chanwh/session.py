@@ -68,11 +68,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a small side, count it, and broadcast it only when the count is within bound.
-
-    Returns the DataFrame to join (broadcast-hinted or not) and its row count.
+def sized_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
+                    materialise: bool = True) -> tuple[DataFrame, int]:
+    """Count a small side and broadcast it only when the count is within bound.
+
+    Data-derived sides are materialised first (one reliable checkpoint, then the count reads
+    it); an input that is cheap to evaluate twice (a configuration list) is only counted,
+    with the count itself capped at ``max_rows + 1``. Returns the DataFrame to join
+    (broadcast-hinted or not) and its row count (capped).
     """
-    m = materialize(df)
-    n = m.count()
+    m = materialize(df) if materialise else df
+    n = m.limit(max_rows + 1).count()
     return (F.broadcast(m) if n <= max_rows else m), n

@@ -83,11 +83,10 @@ def raw_messages_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.unionByName(shifted).unionByName(moved)
 
 
-def insert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(target, batch) for insert-or-skip: the target holds messages before Jan 8; the batch
-    re-delivers everything from Jan 5, and everything from Jan 12 a second time.
-    ``batch_seq`` orders the deliveries (first wins)."""
-    r = raw_messages(spark, sf_dir)
+def insert_scenario(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(target, batch) for insert-or-skip over raw messages ``r``: the target holds messages
+    before Jan 8; the batch re-delivers everything from Jan 5, and everything from Jan 12 a
+    second time. ``batch_seq`` orders the deliveries (first wins)."""
     target = r.where(F.col("message_date") < F.lit("2024-01-08").cast("timestamp_ntz"))
     first = r.where(F.col("message_date") >= F.lit("2024-01-05").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(0))
     again = r.where(F.col("message_date") >= F.lit("2024-01-12").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(1))
@@ -189,10 +188,9 @@ def expected_channels(spark: SparkSession) -> DataFrame:
 
 
 
-def detection_insert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(target, batch) for the detection load: processed before Jan 8 is stored; the batch
-    re-delivers everything from Jan 5, and everything from Jan 12 a second time."""
-    r = raw_image_detections(spark, sf_dir)
+def detection_insert_scenario(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(target, batch) for the detection load over raw detections ``r``: processed before
+    Jan 8 is stored; the batch re-delivers everything from Jan 5, and from Jan 12 again."""
     ts = F.col("processed_at")
     target = r.where(ts < F.lit("2024-01-08").cast("timestamp_ntz"))
     first = r.where(ts >= F.lit("2024-01-05").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(0))
