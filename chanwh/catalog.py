@@ -53,27 +53,29 @@ def raw_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _RAW[key]
 
 
-def warehouse(spark: SparkSession, sf_dir: str, detections: bool = True, dup: bool = False) -> M.Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, detections: bool = False, dup: bool = False) -> M.Warehouse:
     """The star schema over the raw layer: dimensions and facts materialised once per session
-    (the marts the reports read). ``dup`` builds it over the raw table with re-scraped copies."""
-    key = (spark.sparkContext.applicationId, sf_dir, detections, dup)
+    (the marts the reports read). ``detections`` adds the image-detection side over the same
+    dimensions; ``dup`` builds it over the raw table with re-scraped copies."""
+    key = (spark.sparkContext.applicationId, sf_dir, dup)
     if key not in _WH:
-        raw_d = raw_layer(spark, sf_dir, "detections") if detections else None
-        raw_m = raw_layer(spark, sf_dir, "messages_dup" if dup else "messages")
-        w = M.warehouse(raw_m, raw_d)
+        w = M.warehouse(raw_layer(spark, sf_dir, "messages_dup" if dup else "messages"))
         w.fct_messages = materialize(w.fct_messages)
-        if w.fct_image_detections is not None:
-            w.fct_image_detections = materialize(w.fct_image_detections)
         _WH[key] = w
-    return _WH[key]
+    w = _WH[key]
+    if detections and w.fct_image_detections is None:
+        w.stg_detections = M.stg_detections(raw_layer(spark, sf_dir, "detections"))
+        w.fct_image_detections = materialize(
+            M.fct_image_detections(w.stg_detections, w.stg_messages, w.dim_channels, w.dim_dates))
+    return w
 
 
 def build_layers(spark: SparkSession, sf_dir: str) -> None:
     """Build every layer the registered queries read (raw, dimensions, facts)."""
     for name in _RAW_BUILDERS:
         raw_layer(spark, sf_dir, name)
-    warehouse(spark, sf_dir)
-    warehouse(spark, sf_dir, detections=False, dup=True)
+    warehouse(spark, sf_dir, detections=True)
+    warehouse(spark, sf_dir, dup=True)
 
 
 def register(name: str, sql: str | None = None):
@@ -115,7 +117,7 @@ def q_fct_messages(spark, sf_dir):
 
 @register("fct_image_detections", O.with_ctes("select * from fct_image_detections", "fct_image_detections"))
 def q_fct_image_detections(spark, sf_dir):
-    return warehouse(spark, sf_dir).fct_image_detections
+    return warehouse(spark, sf_dir, detections=True).fct_image_detections
 
 
 # ---------------------------------------------------------------------------
@@ -242,7 +244,7 @@ group by dc.channel_name"""
 @register("visual_by_channel", O.with_ctes(_VISUAL_SQL + " order by total_images desc, channel_name",
                                            "fct_image_detections"))
 def q_visual_by_channel(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
+    w = warehouse(spark, sf_dir, detections=True)
     return R.visual_by_channel(w.fct_image_detections, w.dim_channels)
 
 
@@ -254,12 +256,12 @@ select cast(coalesce(sum(total_images), 0) as bigint) as total_images, count(*)
   coalesce({O.pct('sum(other_count)', 'sum(total_images)')}, 0.0) as overall_other_pct
 from ({_VISUAL_SQL}) v""", "fct_image_detections"))
 def q_visual_overall(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
+    w = warehouse(spark, sf_dir, detections=True)
     return R.visual_overall(w.fct_image_detections, w.dim_channels)
 
 
 QUERIES["visual_envelope"] = lambda spark, sf_dir: R.visual_envelope(
-    warehouse(spark, sf_dir).fct_image_detections, warehouse(spark, sf_dir).dim_channels)
+    warehouse(spark, sf_dir, detections=True).fct_image_detections, warehouse(spark, sf_dir).dim_channels)
 
 
 # ---------------------------------------------------------------------------
@@ -342,7 +344,7 @@ select fm.message_id, count(*) as count, {_agg_list('fm.channel_key')} as channe
 from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
 group by fm.message_id having count(*) > 1""", "fct_messages", raw="raw_messages_dup"))
 def q_dup_mart(spark, sf_dir):
-    w = warehouse(spark, sf_dir, detections=False, dup=True)
+    w = warehouse(spark, sf_dir, dup=True)
     return P.dup_mart(w.fct_messages, w.dim_channels)
 
 
@@ -371,7 +373,7 @@ QUALITY_AS_OF = "2024-01-15 12:00:00"
 @register("quality_report", O.with_ctes(O.quality_sql(Q.ALL_CHECKS, QUALITY_AS_OF), "fct_messages",
                                         "fct_image_detections"))
 def q_quality_report(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
+    w = warehouse(spark, sf_dir, detections=True)
     # each fact is read twice: one pass for row checks + relationships, one for uniqueness
     tables = {"stg_telegram_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
               "dim_channels": w.dim_channels, "dim_dates": w.dim_dates,
@@ -528,7 +530,7 @@ _LAYERS = [("raw", "telegram_messages", "raw_messages"), ("raw", "image_detectio
     f"select {O.q(layer)} as layer, {O.q(name)} as table_name, count(*) as row_count from {cte}"
     for layer, name, cte in _LAYERS), "fct_messages", "fct_image_detections"))
 def q_layer_counts(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
+    w = warehouse(spark, sf_dir, detections=True)
     dfs = {"raw_messages": raw_layer(spark, sf_dir, "messages"), "raw_image_detections": raw_layer(spark, sf_dir, "detections"),
            "stg_messages": w.stg_messages, "stg_detections": w.stg_detections, "dim_channels": w.dim_channels,
            "dim_dates": w.dim_dates, "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
