@@ -141,6 +141,19 @@ def q_top_terms_total(spark, sf_dir):
     return R.top_terms_total(warehouse(spark, sf_dir).fct_messages, TOP_MIN_LENGTH)
 
 
+WIDE_LIMIT, WIDE_MIN_LENGTH = 100, 2
+
+
+@register("top_terms_wide", O.with_ctes(f"""
+select term, frequency, {O.pct('frequency', 'total')} as percentage
+from (select term, count(*) as frequency from {O.terms_cte(WIDE_MIN_LENGTH)} k group by term having count(*) >= 2) tc,
+     (select sum(frequency) as total from (select term, count(*) as frequency from {O.terms_cte(WIDE_MIN_LENGTH)} k
+        group by term having count(*) >= 2) x) tt
+order by frequency desc, term limit {WIDE_LIMIT}""", "fct_messages"))
+def q_top_terms_wide(spark, sf_dir):
+    return R.top_terms(warehouse(spark, sf_dir).fct_messages, WIDE_LIMIT, WIDE_MIN_LENGTH)
+
+
 QUERIES["top_terms_envelope"] = lambda spark, sf_dir: R.top_terms_envelope(
     warehouse(spark, sf_dir).fct_messages, TOP_LIMIT, TOP_MIN_LENGTH)
 
@@ -177,6 +190,20 @@ def q_channel_daily(spark, sf_dir):
     return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF)
 
 
+@register("channel_daily_short", O.with_ctes(f"""
+select dd.full_date as activity_date, count(*) as message_count,
+  cast(coalesce(sum(fm.view_count), 0) as bigint) as total_views,
+  coalesce({O.mean('sum(fm.view_count)', 'count(*)')}, 0.0) as avg_views,
+  cast(coalesce(sum(fm.forward_count), 0) as bigint) as total_forwards
+from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+  join dim_dates dd on fm.date_key = dd.date_key
+where dc.channel_name = 'Tikvah | Pharma' and dd.full_date >= date '2024-01-10' - interval 3 day
+group by dd.full_date order by dd.full_date desc""", "fct_messages"))
+def q_channel_daily_short(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, "Tikvah | Pharma", 3, "2024-01-10")
+
+
 QUERIES["channel_activity_envelope"] = lambda spark, sf_dir: R.channel_activity_envelope(
     warehouse(spark, sf_dir).fct_messages, warehouse(spark, sf_dir).dim_channels,
     warehouse(spark, sf_dir).dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF)
@@ -223,6 +250,18 @@ def q_search_channel(spark, sf_dir):
     return R.search_messages(w.fct_messages, w.dim_channels, SEARCH_QUERY, SEARCH_LIMIT, channel=SEARCH_CHANNEL)
 
 
+WILDCARD_QUERY = "qu_e"          # '_' stays a live wildcard, as in the reference
+_LIKE_W = f"lower(fm.message_text) like lower({O.q('%' + WILDCARD_QUERY + '%')}) escape '\\'"
+
+
+@register("search_wildcard_count", O.with_ctes(f"""
+select count(*) as total_found from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+where {_LIKE_W}""", "fct_messages"))
+def q_search_wildcard_count(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return R.search_count(w.fct_messages, w.dim_channels, WILDCARD_QUERY)
+
+
 # ---------------------------------------------------------------------------
 # N4 visual content
 # ---------------------------------------------------------------------------
