@@ -53,10 +53,11 @@ def rollup_boxes(boxes: DataFrame, images: DataFrame | None = None) -> DataFrame
 def category_breakdown(df: DataFrame, digits: int = 2) -> DataFrame:
     """A14 (digits=2, loaded table) / A15 (digits=1, a detection run): count and share per category.
 
-    The denominator is a scalar subquery over the same input, not a join.
+    The denominator is a scalar subquery over the grouped counts (no join, no second scan).
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
     g = df.groupBy("image_category").agg(F.count(F.lit(1)).alias("count"))
+    # the denominator sums the grouped counts: same aggregate, so one scan of the input
+    total = g.agg(F.sum("count")).scalar()
     g = g.select("image_category", "count", total.alias("_total"))
     return g.select("image_category", "count", X.pct("count", "_total", digits).alias("percentage")) \
             .orderBy(F.desc("count"), F.asc_nulls_first("image_category"))

@@ -26,6 +26,9 @@ def get_spark(master: str | None = None, app: str = "chanwh", shuffle_partitions
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture for error messages costs Py4J round trips on every Column
+        # function call while a plan is built; off for batch runs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
