@@ -21,38 +21,45 @@ def _any_null(keys: list[str]):
     return cond
 
 
-def dedupe_first(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per non-NULL key, the first by ``order``; rows with a NULL key all pass
-    (NULLs are distinct, as in the target's unique constraint).
+def _first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key (keys non-NULL): the first by ``order``.
 
     ``min_by`` is a partial aggregate: each map task keeps one row per key before the
     shuffle, so a key repeated across a third of the batch still costs one row per task.
     """
-    cols = batch.columns
-    nonnull = batch.where(~_any_null(keys))
-    picked = nonnull.groupBy(*keys).agg(
-        F.min_by(F.struct(*cols), F.struct(*order)).alias("_r")).select("_r.*")
-    return picked.unionByName(batch.where(_any_null(keys)))
+    cols = rows.columns
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r")).select("_r.*")
+
+
+def dedupe_first(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per non-NULL key, the first by ``order``; rows with a NULL key all pass
+    (NULLs are distinct, as in the target's unique constraint)."""
+    return _first_per_key(batch.where(~_any_null(keys)), keys, order).unionByName(batch.where(_any_null(keys)))
 
 
 def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str],
                    reject_null_keys: bool = False) -> DataFrame:
     """The batch rows to append — first-wins within the batch, existing rows win
-    over the batch (never updated). ``reject_null_keys`` drops NULL-key rows (NOT NULL keys, S7).
+    over the batch (never updated). ``reject_null_keys`` drops NULL-key rows (NOT NULL keys, S7);
+    otherwise they are all appended (a NULL key never equals a stored key).
 
-    The target is narrowed to the batch's range of the first key column that is a date,
-    so the anti join only shuffles the target rows that can match.
+    Only rows with complete keys go through the anti join, and the target is narrowed to
+    their range of the first date-typed key column, so only target rows that can match
+    are shuffled.
     """
-    b = batch.where(~_any_null(keys)) if reject_null_keys else batch
-    d = dedupe_first(b, keys, order)
+    complete = batch.where(~_any_null(keys))
+    d = _first_per_key(complete, keys, order)
     t = target.select(*keys)
-    date_keys = [k for k in keys if dict(target.dtypes)[k].startswith("timestamp") or dict(target.dtypes)[k] == "date"]
+    types = dict(target.dtypes)
+    date_keys = [k for k in keys if types[k].startswith("timestamp") or types[k] == "date"]
     if date_keys:
         k = date_keys[0]
-        lo = b.agg(F.min(k)).scalar()
-        hi = b.agg(F.max(k)).scalar()
+        lo = complete.agg(F.min(k)).scalar()
+        hi = complete.agg(F.max(k)).scalar()
         t = t.where((F.col(k) >= lo) & (F.col(k) <= hi))
     new = d.join(t, keys, "left_anti")
+    if not reject_null_keys:
+        new = new.unionByName(batch.where(_any_null(keys)))
     return new.drop(*[c for c in order if c not in target.columns])
 
 
