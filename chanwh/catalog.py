@@ -39,7 +39,8 @@ _WH: dict[tuple, M.Warehouse] = {}
 _RAW_BUILDERS = {
     "messages": FX.raw_messages,                 # raw.telegram_messages
     "detections": FX.raw_image_detections,       # raw.image_detections
-    "messages_dup": FX.raw_messages_dup,         # raw.telegram_messages with re-scraped copies
+    "messages_dup": lambda spark, sf_dir: FX.raw_messages_dup(   # with re-scraped copies
+        spark, sf_dir, raw_layer(spark, sf_dir, "messages")),
     "boxes": FX.channel_boxes,                   # box-level detections (inference output contract)
 }
 

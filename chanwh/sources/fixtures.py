@@ -72,10 +72,11 @@ RAW_REST = ["message_text", "has_media", "image_path", "views", "forwards", "is_
             "reply_to_msg_id", "scraped_at", "loaded_at"]
 
 
-def raw_messages_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_messages_dup(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
     """Raw messages with re-scraped copies: a second date for messages without media,
-    and a copy under the 'CheMed' channel for forwarded messages of other channels."""
-    r = raw_messages(spark, sf_dir)
+    and a copy under the 'CheMed' channel for forwarded messages of other channels.
+    ``r`` is an already built raw message table (default: derived from the test tables)."""
+    r = raw_messages(spark, sf_dir) if r is None else r
     shifted = (r.where(~F.col("has_media"))
                .withColumn("message_date", F.col("message_date") + F.expr("interval 1 day")))
     moved = (r.where(F.col("forwards").isNotNull() & (F.col("channel_name") != "CheMed"))
