@@ -130,13 +130,16 @@ def raw_image_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the per-image aggregation instead of after it (same result, less to aggregate)
     known = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("message_id"))
     b = boxes(spark, sf_dir).join(known, "message_id", "left_semi")
-    r = b.groupBy("message_id").agg(
-        F.array_join(F.array_sort(F.collect_list("class_name")), ", ").alias("detected_classes"),
-        F.count(F.lit(1)).cast("int").alias("total_detections"),
-        F.max("confidence").alias("mc"),
+    # count per (image, class) first, so an image's group holds one entry per distinct class
+    pc = b.groupBy("message_id", "class_name").agg(F.count(F.lit(1)).alias("n"), F.max("confidence").alias("mc"))
+    r = pc.groupBy("message_id").agg(
+        F.sort_array(F.collect_list(F.struct("class_name", F.col("n").cast("int").alias("n")))).alias("_cls"),
+        F.sum("n").cast("int").alias("total_detections"),
+        F.max("mc").alias("mc"),
         F.max(F.when(F.col("class_name") == "person", 1).otherwise(0)).alias("hp"),
         F.max(F.when(F.col("class_name").isin("bottle", "cup", "book", "potted plant"), 1).otherwise(0)).alias("ho"),
-    )
+    ).withColumn("detected_classes", F.array_join(
+        F.flatten(F.transform("_cls", lambda c: F.array_repeat(c["class_name"], c["n"]))), ", "))
     e = table(spark, sf_dir, "events").select("event_id", "ts")
     j = r.join(d, d.doc_id == r.message_id).join(e, e.event_id == d.doc_id * 5)
     mid = F.col("message_id")
