@@ -37,11 +37,12 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
             .when(F.lower(n) == F.lower(c), F.lit(2))
             .when(X.normalized_name(n).contains(F.col("pattern")), F.lit(10) + F.col("pattern_order")))
     cond = (n == c) | (F.lower(n) == F.lower(c)) | X.normalized_name(n).contains(F.col("pattern"))
-    pairs = names.join(cfg, cond, "inner").select(
+    # left outer: every name keeps a row; min_by skips the NULL rank of a name without a match,
+    # so no join back to the names is needed
+    pairs = names.join(cfg, cond, "left").select(
         "channel_name", rank.alias("rank"),
         F.struct(F.col("channel").alias("config_channel"), "max_images", "max_messages").alias("cfg"))
-    best = pairs.groupBy("channel_name").agg(F.min_by("cfg", "rank").alias("cfg"))
-    out = names.join(best, "channel_name", "left")
+    out = pairs.groupBy("channel_name").agg(F.min_by("cfg", "rank").alias("cfg"))
     return out.select(
         "channel_name",
         F.coalesce(F.col("cfg.config_channel"), n).alias("config_channel"),
