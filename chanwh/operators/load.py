@@ -63,10 +63,6 @@ def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order:
     return new.drop(*[c for c in order if c not in target.columns])
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
-
-
 # ---------------------------------------------------------------------------
 # S8 lake writer
 # ---------------------------------------------------------------------------

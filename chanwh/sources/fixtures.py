@@ -68,10 +68,6 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RAW_REST = ["message_text", "has_media", "image_path", "views", "forwards", "is_reply",
-            "reply_to_msg_id", "scraped_at", "loaded_at"]
-
-
 def raw_messages_dup(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
     """Raw messages with re-scraped copies: a second date for messages without media,
     and a copy under the 'CheMed' channel for forwarded messages of other channels.
