@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chanwh import oracle as O
 from chanwh.operators import channels as C
@@ -18,6 +19,8 @@ from chanwh.operators import profile as P
 from chanwh.operators import quality as Q
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
+from chanwh.sources import coerce as CO
+from chanwh.sources import lake as LK
 from chanwh.session import materialize
 from chanwh.sources import fixtures as FX
 
@@ -591,3 +594,26 @@ def q_ingest_summary(spark, sf_dir):
     raw = raw_layer(spark, sf_dir, "messages")
     resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark))
     return P.ingest_summary(raw, resolved, as_of=AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# S3 coercion round trip, S10 image-path keys
+# ---------------------------------------------------------------------------
+@register("coerce_roundtrip", O.with_ctes("""
+select message_id, channel_name, message_date, message_text, has_media, image_path, views, forwards,
+  is_reply, reply_to_msg_id, scraped_at from raw_messages""", "raw_messages"))
+def q_coerce_roundtrip(spark, sf_dir):
+    """The raw table written out as lake text and coerced back (S3): must give the table again."""
+    return CO.coerce_messages(FX.lake_strings(raw_layer(spark, sf_dir, "messages"))).drop("loaded_at")
+
+
+_IMG_RE = LK.IMAGE_PATH_RE
+
+
+@register("image_keys", O.with_ctes(f"""
+select image_path as path, regexp_extract(image_path, '{_IMG_RE}', 1) as channel_name,
+  cast(regexp_extract(image_path, '{_IMG_RE}', 2) as bigint) as message_id
+from raw_messages where regexp_extract(image_path, '{_IMG_RE}', 1) <> ''""", "raw_messages"))
+def q_image_keys(spark, sf_dir):
+    """S10 over every image path of the raw table."""
+    return LK.parse_image_path(raw_layer(spark, sf_dir, "messages").select(F.col("image_path").alias("path")))

@@ -179,12 +179,17 @@ def parse_int(c: str | Column) -> Column:
     return parse_bigint(c).try_cast("int")
 
 
-def parse_timestamp(c: str | Column) -> Column:
-    """ISO text -> timestamp_ntz; an explicit offset is converted to UTC wall clock.
+OFFSET_RE = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
-    Requires the session time zone UTC (set by ``session.get_spark``).
-    """
-    return F.trim(col(c).cast("string")).try_cast("timestamp").cast("timestamp_ntz")
+
+def parse_timestamp(c: str | Column) -> Column:
+    """ISO text -> timestamp_ntz (H7): text with an offset (or 'Z') becomes the UTC wall
+    clock of that instant; text without one is kept as written. Independent of the
+    session time zone."""
+    s = F.trim(col(c).cast("string"))
+    instant = s.try_cast("timestamp")                           # offset honoured
+    as_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return F.when(s.rlike(OFFSET_RE), as_utc).otherwise(s.try_cast("timestamp_ntz"))
 
 
 def parse_bool(c: str | Column) -> Column:

@@ -196,3 +196,23 @@ def detection_insert_scenario(r: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = r.where(ts >= F.lit("2024-01-05").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(0))
     again = r.where(ts >= F.lit("2024-01-12").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(1))
     return target, first.unionByName(again)
+
+
+def lake_strings(r: DataFrame) -> DataFrame:
+    """Raw messages as the lake's loosely typed text: every field a string, the message date
+    written with a +03:00 offset (same instant), even ids written as integral decimals."""
+    mid = F.col("message_id")
+    local = F.col("message_date") + F.expr("interval 3 hours")
+    return r.select(
+        F.when(mid % 2 == 0, F.concat(mid.cast("string"), F.lit(".0"))).otherwise(mid.cast("string")).alias("message_id"),
+        "channel_name",
+        F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+03:00")).alias("message_date"),
+        "message_text",
+        F.col("has_media").cast("string").alias("has_media"),
+        "image_path",
+        F.col("views").cast("string").alias("views"),
+        F.col("forwards").cast("string").alias("forwards"),
+        F.col("is_reply").cast("string").alias("is_reply"),
+        F.col("reply_to_msg_id").cast("string").alias("reply_to_msg_id"),
+        F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("scraped_at"),
+    )

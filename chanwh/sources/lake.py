@@ -69,7 +69,8 @@ def scan_images(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_image_path(df: DataFrame, col: str = "path") -> DataFrame:
     """(channel_name, message_id) from .../images/<channel>/<id>.<ext>; others dropped."""
-    p = F.url_decode(F.col(col))
+    # file paths are URIs (' ' → %20, '|' → %7C); a literal '+' must survive the decoding
+    p = F.url_decode(F.regexp_replace(F.col(col), r"\+", "%2B"))
     ch = F.regexp_extract(p, IMAGE_PATH_RE, 1)
     mid = F.regexp_extract(p, IMAGE_PATH_RE, 2)
     out = df.select("*", ch.alias("channel_name"), mid.try_cast("bigint").alias("message_id"))
