@@ -617,3 +617,40 @@ from raw_messages where regexp_extract(image_path, '{_IMG_RE}', 1) <> ''""", "ra
 def q_image_keys(spark, sf_dir):
     """S10 over every image path of the raw table."""
     return LK.parse_image_path(raw_layer(spark, sf_dir, "messages").select(F.col("image_path").alias("path")))
+
+
+SCRAPED_AT = "2024-02-01 12:00:00"
+
+
+def _iso_sql(c: str, utc: bool) -> str:
+    base = f"strftime({c}, '%Y-%m-%dT%H:%M:%S')"
+    t = f"(case when strftime({c}, '%f') = '000000' then {base} else {base} || '.' || strftime({c}, '%f') end)"
+    return f"({t} || '+00:00')" if utc else t
+
+
+@register("shape_records", O.with_ctes(f"""
+select message_id, channel_name, {_iso_sql('message_date', True)} as message_date,
+  coalesce(message_text, '') as message_text, has_media as has_media,
+  case when has_media and coalesce(image_path <> '', false)
+       then 'data/raw/images/' || channel_name || '/' || cast(message_id as varchar) || '.jpg' end as image_path,
+  coalesce(views, 0) as views, coalesce(forwards, 0) as forwards, coalesce(is_reply, false) as is_reply,
+  case when coalesce(is_reply, false) then reply_to_msg_id end as reply_to_msg_id,
+  {_iso_sql(f"timestamp '{SCRAPED_AT}'", False)} as scraped_at
+from raw_messages""", "raw_messages"))
+def q_shape_records(spark, sf_dir):
+    """S12 over every message of the raw table seen as API objects."""
+    import datetime as dt
+    api = FX.api_messages(raw_layer(spark, sf_dir, "messages"))
+    return L.shape_message_records(api, scraped_at=dt.datetime.fromisoformat(SCRAPED_AT))
+
+
+@register("lake_layout", O.with_ctes(r"""
+select strftime(coalesce(cast(message_date as date), date '2024-02-01'), '%Y-%m-%d') as dt,
+  replace(trim(regexp_replace(channel_name, '[^\p{L}\p{N} _-]', '', 'g')), ' ', '_') as channel,
+  count(*) as message_count
+from raw_messages group by all""", "raw_messages"))
+def q_lake_layout(spark, sf_dir):
+    """S8's partition keys (message day, file-safe channel) over the raw table, with counts."""
+    recs = FX.lake_strings(raw_layer(spark, sf_dir, "messages"))
+    return recs.select(*L.lake_partition(as_of="2024-02-01")).groupBy("dt", "channel").agg(
+        F.count(F.lit(1)).alias("message_count"))

@@ -192,6 +192,15 @@ def parse_timestamp(c: str | Column) -> Column:
     return F.when(s.rlike(OFFSET_RE), as_utc).otherwise(s.try_cast("timestamp_ntz"))
 
 
+def iso_text(c: str | Column, utc_suffix: bool = False) -> Column:
+    """ISO-8601 text of a timestamp_ntz: seconds, a 6-digit fraction only when non-zero, and
+    '+00:00' when ``utc_suffix`` (the form an aware UTC datetime prints)."""
+    base = F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss")
+    frac = F.date_format(col(c), "SSSSSS")
+    txt = F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
+    return F.concat(txt, F.lit("+00:00")) if utc_suffix else txt
+
+
 def parse_bool(c: str | Column) -> Column:
     return F.trim(col(c).cast("string")).try_cast("boolean")
 

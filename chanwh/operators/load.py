@@ -66,6 +66,14 @@ def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order:
 # ---------------------------------------------------------------------------
 # S8 lake writer
 # ---------------------------------------------------------------------------
+def lake_partition(as_of=None) -> list:
+    """(dt, channel) of a lake record: its message day (no date → ``as_of``, default today)
+    as 'YYYY-MM-DD' and its file-safe channel name."""
+    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    day = F.date_format(F.coalesce(F.to_date(X.parse_timestamp("message_date")), today), "yyyy-MM-dd")
+    return [day.alias("dt"), X.safe_file_name("channel_name").alias("channel")]
+
+
 def write_message_lake(df: DataFrame, path: str, existing: DataFrame | None = None, as_of=None) -> DataFrame:
     """File message records by day (no date → ``as_of``, default today) and file-safe
     channel name; a record whose id is already stored in the same day/channel partition is
@@ -75,15 +83,9 @@ def write_message_lake(df: DataFrame, path: str, existing: DataFrame | None = No
     ``existing`` is the stored lake (``scan_message_lake`` of the same path); only its
     partitions matching the batch are read by the anti join.
     """
-    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    day = F.date_format(F.coalesce(F.to_date(X.parse_timestamp("message_date")), today), "yyyy-MM-dd")
-    rows = df.select(*[F.col(c) for c in df.columns], day.alias("dt"),
-                     X.safe_file_name("channel_name").alias("channel"))
+    rows = df.select(*[F.col(c) for c in df.columns], *lake_partition(as_of))
     if existing is not None:
-        ex = existing.select(
-            F.date_format(F.coalesce(F.to_date(X.parse_timestamp("message_date")), today), "yyyy-MM-dd").alias("dt"),
-            X.safe_file_name("channel_name").alias("channel"),
-            F.col("message_id").cast("string").alias("_id"))
+        ex = existing.select(*lake_partition(as_of), F.col("message_id").cast("string").alias("_id"))
         rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
                          & (rows.message_id.cast("string") == ex._id), "left_anti")
     # materialise first: the returned rows are exactly the ones written, even though the
@@ -109,15 +111,20 @@ def write_detections_csv(df: DataFrame, path: str) -> None:
 def shape_message_records(api: DataFrame, scraped_at: _dt.datetime | None = None) -> DataFrame:
     """API message rows → lake records.
 
-    api(id, channel_name, date, text, media_type, views, forwards, is_reply, reply_to_msg_id)
-    media_type is NULL without media; a photo gets ``data/raw/images/<channel>/<id>.jpg``.
+    api(id, channel_name, date, text, media_type, views, forwards, is_reply, reply_to_msg_id);
+    ``date`` is the message time (timestamp, or timestamp_ntz already in UTC). media_type is
+    NULL without media; a photo gets ``data/raw/images/<channel>/<id>.jpg``. Dates are
+    written as ISO text with '+00:00'; ``scraped_at`` (default now) without an offset.
     """
-    ts = F.current_timestamp() if scraped_at is None else F.lit(scraped_at)
+    date = F.col("date")
+    if dict(api.dtypes)["date"] == "timestamp":
+        date = F.convert_timezone(F.current_timezone(), F.lit("UTC"), date.cast("timestamp_ntz"))
+    ts = F.current_timestamp().cast("timestamp_ntz") if scraped_at is None else F.lit(scraped_at).cast("timestamp_ntz")
     is_photo = F.coalesce(F.col("media_type") == "photo", F.lit(False))
     return api.select(
         F.col("id").alias("message_id"),
         "channel_name",
-        F.date_format("date", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("message_date"),
+        X.iso_text(date, utc_suffix=True).alias("message_date"),
         F.coalesce("text", F.lit("")).alias("message_text"),
         F.col("media_type").isNotNull().alias("has_media"),
         F.when(is_photo, F.concat(F.lit("data/raw/images/"), F.col("channel_name"), F.lit("/"),
@@ -126,5 +133,5 @@ def shape_message_records(api: DataFrame, scraped_at: _dt.datetime | None = None
         F.coalesce("forwards", F.lit(0)).alias("forwards"),
         "is_reply",
         F.when(F.col("is_reply"), F.col("reply_to_msg_id")).alias("reply_to_msg_id"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("scraped_at"),
+        X.iso_text(ts).alias("scraped_at"),
     )

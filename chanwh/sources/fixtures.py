@@ -216,3 +216,15 @@ def lake_strings(r: DataFrame) -> DataFrame:
         F.col("reply_to_msg_id").cast("string").alias("reply_to_msg_id"),
         F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("scraped_at"),
     )
+
+
+def api_messages(r: DataFrame) -> DataFrame:
+    """Raw messages seen as API message objects (S12 input): a photo when the message has
+    media and an image path, another media type when it has media only."""
+    media = (F.when(F.col("has_media") & F.coalesce(F.col("image_path") != "", F.lit(False)), "photo")
+             .when(F.col("has_media"), "document"))
+    return r.select(
+        F.col("message_id").alias("id"), "channel_name", F.col("message_date").alias("date"),
+        F.col("message_text").alias("text"), media.alias("media_type"), "views", "forwards",
+        F.coalesce(F.col("is_reply"), F.lit(False)).alias("is_reply"), "reply_to_msg_id",
+    )

@@ -129,4 +129,5 @@ def test_shape_message_records(spark):
     out = L.shape_message_records(api, scraped_at=T(2024, 1, 2))
     got = rows(out, "message_id", "message_text", "has_media", "image_path", "views", "forwards", "reply_to_msg_id")
     assert got == [(10, "", True, "data/raw/images/CheMed/10.jpg", 0, 3, 9), (11, "hi", False, None, 5, 0, None)]
-    assert out.where(F.col("message_id") == 10).first().message_date == "2024-01-01T09:00:00Z"
+    assert out.where(F.col("message_id") == 10).first().message_date == "2024-01-01T09:00:00+00:00"
+    assert out.where(F.col("message_id") == 10).first().scraped_at == "2024-01-02T00:00:00"
