@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,12 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint root for written intermediate tables."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "chanwh", name)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
