@@ -556,6 +556,18 @@ def q_reconcile(spark, sf_dir):
     return C.reconcile(raw, M.stg_messages(raw))
 
 
+@register("reconcile_summary", O.with_ctes("""
+select count(*) filter (where lake_count > 0) as lake_channels, cast(coalesce(sum(lake_count), 0) as bigint) as lake_messages,
+  count(*) filter (where table_count > 0) as table_channels, cast(coalesce(sum(table_count), 0) as bigint) as table_messages
+from (select coalesce(a.lake_count, 0) as lake_count, coalesce(b.table_count, 0) as table_count
+  from (select channel_name, count(*) as lake_count from raw_messages group by channel_name) a
+  full outer join (select channel_name, count(*) as table_count from stg_messages group by channel_name) b
+  on a.channel_name = b.channel_name) r""", "stg_messages"))
+def q_reconcile_summary(spark, sf_dir):
+    raw = raw_layer(spark, sf_dir, "messages")
+    return C.reconcile_summary(C.reconcile(raw, M.stg_messages(raw)))
+
+
 @register("valid_usernames", O.with_ctes(r"""
 select channel_name, coalesce(regexp_full_match(regexp_replace(channel_name, '^@+', ''), '[\p{L}\p{N}_]{5,}'), false)
   as valid from (select distinct channel_name from raw_messages where channel_name is not null) n""", "raw_messages"))

@@ -90,6 +90,16 @@ def reconcile(lake: DataFrame, table: DataFrame) -> DataFrame:
                     F.coalesce("table_count", F.lit(0)).alias("table_count"), status.alias("status"))
 
 
+def reconcile_summary(rec: DataFrame) -> DataFrame:
+    """J11 totals from ``reconcile`` rows: channels and messages on each side."""
+    return rec.agg(
+        F.count(F.when(F.col("lake_count") > 0, 1)).alias("lake_channels"),
+        F.coalesce(F.sum("lake_count"), F.lit(0)).alias("lake_messages"),
+        F.count(F.when(F.col("table_count") > 0, 1)).alias("table_channels"),
+        F.coalesce(F.sum("table_count"), F.lit(0)).alias("table_messages"),
+    )
+
+
 def valid_usernames(names: DataFrame) -> DataFrame:
     """P13 over a channel-name table: (channel_name, valid)."""
     return names.select("channel_name", X.valid_username("channel_name").alias("valid"))
