@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanwh.functions import exprs as X
-from chanwh.session import sized_broadcast
+from chanwh.session import DIM_BROADCAST_MAX_ROWS, sized_broadcast
 
 DEFAULT_MAX_IMAGES = 1500
 
@@ -147,10 +147,15 @@ def apply_quota(messages: DataFrame, resolved: DataFrame, existing_images: DataF
         else F.col("max_messages").alias("msg_cap"),
         F.greatest(F.col("max_images") - F.coalesce("existing", F.lit(0)), F.lit(0)).alias("img_cap"),
     )
-    caps_b, _ = sized_broadcast(caps)                 # one row per channel, materialised
+    caps_b, n_caps = sized_broadcast(caps)            # one row per channel, materialised
     bounds = caps_b.agg(F.max("msg_cap").alias("m"), F.max("img_cap").alias("i")).first()
     max_msg, max_img = bounds["m"], bounds["i"]
 
+    def per_channel(df: DataFrame) -> DataFrame:
+        # a threshold table has at most one row per configured channel: its size is bounded
+        # by the counted caps table, so it is broadcast without a separate count
+        return F.broadcast(df) if n_caps <= DIM_BROADCAST_MAX_ROWS else df
+
     m = messages.join(caps_b, "channel_name", "left").withColumn(
         "has_photo", F.coalesce((F.col("image_path").isNotNull()) & (F.col("image_path") != ""), F.lit(False)))
     m = m.withColumn("config_channel", F.coalesce("config_channel", "channel_name")) \
@@ -158,14 +163,14 @@ def apply_quota(messages: DataFrame, resolved: DataFrame, existing_images: DataF
     key = F.struct(*ORDER)
 
     if max_msg is not None:
-        thr_m, _ = sized_broadcast(_kth_newest(m.where(F.col("msg_cap").isNotNull()), "config_channel",
-                                               "msg_cap", max(int(max_msg), 0)).withColumnRenamed("_kth", "_kth_m"))
+        thr_m = per_channel(_kth_newest(m.where(F.col("msg_cap").isNotNull()), "config_channel",
+                                        "msg_cap", max(int(max_msg), 0)).withColumnRenamed("_kth", "_kth_m"))
         m = m.join(thr_m, "config_channel", "left").where(
             F.col("msg_cap").isNull() | (F.col("_kth_m").isNotNull() & (key >= F.col("_kth_m")))).drop("_kth_m")
 
     photos = m.where(F.col("has_photo"))
-    thr_i, _ = sized_broadcast(_kth_newest(photos, "config_channel", "img_cap",
-                                           max(int(max_img or DEFAULT_MAX_IMAGES), 0)))
+    thr_i = per_channel(_kth_newest(photos, "config_channel", "img_cap",
+                                    max(int(max_img or DEFAULT_MAX_IMAGES), 0)))
     out = m.join(thr_i, "config_channel", "left")
     flag = F.col("has_photo") & F.col("_kth").isNotNull() & (key >= F.col("_kth"))
     return out.withColumn("image_downloaded", F.coalesce(flag, F.lit(False))).drop("_kth", "msg_cap", "img_cap")
