@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, app: str = "chanwh", shuffle_partitions
         # call-site capture for error messages costs Py4J round trips on every Column
         # function call while a plan is built; off for batch runs
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # reliable checkpoints are files: remove them once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
