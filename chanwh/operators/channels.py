@@ -68,7 +68,8 @@ def expected_presence(lake_names: DataFrame, table_names: DataFrame, expected: D
     chans = expected.select("expected_channel").distinct()
     a = _presence(lake_names, expected, "n_lake")
     b = _presence(table_names, expected, "n_table")
-    j = chans.join(a, "expected_channel", "left").join(b, "expected_channel", "left")
+    # a and b hold at most one row per expected channel (a configuration list): broadcast
+    j = chans.join(F.broadcast(a), "expected_channel", "left").join(F.broadcast(b), "expected_channel", "left")
     return j.select(
         "expected_channel",
         F.coalesce(F.col("n_lake") > 0, F.lit(False)).alias("found_in_lake"),

@@ -110,7 +110,7 @@ def channel_totals(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
         F.sum("view_count").alias("_tv"),
         F.sum("forward_count").alias("_tf"),
     )
-    j = info.join(s, "channel_name", "left")          # one row each side
+    j = info.join(F.broadcast(s), "channel_name", "left")    # ≤ 1 row each side
     n = F.coalesce(F.col("_n"), F.lit(0))
     return j.select(
         "channel_name", "channel_type",
