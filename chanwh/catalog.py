@@ -40,7 +40,7 @@ _RAW: dict[tuple, DataFrame] = {}
 _WH: dict[tuple, M.Warehouse] = {}
 
 _RAW_BUILDERS = {
-    "messages": FX.raw_messages,                 # raw.telegram_messages
+    "messages": FX.raw_messages,                 # raw.channel_messages
     "detections": FX.raw_image_detections,       # raw.image_detections
     "messages_dup": lambda spark, sf_dir: FX.raw_messages_dup(   # with re-scraped copies
         spark, sf_dir, raw_layer(spark, sf_dir, "messages")),
@@ -418,7 +418,7 @@ QUALITY_AS_OF = "2024-01-15 12:00:00"
 def q_quality_report(spark, sf_dir):
     w = warehouse(spark, sf_dir, detections=True)
     # each fact is read twice: one pass for row checks + relationships, one for uniqueness
-    tables = {"stg_telegram_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
+    tables = {"stg_channel_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
               "dim_channels": w.dim_channels, "dim_dates": w.dim_dates,
               "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
     return Q.run_checks(tables, as_of=QUALITY_AS_OF, sizes={"dim_channels": w.n_channels, "dim_dates": w.n_dates})
@@ -575,8 +575,8 @@ def q_valid_usernames(spark, sf_dir):
     return C.valid_usernames(C.distinct_names(raw_layer(spark, sf_dir, "messages")))
 
 
-_LAYERS = [("raw", "telegram_messages", "raw_messages"), ("raw", "image_detections", "raw_image_detections"),
-           ("staging", "stg_telegram_messages", "stg_messages"), ("staging", "stg_image_detections", "stg_detections"),
+_LAYERS = [("raw", "channel_messages", "raw_messages"), ("raw", "image_detections", "raw_image_detections"),
+           ("staging", "stg_channel_messages", "stg_messages"), ("staging", "stg_image_detections", "stg_detections"),
            ("marts", "dim_channels", "dim_channels"), ("marts", "dim_dates", "dim_dates"),
            ("marts", "fct_messages", "fct_messages"), ("marts", "fct_image_detections", "fct_image_detections")]
 

@@ -40,7 +40,7 @@ def _nn(table: str, *cols: str) -> list[Check]:
     return [Check("not_null", table, (c,)) for c in cols]
 
 
-STG_M, STG_D = "stg_telegram_messages", "stg_image_detections"
+STG_M, STG_D = "stg_channel_messages", "stg_image_detections"
 DC, DD, FM, FID = "dim_channels", "dim_dates", "fct_messages", "fct_image_detections"
 
 # The warehouse's schema tests (57): not_null 40, unique 4, accepted_values 3,

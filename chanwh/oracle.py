@@ -222,7 +222,7 @@ def terms_cte(min_length: int) -> str:
 # ---------------------------------------------------------------------------
 # Quality checks in SQL (same check list as ``operators.quality``)
 # ---------------------------------------------------------------------------
-CHECK_TABLE_CTE = {"stg_telegram_messages": "stg_messages", "stg_image_detections": "stg_detections"}
+CHECK_TABLE_CTE = {"stg_channel_messages": "stg_messages", "stg_image_detections": "stg_detections"}
 
 
 def _tbl(name: str) -> str:

@@ -178,7 +178,7 @@ def build_warehouse(spark: SparkSession, raw_messages: DataFrame, raw_detections
     statistics.
     """
     w = warehouse(raw_messages, raw_detections)
-    w.stg_messages.createOrReplaceTempView("stg_telegram_messages")
+    w.stg_messages.createOrReplaceTempView("stg_channel_messages")
     if w.stg_detections is not None:
         w.stg_detections.createOrReplaceTempView("stg_image_detections")
     counts: dict[str, int] = {}

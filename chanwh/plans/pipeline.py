@@ -39,7 +39,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     counts: dict = {}
-    raw_m_path = os.path.join(cfg.out, "raw", "telegram_messages")
+    raw_m_path = os.path.join(cfg.out, "raw", "channel_messages")
     raw_d_path = os.path.join(cfg.out, "raw", "image_detections")
 
     if not cfg.skip_ingest:
@@ -65,7 +65,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     raw_m = spark.read.parquet(raw_m_path)
     raw_d = _read_or_empty(spark, raw_d_path, S.RAW_DETECTIONS)
     counts.update(build_warehouse(spark, raw_m, raw_d, cfg.out))
-    tables = {n: spark.table(n) for n in ("stg_telegram_messages", "stg_image_detections", "dim_channels",
+    tables = {n: spark.table(n) for n in ("stg_channel_messages", "stg_image_detections", "dim_channels",
                                           "dim_dates", "fct_messages", "fct_image_detections")}
     checks = run_checks(tables, as_of=cfg.as_of,
                         sizes={"dim_channels": counts["dim_channels"], "dim_dates": counts["dim_dates"]})

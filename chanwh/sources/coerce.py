@@ -18,7 +18,7 @@ def _get(df: DataFrame, name: str):
 
 
 def coerce_messages(df: DataFrame) -> DataFrame:
-    """S3: any-typed message records → ``raw.telegram_messages`` columns (+ loaded_at now).
+    """S3: any-typed message records → ``raw.channel_messages`` columns (+ loaded_at now).
 
     Extra columns such as ``_file`` / ``_pos`` (the lake position) are kept at the end.
     """

@@ -43,7 +43,7 @@ def fixture_channel(source: Column) -> Column:
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.telegram_messages`` rows: one per document, dated by its event."""
+    """``raw.channel_messages`` rows: one per document, dated by its event."""
     d = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "source")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     j = d.join(e, e.event_id == d.doc_id * 5)

@@ -92,7 +92,7 @@ def test_rollup_boxes(spark):
 def test_quality_checks_on_fixture(spark):
     raw = FX.raw_messages(spark, SF001)
     w = M.warehouse(raw, FX.raw_image_detections(spark, SF001))
-    tables = {"stg_telegram_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
+    tables = {"stg_channel_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
               "dim_channels": w.dim_channels, "dim_dates": w.dim_dates, "fct_messages": w.fct_messages,
               "fct_image_detections": w.fct_image_detections}
     res = {r.check_id: r for r in Q.run_checks(tables, as_of="2030-01-01").collect()}
