@@ -108,3 +108,14 @@ def test_channel_filter_reaches_fact_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(channel_key), EqualTo(channel_key," in plan
     assert "dynamicpruningexpression(date_key" in plan          # date partitions pruned at run time
     assert daily.count() > 0
+
+
+def test_incremental_ingest_one_file_per_batch(spark, tmp_path):
+    """Several micro-batches in one run: each batch sees what the previous ones appended."""
+    lake, tgt = str(tmp_path / "lake"), str(tmp_path / "t")
+    drop(lake, "2024-01-01", "A", [rec(i, "A") for i in range(1, 4)])
+    drop(lake, "2024-01-02", "A", [rec(i, "A") for i in range(2, 6)])       # repeats 2, 3
+    drop(lake, "2024-01-03", "B", [rec(i, "B") for i in range(1, 3)] + [rec(1, "B")])   # repeat in-file
+    ingest_increment(spark, lake, tgt, checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
+    got = table_rows(spark, tgt)
+    assert [(g[0], g[1]) for g in got] == [(1, "A"), (1, "B"), (2, "A"), (2, "B"), (3, "A"), (4, "A"), (5, "A")]
