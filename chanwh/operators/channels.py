@@ -106,6 +106,18 @@ def valid_usernames(names: DataFrame) -> DataFrame:
     return names.select("channel_name", X.valid_username("channel_name").alias("valid"))
 
 
+def existing_by_config(per_folder: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Stored images per configured channel (W1 input) from per-folder counts.
+
+    per_folder(channel_name, existing) — ``sources.lake.images_per_channel`` of the image lake;
+    folders are display names, resolved to their configured channel (J12) and summed.
+    """
+    r = resolved.select("channel_name", "config_channel")
+    j = per_folder.join(r, "channel_name", "left")
+    return (j.groupBy(F.coalesce("config_channel", "channel_name").alias("config_channel"))
+             .agg(F.sum("existing").cast("int").alias("existing")))
+
+
 # ---------------------------------------------------------------------------
 # W1 quota
 # ---------------------------------------------------------------------------

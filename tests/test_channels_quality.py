@@ -110,3 +110,20 @@ def test_quality_checks_on_fixture(spark):
     row_ids = Q.failing_rows(tables, Q.Check("relationships", "fct_messages", ("date_key",),
                                              to=("dim_dates", "date_key")))
     assert [r.date_key for r in row_ids.collect()] == [19000101]
+
+
+def test_existing_images_feed_the_quota(spark, tmp_path):
+    from chanwh.sources import lake as LK
+    root = tmp_path / "data" / "raw" / "images"
+    for rel in ["CheMed/1.jpg", "CheMed/2.jpg", "Other/7.png"]:
+        p = root / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(b"x")
+    m = spark.createDataFrame(_msgs(spark, "CheMed", 5), "message_id long, channel_name string, "
+                              "message_date timestamp_ntz, image_path string")
+    resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, {"CheMed123": (None, 3)}))
+    folders = LK.images_per_channel(LK.scan_images(spark, str(root)))
+    existing = C.existing_by_config(folders, resolved)
+    assert rows(existing) == [("CheMed123", 2), ("Other", 1)]
+    q = C.apply_quota(m, resolved, existing)
+    assert [r.message_id for r in q.where(F.col("image_downloaded")).collect()] == [5]   # cap 3 − 2 stored
