@@ -18,7 +18,7 @@ from chanwh.operators.load import insert_or_skip, write_detections_csv
 from chanwh.operators.quality import run_checks
 from chanwh.plans.models import build_warehouse
 from chanwh.sources.coerce import coerce_detections, coerce_messages
-from chanwh.sources.lake import scan_detections_csv, scan_message_lake
+from chanwh.sources.lake import parse_image_path, scan_detections_csv, scan_images, scan_message_lake
 
 
 @dataclass
@@ -27,6 +27,7 @@ class PipelineConfig:
     out: str                       # warehouse root: raw/, marts/, detections_csv/
     boxes: DataFrame | None = None  # box-level detections (the inference output contract)
     images: DataFrame | None = None  # known images (channel_name, message_id[, image_path])
+    image_lake: str | None = None   # image lake root; scanned (S9/S10) when ``images`` is not given
     skip_ingest: bool = False
     as_of: str | None = None
 
@@ -49,8 +50,12 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
         new.write.mode("append").parquet(raw_m_path)
         counts["messages_loaded"] = spark.read.parquet(raw_m_path).count()
 
+    images = cfg.images
+    if images is None and cfg.image_lake:
+        images = parse_image_path(scan_images(spark, cfg.image_lake)).select(
+            "channel_name", "message_id", F.col("path").alias("image_path"))
     if cfg.boxes is not None:
-        rolled = rollup_boxes(cfg.boxes, cfg.images).withColumn(
+        rolled = rollup_boxes(cfg.boxes, images).withColumn(
             "processed_at", F.current_timestamp().cast("timestamp_ntz"))
         csv_path = os.path.join(cfg.out, "detections_csv")
         if "image_path" not in rolled.columns:

@@ -119,3 +119,21 @@ def test_incremental_ingest_one_file_per_batch(spark, tmp_path):
     ingest_increment(spark, lake, tgt, checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
     got = table_rows(spark, tgt)
     assert [(g[0], g[1]) for g in got] == [(1, "A"), (1, "B"), (2, "A"), (2, "B"), (3, "A"), (4, "A"), (5, "A")]
+
+
+def test_pipeline_with_image_lake(spark, tmp_path):
+    """Images without boxes still get a detection row (category 'other'), as an empty detection."""
+    lake = str(tmp_path / "lake")
+    drop(lake, "2024-01-01", "CheMed", [rec(i) for i in range(1, 4)])
+    img = tmp_path / "data" / "raw" / "images" / "CheMed"
+    img.mkdir(parents=True)
+    for i in (1, 2):
+        (img / f"{i}.jpg").write_bytes(b"x")
+    boxes = spark.createDataFrame([("CheMed", 2, "bottle", 0.8)],
+                                  "channel_name string, message_id long, class_name string, confidence double")
+    out = str(tmp_path / "wh")
+    counts = run_pipeline(spark, PipelineConfig(lake=lake, out=out, boxes=boxes, as_of="2030-01-01",
+                                                image_lake=str(tmp_path / "data" / "raw" / "images")))
+    assert counts["detections_loaded"] == 2 and counts["checks_failed"] == {}
+    cats = {r.message_id: r.image_category for r in spark.read.parquet(os.path.join(out, "raw", "image_detections")).collect()}
+    assert cats == {1: "other", 2: "product_display"}
