@@ -51,7 +51,7 @@ _RAW_BUILDERS = {
 def raw_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw layer derived from the test tables, materialised once per session with a
     reliable checkpoint — the analogue of the loaded raw tables every model reads."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
     if key not in _RAW:
         _RAW[key] = materialize(_RAW_BUILDERS[name](spark, sf_dir))
     return _RAW[key]
@@ -61,7 +61,7 @@ def warehouse(spark: SparkSession, sf_dir: str, detections: bool = False, dup: b
     """The star schema over the raw layer: dimensions and facts materialised once per session
     (the marts the reports read). ``detections`` adds the image-detection side over the same
     dimensions; ``dup`` builds it over the raw table with re-scraped copies."""
-    key = (spark.sparkContext.applicationId, sf_dir, dup)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, dup)
     if key not in _WH:
         w = M.warehouse(raw_layer(spark, sf_dir, "messages_dup" if dup else "messages"))
         w.fct_messages = materialize(w.fct_messages)
