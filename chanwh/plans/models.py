@@ -196,3 +196,20 @@ def build_warehouse(spark: SparkSession, raw_messages: DataFrame, raw_detections
         back.createOrReplaceTempView(name)
         counts[name] = back.count()
     return counts
+
+
+def open_warehouse(spark: SparkSession, out: str) -> Warehouse:
+    """The marts written by ``build_warehouse`` at ``out``, ready for the reports.
+
+    Dimensions are counted (a cheap Parquet count, no extra materialisation) and broadcast
+    only within the bound; facts are plain Parquet scans, so report filters are pushed into
+    them (channel_key row-group skipping, date_key dynamic partition pruning).
+    """
+    def mart(name: str) -> DataFrame:
+        return spark.read.parquet(os.path.join(out, "marts", name))
+
+    dc, n_c = sized_broadcast(mart("dim_channels"), materialise=False)
+    dd, n_d = sized_broadcast(mart("dim_dates"), materialise=False)
+    fid_path = os.path.join(out, "marts", "fct_image_detections")
+    fid = mart("fct_image_detections") if os.path.exists(fid_path) else None
+    return Warehouse(None, None, dc, dd, mart("fct_messages"), fid, n_c, n_d)

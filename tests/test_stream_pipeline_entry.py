@@ -91,14 +91,13 @@ def test_oracle_sf0001(spark, name):
 def test_channel_filter_reaches_fact_scan(spark, tmp_path):
     """On a built warehouse the per-channel reports push channel_key into the Parquet scan."""
     from chanwh.plans import reports as R
-    from chanwh.plans.models import build_warehouse
+    from chanwh.plans.models import build_warehouse, open_warehouse
     from chanwh.sources import fixtures as FX
     out = str(tmp_path / "wh")
     build_warehouse(spark, FX.raw_messages(spark, SF001), None, out)
-    fct = spark.read.parquet(os.path.join(out, "marts", "fct_messages"))
-    dc = spark.read.parquet(os.path.join(out, "marts", "dim_channels"))
-    dd = spark.read.parquet(os.path.join(out, "marts", "dim_dates"))
-    daily = R.channel_daily(fct, dc, dd, "CheMed", 30, "2024-01-31")
+    w = open_warehouse(spark, out)
+    assert w.fct_image_detections is None and w.n_channels == 8
+    daily = R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, "CheMed", 30, "2024-01-31")
     import contextlib
     import io
     buf = io.StringIO()
