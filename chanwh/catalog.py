@@ -666,3 +666,20 @@ def q_lake_layout(spark, sf_dir):
     recs = FX.lake_strings(raw_layer(spark, sf_dir, "messages"))
     return recs.select(*L.lake_partition(as_of="2024-02-01")).groupBy("dt", "channel").agg(
         F.count(F.lit(1)).alias("message_count"))
+
+
+@register("lake_channel_counts", O.with_ctes("""
+select channel_name, count(*) as message_count from raw_messages where channel_name is not null
+group by channel_name""", "raw_messages"))
+def q_lake_channel_counts(spark, sf_dir):
+    """A18 over the raw table rendered as lake records (what S1 yields for it)."""
+    return P.lake_channel_counts(FX.lake_strings(raw_layer(spark, sf_dir, "messages")))
+
+
+@register("images_per_channel", O.with_ctes(f"""
+select regexp_extract(image_path, '{_IMG_RE}', 1) as channel_name, count(*) as existing
+from raw_messages where regexp_extract(image_path, '{_IMG_RE}', 1) <> ''
+group by regexp_extract(image_path, '{_IMG_RE}', 1)""", "raw_messages"))
+def q_images_per_channel(spark, sf_dir):
+    """S9's per-folder image count over every image path of the raw table."""
+    return LK.images_per_channel(raw_layer(spark, sf_dir, "messages").select(F.col("image_path").alias("path")))
