@@ -83,33 +83,46 @@ CUSTOM_CHECKS: list[Check] = [
 ALL_CHECKS = SCHEMA_CHECKS + CUSTOM_CHECKS
 
 
-def _as_of_ts(as_of) -> F.Column:
-    return F.current_timestamp().cast("timestamp_ntz") if as_of is None else F.lit(str(as_of)).cast("timestamp_ntz")
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
 
 
-def row_predicate(c: Check, as_of=None) -> F.Column:
-    """The failing-row predicate of a row-level check."""
-    col = F.col(c.columns[0])
+def _ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _as_of_sql(as_of) -> str:
+    return "CAST(current_timestamp() AS TIMESTAMP_NTZ)" if as_of is None else f"CAST({_lit(as_of)} AS TIMESTAMP_NTZ)"
+
+
+def row_predicate_sql(c: Check, as_of=None) -> str:
+    """The failing-row predicate of a row-level check, as a SQL expression (NULL → not failing)."""
+    col = _ident(c.columns[0])
     if c.kind == "not_null":
-        return col.isNull()
+        return f"{col} IS NULL"
     if c.kind == "accepted_range":
-        ok = F.lit(True)
+        conds = ["true"]
         if c.lo is not None:
-            ok = ok & (col >= F.lit(c.lo))
+            conds.append(f"{col} >= {c.lo}")
         if c.hi is not None:
-            ok = ok & (col <= F.lit(c.hi))
-        return ~ok                                  # NULL → not failing
+            conds.append(f"{col} <= {c.hi}")
+        return f"NOT ({' AND '.join(conds)})"
     if c.name == "assert_no_future_messages":
-        ts = _as_of_ts(as_of)
-        return (F.col("message_date") > ts) | (F.col("message_date_only") > F.to_date(ts))
+        ts = _as_of_sql(as_of)
+        return f"(`message_date` > {ts}) OR (`message_date_only` > to_date({ts}))"
     if c.name == "assert_positive_views":
-        return F.col("view_count") < 0
+        return "`view_count` < 0"
     if c.name == "assert_valid_date_range":
-        d = F.col("message_date_only")
-        return (d < F.lit(VALID_DATE_LO).cast("date")) | (d > F.lit(VALID_DATE_HI).cast("date"))
+        d = "`message_date_only`"
+        return f"({d} < DATE {_lit(VALID_DATE_LO)}) OR ({d} > DATE {_lit(VALID_DATE_HI)})"
     raise ValueError(c.kind)
 
 
+def row_predicate(c: Check, as_of=None) -> F.Column:
+    """The failing-row predicate of a row-level check."""
+    return F.expr(row_predicate_sql(c, as_of))
+
+
 def failing_rows(tables: dict[str, DataFrame], c: Check, as_of=None) -> DataFrame:
     """The rows (or groups / values) a check reports."""
     df = tables[c.table]
@@ -129,9 +142,13 @@ def failing_rows(tables: dict[str, DataFrame], c: Check, as_of=None) -> DataFram
     raise ValueError(c.kind)
 
 
-def _result(c: Check, failures: F.Column) -> F.Column:
-    return F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
-                    F.lit(",".join(c.columns)).alias("column_name"), failures.cast("bigint").alias("failures"))
+def _result_sql(c: Check, failures: str) -> str:
+    return (f"named_struct('check_id', {_lit(c.check_id)}, 'table_name', {_lit(c.table)}, "
+            f"'column_name', {_lit(','.join(c.columns))}, 'failures', CAST({failures} AS BIGINT))")
+
+
+def _rows(df: DataFrame, structs: list[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None,
@@ -145,7 +162,8 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
     the size-checked broadcast bound — is evaluated in ONE scan: the child is left-joined to
     each broadcast parent key set (distinct, so no fan-out) and all failures are counted in
     a single aggregate. Uniqueness checks are one grouped count each; a relationship to a
-    parent too large to broadcast is an anti join.
+    parent too large to broadcast is an anti join. Aggregates and result rows are built as
+    SQL expressions (one call per table), so a long check list costs little on the driver.
     """
     checks = ALL_CHECKS if checks is None else checks
     parts: list[DataFrame] = []
@@ -177,24 +195,23 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
         df = tables[table]
         aggs = []
         for i, c in enumerate(cs):
+            col = _ident(c.columns[0])
             if c.kind == "relationships":
                 rk = f"_rk{i}"
-                keys = parent_keys[c].select(F.col(c.to[1]).alias(rk))
+                keys = parent_keys[c].selectExpr(f"{_ident(c.to[1])} AS {rk}")
                 df = df.join(keys, df[c.columns[0]] == keys[rk], "left")
-                orphan = F.col(c.columns[0]).isNotNull() & F.col(rk).isNull()
-                aggs.append(F.sum(F.when(orphan, 1).otherwise(0)).alias(f"_c{i}"))
+                aggs.append(f"sum(CASE WHEN {col} IS NOT NULL AND {rk} IS NULL THEN 1 ELSE 0 END) AS _c{i}")
             elif c.kind == "accepted_values":
-                v = F.col(c.columns[0])
-                aggs.append(F.count_distinct(F.when(~v.isin(*c.values), v)).alias(f"_c{i}"))
+                vals = ", ".join(_lit(v) for v in c.values)
+                aggs.append(f"count(DISTINCT CASE WHEN NOT ({col} IN ({vals})) THEN {col} END) AS _c{i}")
             else:
-                aggs.append(F.sum(F.when(row_predicate(c, as_of), 1).otherwise(0)).alias(f"_c{i}"))
-        one = df.agg(*aggs)
-        parts.append(one.select(F.inline(F.array(*[_result(c, F.coalesce(F.col(f"_c{i}"), F.lit(0)))
-                                                   for i, c in enumerate(cs)]))))
+                aggs.append(f"sum(CASE WHEN {row_predicate_sql(c, as_of)} THEN 1 ELSE 0 END) AS _c{i}")
+        one = df.selectExpr(*aggs)
+        parts.append(_rows(one, [_result_sql(c, f"coalesce(_c{i}, 0)") for i, c in enumerate(cs)]))
     for c in separate:
-        n = failing_rows(tables, c, as_of).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(n.select(F.inline(F.array(_result(c, F.col("_n"))))))
+        n = failing_rows(tables, c, as_of).selectExpr("count(*) AS _n")
+        parts.append(_rows(n, [_result_sql(c, "_n")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failures") == 0)
+    return out.selectExpr("*", "failures = 0 AS passed")
