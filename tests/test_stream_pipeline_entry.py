@@ -136,3 +136,23 @@ def test_pipeline_with_image_lake(spark, tmp_path):
     assert counts["detections_loaded"] == 2 and counts["checks_failed"] == {}
     cats = {r.message_id: r.image_category for r in spark.read.parquet(os.path.join(out, "raw", "image_detections")).collect()}
     assert cats == {1: "other", 2: "product_display"}
+
+
+def test_envelopes_match_their_rows(spark):
+    """Nested responses (rows-only for the driver) carry exactly the oracle-checked flat rows."""
+    import __spark_entry__ as E
+    from chanwh import catalog
+    q, sf = E.queries(), SF001
+    top = [tuple(r) for r in q["top_terms"](spark, sf).collect()]
+    env = q["top_terms_envelope"](spark, sf).first()
+    assert [(p.term, p.frequency, p.percentage) for p in env.products] == top
+    assert env.limit == catalog.TOP_LIMIT
+    assert env.total_terms == q["top_terms_total"](spark, sf).first().total_terms
+    vis = [tuple(r) for r in q["visual_by_channel"](spark, sf).collect()]
+    venv = q["visual_envelope"](spark, sf).first()
+    assert [tuple(c) for c in venv.channels] == vis
+    assert venv.total_images == q["visual_overall"](spark, sf).first().total_images
+    daily = [tuple(r) for r in q["channel_daily"](spark, sf).collect()]
+    aenv = q["channel_activity_envelope"](spark, sf).first()
+    assert [tuple(d) for d in aenv.daily_activity] == daily
+    assert aenv.total_messages == q["channel_totals"](spark, sf).first().total_messages
