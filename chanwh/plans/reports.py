@@ -144,6 +144,8 @@ def channel_daily(fct: DataFrame, dc: DataFrame, dd: DataFrame, channel: str, da
 
 
 def channel_activity_envelope(fct, dc, dd, channel: str, days: int = 30, as_of=None) -> DataFrame:
+    """N2 response: the header row with ``daily_activity`` (newest first) as an array of structs;
+    the array holds one entry per day of the look-back, so it is bounded by the date dimension."""
     head = channel_totals(fct, dc, channel)
     daily = channel_daily(fct, dc, dd, channel, days, as_of)
     arr = daily.agg(F.sort_array(F.collect_list(F.struct(
