@@ -13,6 +13,14 @@ from chanwh.functions import exprs as X
 from chanwh.session import materialize
 
 
+DAY_PARTITION = "dt"
+
+
+def with_day_partition(df: DataFrame, date_col: str = "message_date") -> DataFrame:
+    """Add the day partition column of a raw table (written with ``partitionBy('dt')``)."""
+    return df.withColumn(DAY_PARTITION, F.to_date(date_col))
+
+
 def _any_null(keys: list[str]):
     cond = None
     for k in keys:
@@ -45,11 +53,12 @@ def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order:
 
     Only rows with complete keys go through the anti join, and the target is narrowed to
     their range of the first date-typed key column, so only target rows that can match
-    are shuffled.
+    are shuffled. A target partitioned by that key's day (a ``dt`` column, see
+    ``with_day_partition``) is also narrowed by ``dt``, so the scan prunes partitions.
     """
     complete = batch.where(~_any_null(keys))
     d = _first_per_key(complete, keys, order)
-    t = target.select(*keys)
+    t = target
     types = dict(target.dtypes)
     date_keys = [k for k in keys if types[k].startswith("timestamp") or types[k] == "date"]
     if date_keys:
@@ -57,7 +66,9 @@ def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order:
         lo = complete.agg(F.min(k)).scalar()
         hi = complete.agg(F.max(k)).scalar()
         t = t.where((F.col(k) >= lo) & (F.col(k) <= hi))
-    new = d.join(t, keys, "left_anti")
+        if DAY_PARTITION in target.columns:
+            t = t.where(F.col(DAY_PARTITION).between(F.to_date(lo), F.to_date(hi)))
+    new = d.join(t.select(*keys), keys, "left_anti")
     if not reject_null_keys:
         new = new.unionByName(batch.where(_any_null(keys)))
     return new.drop(*[c for c in order if c not in target.columns])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chanwh import schemas as S
 from chanwh.operators.enrich import rollup_boxes
-from chanwh.operators.load import insert_or_skip, write_detections_csv
+from chanwh.operators.load import DAY_PARTITION, insert_or_skip, with_day_partition, write_detections_csv
 from chanwh.operators.quality import run_checks
 from chanwh.plans.models import build_warehouse
 from chanwh.sources.coerce import coerce_detections, coerce_messages
@@ -47,7 +47,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
         records = coerce_messages(scan_message_lake(spark, cfg.lake))
         new = insert_or_skip(_read_or_empty(spark, raw_m_path, S.RAW_MESSAGES), records,
                              S.RAW_MESSAGES_KEY, ["_file", "_pos"]).select(*[f.name for f in S.RAW_MESSAGES.fields])
-        new.write.mode("append").parquet(raw_m_path)
+        with_day_partition(new).write.mode("append").partitionBy(DAY_PARTITION).parquet(raw_m_path)
         counts["messages_loaded"] = spark.read.parquet(raw_m_path).count()
 
     images = cfg.images

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanwh import schemas as S
-from chanwh.operators.load import insert_or_skip
+from chanwh.operators.load import DAY_PARTITION, insert_or_skip, with_day_partition
 from chanwh.session import ensure_checkpoint_dir
 from chanwh.sources.coerce import coerce_messages
 from chanwh.sources.lake import parse_lake_text
@@ -29,13 +29,13 @@ def _target(spark: SparkSession, target: str) -> DataFrame:
     return spark.createDataFrame([], S.RAW_MESSAGES)
 
 
-def load_batch(spark: SparkSession, files: DataFrame, target: str) -> int:
+def load_batch(spark: SparkSession, files: DataFrame, target: str) -> None:
     """Parse one batch of lake files and append its new rows to the target table."""
     records = coerce_messages(parse_lake_text(files))
     new = insert_or_skip(_target(spark, target), records, S.RAW_MESSAGES_KEY, ["_file", "_pos"])
-    new = new.select(*RAW_COLUMNS)
-    new.write.mode("append").parquet(target)
-    return 0
+    # partitioned by message day: the next batch's anti join reads only the days it touches
+    with_day_partition(new.select(*RAW_COLUMNS)).write.mode("append").partitionBy(DAY_PARTITION).parquet(target)
+
 
 
 def ingest_increment(spark: SparkSession, source: str, target: str, checkpoint: str | None = None,

@@ -60,3 +60,16 @@ def test_fact_joins_broadcast_sized_dimensions(spark):
     assert w.n_channels == 3 and w.n_dates == 4
     p = plan(w.fct_messages)
     assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+
+
+def test_insert_target_is_partition_pruned(spark, tmp_path):
+    """A day-partitioned target is read only for the batch's days (partition filter on dt)."""
+    keys = ["message_id", "channel_name", "message_date"]
+    target_path = str(tmp_path / "raw")
+    old = msgs(spark).select(*keys)
+    L.with_day_partition(old).write.partitionBy(L.DAY_PARTITION).parquet(target_path)
+    target = spark.read.parquet(target_path)
+    batch = msgs(spark, 5).select(*keys).withColumn("seq", F.lit(0))
+    p = plan(L.insert_or_skip(target, batch, keys, ["seq"]))
+    part_filters = p.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert ">= cast(Subquery" in part_filters and "dt#" in part_filters    # batch's first day, at run time
