@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanwh.llm import exact_dedup, packing, sharding, token_counts, url_filter
+from chanwh.llm import decontaminate, exact_dedup, html_extract, packing, sharding, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_digest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
@@ -45,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_digest_dedup, op3_url_filter, op6_token_counts, op9_uniform_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op6_token_counts, op8_decontaminate, op9_uniform_shards, op10_packing)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
