@@ -43,6 +43,12 @@ def with_shingles(df: DataFrame, text: str) -> DataFrame:
     return hashed.withColumn("sh", F.when(F.size("w") >= WORDS, grams).otherwise(F.array().cast("array<bigint>"))).drop("w")
 
 
+def exploded(df: DataFrame, array: str) -> DataFrame:
+    """(id, at, h): the outer form, because for the inner one Spark tests the array's size in a filter of
+    its own below, which would compute the shingles many times over."""
+    return df.select("id", F.posexplode_outer(array).alias("at", "h")).where(F.col("h").isNotNull())
+
+
 def fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
     """SimHash of the shingles ``h`` of each group: a bit is set if more than half of them have it.
     Each of 32 sums counts two bits, in the halves of a long."""
@@ -90,14 +96,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     Null texts are empty; a text or item under five words has no shingle and matches nothing. Rows
     with the same id count as one document; equal items are found each. Empty tables: no rows.
     """
-    items = with_shingles(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text").where(F.size("sh") > 0)
-    items = written(items.withColumn("size", F.size("sh")), "items")
+    items = with_shingles(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text")
+    items = written(items.withColumn("size", F.size("sh")), "items").where(F.col("size") > 0)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     # windows: one for each shared shingle, most of them the same
     seeds = items.select("size", F.posexplode("sh").alias("place", "h")).groupBy("h", "size", "place").count().drop("count")
     seeds = small(written(seeds, "seeds"))
-    placed = with_shingles(texts, "text").select("id", F.posexplode("sh").alias("at", "h")).join(seeds, "h")
+    placed = exploded(with_shingles(texts, "text"), "sh").join(seeds, "h")
     windows = written(placed.select("id", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start"), "size").distinct(), "windows")
 
     # their shingles, from the texts that have one
@@ -105,7 +111,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     wanted = small(written(wanted, "wanted"))
     found = with_shingles(texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select(texts["id"].alias("id"), "text", "windows"), "text")
     inside = (found.select("id", "sh", F.explode("windows").alias("w"))
-              .select("id", "w.start", "w.size", F.explode(F.slice("sh", F.col("w.start") + 1, F.col("w.size"))).alias("h")))
+              .select("id", "w.start", "w.size", F.explode_outer(F.slice("sh", F.col("w.start") + 1, F.col("w.size"))).alias("h")).where(F.col("h").isNotNull()))
     inside = written(inside, "window-shingles")
     prints = fingerprint(inside, ["id", "start", "size"])
 
