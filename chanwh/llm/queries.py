@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanwh.llm import decontaminate, exact_dedup, html_extract, ngram_join, packing, sharding, token_counts, toxicity, url_filter
+from chanwh.llm import decontaminate, exact_dedup, html_extract, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_texts(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate_strings(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -61,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
