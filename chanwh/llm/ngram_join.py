@@ -241,7 +241,8 @@ def in_bins(df: DataFrame, key: list[str], rows_of_a_bin: int) -> DataFrame:
 
 def similar_texts(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``class_id`` (the smallest id of its class), ``n_links`` (other
-    rows of at least this similarity, copies included), ``class_size``, ``kept`` (one row of each class).
+    rows of at least this similarity, copies included), ``class_size``, ``kept`` (one row of each
+    class), ``text_sha256``.
 
     Null texts are empty texts; texts without words are similar to their own copies only. A text of
     fewer than five words is one shingle. Null ids are never the smallest of a class that has
@@ -293,4 +294,5 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_i
     totals = written(totals.select("class", F.col("first.id").alias("class_id"), F.col("first.row").alias("class_row"), "class_size"), "classes")
     known = written(known.select("digest", "class", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")).join(totals.hint("merge"), "class"), "classed")
     rows = signed.select("id", "row", "digest").join(known.hint("merge"), "digest")
-    return rows.select(F.col("id").alias(id_col), "class_id", "n_links", "class_size", (F.col("row") == F.col("class_row")).alias("kept"))
+    return rows.select(F.col("id").alias(id_col), "class_id", "n_links", "class_size", (F.col("row") == F.col("class_row")).alias("kept"),
+                       F.col("digest").alias("text_sha256"))

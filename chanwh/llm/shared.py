@@ -47,3 +47,26 @@ def ascii_lower(c: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+#: Rows of a narrow side (ids and hashes, under 100 bytes each) that may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, broadcast if it has at most ``most`` rows; else Spark chooses the join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def keep_rows(docs: DataFrame, decisions: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` keep, with all their columns. A decision (id, key, kept) stands
+    for one row; ``key`` is what an operator can tell about a row besides its id. Of rows that are
+    the same to the operator and of which it keeps some but not all, one stays."""
+    per = decisions.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")).where("k < n")
+    per = written(per.select(F.col("id").alias("__llm_id"), F.col("key").alias("__llm_key"), F.col("k").alias("__llm_kept")), "decisions")
+    marked = docs.withColumn("__llm_own", key)
+    marked = marked.join(small(per), marked[id_col].eqNullSafe(per["__llm_id"]) & (marked["__llm_own"] == per["__llm_key"]), "left")
+    stay = marked.where(F.col("__llm_kept").isNull())
+    if not per.where("__llm_kept > 0").isEmpty():
+        stay = stay.unionByName(marked.where(F.col("__llm_kept") > 0).dropDuplicates([id_col, "__llm_own"]))
+    return stay.select(*(stay[f"`{c}`"] for c in docs.columns))

@@ -93,7 +93,8 @@ def select_features(counted: DataFrame, toxic: int, clean: int, most: int) -> li
 
 
 def vectors(docs: DataFrame, features: list[str]) -> DataFrame:
-    """Adds ``terms`` and ``counts``: the selected features of each text, in place of the text."""
+    """``terms`` and ``counts``, the selected features of each text and how often it has them, in place
+    of the text."""
     spark = docs.sparkSession
     numbers = spark.sparkContext.broadcast({f: k for k, f in enumerate(features)})  # FEATURES entries at most
 
@@ -111,7 +112,7 @@ def vectors(docs: DataFrame, features: list[str]) -> DataFrame:
                 counts.append([found[t] for t in order])
             yield pd.DataFrame({"terms": terms, "counts": counts})
 
-    return docs.withColumn("v", read("text")).select("id", "v.terms", "v.counts")
+    return docs.withColumn("v", read("text")).select(*(c for c in docs.columns if c != "text"), "v.terms", "v.counts")
 
 
 class BlockMaxIndex:
@@ -232,7 +233,8 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, features: int = FEATURES, k: int = NEIGHBOURS,
                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row per row of ``docs``: id, ``held_out``, ``score``, ``predicted``, ``neighbours`` and
-    ``similarities`` (the evidence: ids of the nearest labelled examples and their cosine).
+    ``similarities`` (the evidence: ids of the nearest labelled examples and their cosine), and
+    ``text_hash`` (xxhash64 of the text: tells rows with the same id apart).
 
     Only the text enters a score. Null texts are empty; a text without features (an empty one too)
     gets the score of such examples. A label row with a null id or label is ignored; of several
@@ -242,7 +244,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
              .where(~held_out("id")).groupBy("id").agg(F.max("label").alias("label")))
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     take = lambda label: known.where(F.col("label") == label).orderBy(F.xxhash64(F.lit("example"), "id"), "id").limit(examples)
     sample = written(take(1).unionByName(take(0)), "sample")  # 2 x examples ids
@@ -255,7 +258,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     n = counted.count()
     seen = {r["t"]: r["count"] for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}  # FEATURES rows at most
     idf = np.array([np.log((n + 1) / (seen.get(t, 0) + 1)) + 1 for t in range(len(names))])
-    fitted = [(r["id"], r["label"], r["terms"], r["counts"]) for r in vectors_of(chosen, names).collect()]
+    fitted = [(r["id"], r["label"], r["terms"], r["counts"]) for r in vectors(chosen.select("id", "label", "text"), names).collect()]
     judge = Judge(BlockMaxIndex(fitted, idf), (sizes.get(0, 0) / clean if clean else 0.0, sizes.get(1, 0) / toxic if toxic else 0.0), k)
     judge.calibrate(fitted)
     # bounded by examples, features and the examples' features; bytes, so that classes travel along
@@ -270,10 +273,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
 
     out = counted.withColumn("j", judged("id", "terms", "counts"))
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "j.score", (F.col("j.score") >= 0.5).cast("int").alias("predicted"),
-                      "j.neighbours", "j.similarities")
+                      "j.neighbours", "j.similarities", "text_hash")
 
-
-def vectors_of(chosen: DataFrame, names: list[str]) -> DataFrame:
-    """The examples' vectors with their labels."""
-    numbered = chosen.withColumn("key", F.struct("id", "label"))
-    return vectors(numbered.select(F.col("key").alias("id"), "text"), names).select("id.id", "id.label", "terms", "counts")
