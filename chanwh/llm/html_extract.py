@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chanwh.llm.shared import written
 from chanwh.llm.url_filter import host_and_path
@@ -269,7 +270,7 @@ def read_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Da
     return rows.mapInArrow(read, f"id {kinds['id']}, url {kinds['url']}, host string, skeleton string, nodes array<int>, texts array<string>")
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def aligned(skeletons: pd.Series, references: pd.Series) -> pd.Series:
     return pd.Series([match_trees(a, b) for a, b in zip(skeletons, references)])
 
