@@ -27,6 +27,8 @@ from chanwh.llm.shared import written
 
 WORDS = 5
 BITS, BLOCKS = 64, 8
+#: A window: its document's id and text (by hash), first word and number of shingles.
+KEY = ["id", "t", "start", "size"]
 #: Rows of a side that is broadcast: shingles, item blocks (each of 16 to 32 bytes), or windows.
 BROADCAST_ROWS = 1_000_000
 
@@ -43,10 +45,10 @@ def with_shingles(df: DataFrame, text: str) -> DataFrame:
     return hashed.withColumn("sh", F.when(F.size("w") >= WORDS, grams).otherwise(F.array().cast("array<bigint>"))).drop("w")
 
 
-def exploded(df: DataFrame, array: str) -> DataFrame:
-    """(id, at, h): the outer form, because for the inner one Spark tests the array's size in a filter of
+def exploded(df: DataFrame, keys: list[str], array: str) -> DataFrame:
+    """(keys, at, h): the outer form, because for the inner one Spark tests the array's size in a filter of
     its own below, which would compute the shingles many times over."""
-    return df.select("id", F.posexplode_outer(array).alias("at", "h")).where(F.col("h").isNotNull())
+    return df.select(*keys, F.posexplode_outer(array).alias("at", "h")).where(F.col("h").isNotNull())
 
 
 def fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,50 +95,53 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     """One row per document and item found in it: id, item id, ``similarity`` of the most similar
     window, ``start_word``, ``n_words``, ``bits`` (Hamming distance). Clean documents have no row.
 
-    Null texts are empty; a text or item under five words has no shingle and matches nothing. Rows
-    with the same id count as one document; equal items are found each. Empty tables: no rows.
+    Null texts are empty; a text or item under five words has no shingle and matches nothing. Of rows
+    with the same id the most similar window counts; equal items are found each; null ids are ids
+    like others. Empty tables: no rows.
     """
-    items = with_shingles(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text")
-    items = written(items.withColumn("size", F.size("sh")), "items").where(F.col("size") > 0)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).withColumn("no", F.monotonically_increasing_id())
+    items = written(with_shingles(items, "text").withColumn("size", F.size("sh")), "items").where(F.col("size") > 0)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
 
     # windows: one for each shared shingle, most of them the same
     seeds = items.select("size", F.posexplode("sh").alias("place", "h")).groupBy("h", "size", "place").count().drop("count")
     seeds = small(written(seeds, "seeds"))
-    placed = exploded(with_shingles(texts, "text"), "sh").join(seeds, "h")
-    windows = written(placed.select("id", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start"), "size").distinct(), "windows")
+    placed = exploded(with_shingles(texts, "text"), ["id", "t"], "sh").join(seeds, "h")
+    windows = written(placed.select("id", "t", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start"), "size").distinct(), "windows")
 
-    # their shingles, from the texts that have one
-    wanted = windows.groupBy("id").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
+    # their shingles, from the texts that have one; repeated rows give the same ones
+    wanted = windows.groupBy("id", "t").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
     wanted = small(written(wanted, "wanted"))
-    found = with_shingles(texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select(texts["id"].alias("id"), "text", "windows"), "text")
-    inside = (found.select("id", "sh", F.explode("windows").alias("w"))
-              .select("id", "w.start", "w.size", F.explode_outer(F.slice("sh", F.col("w.start") + 1, F.col("w.size"))).alias("h")).where(F.col("h").isNotNull()))
-    inside = written(inside, "window-shingles")
-    prints = fingerprint(inside, ["id", "start", "size"])
+    found = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["t"] == wanted["t"]))
+    found = with_shingles(found.select(texts["id"].alias("id"), texts["t"].alias("t"), "text", "windows"), "text")
+    inside = found.select("id", "t", "sh", F.explode("windows").alias("w"))
+    inside = exploded(inside.select("id", "t", "w.start", "w.size", F.slice("sh", F.col("w.start") + 1, F.col("w.size")).alias("sh")), KEY, "sh")
+    inside = written(inside.distinct(), "window-shingles")
+    prints = fingerprint(inside, KEY)
 
     # multi-index search among the items of the window's size
     radius = radius_for(similarity)
-    item_sh = items.select("item", "size", F.explode("sh").alias("h"))
-    item_prints = written(fingerprint(item_sh, ["item", "size"]).withColumnsRenamed({"m": "item_m", "print": "item_print"}), "item-prints")
-    near = item_prints.select("item", "size", "item_m", "item_print", F.explode(block_values("item_print")).alias("b"))
-    near = near.select("item", "size", "item_m", "item_print", "b.block", F.explode(F.array(*(F.col("b.value").bitwiseXOR(F.lit(c)) for c in changes(radius)))).alias("value"))
+    item_sh = items.select("no", "size", F.explode_outer("sh").alias("h"))
+    item_prints = written(fingerprint(item_sh, ["no", "size"]).withColumnsRenamed({"m": "item_m", "print": "item_print"}), "item-prints")
+    near = item_prints.select("no", "size", "item_m", "item_print", F.explode(block_values("item_print")).alias("b"))
+    near = near.select("no", "size", "item_m", "item_print", "b.block", F.explode(F.array(*(F.col("b.value").bitwiseXOR(F.lit(c)) for c in changes(radius)))).alias("value"))
     near = small(written(near, "item-blocks"))
-    probes = prints.select("id", "start", "size", "m", "print", F.explode(block_values("print")).alias("b")).select("id", "start", "size", "m", "print", "b.block", "b.value")
+    probes = prints.select(*KEY, "m", "print", F.explode(block_values("print")).alias("b")).select(*KEY, "m", "print", "b.block", "b.value")
     pairs = probes.join(near, ["size", "block", "value"])
     bits = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    pairs = pairs.withColumn("bits", bits).where(F.col("bits") <= radius).select("id", "start", "size", "m", "item", "item_m", "bits").distinct()
+    pairs = pairs.withColumn("bits", bits).where(F.col("bits") <= radius).select(*KEY, "m", "no", "item_m", "bits").distinct()
     pairs = written(pairs, "near")
 
     # exact similarity of what was found
-    window_counts = inside.groupBy("id", "start", "size", "h").agg(F.count(F.lit(1)).alias("c"))
-    item_counts = small(written(item_sh.groupBy("item", "h").agg(F.count(F.lit(1)).alias("d")), "item-counts"))
-    same = [pairs["id"].eqNullSafe(window_counts["id"]), pairs["start"] == window_counts["start"], pairs["size"] == window_counts["size"]]
-    shared = (pairs.join(window_counts, same[0] & same[1] & same[2])
-              .select(pairs["id"].alias("id"), pairs["start"].alias("start"), pairs["size"].alias("size"), "m", "item", "item_m", "bits", "h", "c")
-              .join(item_counts, ["item", "h"]))
-    scored = shared.groupBy("id", "start", "size", "item", "m", "item_m", "bits").agg(F.sum(F.least("c", "d")).alias("both"))
+    window_counts = inside.groupBy(*KEY, "h").agg(F.count(F.lit(1)).alias("c")).withColumnsRenamed({k: f"own_{k}" for k in KEY})
+    item_counts = small(written(item_sh.groupBy("no", "h").agg(F.count(F.lit(1)).alias("d")), "item-counts"))
+    same = F.lit(True)
+    for k in KEY:
+        same &= F.col(k).eqNullSafe(F.col(f"own_{k}"))
+    shared = pairs.join(window_counts, same).join(item_counts, ["no", "h"])
+    scored = shared.groupBy(*KEY, "no", "m", "item_m", "bits").agg(F.sum(F.least("c", "d")).alias("both"))
     scored = scored.withColumn("similarity", F.col("both") / (F.col("m") + F.col("item_m") - F.col("both"))).where(F.col("similarity") >= similarity)
+    scored = scored.join(small(written(items.select("no", "item"), "item-ids")), "no")
     best = scored.groupBy("id", "item").agg(F.max_by(F.struct("similarity", "start", "size", "bits"), F.struct("similarity", -F.col("start"), -F.col("bits"))).alias("best"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.similarity", F.col("best.start").alias("start_word"),
                        (F.col("best.size") + WORDS - 1).alias("n_words"), F.col("best.bits").cast("int").alias("bits"))
