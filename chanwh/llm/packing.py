@@ -3,9 +3,9 @@
 Documents become token pieces of at most ``length`` tokens; pieces are packed into sequences.
 Groups of pieces are packed independently by best-fit decreasing. Dual-feasible functions then
 give a lower bound on the sequences that a group needs: a group that meets its bound is
-*certified* and final. A group with a gap keeps only its sequences without waste; the pieces of
-the others go to an exchange pool, are dealt into new groups together with those of other groups,
-and packed again, until every group is certified or a round saves no sequence.
+*certified* and final, but for its emptiest sequence. A group with a gap keeps only its sequences
+without waste. The pieces of the other sequences go to an exchange pool, are dealt into new groups
+together with those of other groups, and packed again, until a round saves no sequence.
 
 A group holds a bounded number of pieces, as numbers (no texts or ids), whatever the input's size.
 """
@@ -130,15 +130,17 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
 
 def packed_groups(pieces: DataFrame, groups: int, number: int, capacity: int) -> DataFrame:
     """``pieces`` dealt into ``groups`` and packed: sequence_id, offset, whether the sequence is
-    final (its group is certified, or it has no waste) and whether this row starts it."""
+    final (its group is certified and it isn't the emptiest, or it has no waste) and whether this
+    row starts it."""
     kind = pieces.schema["id"].dataType.simpleString()
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         sizes = group["length"].to_numpy()
         bins, offsets, left = best_fit_decreasing(sizes, capacity)
-        certified = len(left) == lower_bound(sizes, capacity)
+        final = (left == 0) | (len(left) == lower_bound(sizes, capacity))
+        final[left.argmax()] = left.max() == 0
         first = number << 52 | int(group["grp"].iloc[0]) << 20
-        return group.drop(columns="grp").assign(sequence_id=first + bins, offset=offsets, final=certified | (left[bins] == 0), starts=offsets == 0)
+        return group.drop(columns="grp").assign(sequence_id=first + bins, offset=offsets, final=final[bins], starts=offsets == 0)
 
     # the rows come from a written table, so that a row's number is the same when a task runs again
     dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(number)), F.lit(groups)))
