@@ -34,8 +34,9 @@ from chanwh.llm.shared import text_or_empty, written
 
 #: Bounds of what is fitted on labelled rows: examples of each class, features, neighbours.
 EXAMPLES, FEATURES, NEIGHBOURS = 2500, 4096, 15
-#: A feature must occur in so many examples, with this log-likelihood ratio (chance: 1 in 10,000).
-LEAST_EXAMPLES, LEAST_RATIO = 4, 15.1
+#: A feature must occur in so many examples, with this log-likelihood ratio: by chance one in about two
+#: million has it, and some hundred thousand are tried.
+LEAST_EXAMPLES, LEAST_RATIO = 4, 25.0
 BEGINNINGS = (4, 5, 6)
 BLOCK = 64
 TOKEN = re.compile(r"[^\W\d_]+")
