@@ -58,16 +58,17 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     repeated rows with the same id and text exactly one is kept. No rows: an empty result.
     """
     spark = docs.sparkSession
-    base = written(docs.select(F.col(id_col).alias("id"), digest(text_col).alias("digest")), "digests")
+    base = written(docs.select(F.col(id_col).alias("id"), digest(text_col).alias("digest"), F.monotonically_increasing_id().alias("row")), "digests")
     index = index or DigestIndex(spark, id_type=base.schema["id"].dataType.simpleString())
-    counted = base.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("copies"))
-    groups = base.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = base.groupBy("digest").agg(F.max("id").alias("keep_id"), F.max_by("row", F.struct("id", "row")).alias("keep_row"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(groups, "groups")
     index.append_new(groups)
-    # the index now has every digest of the batch; both joins are on a unique key, so a hot text
-    # adds no rows and adaptive execution may split its partition
-    kept = (counted.hint("merge").join(groups.select("digest", "group_size"), "digest")
-            .hint("merge").join(index.table().hint("merge"), "digest"))
-    rows = kept.select("id", "digest", "keep_id", "group_size", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
+    # the index now has every digest of the batch
+    entries = groups.drop("keep_id").hint("merge").join(index.table().hint("merge"), "digest")
+    entries = written(entries, "entries")
+    # a unique key on one side and two plain exchanges: a hot text adds no rows, and adaptive
+    # execution may split its partition
+    rows = base.join(entries.hint("merge"), "digest")
     return rows.select(F.col("id").alias(id_col), "keep_id", "group_size",
-                       (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+                       (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.col("keep_row"))).alias("kept"),
                        F.col("digest").alias("text_sha256"))
