@@ -146,7 +146,7 @@ def pack_runs(buckets: int):
 def columns(rows: np.ndarray) -> bytes:
     """A record array column by column and byte by byte of its numbers: like bytes stand together, which
     the shuffle's compression needs."""
-    return b"".join(np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for name in rows.dtype.names)
+    return b"".join(np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), rows.dtype[name].itemsize).T.tobytes() for name in rows.dtype.names)
 
 
 def records(packed: bytes, dtype: np.dtype) -> np.ndarray:
