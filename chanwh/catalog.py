@@ -1,7 +1,8 @@
 """Registry of runnable queries (Spark) and their DuckDB oracle SQL, keyed by SURVEY §7.3 names.
 
 Every query reads the driver's whole tables through ``sources.fixtures`` and runs the
-library's operators on them; nothing is sampled, capped or filtered by id.
+library's operators on them as one lazy plan from Parquet; every event, document text and
+line item reaches the raw tables.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from chanwh.operators import profile as P
 from chanwh.operators import quality as Q
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
-from chanwh.session import materialize
 from chanwh.sources import coerce as CO
 from chanwh.sources import fixtures as FX
 from chanwh.sources import lake as LK
@@ -36,50 +36,24 @@ SEARCH_LIMIT = 20
 TOP_LIMIT = 10
 TOP_MIN_LENGTH = 4
 
-_RAW: dict[tuple, DataFrame] = {}
-_WH: dict[tuple, M.Warehouse] = {}
-
 _RAW_BUILDERS = {
     "messages": FX.raw_messages,                 # raw.channel_messages
     "detections": FX.raw_image_detections,       # raw.image_detections
-    "messages_dup": lambda spark, sf_dir: FX.raw_messages_dup(   # with re-scraped copies
-        spark, sf_dir, raw_layer(spark, sf_dir, "messages")),
+    "messages_dup": FX.raw_messages_dup,         # with re-scraped copies
     "boxes": FX.channel_boxes,                   # box-level detections (inference output contract)
 }
 
 
 def raw_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The raw layer derived from the test tables, materialised once per session with a
-    reliable checkpoint — the analogue of the loaded raw tables every model reads."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
-    if key not in _RAW:
-        _RAW[key] = materialize(_RAW_BUILDERS[name](spark, sf_dir))
-    return _RAW[key]
+    """A raw table as a lazy plan over the whole test tables."""
+    return _RAW_BUILDERS[name](spark, sf_dir)
 
 
 def warehouse(spark: SparkSession, sf_dir: str, detections: bool = False, dup: bool = False) -> M.Warehouse:
-    """The star schema over the raw layer: dimensions and facts materialised once per session
-    (the marts the reports read). ``detections`` adds the image-detection side over the same
-    dimensions; ``dup`` builds it over the raw table with re-scraped copies."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, dup)
-    if key not in _WH:
-        w = M.warehouse(raw_layer(spark, sf_dir, "messages_dup" if dup else "messages"))
-        w.fct_messages = materialize(w.fct_messages)
-        _WH[key] = w
-    w = _WH[key]
-    if detections and w.fct_image_detections is None:
-        w.stg_detections = M.stg_detections(raw_layer(spark, sf_dir, "detections"))
-        w.fct_image_detections = materialize(
-            M.fct_image_detections(w.stg_detections, w.stg_messages, w.dim_channels, w.dim_dates))
-    return w
-
-
-def build_layers(spark: SparkSession, sf_dir: str) -> None:
-    """Build every layer the registered queries read (raw, dimensions, facts)."""
-    for name in _RAW_BUILDERS:
-        raw_layer(spark, sf_dir, name)
-    warehouse(spark, sf_dir, detections=True)
-    warehouse(spark, sf_dir, dup=True)
+    """The star schema as lazy plans over the raw layer. ``detections`` adds the image-detection
+    side; ``dup`` builds it over the raw table with re-scraped copies."""
+    return M.warehouse(raw_layer(spark, sf_dir, "messages_dup" if dup else "messages"),
+                       raw_layer(spark, sf_dir, "detections") if detections else None)
 
 
 def register(name: str, sql: str | None = None):
@@ -91,6 +65,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _after_ctes(sql: str, extra: str, marker: str) -> str:
+    return sql.replace("\n" + marker, ",\n" + extra + "\n" + marker, 1)
+
+
 # ---------------------------------------------------------------------------
 # Models
 # ---------------------------------------------------------------------------
@@ -266,6 +244,10 @@ def q_search_wildcard_count(spark, sf_dir):
     return R.search_count(w.fct_messages, w.dim_channels, WILDCARD_QUERY)
 
 
+QUERIES["search_envelope"] = lambda spark, sf_dir: R.search_envelope(
+    warehouse(spark, sf_dir).fct_messages, warehouse(spark, sf_dir).dim_channels, SEARCH_QUERY, SEARCH_LIMIT)
+
+
 # ---------------------------------------------------------------------------
 # N4 visual content
 # ---------------------------------------------------------------------------
@@ -329,16 +311,13 @@ def q_rollup_category_breakdown(spark, sf_dir):
     return EN.category_breakdown(EN.rollup_boxes(raw_layer(spark, sf_dir, "boxes")), digits=1)
 
 
-@register("class_frequency", O.with_ctes("""
-select class_name, count, (select count(*) from cnt) as unique_classes from cnt
-order by count desc, class_name limit 10""", "channel_boxes").replace(
-    "\nselect class_name, count,",
-    f""", r as ({_ROLLUP_SQL}),
-cnt as (select trim(x) as class_name, count(*) as count from (select unnest(string_split(detected_classes, ',')) as x
-  from r where detected_classes is not null and detected_classes <> '') s group by trim(x))
-select class_name, count,""", 1))
+@register("class_frequency", _after_ctes(O.with_ctes("""select class_name, count, (select count(*) from cnt) as unique_classes from cnt
+order by count desc, class_name limit 10""", "raw_image_detections"), """cnt as (select trim(x) as class_name, count(*) as count
+  from (select unnest(string_split(detected_classes, ',')) as x from raw_image_detections
+    where detected_classes is not null and detected_classes <> '') s group by trim(x))""",
+    "select class_name, count, (select"))
 def q_class_frequency(spark, sf_dir):
-    return EN.class_frequency(EN.rollup_boxes(raw_layer(spark, sf_dir, "boxes")))
+    return EN.class_frequency(raw_layer(spark, sf_dir, "detections"))
 
 
 # ---------------------------------------------------------------------------
@@ -417,11 +396,10 @@ QUALITY_AS_OF = "2024-01-15 12:00:00"
                                         "fct_image_detections"))
 def q_quality_report(spark, sf_dir):
     w = warehouse(spark, sf_dir, detections=True)
-    # each fact is read twice: one pass for row checks + relationships, one for uniqueness
     tables = {"stg_channel_messages": w.stg_messages, "stg_image_detections": w.stg_detections,
               "dim_channels": w.dim_channels, "dim_dates": w.dim_dates,
               "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
-    return Q.run_checks(tables, as_of=QUALITY_AS_OF, sizes={"dim_channels": w.n_channels, "dim_dates": w.n_dates})
+    return Q.run_checks(tables, as_of=QUALITY_AS_OF)
 
 
 # ---------------------------------------------------------------------------
@@ -470,9 +448,9 @@ QUOTA_CAPS = {"CheMed123": (40, 10), "lobelia4cosmetics": (None, 25), "tikvahpha
 
 def _config_sql(caps) -> str:
     rows = []
-    for ch, pat, order in FX.CONFIG_CHANNELS:
+    for ch, pat, order in O.CONFIG_CHANNELS:
         mm, mi = caps.get(ch, (None, None))
-        rows.append((ch, pat, order, mi if mi is not None else FX.DEFAULT_MAX_IMAGES, mm))
+        rows.append((ch, pat, order, mi if mi is not None else O.DEFAULT_MAX_IMAGES, mm))
     return O.values_sql(rows, "channel, pattern, pattern_order, max_images, max_messages")
 
 
@@ -486,14 +464,10 @@ best as (select n.channel_name, arg_min({{'c': c.channel, 'mi': c.max_images, 'm
     or contains(regexp_replace(lower(n.channel_name), '[ _-]', '', 'g'), c.pattern)
   group by n.channel_name),
 resolved as (select n.channel_name, coalesce(b.cfg.c, n.channel_name) as config_channel,
-  coalesce(b.cfg.mi, {FX.DEFAULT_MAX_IMAGES}) as max_images, b.cfg.mm as max_messages, b.cfg is not null as matched
+  coalesce(b.cfg.mi, {O.DEFAULT_MAX_IMAGES}) as max_images, b.cfg.mm as max_messages, b.cfg is not null as matched
   from names n left join best b on n.channel_name = b.channel_name)"""
 
 
-def _after_ctes(sql: str, extra: str, marker: str) -> str:
-    return sql.replace("\n" + marker, ",\n" + extra + "\n" + marker, 1)
-
-
 @register("resolve_channel", _after_ctes(O.with_ctes("select * from resolved", "raw_messages"),
                                          _resolved_sql({}), "select * from resolved"))
 def q_resolve_channel(spark, sf_dir):
@@ -502,27 +476,48 @@ def q_resolve_channel(spark, sf_dir):
 
 
 _QUOTA_FINAL = """select message_id, channel_name, config_channel, message_date, has_photo,
-  coalesce(has_photo and irn <= greatest(max_images, 0), false) as image_downloaded from p"""
+  has_photo and coalesce(new_before, 0) < max_images - coalesce(held, 0) as image_downloaded from p"""
 _QUOTA_EXTRA = _resolved_sql(QUOTA_CAPS) + """,
+quota_messages as (select * from raw_messages
+  union all select message_id, 'CheMed123', message_date, message_text, has_media, image_path, views, forwards, is_reply,
+    reply_to_msg_id, scraped_at, loaded_at from raw_messages where channel_name = 'CheMed' and message_id % 2 = 0
+  union all select message_id, null, message_date, message_text, has_media, image_path, views, forwards, is_reply,
+    reply_to_msg_id, scraped_at, loaded_at from raw_messages where channel_name = ' Beauty Hub '),
+stored as (select distinct channel_name, message_id from raw_messages where image_path <> '' and message_id % 4 = 0 and message_id >= 200),
 m as (select r.message_id, r.channel_name, r.message_date, coalesce(v.config_channel, r.channel_name) as config_channel,
   v.max_messages, coalesce(v.max_images, 1500) as max_images,
   coalesce(r.image_path is not null and r.image_path <> '', false) as has_photo
-  from raw_messages r left join resolved v on r.channel_name = v.channel_name),
-k as (select *, row_number() over (partition by config_channel order by message_date desc, message_id desc) as rn from m),
-kept as (select * from k where max_messages is null or rn <= max_messages),
-p as (select *, row_number() over (partition by config_channel, has_photo order by message_date desc, message_id desc)
-  as irn from kept)"""
-
-
-@register("quota", _after_ctes(O.with_ctes(_QUOTA_FINAL, "raw_messages"), _QUOTA_EXTRA, _QUOTA_FINAL.split("\n")[0]))
+  from quota_messages r left join resolved v on r.channel_name = v.channel_name),
+k as (select *, row_number() over (partition by config_channel order by message_date desc nulls last, message_id desc,
+  channel_name nulls first) as rn from m),
+kept as (select k.*, h.held, has_photo and not exists (select 1 from stored s where s.message_id = k.message_id
+    and s.channel_name is not distinct from k.channel_name) as is_new
+  from k left join (select coalesce(v.config_channel, s.channel_name) as cc, count(*) as held
+    from stored s left join resolved v on s.channel_name = v.channel_name group by 1) h on h.cc is not distinct from k.config_channel
+  where max_messages is null or rn <= max_messages),
+p as (select *, sum(case when is_new then 1 else 0 end) over (partition by config_channel
+  order by message_date desc nulls last, message_id desc, channel_name nulls first
+  rows between unbounded preceding and 1 preceding) as new_before from kept)"""
+
+
+@register("quota", _after_ctes(O.with_ctes(_QUOTA_FINAL, "raw_messages"), _QUOTA_EXTRA.replace(
+    "names as (select distinct channel_name from raw_messages where channel_name is not null)",
+    "names as (select distinct channel_name from raw_messages where channel_name is not null union select 'CheMed123')"),
+    _QUOTA_FINAL.split("\n")[0]))
 def q_quota(spark, sf_dir):
+    """W1 over all messages, copies of some under a second display name of the same channel (equal
+    dates and ids) and copies without a channel; some images are stored already."""
     raw = raw_layer(spark, sf_dir, "messages")
-    resolved = C.resolve_channels(C.distinct_names(raw), FX.channel_config(spark, QUOTA_CAPS))
-    q = C.apply_quota(raw, resolved)
+    second = raw.where((F.col("channel_name") == "CheMed") & (F.col("message_id") % 2 == 0)).withColumn("channel_name", F.lit("CheMed123"))
+    nameless = raw.where(F.col("channel_name") == " Beauty Hub ").withColumn("channel_name", F.lit(None).cast("string"))
+    messages = raw.unionByName(second).unionByName(nameless)
+    stored = raw.where((F.col("image_path") != "") & (F.col("message_id") % 4 == 0) & (F.col("message_id") >= 200)).select("channel_name", "message_id")
+    resolved = C.resolve_channels(C.distinct_names(messages), FX.channel_config(spark, QUOTA_CAPS))
+    q = C.apply_quota(messages, resolved, stored)
     return q.select("message_id", "channel_name", "config_channel", "message_date", "has_photo", "image_downloaded")
 
 
-_EXPECTED_ROWS = [(ch, v) for ch, vs in FX.EXPECTED_CHANNELS for v in vs]
+_EXPECTED_ROWS = [(ch, v) for ch, vs in O.EXPECTED_CHANNELS for v in vs]
 
 
 def _found(names: str) -> str:
@@ -582,25 +577,30 @@ _LAYERS = [("raw", "channel_messages", "raw_messages"), ("raw", "image_detection
 
 
 @register("layer_counts", O.with_ctes("\nunion all ".join(
-    f"select {O.q(layer)} as layer, {O.q(name)} as table_name, count(*) as row_count from {cte}"
-    for layer, name, cte in _LAYERS), "fct_messages", "fct_image_detections"))
+    f"select {O.q(layer)} as layer, {O.q(name)} as table_name, 'present' as status, count(*) as row_count from {cte}"
+    for layer, name, cte in _LAYERS) + "\nunion all select 'raw', 'scrape_log', 'missing', null", "fct_messages", "fct_image_detections"))
 def q_layer_counts(spark, sf_dir):
     w = warehouse(spark, sf_dir, detections=True)
     dfs = {"raw_messages": raw_layer(spark, sf_dir, "messages"), "raw_image_detections": raw_layer(spark, sf_dir, "detections"),
            "stg_messages": w.stg_messages, "stg_detections": w.stg_detections, "dim_channels": w.dim_channels,
            "dim_dates": w.dim_dates, "fct_messages": w.fct_messages, "fct_image_detections": w.fct_image_detections}
-    return P.layer_counts({(layer, name): dfs[cte] for layer, name, cte in _LAYERS})
+    return P.layer_counts({(layer, name): dfs[cte] for layer, name, cte in _LAYERS} | {("raw", "scrape_log"): None})
 
 
-_SUMMARY_FINAL = f"""select g.channel_name, v.config_channel, g.total_dates, g.total_messages, g.images_posted, v.max_images,
-  least(g.images_posted, cast(v.max_images as bigint)) as images_within_cap
-from (select channel_name, count(distinct coalesce(cast(message_date as date), date '{AS_OF}')) as total_dates,
-        count(*) as total_messages,
-        cast(sum(case when image_path is not null and image_path <> '' then 1 else 0 end) as bigint) as images_posted
-      from raw_messages group by channel_name) g left join resolved v on g.channel_name = v.channel_name"""
+_SUMMARY_FINAL = """select * from per_channel
+union all select null, count(*), (select count(distinct day) from filed), sum(total_messages), sum(images_posted), sum(max_images),
+  sum(images_within_cap) from per_channel"""
+_SUMMARY_EXTRA = f"""
+filed as (select coalesce(v.config_channel, r.channel_name) as config_channel,
+    coalesce(cast(r.message_date as date), date '{AS_OF}') as day, coalesce(r.image_path <> '', false) as img, v.max_images
+  from raw_messages r left join resolved v on r.channel_name = v.channel_name where r.channel_name is not null),
+per_channel as (select config_channel, cast(1 as bigint) as channels, count(distinct day) as total_dates, count(*) as total_messages,
+    count(*) filter (where img) as images_posted, cast(max(max_images) as bigint) as max_images,
+    least(count(*) filter (where img), cast(max(max_images) as bigint)) as images_within_cap
+  from filed group by config_channel)"""
 
 
-@register("ingest_summary", _after_ctes(O.with_ctes(_SUMMARY_FINAL, "raw_messages"), _resolved_sql({}),
+@register("ingest_summary", _after_ctes(O.with_ctes(_SUMMARY_FINAL, "raw_messages"), _resolved_sql({}) + "," + _SUMMARY_EXTRA,
                                         _SUMMARY_FINAL.split("\n")[0]))
 def q_ingest_summary(spark, sf_dir):
     raw = raw_layer(spark, sf_dir, "messages")
@@ -619,7 +619,7 @@ def q_coerce_roundtrip(spark, sf_dir):
     return CO.coerce_messages(FX.lake_strings(raw_layer(spark, sf_dir, "messages"))).drop("loaded_at")
 
 
-_IMG_RE = LK.IMAGE_PATH_RE
+_IMG_RE = O.IMAGE_PATH_RE
 
 
 @register("image_keys", O.with_ctes(f"""
@@ -683,3 +683,126 @@ group by regexp_extract(image_path, '{_IMG_RE}', 1)""", "raw_messages"))
 def q_images_per_channel(spark, sf_dir):
     """S9's per-folder image count over every image path of the raw table."""
     return LK.images_per_channel(raw_layer(spark, sf_dir, "messages").select(F.col("image_path").alias("path")))
+
+
+# ---------------------------------------------------------------------------
+# The nested responses, row by row: what each envelope holds, in its order
+# ---------------------------------------------------------------------------
+def _entries(df: DataFrame, array: str) -> DataFrame:
+    """One row per entry of an envelope's array, with its place and the envelope's own columns."""
+    own = [c for c in df.columns if c != array]
+    return df.select(*own, F.posexplode(array).alias("place", "_e")).select(*own, "place", "_e.*")
+
+
+_TOTAL_TERMS = f"(select count(distinct term) from {O.terms_cte(TOP_MIN_LENGTH)} d)"
+
+
+@register("top_terms_envelope_rows", O.with_ctes(f"""
+select cast({TOP_LIMIT} as int) as "limit", {_TOTAL_TERMS} as total_terms,
+  cast(row_number() over (order by frequency desc, term) - 1 as int) as place, term, frequency, percentage
+from (select term, frequency, {O.pct('frequency', 'total')} as percentage
+  from (select term, count(*) as frequency from {O.terms_cte(TOP_MIN_LENGTH)} k group by term having count(*) >= 2) tc,
+       (select sum(frequency) as total from (select term, count(*) as frequency from {O.terms_cte(TOP_MIN_LENGTH)} k
+          group by term having count(*) >= 2) x) tt
+  order by frequency desc, term limit {TOP_LIMIT}) r""", "fct_messages"))
+def q_top_terms_envelope_rows(spark, sf_dir):
+    return _entries(QUERIES["top_terms_envelope"](spark, sf_dir), "products")
+
+
+@register("channel_activity_envelope_rows", O.with_ctes(f"""
+select t.*, cast(row_number() over (order by d.activity_date desc) - 1 as int) as place, d.activity_date, d.message_count,
+  d.total_views as day_views, d.avg_views as day_avg_views, d.total_forwards as day_forwards
+from (select dc.channel_name, dc.channel_type, s.total_messages, s.total_views, s.avg_views, s.total_forwards,
+    dc.first_post_date, dc.last_post_date
+  from dim_channels dc,
+    (select count(*) as total_messages, cast(coalesce(sum(fm.view_count), 0) as bigint) as total_views,
+       coalesce({O.mean('sum(fm.view_count)', 'count(*)')}, 0.0) as avg_views,
+       cast(coalesce(sum(fm.forward_count), 0) as bigint) as total_forwards
+     from fct_messages fm join dim_channels c on fm.channel_key = c.channel_key
+     where c.channel_name = {O.q(ACTIVITY_CHANNEL)}) s
+  where dc.channel_name = {O.q(ACTIVITY_CHANNEL)}) t,
+ (select dd.full_date as activity_date, count(*) as message_count,
+    cast(coalesce(sum(fm.view_count), 0) as bigint) as total_views,
+    coalesce({O.mean('sum(fm.view_count)', 'count(*)')}, 0.0) as avg_views,
+    cast(coalesce(sum(fm.forward_count), 0) as bigint) as total_forwards
+  from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+    join dim_dates dd on fm.date_key = dd.date_key
+  where dc.channel_name = {O.q(ACTIVITY_CHANNEL)} and dd.full_date >= date '{AS_OF}' - interval {ACTIVITY_DAYS} day
+  group by dd.full_date) d""", "fct_messages"))
+def q_channel_activity_envelope_rows(spark, sf_dir):
+    env = QUERIES["channel_activity_envelope"](spark, sf_dir)
+    names = {"total_views": "day_views", "avg_views": "day_avg_views", "total_forwards": "day_forwards"}
+    entry = F.transform("daily_activity", lambda e: F.struct(
+        *[e[c].alias(names.get(c, c)) for c in ("activity_date", "message_count", "total_views", "avg_views", "total_forwards")]))
+    return _entries(env.withColumn("daily_activity", entry), "daily_activity")
+
+
+@register("search_envelope_rows", O.with_ctes(f"""
+select {O.q(SEARCH_QUERY)} as query, cast({SEARCH_LIMIT} as int) as "limit", (select count(*) from fct_messages fm
+    join dim_channels dc on fm.channel_key = dc.channel_key where {_LIKE}) as total_found,
+  cast(row_number() over (order by view_count desc, message_date desc, message_id, channel_name) - 1 as int) as place, r.*
+from (select fm.message_id, dc.channel_name, left(fm.message_text, 500) as message_text, fm.message_date,
+    fm.view_count, fm.forward_count, fm.has_image, cast(1.0 as double) as relevance_score
+  from fct_messages fm join dim_channels dc on fm.channel_key = dc.channel_key
+  where {_LIKE}
+  order by fm.view_count desc, fm.message_date desc, fm.message_id, dc.channel_name limit {SEARCH_LIMIT}) r""", "fct_messages"))
+def q_search_envelope_rows(spark, sf_dir):
+    return _entries(QUERIES["search_envelope"](spark, sf_dir), "results")
+
+
+@register("visual_envelope_rows", O.with_ctes(f"""
+select o.*, cast(row_number() over (order by v.total_images desc, v.channel_name) - 1 as int) as place, v.channel_name,
+  v.total_images as images, v.promotional_count, v.product_display_count, v.lifestyle_count, v.other_count, v.avg_detections,
+  v.avg_confidence, v.avg_views
+from ({_VISUAL_SQL}) v, (select cast(coalesce(sum(total_images), 0) as bigint) as total_images, count(*) as total_channels,
+  coalesce({O.pct('sum(promotional_count)', 'sum(total_images)')}, 0.0) as overall_promotional_pct,
+  coalesce({O.pct('sum(product_display_count)', 'sum(total_images)')}, 0.0) as overall_product_display_pct,
+  coalesce({O.pct('sum(lifestyle_count)', 'sum(total_images)')}, 0.0) as overall_lifestyle_pct,
+  coalesce({O.pct('sum(other_count)', 'sum(total_images)')}, 0.0) as overall_other_pct
+  from ({_VISUAL_SQL}) x) o""", "fct_image_detections"))
+def q_visual_envelope_rows(spark, sf_dir):
+    env = QUERIES["visual_envelope"](spark, sf_dir)
+    fields = env.schema["channels"].dataType.elementType.names
+    entry = F.transform("channels", lambda e: F.struct(*[e[c].alias("images" if c == "total_images" else c) for c in fields]))
+    return _entries(env.withColumn("channels", entry), "channels")
+
+
+# ---------------------------------------------------------------------------
+# S1 and S4 without folders: files as text rows, detections as strings
+# ---------------------------------------------------------------------------
+@register("lake_parse", O.with_ctes("""
+select message_id, channel_name, message_date, message_text, has_media, image_path, views, forwards,
+  is_reply, reply_to_msg_id, scraped_at from raw_messages""", "raw_messages"))
+def q_lake_parse(spark, sf_dir):
+    """S1's parser over one file per message: single objects, and arrays with an element that is no
+    object; truncated copies of every fifth file are skipped as a whole."""
+    strings = FX.lake_strings(raw_layer(spark, sf_dir, "messages"))
+    obj = F.to_json(F.struct(*strings.columns))
+    even = F.col("message_id").endswith(".0")
+    files = strings.select(F.when(even, F.concat(F.lit("[7, "), obj, F.lit("]"))).otherwise(obj).alias("value"), F.col("message_id").alias("_file"))
+    broken = files.where(F.col("_file").endswith("5")).select(F.substr("value", F.lit(1), F.length("value") - 3).alias("value"), "_file")
+    return CO.coerce_messages(LK.parse_lake_text(files.unionByName(broken))).drop("loaded_at", "_file", "_pos")
+
+
+@register("lake_parse_counts", O.with_ctes("""
+select channel_name, count(*) as message_count from raw_messages where channel_name is not null
+group by channel_name""", "raw_messages"))
+def q_lake_parse_counts(spark, sf_dir):
+    """A18 on records that S1's parser read."""
+    strings = FX.lake_strings(raw_layer(spark, sf_dir, "messages"))
+    files = strings.select(F.to_json(F.struct("message_id", "channel_name")).alias("value"), F.col("message_id").alias("_file"))
+    return P.lake_channel_counts(LK.parse_lake_text(files))
+
+
+@register("coerce_detections", O.with_ctes("""
+select message_id, channel_name, image_path, detected_classes, coalesce(total_detections, 0) as total_detections, max_confidence,
+  image_category, processed_at from raw_image_detections
+union all select null, channel_name, image_path, detected_classes, 0, null, image_category, null from raw_image_detections
+  where message_id % 10 = 0""", "raw_image_detections"))
+def q_coerce_detections(spark, sf_dir):
+    """S4 over every detection row as text, and over copies of some with numbers and dates that are none."""
+    det = raw_layer(spark, sf_dir, "detections").drop("loaded_at")
+    text = det.select(*[F.col(c).cast("string").alias(c) for c in det.columns])
+    bad = (text.where(F.col("message_id").cast("bigint") % 10 == 0)
+           .withColumns({"message_id": F.lit("x1"), "total_detections": F.lit("many"), "max_confidence": F.lit("n/a"), "processed_at": F.lit("yesterday")}))
+    return CO.coerce_detections(text.unionByName(bad)).drop("loaded_at")

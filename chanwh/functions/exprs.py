@@ -228,3 +228,10 @@ def contains_pattern(query: str) -> str:
         out.append(ch)
         i += 1
     return "%" + "".join(out) + "%"
+
+
+def repeated_list(classes: str, name: str, n: str) -> Column:
+    """', '-joined names of an array of (name, n), each ``n`` times: the text is repeated per entry, so
+    no array of all repeats is built (the text itself grows with the repeats)."""
+    text = F.array_join(F.transform(classes, lambda c: F.repeat(F.concat(F.lit(", "), c[name]), c[n])), "")
+    return F.substr(text, F.lit(3))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanwh.functions import exprs as X
-from chanwh.session import DIM_BROADCAST_MAX_ROWS, sized_broadcast
 
 DEFAULT_MAX_IMAGES = 1500
 
@@ -30,7 +29,6 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
     names(channel_name) distinct; config(channel, pattern, pattern_order, max_images, max_messages)
     → (channel_name, config_channel, max_images, max_messages, matched)
     """
-    cfg, _ = sized_broadcast(config, materialise=False)      # a configuration list
     n = F.col("channel_name")
     c = F.col("channel")
     rank = (F.when(n == c, F.lit(1))
@@ -39,8 +37,10 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
     cond = (n == c) | (F.lower(n) == F.lower(c)) | X.normalized_name(n).contains(F.col("pattern"))
     # left outer: every name keeps a row; min_by skips the NULL rank of a name without a match,
     # so no join back to the names is needed
-    pairs = names.join(cfg, cond, "left").select(
-        "channel_name", rank.alias("rank"),
+    # the pattern order and the name settle equal ranks
+    order = F.when(rank.isNotNull(), F.struct(rank.alias("r"), "pattern_order", "channel"))
+    pairs = names.join(config, cond, "left").select(
+        "channel_name", order.alias("rank"),
         F.struct(F.col("channel").alias("config_channel"), "max_images", "max_messages").alias("cfg"))
     out = pairs.groupBy("channel_name").agg(F.min_by("cfg", "rank").alias("cfg"))
     return out.select(
@@ -54,9 +54,8 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
 
 def _presence(names: DataFrame, expected: DataFrame, label: str) -> DataFrame:
     """Per expected channel: is any variant a case-insensitive substring of a name, or vice versa."""
-    ex, _ = sized_broadcast(expected, materialise=False)     # a configuration list
     ln, lv = F.lower(F.col("channel_name")), F.lower(F.col("variant"))
-    hits = names.join(ex, ln.contains(lv) | lv.contains(ln), "inner")
+    hits = names.join(expected, ln.contains(lv) | lv.contains(ln), "inner")
     return hits.groupBy("expected_channel").agg(F.count_distinct("channel_name").alias(label))
 
 
@@ -106,84 +105,72 @@ def valid_usernames(names: DataFrame) -> DataFrame:
     return names.select("channel_name", X.valid_username("channel_name").alias("valid"))
 
 
-def existing_by_config(per_folder: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Stored images per configured channel (W1 input) from per-folder counts.
-
-    per_folder(channel_name, existing) — ``sources.lake.images_per_channel`` of the image lake;
-    folders are display names, resolved to their configured channel (J12) and summed.
-    """
-    r = resolved.select("channel_name", "config_channel")
-    j = per_folder.join(r, "channel_name", "left")
-    return (j.groupBy(F.coalesce("config_channel", "channel_name").alias("config_channel"))
-             .agg(F.sum("existing").cast("int").alias("existing")))
-
-
 # ---------------------------------------------------------------------------
 # W1 quota
 # ---------------------------------------------------------------------------
-ORDER = ["message_date", "message_id"]          # newest first
-
-
-def _kth_newest(df: DataFrame, part: str, k_col: str, max_k: int) -> DataFrame:
-    """Per ``part``: sort key (message_date, message_id) of the k-th newest row, k from ``k_col``.
-
-    Only a bounded top-``max_k`` per group is ranked: the literal bound lets Spark plan a
-    window group limit that trims each group before the shuffle, so a channel holding a
-    third of all rows still moves at most ``max_k`` rows per input partition.
-    """
-    w = Window.partitionBy(part).orderBy(*[F.desc(c) for c in ORDER])
-    top = (df.select(part, *ORDER, k_col).withColumn("_rn", F.row_number().over(w))
-             .where(F.col("_rn") <= F.lit(max_k)))
-    top = top.where(F.col("_rn") <= F.col(k_col))
-    return top.groupBy(part).agg(F.min(F.struct(*ORDER)).alias("_kth"))
-
-
-def apply_quota(messages: DataFrame, resolved: DataFrame, existing_images: DataFrame | None = None,
+def _ranked(df: DataFrame, most: int) -> DataFrame:
+    """Rank within each configured channel, newest first, up to ``most``. The rows of newer days are
+    only counted: a row's rank is their number plus its rank within its own day, and days that
+    start beyond ``most`` are left out. So a task ranks one day of a channel, never all of it."""
+    df = df.withColumn("_day", F.to_date("message_date"))
+    days = df.groupBy(F.col("config_channel").alias("_c"), F.col("_day").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.partitionBy("_c").orderBy(F.desc("_d"))
+    days = days.withColumn("_before", F.sum("_n").over(newer) - F.col("_n")).where(F.col("_before") < F.lit(most))
+    rows = df.join(days, df["config_channel"].eqNullSafe(days["_c"]) & df["_day"].eqNullSafe(days["_d"]))
+    own = Window.partitionBy("config_channel", "_day").orderBy(F.desc("message_date"), F.desc("message_id"), F.asc_nulls_first("channel_name"))
+    rank = F.col("_before") + F.row_number().over(own)
+    return rows.withColumn("_rn", rank).where(F.col("_rn") <= F.lit(most)).drop("_c", "_d", "_n", "_before", "_day")
+
+
+def apply_quota(messages: DataFrame, resolved: DataFrame, stored_images: DataFrame | None = None,
                 request_limit: int | None = None) -> DataFrame:
     """Keep at most N newest messages per configured channel and flag which photos fit
-    the channel's image cap after the images already stored.
+    the channel's image cap.
 
     messages(message_id, channel_name, message_date, image_path, ...)
-    resolved: ``resolve_channels`` output; existing_images(config_channel, existing) optional.
-    N = least(request_limit, max_messages) (no cap → all); the image allowance is
-    max(max_images - existing, 0). An over-cap photo keeps its message row.
+    resolved: ``resolve_channels`` output; stored_images(channel_name, message_id): images on disk.
+    N = least(request_limit, max_messages) (no cap → all). The allowance is the image cap less the
+    channel's stored images. Photos are taken newest first: a photo that is stored passes without
+    using the allowance, a new one uses it, and once it is used up every older photo is refused, as
+    is every photo of a channel without an allowance. An over-cap photo keeps its message row.
+    Equal dates and ids of several display names are ordered by name. Rows without a channel form
+    one group with the default cap.
     Output: the kept message rows + config_channel, has_photo, image_downloaded.
     """
     caps = resolved.select("channel_name", "config_channel", "max_images", "max_messages")
-    if existing_images is not None:
-        caps = caps.join(existing_images, "config_channel", "left")
+    config = F.coalesce("config_channel", "channel_name").alias("config_channel")
+    limit = F.least("max_messages", F.lit(request_limit).cast("int")) if request_limit is not None else F.col("max_messages")
+    m = messages.join(caps, "channel_name", "left").select(
+        *[F.col(c) for c in messages.columns], config, limit.alias("_cap"),
+        F.coalesce("max_images", F.lit(DEFAULT_MAX_IMAGES)).alias("_images"),
+        F.coalesce(F.col("image_path") != "", F.lit(False)).alias("has_photo"))
+    # two numbers of the configuration
+    top = caps.agg(F.max("max_messages").alias("m"), F.max("max_images").alias("i")).first()
+    most_messages = min(x for x in (top["m"], request_limit) if x is not None) if request_limit is not None else top["m"]
+    most_images = max(top["i"] or 0, DEFAULT_MAX_IMAGES)
+    if most_messages is not None:
+        capped = _ranked(m.where(F.col("_cap").isNotNull()), max(most_messages, 0)).where(F.col("_rn") <= F.col("_cap")).drop("_rn")
+        m = m.where(F.col("_cap").isNull()).unionByName(capped)
+
+    photos = m.where("has_photo").groupBy("config_channel", "channel_name", "message_id").agg(
+        F.max("message_date").alias("message_date"), F.max("_images").alias("_images"))
+    if stored_images is not None:
+        stored = stored_images.select("channel_name", "message_id").distinct()
+        same = photos["channel_name"].eqNullSafe(stored["channel_name"]) & (photos["message_id"] == stored["message_id"])
+        new = photos.join(stored, same, "left_anti")
+        held = stored.join(caps, "channel_name", "left").select(config).groupBy("config_channel").agg(F.count(F.lit(1)).alias("_held"))
+        held = held.withColumnRenamed("config_channel", "_held_by")
+        m = m.join(held, F.col("config_channel").eqNullSafe(F.col("_held_by")), "left").drop("_held_by")
+        new = new.join(held, F.col("config_channel").eqNullSafe(F.col("_held_by")), "left").drop("_held_by")
     else:
-        caps = caps.withColumn("existing", F.lit(0))
-    caps = caps.select(
-        "channel_name", "config_channel",
-        F.least(F.col("max_messages"), F.lit(request_limit)).alias("msg_cap") if request_limit is not None
-        else F.col("max_messages").alias("msg_cap"),
-        F.greatest(F.col("max_images") - F.coalesce("existing", F.lit(0)), F.lit(0)).alias("img_cap"),
-    )
-    caps_b, n_caps = sized_broadcast(caps)            # one row per channel, materialised
-    bounds = caps_b.agg(F.max("msg_cap").alias("m"), F.max("img_cap").alias("i")).first()
-    max_msg, max_img = bounds["m"], bounds["i"]
-
-    def per_channel(df: DataFrame) -> DataFrame:
-        # a threshold table has at most one row per configured channel: its size is bounded
-        # by the counted caps table, so it is broadcast without a separate count
-        return F.broadcast(df) if n_caps <= DIM_BROADCAST_MAX_ROWS else df
-
-    m = messages.join(caps_b, "channel_name", "left").withColumn(
-        "has_photo", F.coalesce((F.col("image_path").isNotNull()) & (F.col("image_path") != ""), F.lit(False)))
-    m = m.withColumn("config_channel", F.coalesce("config_channel", "channel_name")) \
-         .withColumn("img_cap", F.coalesce("img_cap", F.lit(DEFAULT_MAX_IMAGES)))
-    key = F.struct(*ORDER)
-
-    if max_msg is not None:
-        thr_m = per_channel(_kth_newest(m.where(F.col("msg_cap").isNotNull()), "config_channel",
-                                        "msg_cap", max(int(max_msg), 0)).withColumnRenamed("_kth", "_kth_m"))
-        m = m.join(thr_m, "config_channel", "left").where(
-            F.col("msg_cap").isNull() | (F.col("_kth_m").isNotNull() & (key >= F.col("_kth_m")))).drop("_kth_m")
-
-    photos = m.where(F.col("has_photo"))
-    thr_i = per_channel(_kth_newest(photos, "config_channel", "img_cap",
-                                    max(int(max_img or DEFAULT_MAX_IMAGES), 0)))
-    out = m.join(thr_i, "config_channel", "left")
-    flag = F.col("has_photo") & F.col("_kth").isNotNull() & (key >= F.col("_kth"))
-    return out.withColumn("image_downloaded", F.coalesce(flag, F.lit(False))).drop("_kth", "msg_cap", "img_cap")
+        new = photos.withColumn("_held", F.lit(0))
+        m = m.withColumn("_held", F.lit(0))
+    room = F.col("_images") - F.coalesce("_held", F.lit(0))
+    # the photo that uses the last of the allowance; older ones are refused
+    last = _ranked(new, most_images).where(F.col("_rn") == room).select(
+        F.col("config_channel").alias("_of"), F.struct("message_date", "message_id").alias("_key"), F.col("channel_name").alias("_name"))
+    out = m.join(last, F.col("config_channel").eqNullSafe(F.col("_of")), "left")
+    key = F.struct("message_date", "message_id")
+    in_time = F.col("_key").isNull() | (key > F.col("_key")) | ((key == F.col("_key")) & (F.coalesce("channel_name", F.lit("")) <= F.coalesce("_name", F.lit(""))))
+    flag = F.col("has_photo") & (room > 0) & in_time
+    return out.withColumn("image_downloaded", flag).drop("_cap", "_images", "_held", "_of", "_key", "_name")

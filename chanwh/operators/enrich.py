@@ -18,7 +18,7 @@ def rollup_boxes(boxes: DataFrame, images: DataFrame | None = None) -> DataFrame
 
     ``detected_classes`` is every box's class, sorted, joined by ', ' (repeats kept). Boxes are
     first counted per (image, class) — partial aggregation absorbs any hot image — so the
-    per-image list holds at most one entry per distinct class, never one per box.
+    per-image array holds one entry per distinct class; only the text grows with the boxes.
 
     ``images`` (channel_name, message_id[, image_path]) adds images without boxes (total 0,
     confidence 0.0, category 'other'), as the reference does for an empty detection list.
@@ -31,10 +31,9 @@ def rollup_boxes(boxes: DataFrame, images: DataFrame | None = None) -> DataFrame
         F.sort_array(F.collect_list(F.struct("class_name", F.col("n").cast("int").alias("n")))).alias("_cls"),
         F.collect_set(F.lower("class_name")).alias("_set"),
     )
-    repeated = F.flatten(F.transform("_cls", lambda s: F.array_repeat(s["class_name"], s["n"])))
     out = per_image.select(
         *IMAGE_KEYS,
-        F.array_join(repeated, ", ").alias("detected_classes"),
+        X.repeated_list("_cls", "class_name", "n").alias("detected_classes"),
         "total_detections",
         F.round("_mc", 4).alias("max_confidence"),
         X.classify_classes("_set").alias("image_category"),

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from chanwh import schemas as S
 from chanwh.functions import exprs as X
-from chanwh.session import materialize
+from chanwh.sources.tables import partition_values
 
 
 DAY_PARTITION = "dt"
+#: Detections are stored by a hash of their key in so many partitions.
+BUCKET_PARTITION, KEY_BUCKETS = "bucket", 256
+#: Upper bound on the records of one written file.
+RECORDS_PER_FILE = 2_000_000
 
 
 def with_day_partition(df: DataFrame, date_col: str = "message_date") -> DataFrame:
@@ -29,48 +33,40 @@ def _any_null(keys: list[str]):
     return cond
 
 
-def _first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key (keys non-NULL): the first by ``order``.
-
-    ``min_by`` is a partial aggregate: each map task keeps one row per key before the
-    shuffle, so a key repeated across a third of the batch still costs one row per task.
-    """
-    cols = rows.columns
-    return rows.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r")).select("_r.*")
+def with_key_bucket(df: DataFrame) -> DataFrame:
+    """Add the key-hash partition column of the raw detection table."""
+    return df.withColumn(BUCKET_PARTITION, F.pmod(F.xxhash64("channel_name", "message_id"), F.lit(KEY_BUCKETS)).cast("int"))
 
 
 def dedupe_first(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per non-NULL key, the first by ``order``; rows with a NULL key all pass
-    (NULLs are distinct, as in the target's unique constraint)."""
-    return _first_per_key(batch.where(~_any_null(keys)), keys, order).unionByName(batch.where(_any_null(keys)))
+    (NULLs are distinct, as in the target's unique constraint).
+
+    ``min_by`` is a partial aggregate: each map task keeps one row per key before the
+    shuffle, so a key repeated across a third of the batch still costs one row per task. A row
+    with a NULL key gets a number of its own, so the batch is evaluated once.
+    """
+    cols = batch.columns
+    rows = batch.withColumn("_own", F.when(_any_null(keys), F.monotonically_increasing_id()))
+    return rows.groupBy(*keys, "_own").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r")).select("_r.*")
 
 
 def insert_or_skip(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str],
-                   reject_null_keys: bool = False) -> DataFrame:
+                   reject_null_keys: bool = False, prune: dict[str, list | None] | None = None) -> DataFrame:
     """The batch rows to append — first-wins within the batch, existing rows win
     over the batch (never updated). ``reject_null_keys`` drops NULL-key rows (NOT NULL keys, S7);
     otherwise they are all appended (a NULL key never equals a stored key).
 
-    Only rows with complete keys go through the anti join, and the target is narrowed to
-    their range of the first date-typed key column, so only target rows that can match
-    are shuffled. A target partitioned by that key's day (a ``dt`` column, see
-    ``with_day_partition``) is also narrowed by ``dt``, so the scan prunes partitions.
+    The batch is evaluated once. ``prune`` names partition columns of the target and the
+    values that the batch has there (``partition_values``): only those partitions are read, so one
+    late row adds its own day, not every day since.
     """
-    complete = batch.where(~_any_null(keys))
-    d = _first_per_key(complete, keys, order)
+    rows = batch.where(~_any_null(keys)) if reject_null_keys else batch
     t = target
-    types = dict(target.dtypes)
-    date_keys = [k for k in keys if types[k].startswith("timestamp") or types[k] == "date"]
-    if date_keys:
-        k = date_keys[0]
-        lo = complete.agg(F.min(k)).scalar()
-        hi = complete.agg(F.max(k)).scalar()
-        t = t.where((F.col(k) >= lo) & (F.col(k) <= hi))
-        if DAY_PARTITION in target.columns:
-            t = t.where(F.col(DAY_PARTITION).between(F.to_date(lo), F.to_date(hi)))
-    new = d.join(t.select(*keys), keys, "left_anti")
-    if not reject_null_keys:
-        new = new.unionByName(batch.where(_any_null(keys)))
+    for column, values in (prune or {}).items():
+        if values is not None:
+            t = t.where(F.col(column).isin(values))
+    new = dedupe_first(rows, keys, order).join(t.select(*keys), keys, "left_anti")
     return new.drop(*[c for c in order if c not in target.columns])
 
 
@@ -85,25 +81,32 @@ def lake_partition(as_of=None) -> list:
     return [day.alias("dt"), X.safe_file_name("channel_name").alias("channel")]
 
 
-def write_message_lake(df: DataFrame, path: str, existing: DataFrame | None = None, as_of=None) -> DataFrame:
+def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None) -> int:
     """File message records by day (no date → ``as_of``, default today) and file-safe
-    channel name; a record whose id is already stored in the same day/channel partition is
-    skipped (the stored record wins; repeats inside the batch are kept). Appends JSON Lines
-    under ``dt=YYYY-MM-DD/channel=<safe name>/`` and returns the rows written.
+    channel name as JSON Lines under ``dt=YYYY-MM-DD/channel=<safe name>/``; returns how many.
 
-    ``existing`` is the stored lake (``scan_message_lake`` of the same path); only its
-    partitions matching the batch are read by the anti join.
+    With ``merge``, a record whose id is already stored in the same day/channel partition is
+    skipped (the stored record wins; repeats inside the batch are kept); only the batch's days
+    are read. Rows are gathered by partition before they are written, so that a partition gets
+    few files, with a bound on a file's records.
     """
     rows = df.select(*[F.col(c) for c in df.columns], *lake_partition(as_of))
-    if existing is not None:
-        ex = existing.select(*lake_partition(as_of), F.col("message_id").cast("string").alias("_id"))
+    spark = df.sparkSession
+    if merge:
+        stored = spark.read.schema("message_id string, dt string, channel string").json(path)
+        days = partition_values(rows, "dt")
+        if days is not None:
+            stored = stored.where(F.col("dt").isin(days))
+        ex = stored.select("dt", "channel", F.col("message_id").alias("_id"))
         rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
                          & (rows.message_id.cast("string") == ex._id), "left_anti")
-    # materialise first: the returned rows are exactly the ones written, even though the
-    # anti join reads the same lake the write appends to
-    rows = materialize(rows)
-    rows.write.mode("append").partitionBy("dt", "channel").json(path)
-    return rows
+    # staged beside the lake: what is counted is what is written, although the join reads the lake
+    staging = path.rstrip("/") + "_staging"
+    rows.write.mode("overwrite").parquet(staging)
+    rows = spark.read.schema(rows.schema).parquet(staging)
+    (rows.hint("rebalance", "dt", "channel").write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .partitionBy("dt", "channel").json(path))
+    return rows.count()
 
 
 # ---------------------------------------------------------------------------

@@ -43,17 +43,16 @@ def _joined(values: str) -> F.Column:
 def dup_mart(fct: DataFrame, dc: DataFrame) -> DataFrame:
     """Message ids repeated in the message fact, with their distinct channel keys and names.
 
-    Rows are first counted per (id, channel) so a heavily repeated id costs one row per
-    channel in the final group, not one per copy.
+    Rows are first counted per (id, channel), so a heavily repeated id costs one row per
+    channel, not one per copy, and lists are built for repeated ids only. A list has one entry
+    per channel that uses the id: it grows with the number of channels, as the report does.
     """
     f = fct.join(dc.select("channel_key", "channel_name"), "channel_key")
     pairs = f.groupBy("message_id", "channel_key", "channel_name").agg(F.count(F.lit(1)).alias("n"))
-    g = pairs.groupBy("message_id").agg(
-        F.sum("n").alias("count"),
-        _joined("channel_key").alias("channel_keys"),
-        _joined("channel_name").alias("channel_names"),
-    )
-    return g.where(F.col("count") > 1).orderBy(F.desc("count"), F.asc("message_id"))
+    counts = pairs.groupBy("message_id").agg(F.sum("n").alias("count")).where(F.col("count") > 1)
+    lists = pairs.join(counts, "message_id").groupBy("message_id", "count").agg(
+        _joined("channel_key").alias("channel_keys"), _joined("channel_name").alias("channel_names"))
+    return lists.orderBy(F.desc("count"), F.asc("message_id"))
 
 
 def dup_raw(raw: DataFrame, top: int = 10) -> DataFrame:
@@ -67,19 +66,24 @@ def dup_raw(raw: DataFrame, top: int = 10) -> DataFrame:
 
 
 def dup_cross_channel(raw: DataFrame, top: int = 10) -> DataFrame:
-    """Ids present in more than one channel; top ``top`` by number of channels."""
-    pairs = raw.where(F.col("channel_name").isNotNull()).groupBy("message_id", "channel_name").agg(F.lit(1).alias("_"))
-    g = pairs.groupBy("message_id").agg(
-        F.count(F.lit(1)).alias("channel_count"),
-        _joined("channel_name").alias("channels"),
-    ).where(F.col("channel_count") > 1)
-    return g.orderBy(F.desc("channel_count"), F.asc_nulls_first("message_id")).limit(top)
-
-
-def layer_counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    """Exact row count of every table of every layer, as one union of aggregates."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count")
+    """Ids present in more than one channel; top ``top`` by number of channels. The ids are
+    chosen by their counts; only those have their channels listed."""
+    pairs = raw.where(F.col("channel_name").isNotNull()).select("message_id", "channel_name").distinct()
+    order = [F.desc("channel_count"), F.asc_nulls_first("message_id")]
+    ids = (pairs.groupBy("message_id").agg(F.count(F.lit(1)).alias("channel_count"))
+           .where(F.col("channel_count") > 1).orderBy(*order).limit(top).withColumnRenamed("message_id", "_id"))
+    listed = pairs.join(F.broadcast(ids), F.col("message_id").eqNullSafe(F.col("_id")))     # ``top`` rows
+    return listed.groupBy("message_id", "channel_count").agg(_joined("channel_name").alias("channels")).orderBy(*order)
+
+
+def layer_counts(tables: dict[tuple[str, str], DataFrame | None]) -> DataFrame:
+    """Every expected table of every layer, whether it is there, and its exact row count, as one
+    union of aggregates. None stands for a table that is missing."""
+    spark = next(df for df in tables.values() if df is not None).sparkSession
+    parts = [(df.agg(F.count(F.lit(1)).alias("row_count")) if df is not None
+              else spark.range(1).select(F.lit(None).cast("bigint").alias("row_count")))
+             .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+                     F.lit("missing" if df is None else "present").alias("status"), "row_count")
              for (layer, name), df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -88,26 +92,31 @@ def layer_counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 def ingest_summary(raw: DataFrame, resolved: DataFrame, as_of=None) -> DataFrame:
-    """Per channel — partition dates, messages, images posted and the image cap.
+    """Per configured channel — partition dates, messages, images posted, the image cap and the
+    images within it — and one row of totals, whose ``config_channel`` is NULL.
 
-    ``resolved`` is the output of ``channels.resolve_channels`` (channel_name → config, caps).
-    A message without a date is filed under ``as_of`` (default today), as the lake writer does.
+    ``resolved`` is the output of ``channels.resolve_channels``: several display names of one
+    configured channel share its cap. A message without a date is filed under ``as_of`` (default
+    today), as the lake writer does.
     """
     day = F.coalesce(F.to_date("message_date"),
                      F.current_date() if as_of is None else F.lit(str(as_of)).cast("date"))
-    has_img = F.col("image_path").isNotNull() & (F.col("image_path") != "")
-    g = raw.groupBy("channel_name").agg(
-        F.count_distinct(day).alias("total_dates"),
-        F.count(F.lit(1)).alias("total_messages"),
-        F.sum(F.when(has_img, 1).otherwise(0)).cast("bigint").alias("images_posted"),
-    )
-    r = resolved.select("channel_name", "config_channel", "max_images")
-    j = g.join(r, "channel_name", "left")
-    return j.select(
-        "channel_name", "config_channel", "total_dates", "total_messages", "images_posted", "max_images",
-        F.least("images_posted", F.col("max_images").cast("bigint")).alias("images_within_cap"),
-    )
-
+    has_img = F.coalesce(F.col("image_path") != "", F.lit(False))
+    caps = resolved.select("channel_name", "config_channel", "max_images")
+    rows = raw.select("channel_name", day.alias("day"), has_img.alias("img")).join(caps, "channel_name", "left")
+    # days are counted from one row per channel and day
+    days = rows.groupBy(F.coalesce("config_channel", "channel_name").alias("config_channel"), "day").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("img").alias("images"), F.max("max_images").alias("cap"))
+    per = days.groupBy("config_channel").agg(
+        F.lit(1).cast("bigint").alias("channels"), F.count(F.lit(1)).alias("total_dates"), F.sum("n").alias("total_messages"),
+        F.sum("images").alias("images_posted"), F.max("cap").cast("bigint").alias("max_images"))
+    per = per.withColumn("images_within_cap", F.least("images_posted", "max_images")).where(F.col("config_channel").isNotNull())
+    dates = days.where(F.col("config_channel").isNotNull()).agg(F.count_distinct("day").alias("d")).scalar()
+    total = per.agg(F.count(F.lit(1)).alias("channels"), F.sum("total_messages").alias("total_messages"), F.sum("images_posted").alias("images_posted"),
+                    F.sum("max_images").alias("max_images"), F.sum("images_within_cap").alias("images_within_cap"))
+    total = total.select(F.lit(None).cast("string").alias("config_channel"), "channels", dates.alias("total_dates"),
+                         *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("total_messages", "images_posted")), "max_images", "images_within_cap")
+    return per.unionByName(total)
 
 
 def lake_channel_counts(records: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanwh.functions.exprs import CHANNEL_TYPES, IMAGE_CATEGORIES
-from chanwh.session import DIM_BROADCAST_MAX_ROWS, sized_broadcast
 
 
 @dataclass(frozen=True)
@@ -151,18 +150,13 @@ def _rows(df: DataFrame, structs: list[str]) -> DataFrame:
     return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None,
-               sizes: dict[str, int] | None = None) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None) -> DataFrame:
     """Run ``checks`` over ``tables`` (name → DataFrame) and return one row per check.
 
-    ``sizes`` gives known row counts of parent tables (e.g. dimensions counted when built);
-    other parents are materialised and counted before being broadcast.
-
-    Per table, every row-level check — and every relationship whose parent key set passes
-    the size-checked broadcast bound — is evaluated in ONE scan: the child is left-joined to
-    each broadcast parent key set (distinct, so no fan-out) and all failures are counted in
-    a single aggregate. Uniqueness checks are one grouped count each; a relationship to a
-    parent too large to broadcast is an anti join. Aggregates and result rows are built as
+    Per table, every row-level check and every relationship is evaluated in ONE scan: the child
+    is left-joined to each parent's key set (distinct, so no fan-out; adaptive execution
+    broadcasts it by its measured bytes) and all failures are counted in a single aggregate.
+    Uniqueness checks are one grouped count each. Aggregates and result rows are built as
     SQL expressions (one call per table), so a long check list costs little on the driver.
     """
     checks = ALL_CHECKS if checks is None else checks
@@ -170,25 +164,13 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
     by_table: dict[str, list[Check]] = {}
     separate: list[Check] = []
     parent_keys: dict[Check, DataFrame] = {}
-    sized: dict[tuple[str, str], tuple[DataFrame, int]] = {}
     for c in checks:
         if c.kind in ("not_null", "accepted_range", "custom", "accepted_values"):
             by_table.setdefault(c.table, []).append(c)
         elif c.kind == "relationships":
             ptable, pcol = c.to
-            if (ptable, pcol) not in sized:
-                pk = tables[ptable].where(F.col(pcol).isNotNull()).select(pcol).distinct()
-                known = (sizes or {}).get(ptable)
-                if known is not None and known <= DIM_BROADCAST_MAX_ROWS:
-                    sized[(ptable, pcol)] = (F.broadcast(pk), known)     # distinct keys ≤ rows
-                else:
-                    sized[(ptable, pcol)] = sized_broadcast(pk)
-            keys, n = sized[(ptable, pcol)]
-            if n <= DIM_BROADCAST_MAX_ROWS:
-                parent_keys[c] = keys
-                by_table.setdefault(c.table, []).append(c)
-            else:
-                separate.append(c)
+            parent_keys[c] = tables[ptable].where(F.col(pcol).isNotNull()).select(pcol).distinct()
+            by_table.setdefault(c.table, []).append(c)
         else:
             separate.append(c)
     for table, cs in by_table.items():

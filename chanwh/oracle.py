@@ -7,8 +7,24 @@ they depend on, in dependency order.
 
 from __future__ import annotations
 
-from chanwh.functions.exprs import (CATEGORY_WIDTH, CHANNEL_TYPE_RULES, IMAGE_CATEGORIES, MEDICAL_CLASSES,
-                                    PERSON_CLASSES, PRODUCT_CLASSES, STOP_WORDS, SURROGATE_NULL)
+# Fixed values, written here on their own: the oracle takes nothing from the code that it checks.
+STOP_WORDS = """the and or but in on at to for of with from is are was were a an""".split()
+CHANNEL_TYPE_RULES = [('Pharmaceutical', ['pharma', 'pharmaceutical']), ('Cosmetics', ['cosmetic', 'beauty']), ('Medical', ['medical', 'chemed'])]
+PERSON_CLASSES = """person people man woman child boy girl""".split()
+PRODUCT_CLASSES = ['bottle', 'container', 'cup', 'bowl', 'vase', 'jar', 'potted plant', 'plant', 'book', 'cell phone', 'laptop',
+ 'handbag', 'backpack', 'suitcase', 'bag']
+MEDICAL_CLASSES = ['pills', 'medicine', 'tablet', 'capsule']
+IMAGE_CATEGORIES = ['promotional', 'product_display', 'lifestyle', 'other']
+CATEGORY_WIDTH = 50
+SURROGATE_NULL = '_dbt_utils_surrogate_key_null_'
+IMAGE_PATH_RE = r"images/([^/]+)/([0-9]+)\.(jpg|jpeg|png)$"
+DEFAULT_MAX_IMAGES = 1500
+CONFIG_CHANNELS = [("lobelia4cosmetics", "lobelia", 1), ("CheMed123", "chemed", 2), ("tikvahpharma", "tikvah", 3)]
+EXPECTED_CHANNELS = [
+    ("CheMed123", ["CheMed", "CheMed123"]),
+    ("lobelia4cosmetics", ["Lobelia pharmacy and cosmetics", "lobelia4cosmetics", "Lobelia"]),
+    ("tikvahpharma", ["tikvahpharma", "Tikvah", "Tikvah Pharma"]),
+]
 
 
 def q(s: str) -> str:
@@ -50,10 +66,9 @@ def channel_type(c: str) -> str:
     return "case " + " ".join(parts) + " else 'Other' end"
 
 
-def fixture_channel(src: str) -> str:
-    return (f"case cast(substr({src}, 4) as int) % 5 when 0 then 'CheMed' "
-            f"when 1 then 'Lobelia pharmacy and cosmetics' when 2 then 'Tikvah | Pharma' "
-            f"when 3 then ' Beauty Hub ' else {src} end")
+def fixture_channel(mid: str) -> str:
+    return (f"case (({mid} // 5) % 20) % 5 when 0 then 'CheMed' when 1 then 'Lobelia pharmacy and cosmetics' "
+            f"when 2 then 'Tikvah | Pharma' when 3 then ' Beauty Hub ' else 'src' || cast(({mid} // 5) % 20 as varchar) end")
 
 
 def classify(classes_expr: str) -> str:
@@ -76,17 +91,19 @@ def cte(name: str, deps: list[str], body: str) -> None:
 
 
 cte("raw_base", [], f"""
-select d.doc_id as message_id, {fixture_channel('d.source')} as channel_name, e.ts as message_date,
-  case when d.doc_id % 41 = 0 then null when d.doc_id % 37 = 0 then '   ' else d.text end as message_text,
-  e.event_type <> 'error' as has_media,
-  case when d.doc_id % 2 = 0 then concat('data/raw/images/', d.source, '/', cast(d.doc_id as varchar), '.jpg')
-       when d.doc_id % 3 = 0 then '' end as image_path,
-  cast(floor(e.value) as int) as views,
-  case when e.event_type = 'click' then cast(e.user_id as int) end as forwards,
-  case when d.doc_id % 7 = 0 then null else d.doc_id % 5 = 0 end as is_reply,
-  case when d.doc_id % 5 = 0 then d.doc_id - 1 end as reply_to_msg_id,
-  e.ts as scraped_at, e.ts as loaded_at
-from documents d join events e on e.event_id = d.doc_id * 5""")
+select mid as message_id, {fixture_channel('mid')} as channel_name, ts as message_date,
+  coalesce(text, case when event_type <> 'error' then event_type || ' by ' || cast(user_id as varchar)
+                      when user_id % 2 = 0 then '   ' end) as message_text,
+  event_type <> 'error' as has_media,
+  case when mid % 2 = 0 then 'data/raw/images/src' || cast((mid // 5) % 20 as varchar) || '/' || cast(mid as varchar) || '.jpg'
+       when mid % 3 = 0 then '' end as image_path,
+  cast(floor(value) as int) as views,
+  case when event_type = 'click' then cast(user_id as int) end as forwards,
+  case when mid % 7 = 0 then null else mid % 5 = 0 end as is_reply,
+  case when mid % 5 = 0 then mid - 1 end as reply_to_msg_id,
+  ts as scraped_at, ts as loaded_at
+from (select coalesce(e.event_id, d.doc_id * 5) as mid, e.*, d.text
+      from events e full join documents d on e.event_id = d.doc_id * 5) j""")
 
 cte("raw_messages", ["raw_base"], "select * from raw_base")
 
@@ -144,8 +161,7 @@ select l_orderkey as message_id, l_linenumber as box_id,
   l_quantity + 10 as bbox_x2, l_quantity + 20 as bbox_y2
 from lineitem""")
 
-cte("channel_boxes", ["boxes"], f"""
-select b.*, {fixture_channel('d.source')} as channel_name from boxes b join documents d on d.doc_id = b.message_id""")
+cte("channel_boxes", ["boxes"], f"select *, {fixture_channel('message_id')} as channel_name from boxes")
 
 cte("raw_image_detections", ["boxes"], f"""
 with r as (select message_id, string_agg(class_name, ', ' order by class_name) as detected_classes,
@@ -153,15 +169,16 @@ with r as (select message_id, string_agg(class_name, ', ' order by class_name) a
     max(case when class_name = 'person' then 1 else 0 end) as hp,
     max(case when class_name in ('bottle','cup','book','potted plant') then 1 else 0 end) as ho
   from boxes group by message_id)
-select r.message_id, {fixture_channel('d.source')} as channel_name,
+select r.message_id, {fixture_channel('r.message_id')} as channel_name,
   case when r.message_id % 4 = 0 then null else 'img' end as image_path, r.detected_classes,
   case when r.message_id % 29 = 0 then null else r.total_detections end as total_detections,
   case when r.message_id % 31 = 0 then null else cast(r.mc as decimal(5,4)) end as max_confidence,
   case when r.message_id % 11 = 0 then ' Promotional ' when r.message_id % 13 = 0 then 'BANNER'
     when r.message_id % 17 = 0 then null when hp = 1 and ho = 1 then 'promotional'
     when ho = 1 then 'product_display' when hp = 1 then 'lifestyle' else 'other' end as image_category,
-  e.ts as processed_at, e.ts as loaded_at
-from r join documents d on d.doc_id = r.message_id join events e on e.event_id = d.doc_id * 5""")
+  timestamp '2024-01-01' + to_days(cast(r.message_id % 30 as int)) as processed_at,
+  timestamp '2024-01-01' + to_days(cast(r.message_id % 30 as int)) as loaded_at
+from r""")
 
 cte("stg_detections", ["raw_image_detections"], f"""
 select cast(message_id as bigint) as message_id, left(trim(channel_name), 255) as channel_name,

@@ -1,7 +1,6 @@
 """Star-schema models: staging (M1, M2), dimensions (M3, M4), facts (M5, M6), build.
 
-Staging stays a lazy plan (a view); dimensions are materialised, size-checked and
-broadcast when small; facts are plain joins that Catalyst prunes and pushes down.
+All models are lazy plans; a build writes dimensions and facts as Parquet.
 """
 
 from __future__ import annotations
@@ -12,8 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanwh import schemas as S
 from chanwh.functions import exprs as X
-from chanwh.session import sized_broadcast
+from chanwh.operators.load import RECORDS_PER_FILE
+from chanwh.operators.profile import layer_counts
+from chanwh.sources.tables import table_if_present
 
 
 # ---------------------------------------------------------------------------
@@ -143,73 +145,93 @@ def fct_image_detections(stg_d: DataFrame, stg_m: DataFrame, dc: DataFrame, dd:
 class Warehouse:
     stg_messages: DataFrame
     stg_detections: DataFrame | None
-    dim_channels: DataFrame       # materialised, broadcast-hinted when small
-    dim_dates: DataFrame          # materialised, broadcast-hinted when small
+    dim_channels: DataFrame
+    dim_dates: DataFrame
     fct_messages: DataFrame
     fct_image_detections: DataFrame | None
-    n_channels: int = 0
-    n_dates: int = 0
 
 
 def warehouse(raw_messages: DataFrame, raw_detections: DataFrame | None = None) -> Warehouse:
-    """Lazy staging + materialised dimensions + lazy facts (the report layer's input).
-
-    Dimensions are checkpointed once (they are read by every fact and report), counted,
-    and broadcast only when the count is within ``DIM_BROADCAST_MAX_ROWS``.
-    """
+    """Staging, dimensions and facts as lazy plans. Dimensions are joined by their keys without a
+    hint: adaptive execution broadcasts them by their measured bytes."""
     sm = stg_messages(raw_messages)
-    dc, n_c = sized_broadcast(dim_channels(sm))
-    dd, n_d = sized_broadcast(dim_dates(sm))
+    dc, dd = dim_channels(sm), dim_dates(sm)
     fm = fct_messages(sm, dc, dd)
     sd = fid = None
     if raw_detections is not None:
         sd = stg_detections(raw_detections)
         fid = fct_image_detections(sd, sm, dc, dd)
-    return Warehouse(sm, sd, dc, dd, fm, fid, n_c, n_d)
+    return Warehouse(sm, sd, dc, dd, fm, fid)
+
+
+def mart_schemas() -> dict[str, str]:
+    """The marts' columns as they are written."""
+    return {
+        "dim_channels": "channel_key string, channel_name string, channel_type string, first_post_date date, last_post_date date, "
+                        "total_posts bigint, avg_views decimal(10,2), total_images bigint, image_percentage double",
+        "dim_dates": "date_key int, full_date date, day_of_week int, day_name string, week_of_year int, month int, month_name string, "
+                     "quarter int, year int, is_weekend boolean, day_of_month int, day_of_year int, year_month string",
+        "fct_messages": "message_id bigint, channel_key string, message_text string, message_length int, view_count int, forward_count int, "
+                        "has_image boolean, image_path string, is_reply boolean, reply_to_msg_id bigint, message_date timestamp_ntz, "
+                        "scraped_at timestamp_ntz, loaded_at timestamp_ntz, date_key int",
+        "fct_image_detections": "message_id bigint, channel_key string, image_path string, detected_classes string, total_detections int, "
+                                "max_confidence decimal(5,4), image_category string, view_count int, forward_count int, "
+                                "message_date timestamp_ntz, processed_at timestamp_ntz, date_key int",
+    }
 
 
 def build_warehouse(spark: SparkSession, raw_messages: DataFrame, raw_detections: DataFrame | None,
                     out: str) -> dict[str, int]:
     """Staging as temp views, marts written as Parquet tables (full rebuild).
 
-    Facts are partitioned by ``date_key`` (a look-back filter on the broadcast date dimension
+    Facts are partitioned by ``date_key`` (a look-back filter on the date dimension
     prunes partitions at run time — dynamic partition pruning) and clustered by
     ``channel_key`` inside each file, so per-channel reports skip row groups by min/max
-    statistics.
+    statistics. Rows are gathered by day before they are written (adaptive execution splits large
+    days), so files are as many as days, not tasks x days. The facts are joined with the written
+    dimensions.
     """
-    w = warehouse(raw_messages, raw_detections)
-    w.stg_messages.createOrReplaceTempView("stg_channel_messages")
-    if w.stg_detections is not None:
-        w.stg_detections.createOrReplaceTempView("stg_image_detections")
-    counts: dict[str, int] = {}
-    marts = {"dim_channels": w.dim_channels, "dim_dates": w.dim_dates, "fct_messages": w.fct_messages}
-    if w.fct_image_detections is not None:
-        marts["fct_image_detections"] = w.fct_image_detections
-    for name, df in marts.items():
+    sm = stg_messages(raw_messages)
+    sm.createOrReplaceTempView("stg_channel_messages")
+    schemas, counts = mart_schemas(), {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(out, "marts", name)
+        w = df
         if name.startswith("fct_"):
-            (df.sortWithinPartitions("date_key", "channel_key")
-               .write.mode("overwrite").partitionBy("date_key").parquet(path))
-        else:
-            df.write.mode("overwrite").parquet(path)
-        back = spark.read.parquet(path)
+            w = df.hint("rebalance", "date_key").sortWithinPartitions("date_key", "channel_key")
+        writer = w.write.mode("overwrite").option("maxRecordsPerFile", RECORDS_PER_FILE)
+        (writer.partitionBy("date_key") if name.startswith("fct_") else writer).parquet(path)
+        back = spark.read.schema(schemas[name]).parquet(path)
         back.createOrReplaceTempView(name)
         counts[name] = back.count()
+        return back
+
+    dc, dd = store("dim_channels", dim_channels(sm)), store("dim_dates", dim_dates(sm))
+    store("fct_messages", fct_messages(sm, dc, dd))
+    if raw_detections is not None:
+        sd = stg_detections(raw_detections)
+        sd.createOrReplaceTempView("stg_image_detections")
+        store("fct_image_detections", fct_image_detections(sd, sm, dc, dd))
     return counts
 
 
 def open_warehouse(spark: SparkSession, out: str) -> Warehouse:
-    """The marts written by ``build_warehouse`` at ``out``, ready for the reports.
-
-    Dimensions are counted (a cheap Parquet count, no extra materialisation) and broadcast
-    only within the bound; facts are plain Parquet scans, so report filters are pushed into
-    them (channel_key row-group skipping, date_key dynamic partition pruning).
-    """
-    def mart(name: str) -> DataFrame:
-        return spark.read.parquet(os.path.join(out, "marts", name))
-
-    dc, n_c = sized_broadcast(mart("dim_channels"), materialise=False)
-    dd, n_d = sized_broadcast(mart("dim_dates"), materialise=False)
-    fid_path = os.path.join(out, "marts", "fct_image_detections")
-    fid = mart("fct_image_detections") if os.path.exists(fid_path) else None
-    return Warehouse(None, None, dc, dd, mart("fct_messages"), fid, n_c, n_d)
+    """The marts written by ``build_warehouse`` at ``out`` (a path or URI), ready for the reports: plain
+    Parquet scans, so report filters are pushed into them (channel_key row-group skipping,
+    date_key dynamic partition pruning) and small dimensions are broadcast by their size."""
+    mart = {n: table_if_present(spark, os.path.join(out, "marts", n), s) for n, s in mart_schemas().items()}
+    missing = [n for n in ("dim_channels", "dim_dates", "fct_messages") if mart[n] is None]
+    if missing:
+        raise FileNotFoundError(f"no {', '.join(missing)} under {out}")
+    return Warehouse(None, None, mart["dim_channels"], mart["dim_dates"], mart["fct_messages"], mart["fct_image_detections"])
+
+
+def layer_listing(spark: SparkSession, out: str) -> DataFrame:
+    """A22 over a warehouse's folders: each raw table and mart that should be there, present or missing."""
+    found = {("raw", "channel_messages"): table_if_present(spark, os.path.join(out, "raw", "channel_messages"), S.RAW_MESSAGES),
+             ("raw", "image_detections"): table_if_present(spark, os.path.join(out, "raw", "image_detections"), S.RAW_DETECTIONS)}
+    found |= {("marts", n): table_if_present(spark, os.path.join(out, "marts", n), s) for n, s in mart_schemas().items()}
+    if all(t is None for t in found.values()):
+        raise FileNotFoundError(f"nothing under {out}")
+    return layer_counts(found)

@@ -73,14 +73,20 @@ def top_terms_total(fct: DataFrame, min_length: int = 4) -> DataFrame:
 
 
 def top_terms_envelope(fct: DataFrame, limit: int = 10, min_length: int = 4) -> DataFrame:
-    """N1 response: (limit, total_terms, products array<struct>) from at most ``limit`` rows."""
-    rows = top_terms(fct, limit, min_length)
+    """N1 response: (limit, total_terms, products array<struct>) from at most ``limit`` rows. Rows and
+    totals come from one grouped count of the terms (its exchange is reused)."""
+    check_range("limit", limit, 1, 100)
+    counts = term_counts(fct, min_length)
+    f = F.col("frequency")
+    totals = counts.agg(F.struct(F.count(F.lit(1)).alias("terms"), F.sum(F.when(f >= 2, f)).alias("shown")).alias("t")).scalar()
+    scored = counts.where(f >= 2).select("term", "frequency", totals.alias("t")).select(
+        "term", "frequency", X.pct("frequency", "t.shown").alias("percentage"))
+    rows = scored.orderBy(F.desc("frequency"), F.asc("term")).limit(limit)
     prods = rows.agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("frequency")).alias("k"), "term", "frequency", "percentage"))).alias("p"))
+        (-f).alias("k"), "term", "frequency", "percentage"))).alias("p"))
     products = F.transform(F.coalesce("p", F.array()), lambda s: F.struct(
         s["term"].alias("term"), s["frequency"].alias("frequency"), s["percentage"].alias("percentage")))
-    total = top_terms_total(fct, min_length).select("total_terms").scalar()
-    return prods.select(F.lit(limit).alias("limit"), total.alias("total_terms"), products.alias("products"))
+    return prods.select(F.lit(limit).alias("limit"), totals["terms"].alias("total_terms"), products.alias("products"))
 
 
 # ---------------------------------------------------------------------------
@@ -173,12 +179,13 @@ def search_messages(fct: DataFrame, dc: DataFrame, query: str, limit: int = 20,
                     channel: str | None = None) -> DataFrame:
     """N3 rows (P9, P12, P15, J4, T2). Relevance is 1.0 for every match, as in the reference."""
     check_range("limit", limit, 1, 100)
-    m = _search_matches(fct, dc, query, channel)
+    # the body is cut before the top-k, which then carries at most 500 characters a row
+    m = _search_matches(fct, dc, query, channel).withColumn("message_text", F.left(F.col("message_text"), F.lit(500)))
     top = m.orderBy(F.desc("view_count"), F.desc("message_date"), F.asc("message_id"),
                     F.asc("channel_name")).limit(limit)
     return top.select(
         "message_id", "channel_name",
-        F.left(F.col("message_text"), F.lit(500)).alias("message_text"),
+        "message_text",
         "message_date", "view_count", "forward_count", "has_image",
         F.lit(1.0).alias("relevance_score"),
     )
@@ -189,6 +196,16 @@ def search_count(fct: DataFrame, dc: DataFrame, query: str, channel: str | None
     return _search_matches(fct, dc, query, channel).agg(F.count(F.lit(1)).alias("total_found"))
 
 
+def search_envelope(fct: DataFrame, dc: DataFrame, query: str, limit: int = 20, channel: str | None = None) -> DataFrame:
+    """N3 response: (query, limit, total_found, results array<struct>), results in their order."""
+    rows = search_messages(fct, dc, query, limit, channel)
+    key = F.struct((-F.col("view_count")).alias("v"), (-F.unix_micros(F.col("message_date").cast("timestamp"))).alias("d"), "message_id", "channel_name")
+    arr = rows.agg(F.sort_array(F.collect_list(F.struct(key.alias("k"), *[F.col(c) for c in rows.columns]))).alias("r"))
+    results = F.transform(F.coalesce("r", F.array()), lambda s: F.struct(*[s[c].alias(c) for c in rows.columns]))
+    total = search_count(fct, dc, query, channel).scalar()
+    return arr.select(F.lit(query).alias("query"), F.lit(limit).alias("limit"), total.alias("total_found"), results.alias("results"))
+
+
 # ---------------------------------------------------------------------------
 # N4 visual content
 # ---------------------------------------------------------------------------
@@ -238,6 +255,8 @@ def visual_overall(fid: DataFrame, dc: DataFrame) -> DataFrame:
 
 
 def visual_envelope(fid: DataFrame, dc: DataFrame) -> DataFrame:
+    """N4 response: the totals with one entry per channel in an array. The nested response grows with
+    the channels; ``visual_by_channel`` is the form for very many."""
     per = visual_by_channel(fid, dc)
     arr = per.agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("total_images")).alias("k"), *[F.col(c) for c in per.columns]))).alias("c"))

@@ -1,16 +1,8 @@
-"""Session helpers: creation for tests/bench, checkpoint directory, size-checked broadcast."""
+"""Session for tests and the bench."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A dimension is broadcast only when its materialised row count is at or below this bound.
-# 2M narrow rows stay well under the default 8 GB broadcast cap; beyond it we fall back to a
-# shuffle join (and AQE may still demote it to a broadcast on measured size).
-DIM_BROADCAST_MAX_ROWS = 2_000_000
+from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "chanwh", shuffle_partitions: int = 8) -> SparkSession:
@@ -28,53 +20,9 @@ def get_spark(master: str | None = None, app: str = "chanwh", shuffle_partitions
         # call-site capture for error messages costs Py4J round trips on every Column
         # function call while a plan is built; off for batch runs
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        # reliable checkpoints are files: remove them once nothing references them
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only when none is configured.
-
-    On a cluster the shared folder comes from ``spark.checkpoint.dir``; a machine-local
-    folder is only chosen in local mode (tests), never on a cluster.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="chanwh-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
-                    materialise: bool = True) -> tuple[DataFrame, int]:
-    """Count a small side and broadcast it only when the count is within bound.
-
-    Data-derived sides are materialised first (one reliable checkpoint, then the count reads
-    it); an input that is cheap to evaluate twice (a configuration list) is only counted,
-    with the count itself capped at ``max_rows + 1``. Returns the DataFrame to join
-    (broadcast-hinted or not) and its row count (capped).
-    """
-    m = materialize(df) if materialise else df
-    n = m.limit(max_rows + 1).count()
-    return (F.broadcast(m) if n <= max_rows else m), n

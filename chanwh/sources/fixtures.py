@@ -12,57 +12,53 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanwh.functions import exprs as X
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """A test table. ``heavy`` inputs (per-row CPU work follows, e.g. the text explode) are
-    spread over the cluster when the file has fewer splits than cores.
 
-    The test files are single row groups, so a scan is one task and everything up to the
-    first shuffle would run serially. A lake of many files already has enough splits and
-    is read as is (no extra shuffle); small lookup sides are never spread.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if heavy else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+def fixture_folder(message_id: Column) -> Column:
+    """0 to 19: five ids in a row share one, so that documents (every fifth id) have all of them."""
+    return ((message_id - message_id % 5) / 5).cast("bigint") % 20
 
 
-def fixture_channel(source: Column) -> Column:
-    """Channel display name derived from ``documents.source`` (8 channels, all four types)."""
-    k = F.substring(source, 4, 1_000_000).cast("int") % 5
-    return (F.when(k == 0, "CheMed")
-            .when(k == 1, "Lobelia pharmacy and cosmetics")
-            .when(k == 2, "Tikvah | Pharma")
-            .when(k == 3, " Beauty Hub ")
-            .otherwise(source))
+def fixture_channel(message_id: Column) -> Column:
+    """Channel display name of a message or image (8 channels, all four types), from its id alone,
+    so that every event and every order has one."""
+    k = fixture_folder(message_id)
+    return (F.when(k % 5 == 0, "CheMed")
+            .when(k % 5 == 1, "Lobelia pharmacy and cosmetics")
+            .when(k % 5 == 2, "Tikvah | Pharma")
+            .when(k % 5 == 3, " Beauty Hub ")
+            .otherwise(F.concat(F.lit("src"), k.cast("string"))))
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.channel_messages`` rows: one per document, dated by its event."""
-    d = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "source")
+    """``raw.channel_messages`` rows: one per event, and one per document. A document is the text of
+    the event with five times its id; a document without that event has no date, an event without
+    a document has a short text of its own, a blank one, or none."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    j = d.join(e, e.event_id == d.doc_id * 5)
-    doc = F.col("doc_id")
+    j = e.join(d, e.event_id == d.doc_id * 5, "full_outer").withColumn("mid", F.coalesce("event_id", F.col("doc_id") * 5))
+    mid = F.col("mid")
+    error = F.col("event_type") == "error"
+    own = (F.when(error & (F.col("user_id") % 2 == 0), F.lit("   "))
+           .when(~error, F.concat(F.col("event_type"), F.lit(" by "), F.col("user_id").cast("string"))))
     return j.select(
-        doc.alias("message_id"),
-        fixture_channel(F.col("source")).alias("channel_name"),
+        mid.alias("message_id"),
+        fixture_channel(mid).alias("channel_name"),
         F.col("ts").alias("message_date"),
-        F.when(doc % 41 == 0, F.lit(None).cast("string"))
-         .when(doc % 37 == 0, F.lit("   "))
-         .otherwise(F.col("text")).alias("message_text"),
-        (F.col("event_type") != "error").alias("has_media"),
-        F.when(doc % 2 == 0, F.concat(F.lit("data/raw/images/"), F.col("source"), F.lit("/"),
-                                      doc.cast("string"), F.lit(".jpg")))
-         .when(doc % 3 == 0, F.lit("")).alias("image_path"),
+        F.coalesce(F.col("text"), own).alias("message_text"),
+        (~error).alias("has_media"),
+        F.when(mid % 2 == 0, F.concat(F.lit("data/raw/images/src"), fixture_folder(mid).cast("string"), F.lit("/"),
+                                      mid.cast("string"), F.lit(".jpg")))
+         .when(mid % 3 == 0, F.lit("")).alias("image_path"),
         F.floor(F.col("value")).cast("int").alias("views"),
         F.when(F.col("event_type") == "click", F.col("user_id").cast("int")).alias("forwards"),
-        F.when(doc % 7 == 0, F.lit(None).cast("boolean")).otherwise(doc % 5 == 0).alias("is_reply"),
-        F.when(doc % 5 == 0, doc - 1).alias("reply_to_msg_id"),
+        F.when(mid % 7 == 0, F.lit(None).cast("boolean")).otherwise(mid % 5 == 0).alias("is_reply"),
+        F.when(mid % 5 == 0, mid - 1).alias("reply_to_msg_id"),
         F.col("ts").alias("scraped_at"),
         F.col("ts").alias("loaded_at"),
     )
@@ -108,51 +104,38 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def image_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(message_id, channel_name) of every document: the folder channel of its image."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return d.select(F.col("doc_id").alias("message_id"), fixture_channel(F.col("source")).alias("channel_name"))
-
-
 def channel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes with the channel of their image's folder (inner: images of known documents)."""
-    return boxes(spark, sf_dir).join(image_channels(spark, sf_dir), "message_id")
+    """All boxes with the channel of their image."""
+    return boxes(spark, sf_dir).withColumn("channel_name", fixture_channel(F.col("message_id")))
 
 
 def raw_image_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.image_detections`` rows: per-image rollup of the boxes with a few damaged fields."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source")
-    # only images of known documents survive the inner join below: drop the others before
-    # the per-image aggregation instead of after it (same result, less to aggregate)
-    known = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("message_id"))
-    b = boxes(spark, sf_dir).join(known, "message_id", "left_semi")
+    """``raw.image_detections`` rows: per-image rollup of all boxes with a few damaged fields."""
     # count per (image, class) first, so an image's group holds one entry per distinct class
-    pc = b.groupBy("message_id", "class_name").agg(F.count(F.lit(1)).alias("n"), F.max("confidence").alias("mc"))
+    pc = boxes(spark, sf_dir).groupBy("message_id", "class_name").agg(F.count(F.lit(1)).alias("n"), F.max("confidence").alias("mc"))
     r = pc.groupBy("message_id").agg(
         F.sort_array(F.collect_list(F.struct("class_name", F.col("n").cast("int").alias("n")))).alias("_cls"),
         F.sum("n").cast("int").alias("total_detections"),
         F.max("mc").alias("mc"),
         F.max(F.when(F.col("class_name") == "person", 1).otherwise(0)).alias("hp"),
         F.max(F.when(F.col("class_name").isin("bottle", "cup", "book", "potted plant"), 1).otherwise(0)).alias("ho"),
-    ).withColumn("detected_classes", F.array_join(
-        F.flatten(F.transform("_cls", lambda c: F.array_repeat(c["class_name"], c["n"]))), ", "))
-    e = table(spark, sf_dir, "events").select("event_id", "ts")
-    j = r.join(d, d.doc_id == r.message_id).join(e, e.event_id == d.doc_id * 5)
+    ).withColumn("detected_classes", X.repeated_list("_cls", "class_name", "n"))
     mid = F.col("message_id")
     cat = (F.when(mid % 11 == 0, " Promotional ").when(mid % 13 == 0, "BANNER")
            .when(mid % 17 == 0, F.lit(None).cast("string"))
            .when((F.col("hp") == 1) & (F.col("ho") == 1), "promotional")
            .when(F.col("ho") == 1, "product_display").when(F.col("hp") == 1, "lifestyle").otherwise("other"))
-    return j.select(
+    day = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((mid % 30).cast("int"))
+    return r.select(
         mid.alias("message_id"),
-        fixture_channel(F.col("source")).alias("channel_name"),
+        fixture_channel(mid).alias("channel_name"),
         F.when(mid % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("img")).alias("image_path"),
         "detected_classes",
         F.when(mid % 29 == 0, F.lit(None).cast("int")).otherwise(F.col("total_detections")).alias("total_detections"),
         F.when(mid % 31 == 0, F.lit(None).cast("decimal(5,4)")).otherwise(F.col("mc").cast("decimal(5,4)")).alias("max_confidence"),
         cat.alias("image_category"),
-        F.col("ts").alias("processed_at"),
-        F.col("ts").alias("loaded_at"),
+        day.alias("processed_at"),
+        day.alias("loaded_at"),
     )
 
 
@@ -178,14 +161,21 @@ def channel_config(spark: SparkSession, caps: dict[str, tuple[int | None, int |
     for ch, pat, order in CONFIG_CHANNELS:
         mm, mi = caps.get(ch, (None, None))
         rows.append((ch, pat, order, mi if mi is not None else DEFAULT_MAX_IMAGES, mm))
-    return spark.createDataFrame(
-        rows, "channel string, pattern string, pattern_order int, max_images int, max_messages int")
+    return values(spark, rows, "channel string, pattern string, pattern_order int, max_images int, max_messages int")
+
+
+def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A short fixed list as SQL VALUES: a local relation, whose size the optimizer knows."""
+    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
+    lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "\\'") + "'"
+    table = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in fields)
+    return spark.sql(f"SELECT {cols} FROM VALUES {table} AS t({', '.join(n for n, _ in fields)})")
 
 
 def expected_channels(spark: SparkSession) -> DataFrame:
     rows = [(ch, v) for ch, variants in EXPECTED_CHANNELS for v in variants]
-    return spark.createDataFrame(rows, "expected_channel string, variant string")
-
+    return values(spark, rows, "expected_channel string, variant string")
 
 
 def detection_insert_scenario(r: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,14 +12,16 @@ def _lake_elements(value: Column) -> Column:
     """Array of VARIANT elements of one file's text.
 
     A file is a JSON array of records or a single record; a file that does not parse is
-    skipped as a whole. Files this library writes are JSON Lines (one record per line),
-    recognised by their first character '{' when the whole text is not one JSON value.
+    skipped as a whole. Files this library writes are JSON Lines: they begin with '{' and their
+    first line is a value by itself, with others behind it (as one text, only one of the
+    values would be read).
     """
     doc = F.try_parse_json(value)
     as_list = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
-    lines = F.transform(F.split(value, "\n", -1), lambda ln: F.try_parse_json(ln))
-    return (F.when(doc.isNotNull(), as_list)
-            .when(F.ltrim(value).startswith("{"), lines)
+    lines = F.filter(F.split(value, "\n", -1), lambda ln: F.trim(ln) != "")
+    is_lines = F.ltrim(value).startswith("{") & (F.size(lines) > 1) & F.try_parse_json(F.get(lines, 0)).isNotNull()
+    return (F.when(is_lines, F.transform(lines, lambda ln: F.try_parse_json(ln)))
+            .when(doc.isNotNull(), as_list)
             .otherwise(F.array().cast("array<variant>")))
 
 
@@ -43,11 +45,20 @@ def scan_message_lake(spark: SparkSession, path: str) -> DataFrame:
     """Records of the message lake as strings (coerce with ``coerce.coerce_messages``).
 
     Elements that are not objects are skipped individually; an unparseable file is skipped
-    whole. Each file is one task (a JSON array cannot be split), so files stay day×channel sized.
+    whole. Each file is one task (a JSON array cannot be split), so files stay day×channel sized;
+    ``scan_written_lake`` reads this library's own files without that bound.
     """
     return parse_lake_text(read_lake_files(spark, path))
 
 
+def scan_written_lake(spark: SparkSession, path: str) -> DataFrame:
+    """The lake as ``write_message_lake`` files it: JSON Lines, which a task can read in part, so a
+    large file is no large task. Same columns as ``scan_message_lake``, plus the partition's."""
+    schema = ", ".join(f"{f} string" for f in S.LAKE_FIELDS) + ", dt string, channel string"
+    df = spark.read.schema(schema).json(path)
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
+
+
 def scan_detections_csv(spark: SparkSession, path: str) -> DataFrame:
     """Detection CSV(s) with header, all columns as strings, plus (_file, _pos) order."""
     df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)

@@ -9,41 +9,51 @@ and stops, which makes a daily run (or a re-run after a failure) idempotent.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chanwh import schemas as S
-from chanwh.operators.load import DAY_PARTITION, insert_or_skip, with_day_partition
-from chanwh.session import ensure_checkpoint_dir
+from chanwh.operators.load import DAY_PARTITION, RECORDS_PER_FILE, insert_or_skip, with_day_partition
 from chanwh.sources.coerce import coerce_messages
 from chanwh.sources.lake import parse_lake_text
+from chanwh.sources.tables import ensure_table, partition_values, table_if_present
 
 RAW_COLUMNS = [f.name for f in S.RAW_MESSAGES.fields]
+#: The raw message table as it is stored: by message day.
+STORED_MESSAGES = T.StructType([*S.RAW_MESSAGES.fields, T.StructField(DAY_PARTITION, T.DateType())])
 
 
-def _target(spark: SparkSession, target: str) -> DataFrame:
-    if os.path.exists(target) and any(n.endswith(".parquet") for _, _, fs in os.walk(target) for n in fs):
-        return spark.read.parquet(target)
-    return spark.createDataFrame([], S.RAW_MESSAGES)
-
+def append_messages(spark: SparkSession, records: DataFrame, target: str) -> int:
+    """Insert-or-skip of coerced records into the raw message table at ``target`` (any URI); returns the
+    rows added. The records are parsed once, into a staging table beside the target; only the
+    target's days that the batch has are read."""
+    staging = target.rstrip("/") + "_staging"
+    records.write.mode("overwrite").parquet(staging)
+    batch = spark.read.schema(records.schema).parquet(staging)
+    table = ensure_table(spark, target, STORED_MESSAGES, DAY_PARTITION)
+    before = table.count()
+    new = insert_or_skip(table, batch, S.RAW_MESSAGES_KEY, ["_file", "_pos"],
+                         prune={DAY_PARTITION: partition_values(batch, F.to_date("message_date"))})
+    # gathered by day first: few files for each, however many tasks the batch has
+    (with_day_partition(new.select(*RAW_COLUMNS)).hint("rebalance", DAY_PARTITION).write.mode("append")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy(DAY_PARTITION).parquet(target))
+    return spark.read.schema(STORED_MESSAGES).parquet(target).count() - before
 
-def load_batch(spark: SparkSession, files: DataFrame, target: str) -> None:
-    """Parse one batch of lake files and append its new rows to the target table."""
-    records = coerce_messages(parse_lake_text(files))
-    new = insert_or_skip(_target(spark, target), records, S.RAW_MESSAGES_KEY, ["_file", "_pos"])
-    # partitioned by message day: the next batch's anti join reads only the days it touches
-    with_day_partition(new.select(*RAW_COLUMNS)).write.mode("append").partitionBy(DAY_PARTITION).parquet(target)
 
+def progress_folder(target: str) -> str:
+    """Where the progress of the ingest into ``target`` is kept: beside it, so that it outlives the
+    application and two targets never share it."""
+    return target.rstrip("/") + "_progress"
 
 
 def ingest_increment(spark: SparkSession, source: str, target: str, checkpoint: str | None = None,
                      max_files_per_trigger: int | None = None) -> None:
-    """Run the incremental ingest until every file present in ``source`` is processed."""
-    if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "chanwh-ingest",
-                                  os.path.basename(os.path.normpath(target)))
+    """Run the incremental ingest until every file present in ``source`` is processed. A batch that
+    Spark runs again is recognised by its number, so that rows without a date (whose key never
+    equals a stored one) are not added twice."""
+    checkpoint = checkpoint or progress_folder(target)
+    done = checkpoint.rstrip("/") + "/loaded"
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
@@ -52,7 +62,12 @@ def ingest_increment(spark: SparkSession, source: str, target: str, checkpoint:
     files = reader.load(source).select("value", F.col("_metadata.file_path").alias("_file"))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(batch.sparkSession, batch, target)
+        session = batch.sparkSession
+        loaded = table_if_present(session, done, "epoch bigint")
+        if loaded is not None and not loaded.where(F.col("epoch") == epoch_id).isEmpty():
+            return
+        append_messages(session, coerce_messages(parse_lake_text(batch)), target)
+        session.range(epoch_id, epoch_id + 1).toDF("epoch").coalesce(1).write.mode("append").parquet(done)
 
     q = (files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -54,7 +54,7 @@ def test_quota(spark):
     m = spark.createDataFrame(data, "message_id long, channel_name string, message_date timestamp_ntz, image_path string")
     caps = {"CheMed123": (4, 2), "lobelia4cosmetics": (0, 5), "tikvahpharma": (10, 3)}
     resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, caps))
-    existing = spark.createDataFrame([("tikvahpharma", 2)], "config_channel string, existing int")
+    existing = spark.createDataFrame([("Tikvah", 90), ("Tikvah", 91)], "channel_name string, message_id long")
     q = C.apply_quota(m, resolved, existing)
     got = {}
     for r in q.collect():
@@ -98,6 +98,7 @@ def test_quality_checks_on_fixture(spark):
     res = {r.check_id: r for r in Q.run_checks(tables, as_of="2030-01-01").collect()}
     assert len(res) == 60
     assert all(r.passed for r in res.values()), [k for k, r in res.items() if not r.passed]
+    assert w.stg_messages.count() > 800
     # break things: a NULL key, an orphan date key, a duplicate id and a future message
     bad_fct = w.fct_messages.unionByName(w.fct_messages.limit(1)).unionByName(
         w.fct_messages.limit(1).withColumn("date_key", F.lit(19000101)).withColumn("message_id", F.lit(None).cast("long")))
@@ -122,8 +123,55 @@ def test_existing_images_feed_the_quota(spark, tmp_path):
     m = spark.createDataFrame(_msgs(spark, "CheMed", 5), "message_id long, channel_name string, "
                               "message_date timestamp_ntz, image_path string")
     resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, {"CheMed123": (None, 3)}))
-    folders = LK.images_per_channel(LK.scan_images(spark, str(root)))
-    existing = C.existing_by_config(folders, resolved)
-    assert rows(existing) == [("CheMed123", 2), ("Other", 1)]
-    q = C.apply_quota(m, resolved, existing)
-    assert [r.message_id for r in q.where(F.col("image_downloaded")).collect()] == [5]   # cap 3 − 2 stored
+    stored = LK.parse_image_path(LK.scan_images(spark, str(root)))
+    q = C.apply_quota(m, resolved, stored)
+    # cap 3 less 2 stored: photo 5 uses the last of it
+    assert [r.message_id for r in q.where(F.col("image_downloaded")).collect()] == [5]
+
+
+def photos(spark, data):
+    return spark.createDataFrame(data, "message_id long, channel_name string, message_date timestamp_ntz, image_path string")
+
+
+def quota(spark, m, caps, stored=(), **more):
+    resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, caps))
+    q = C.apply_quota(m, resolved, spark.createDataFrame(list(stored), "channel_name string, message_id long"), **more)
+    return sorted((str(r.channel_name), r.message_id, r.image_downloaded) for r in q.collect())
+
+
+def test_stored_photos_pass_without_using_the_allowance(spark):
+    m = photos(spark, [r for r in _msgs(spark, "CheMed", 5) if r[0] >= 3])
+    caps = {"CheMed123": (None, 3)}
+    assert quota(spark, m, caps, [("CheMed", 5), ("CheMed", 4)]) == [("CheMed", 3, True), ("CheMed", 4, True), ("CheMed", 5, True)]
+    # once the allowance is used up, an older photo is refused although it is stored
+    m = photos(spark, _msgs(spark, "CheMed", 5))
+    assert quota(spark, m, caps, [("CheMed", 5), ("CheMed", 1)]) == [
+        ("CheMed", 1, False), ("CheMed", 2, False), ("CheMed", 3, False), ("CheMed", 4, True), ("CheMed", 5, True)]
+    assert not any(r[2] for r in quota(spark, m, caps, [("CheMed", i) for i in range(3)]))
+
+
+def test_equal_keys_of_two_names_respect_the_caps(spark):
+    m = photos(spark, [(1, "CheMed", T(2024, 1, 1), "a"), (1, "chemed123", T(2024, 1, 1), "b")])
+    assert quota(spark, m, {"CheMed123": (1, 5)}) == [("CheMed", 1, True)]
+    assert quota(spark, m, {"CheMed123": (None, 1)}) == [("CheMed", 1, True), ("chemed123", 1, False)]
+
+
+def test_rows_without_a_channel_have_the_default_cap(spark):
+    data = [(i, None, T(2024, 1, 1) + dt.timedelta(minutes=i), "p") for i in range(C.DEFAULT_MAX_IMAGES + 5)]
+    got = quota(spark, photos(spark, data), {"CheMed123": (2, 1)})
+    assert sum(r[2] for r in got) == C.DEFAULT_MAX_IMAGES and len(got) == len(data)
+    assert not any(r[2] for r in got if r[1] < 5)
+    assert quota(spark, photos(spark, data[:3]), {}, request_limit=2) == [("None", 1, True), ("None", 2, True)]
+
+
+def test_two_configured_names_equal_but_for_case(spark):
+    config = FX.values(spark, [("Abc", "zzz", 2, 5, None), ("aBC", "yyy", 1, 7, None)], "channel string, pattern string, pattern_order int, max_images int, max_messages int")
+    assert rows(C.resolve_channels(names(spark, "abc"), config), "config_channel") == [("aBC",)]
+
+
+def test_summary_per_configured_channel(spark):
+    from chanwh.operators.profile import ingest_summary
+    m = photos(spark, [(1, "CheMed", T(2024, 1, 1), "a"), (2, "chemed123", T(2024, 1, 1), "b"), (3, "chemed123", T(2024, 1, 2), ""), (4, "Other", None, None)])
+    resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, {"CheMed123": (None, 1)}))
+    assert rows(ingest_summary(m, resolved, as_of="2024-01-05")) == [
+        ("CheMed123", 1, 2, 3, 2, 1, 1), ("Other", 1, 1, 1, 0, 1500, 0), (None, 2, 3, 4, 2, 1501, 1)]

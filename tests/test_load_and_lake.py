@@ -88,11 +88,20 @@ def test_lake_writer_merges_partitions(spark, tmp_path):
     again = spark.createDataFrame([(2, "Tikvah | Pharma", "2024-01-01T11:00:00+00:00", "b2"),
                                    (4, "Tikvah | Pharma", "2024-01-01T12:00:00+00:00", "d")],
                                   "message_id long, channel_name string, message_date string, message_text string")
-    existing = LK.scan_message_lake(spark, root)
-    written = L.write_message_lake(again, root, existing=existing, as_of="2024-02-01")
-    assert [r.message_id for r in written.collect()] == [4]
-    back = CO.coerce_messages(LK.scan_message_lake(spark, root))
-    assert rows(back, "message_id", "message_text") == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    assert L.write_message_lake(again, root, merge=True, as_of="2024-02-01") == 1
+    for scan in (LK.scan_message_lake, LK.scan_written_lake):
+        back = CO.coerce_messages(scan(spark, root))
+        assert rows(back, "message_id", "message_text") == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_lake_merge_reads_the_batch_days_and_writes_few_files(spark, tmp_path):
+    root = "file://" + str(tmp_path / "lake")
+    schema = "message_id long, channel_name string, message_date string, message_text string"
+    recs = spark.createDataFrame([(i, "A", f"2024-01-{1 + i % 4:02d}T10:00:00", "x") for i in range(400)], schema)
+    assert L.write_message_lake(recs.repartition(16), root) == 400
+    assert L.write_message_lake(recs.repartition(16), root, merge=True) == 0
+    files = [f for _, _, fs in os.walk(tmp_path / "lake") for f in fs if f.endswith(".json")]
+    assert len(files) <= 8
 
 
 def test_image_lake(spark, tmp_path):

@@ -27,13 +27,18 @@ def msgs(spark, n=40):
         "message_id long, channel_name string, message_date timestamp_ntz, image_path string")
 
 
-def test_quota_window_is_limited_before_the_shuffle(spark):
-    m = msgs(spark).withColumn("config_channel", F.col("channel_name")).withColumn("cap", F.lit(3))
-    p = plan(C._kth_newest(m, "config_channel", "cap", 1500))
-    first_limit = p.index("WindowGroupLimit")
-    # the partial limit sits below the exchange (printed later = deeper in the tree)
-    assert p.count("WindowGroupLimit") == 2
-    assert "Exchange hashpartitioning(config_channel" in p[first_limit:]
+def test_quota_ranks_a_channel_day_by_day(spark):
+    """No window sorts the rows of a whole channel: rows are ranked within (channel, day); only the
+    day counts are taken together by channel."""
+    m = msgs(spark).withColumn("config_channel", F.col("channel_name"))
+    p = plan(C._ranked(m, 1500))
+    windows = [line for line in p.splitlines() if "Window [" in line]
+    assert len(windows) == 2
+    assert sum("row_number" in line and "config_channel" in line and "_day" in line for line in windows) == 1
+    assert sum("sum(" in line and "_c" in line for line in windows) == 1
+    ranks = {(r.channel_name, r.message_id): r._rn for r in C._ranked(m, 7).collect()}
+    hot = sorted((r.message_id for r in msgs(spark).where("channel_name = 'hot'").collect()), reverse=True)
+    assert [i for (c, i), _ in sorted(ranks.items(), key=lambda x: x[1]) if c == "hot"] == hot[:7]
 
 
 def test_first_wins_dedupe_aggregates_map_side(spark):
@@ -53,23 +58,81 @@ def test_top_terms_plan(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_fact_joins_broadcast_sized_dimensions(spark):
+def test_fact_joins_broadcast_small_dimensions_at_run_time(spark):
     r = raw(spark, [dict(message_id=i, channel_name=f"c{i % 3}", message_date=dt.datetime(2024, 1, 1 + i % 4),
                          message_text="x") for i in range(12)])
-    w = M.warehouse(r)
-    assert w.n_channels == 3 and w.n_dates == 4
-    p = plan(w.fct_messages)
-    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+    df = M.warehouse(r).fct_messages
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in final
+
+
+KEYS = ["message_id", "channel_name", "message_date"]
 
 
 def test_insert_target_is_partition_pruned(spark, tmp_path):
-    """A day-partitioned target is read only for the batch's days (partition filter on dt)."""
-    keys = ["message_id", "channel_name", "message_date"]
+    """A day-partitioned target is read only for the batch's days, also when one row is late."""
+    from chanwh.sources.tables import partition_values
     target_path = str(tmp_path / "raw")
-    old = msgs(spark).select(*keys)
+    old = msgs(spark).select(*KEYS).unionByName(msgs(spark).select(*KEYS).withColumn("message_date", F.expr("message_date + interval 9 days")))
     L.with_day_partition(old).write.partitionBy(L.DAY_PARTITION).parquet(target_path)
     target = spark.read.parquet(target_path)
-    batch = msgs(spark, 5).select(*keys).withColumn("seq", F.lit(0))
-    p = plan(L.insert_or_skip(target, batch, keys, ["seq"]))
-    part_filters = p.split("PartitionFilters:")[1].split("PushedFilters")[0]
-    assert ">= cast(Subquery" in part_filters and "dt#" in part_filters    # batch's first day, at run time
+    late = msgs(spark, 1).select(*KEYS).withColumn("message_date", F.lit("2019-05-01").cast("timestamp_ntz"))
+    batch = msgs(spark, 5).select(*KEYS).unionByName(late).withColumn("seq", F.lit(0))
+    days = partition_values(batch, F.to_date("message_date"))
+    assert sorted(map(str, days)) == ["2019-05-01", "2024-01-01"]
+    p = plan(L.insert_or_skip(target, batch, KEYS, ["seq"], prune={"dt": days}))
+    filters = p.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "dt#" in filters and "2019-05-01" in filters and "2024-01-01" in filters and ">=" not in filters
+
+
+def test_insert_evaluates_the_batch_once(spark, tmp_path):
+    path = str(tmp_path / "b")
+    msgs(spark).select(*KEYS).withColumn("seq", F.lit(0)).write.parquet(path)
+    target = spark.createDataFrame([], "message_id long, channel_name string, message_date timestamp_ntz")
+    assert plan(L.insert_or_skip(target, spark.read.parquet(path), KEYS, ["seq"])).count("FileScan parquet") == 1
+
+
+SF001 = "/root/testdata/sf0.001"
+
+
+def test_queries_read_pruned_parquet(spark):
+    from chanwh import catalog
+    for name in ("top_terms", "valid_usernames", "dim_dates", "visual_by_channel", "quality_report", "dup_raw", "box_rollup"):
+        p = plan(catalog.QUERIES[name](spark, SF001))
+        assert "FileScan parquet" in p and "ExistingRDD" not in p and "CartesianProduct" not in p, name
+    p = plan(catalog.QUERIES["valid_usernames"](spark, SF001))
+    assert "text" not in p                                     # no message body is read for the names
+    p = plan(catalog.QUERIES["detection_profile"](spark, SF001))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in p or "l_quantity" not in p
+    p = plan(catalog.QUERIES["search_count"](spark, SF001))
+    assert "PushedFilters: [" in p
+
+
+def test_whole_tables_reach_the_raw_layer(spark):
+    from chanwh.sources import fixtures as FX
+    table = lambda n: FX.table(spark, SF001, n)
+    raw_m, docs = FX.raw_messages(spark, SF001), table("documents")
+    assert raw_m.where(F.col("message_date").isNotNull()).count() == table("events").count()
+    have = {r.message_text for r in raw_m.select("message_text").collect()}
+    assert {r.text for r in docs.select("text").collect()} <= have
+    det = FX.raw_image_detections(spark, SF001)
+    assert FX.channel_boxes(spark, SF001).count() == table("lineitem").count()
+    assert det.count() == table("lineitem").select("l_orderkey").distinct().count()
+    boxes = det.select(F.size(F.split("detected_classes", ", ")).alias("n")).agg(F.sum("n")).first()[0]
+    assert boxes == table("lineitem").count()
+
+
+def test_cross_channel_lists_are_built_after_the_limit(spark):
+    from chanwh.operators import profile as P
+    p = plan(P.dup_cross_channel(msgs(spark)))
+    lists, top = p.index("collect_set"), p.index("TakeOrderedAndProject")
+    assert p.rindex("TakeOrderedAndProject") > lists >= 0 and top >= 0
+
+
+def test_terms_are_exploded_once_for_rows_and_totals(spark):
+    from chanwh import catalog
+    df = catalog.QUERIES["top_terms_envelope"](spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final or "ReusedSubquery" in final

@@ -62,7 +62,72 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert counts["fct_messages"] == 8 and counts["fct_image_detections"] == 2
     assert counts["dim_dates"] == 2 and counts["checks_failed"] == {}
     again = run_pipeline(spark, PipelineConfig(lake=lake, out=out, boxes=boxes, as_of="2030-01-01"))
-    assert again["messages_loaded"] == 8 and again["detections_loaded"] == 2     # insert-or-skip
+    assert again["messages_loaded"] == 0 and again["detections_loaded"] == 0     # insert-or-skip
+    assert again["fct_messages"] == 8 and again["fct_image_detections"] == 2
+
+
+def test_pipeline_on_uris_twice_without_detections(spark, tmp_path):
+    from chanwh.plans.models import layer_listing, open_warehouse
+    lake, out = str(tmp_path / "lake"), "file://" + str(tmp_path / "wh")
+    drop(lake, "2024-01-01", "CheMed", [rec(i) for i in range(1, 6)])
+    for loaded in (5, 0):
+        counts = run_pipeline(spark, PipelineConfig(lake="file://" + lake, out=out, as_of="2030-01-01"))
+        assert counts["messages_loaded"] == loaded and counts["fct_messages"] == 5 and counts["fct_image_detections"] == 0
+    w = open_warehouse(spark, out)
+    assert w.fct_messages.count() == 5 and w.fct_image_detections.count() == 0
+    boxes = spark.createDataFrame([("CheMed", 2, "person", 0.9)], "channel_name string, message_id long, class_name string, confidence double")
+    assert run_pipeline(spark, PipelineConfig(lake=lake, out=out, boxes=boxes, as_of="2030-01-01"))["fct_image_detections"] == 1
+    assert open_warehouse(spark, out).fct_image_detections.count() == 1
+    listing = {(r.layer, r.table_name): (r.status, r.row_count) for r in layer_listing(spark, out).collect()}
+    assert listing["marts", "fct_messages"] == ("present", 5) and listing["raw", "image_detections"] == ("present", 1)
+    build = str(tmp_path / "other")
+    from chanwh.plans.models import build_warehouse
+    build_warehouse(spark, spark.read.parquet(os.path.join(out, "raw", "channel_messages")), None, build)
+    listing = {(r.layer, r.table_name): (r.status, r.row_count) for r in layer_listing(spark, build).collect()}
+    assert listing["marts", "fct_image_detections"] == ("missing", None) and listing["raw", "channel_messages"] == ("missing", None)
+
+
+def test_pipeline_on_an_empty_lake(spark, tmp_path):
+    os.makedirs(tmp_path / "lake")
+    counts = run_pipeline(spark, PipelineConfig(lake=str(tmp_path / "lake"), out=str(tmp_path / "wh"), as_of="2030-01-01"))
+    assert counts["messages_loaded"] == 0 and counts["fct_messages"] == 0 and counts["dim_dates"] == 0
+
+
+def test_ingest_progress_outlives_the_session(spark, tmp_path):
+    """Two sessions, a URI target, no progress folder given: nothing is read or added twice, also no
+    row without a date."""
+    lake, tgt = str(tmp_path / "lake"), "file://" + str(tmp_path / "t")
+    nodate = {**rec(7), "message_date": None}
+    drop(lake, "2024-01-01", "CheMed", [rec(1), nodate])
+    ingest_increment(spark, lake, tgt)
+    other = spark.newSession()
+    ingest_increment(other, lake, tgt)
+    assert [r[0] for r in table_rows(other, tgt)] == [1, 7]
+    drop(lake, "2024-01-02", "CheMed", [rec(1), rec(2)])
+    ingest_increment(other, lake, tgt)
+    assert [r[0] for r in table_rows(spark, tgt)] == [1, 2, 7]
+    assert os.path.isdir(str(tmp_path / "t") + "_progress")
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    import shutil
+    lake, tgt = str(tmp_path / "lake"), str(tmp_path / "t")
+    drop(lake, "2024-01-01", "CheMed", [{**rec(7), "message_date": None}])
+    ingest_increment(spark, lake, tgt)
+    for name in ("0", ".0.crc"):                                            # as if Spark died before its commit
+        shutil.move(f"{tgt}_progress/commits/{name}", str(tmp_path / f"lost{name}"))
+    ingest_increment(spark, lake, tgt)
+    assert len(table_rows(spark, tgt)) == 1
+
+
+def test_marts_are_written_in_few_files(spark, tmp_path):
+    import datetime as dt
+    from chanwh.plans.models import build_warehouse
+    from tests.test_models import raw
+    r = raw(spark, [dict(message_id=i, channel_name="A", message_date=dt.datetime(2024, 1, 1 + i % 8), message_text="x") for i in range(320)])
+    build_warehouse(spark, r.repartition(32), None, str(tmp_path / "wh"))
+    files = [f for _, _, fs in os.walk(tmp_path / "wh" / "marts" / "fct_messages") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 16
 
 
 def test_entry_runs(spark):
@@ -96,7 +161,7 @@ def test_channel_filter_reaches_fact_scan(spark, tmp_path):
     out = str(tmp_path / "wh")
     build_warehouse(spark, FX.raw_messages(spark, SF001), None, out)
     w = open_warehouse(spark, out)
-    assert w.fct_image_detections is None and w.n_channels == 8
+    assert w.fct_image_detections is None and w.dim_channels.count() == 8
     daily = R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, "CheMed", 30, "2024-01-31")
     import contextlib
     import io
@@ -148,6 +213,9 @@ def test_envelopes_match_their_rows(spark):
     assert [(p.term, p.frequency, p.percentage) for p in env.products] == top
     assert env.limit == catalog.TOP_LIMIT
     assert env.total_terms == q["top_terms_total"](spark, sf).first().total_terms
+    env = q["search_envelope"](spark, sf).first()
+    assert [tuple(r) for r in env.results] == [tuple(r) for r in q["search_messages"](spark, sf).collect()]
+    assert env.total_found == q["search_count"](spark, sf).first().total_found
     vis = [tuple(r) for r in q["visual_by_channel"](spark, sf).collect()]
     venv = q["visual_envelope"](spark, sf).first()
     assert [tuple(c) for c in venv.channels] == vis
