@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chanwh.llm.shared import small as small_up_to
 from chanwh.llm.shared import written
 
 WORDS = 5
@@ -85,11 +86,6 @@ def changes(radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(min(width, radius // BLOCKS) + 1) for bits in itertools.combinations(range(width), n)]
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast if the written ``df`` has at most BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item found in it: id, item id, ``similarity`` of the most similar
@@ -99,6 +95,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     with the same id the most similar window counts; equal items are found each; null ids are ids
     like others. Empty tables: no rows.
     """
+    small = lambda df: small_up_to(df, BROADCAST_ROWS)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).withColumn("no", F.monotonically_increasing_id())
     items = written(with_shingles(items, "text").withColumn("size", F.size("sh")), "items").where(F.col("size") > 0)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64("text"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanwh.llm.components import connected_components
-from chanwh.llm.shared import text_or_empty, written
+from chanwh.llm.shared import small, text_or_empty, written
 
 WORDS = 5
 TREES, DEPTH, RECALL = 24, 8, 0.999
@@ -276,7 +276,7 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_i
     units = units.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     units = written(units.join(copies.hint("merge"), "row"), "grouped")
     wanted = units.select("row", "id", "digest", "copies", "component", "block", "blocks")
-    wanted = F.broadcast(wanted) if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else wanted
+    wanted = small(wanted, BROADCAST_ROWS)
     found = texts.withColumnRenamed("id", "text_id").join(wanted, (F.col("text_id").eqNullSafe(F.col("id"))) & (texts["digest"] == wanted["digest"]))
     found = found.select("row", "component", "block", "blocks", "copies", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     found = found.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")})
