@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanwh.llm.ngram_join import BASE, Powers, mix
-from chanwh.llm.shared import text_or_empty, written
+from chanwh.llm.shared import small, text_or_empty, written
 from chanwh.llm.suffix_sort import deep_shallow_sort
 
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM
 #: Anchors of a bucket, runs of one sort, surroundings of a string that one sort takes, surroundings
-#: within a batch from which a string is spread, and rows of a side that is broadcast.
-BUCKET, SORTED, HOT, SPREAD, BROADCAST_ROWS = 500_000, 20_000, 50_000, 64, 400_000
+#: within a batch from which a string is spread, and rows (id and hash) of a side that is broadcast.
+BUCKET, SORTED, HOT, SPREAD, BROADCAST_ROWS = 250_000, 20_000, 50_000, 64, 400_000
 #: Bytes whose hashes are in memory at once.
 STEP = 1 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -134,7 +134,7 @@ def pack_runs(buckets: int):
                 runs["lo"], runs["hi"] = at - last, at - first
                 found.append(runs)
                 size += len(runs)
-                if size > 2 * BUCKET:
+                if size > BUCKET:
                     yield flush(found)
                     found, size = [], 0
         if size:
@@ -244,12 +244,6 @@ def remove_windows(text: bytes, spans: list) -> tuple[int, int, str]:
     return sum(b - a for a, b in joined), len(joined), rest.hexdigest()
 
 
-def with_text(texts: DataFrame, lists: DataFrame) -> DataFrame:
-    """``texts`` that ``lists`` (one row for each id and t) has; broadcast only if those are few."""
-    lists = F.broadcast(lists) if lists.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lists
-    return texts.join(lists, ["id", "t"])
-
-
 def own_id(id_col: str) -> Column:
     """Integer ids; null counts as larger than any."""
     return F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NO_ID)))
@@ -271,8 +265,7 @@ def deduplicate_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      .withColumnsRenamed({"id": "first_id", "row": "first_row"}), "firsts")
     judged = written(base.join(firsts.hint("merge"), "digest"), "judged")
     copies = judged.where(F.col("id") != F.col("first_id")).select("id", "t").distinct()
-    copies = written(copies, "copies")
-    copies = F.broadcast(copies) if copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else copies
+    copies = small(written(copies, "copies"), BROADCAST_ROWS)
     texts = all_texts.join(copies, ["id", "t"], "left_anti")
 
     buckets = max(1, -(-(base.agg(F.sum("n_bytes")).first()[0] or 0) // (BUCKET * GRAM)))
@@ -292,7 +285,7 @@ def deduplicate_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 rows += [(i, t, r["h"], r["at"], r["first"], r["last"], r["hot"], data[r["first"]:r["last"] + LENGTH]) for r in runs]
             yield pd.DataFrame(rows, columns=["id", "t", "h", "at", "first", "last", "hot", "bytes"])
 
-    supplied = with_text(texts, lists).mapInPandas(supply, "id bigint, t bigint, h bigint, at int, first int, last int, hot boolean, bytes binary")
+    supplied = texts.join(lists, ["id", "t"]).mapInPandas(supply, "id bigint, t bigint, h bigint, at int, first int, last int, hot boolean, bytes binary")
     supplied = written(supplied, "supplied")
     cool = supplied.where("not hot")
     bins = max(1, -(-cool.count() // SORTED))
@@ -312,7 +305,7 @@ def deduplicate_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"id": batch["id"], "t": batch["t"], "n_removed": [m[0] for m in made], "n_spans": [m[1] for m in made],
                                 "kept_sha256": [m[2] for m in made]})
 
-    changed = with_text(texts, spans).mapInPandas(rest, "id bigint, t bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    changed = texts.join(spans, ["id", "t"]).mapInPandas(rest, "id bigint, t bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     changed = written(changed.dropDuplicates(["id", "t"]), "changed")
     rows = judged.join(changed, ["id", "t"], "left")
     copy = (F.col("row") != F.col("first_row")) & (F.col("n_bytes") >= LENGTH)
