@@ -392,7 +392,7 @@ def q_dup_cross_channel(spark, sf_dir):
 QUALITY_AS_OF = "2024-01-15 12:00:00"
 
 
-@register("quality_report", O.with_ctes(O.quality_sql(Q.ALL_CHECKS, QUALITY_AS_OF), "fct_messages",
+@register("quality_report", O.with_ctes(O.quality_sql(QUALITY_AS_OF), "fct_messages",
                                         "fct_image_detections"))
 def q_quality_report(spark, sf_dir):
     w = warehouse(spark, sf_dir, detections=True)

@@ -237,55 +237,77 @@ def terms_cte(min_length: int) -> str:
 
 
 # ---------------------------------------------------------------------------
-# Quality checks in SQL (same check list as ``operators.quality``)
+# Quality checks in SQL: the fixed list, one line per kind and table
 # ---------------------------------------------------------------------------
 CHECK_TABLE_CTE = {"stg_channel_messages": "stg_messages", "stg_image_detections": "stg_detections"}
+CHECKS = """
+not_null stg_channel_messages message_id channel_name message_date message_text message_length view_count forward_count
+not_null stg_image_detections message_id channel_name image_category total_detections max_confidence
+accepted_values stg_image_detections image_category promotional,product_display,lifestyle,other
+unique dim_channels channel_key channel_name
+not_null dim_channels channel_key channel_name channel_type first_post_date last_post_date total_posts avg_views
+accepted_values dim_channels channel_type Pharmaceutical,Cosmetics,Medical,Other
+accepted_range dim_channels total_posts 0 -
+accepted_range dim_channels avg_views 0 -
+unique dim_dates date_key full_date
+not_null dim_dates date_key full_date day_of_week year month is_weekend
+not_null fct_messages message_id channel_key date_key message_text message_length view_count forward_count has_image
+relationships fct_messages channel_key dim_channels
+relationships fct_messages date_key dim_dates
+unique_combination fct_messages message_id channel_key
+not_null fct_image_detections message_id channel_key date_key image_category total_detections max_confidence view_count
+relationships fct_image_detections channel_key dim_channels
+relationships fct_image_detections date_key dim_dates
+accepted_values fct_image_detections image_category promotional,product_display,lifestyle,other
+accepted_range fct_image_detections total_detections 0 -
+accepted_range fct_image_detections max_confidence 0 1
+unique_combination fct_image_detections message_id channel_key
+assert_no_future_messages stg_channel_messages message_date
+assert_positive_views stg_channel_messages view_count
+assert_valid_date_range stg_channel_messages message_date_only
+"""
 
 
 def _tbl(name: str) -> str:
     return CHECK_TABLE_CTE.get(name, name)
 
 
-def check_failures_sql(c, as_of: str) -> str:
-    t = _tbl(c.table)
-    col = c.columns[0]
-    if c.kind == "not_null":
-        return f"(select count(*) from {t} where {col} is null)"
-    if c.kind == "accepted_range":
-        conds = []
-        if c.lo is not None:
-            conds.append(f"{col} >= {c.lo}")
-        if c.hi is not None:
-            conds.append(f"{col} <= {c.hi}")
-        return f"(select count(*) from {t} where not ({' and '.join(conds)}))"
-    if c.kind == "accepted_values":
-        return f"(select count(distinct {col}) from {t} where {col} not in {qlist(c.values)})"
-    if c.kind == "unique":
-        return f"(select count(*) from (select {col} from {t} where {col} is not null group by {col} having count(*) > 1) u)"
-    if c.kind == "unique_combination":
-        cols = ", ".join(c.columns)
-        return f"(select count(*) from (select {cols} from {t} group by {cols} having count(*) > 1) u)"
-    if c.kind == "relationships":
-        pt, pc = c.to
-        return (f"(select count(*) from {t} ch where ch.{col} is not null and not exists "
-                f"(select 1 from {_tbl(pt)} p where p.{pc} = ch.{col}))")
-    if c.name == "assert_no_future_messages":
-        ts = f"timestamp '{as_of}'"
-        return f"(select count(*) from {t} where message_date > {ts} or message_date_only > cast({ts} as date))"
-    if c.name == "assert_positive_views":
-        return f"(select count(*) from {t} where view_count < 0)"
-    if c.name == "assert_valid_date_range":
-        return (f"(select count(*) from {t} where message_date_only < date '2020-01-01' "
-                f"or message_date_only > date '2030-12-31')")
-    raise ValueError(c.kind)
-
-
-def quality_sql(checks, as_of: str) -> str:
+def quality_sql(as_of: str) -> str:
+    """One row per check: id, table, columns, failures, passed."""
     rows = []
-    for c in checks:
-        f = check_failures_sql(c, as_of)
-        rows.append(f"select {q(c.check_id)} as check_id, {q(c.table)} as table_name, "
-                    f"{q(','.join(c.columns))} as column_name, cast({f} as bigint) as failures, {f} = 0 as passed")
+
+    def add(check_id: str, table: str, columns: list[str], failures: str) -> None:
+        rows.append(f"select {q(check_id)} as check_id, {q(table)} as table_name, {q(','.join(columns))} as column_name, "
+                    f"cast({failures} as bigint) as failures, {failures} = 0 as passed")
+
+    for kind, table, *rest in (line.split() for line in CHECKS.strip().splitlines()):
+        t, col = _tbl(table), rest[0]
+        if kind == "not_null":
+            for c in rest:
+                add(f"{kind}__{table}__{c}", table, [c], f"(select count(*) from {t} where {c} is null)")
+        elif kind == "unique":
+            for c in rest:
+                add(f"{kind}__{table}__{c}", table, [c],
+                    f"(select count(*) from (select {c} from {t} where {c} is not null group by {c} having count(*) > 1) u)")
+        elif kind == "accepted_range":
+            conds = [f"{col} {op} {v}" for op, v in ((">=", rest[1]), ("<=", rest[2])) if v != "-"]
+            add(f"{kind}__{table}__{col}", table, [col], f"(select count(*) from {t} where not ({' and '.join(conds)}))")
+        elif kind == "accepted_values":
+            add(f"{kind}__{table}__{col}", table, [col], f"(select count(distinct {col}) from {t} where {col} not in {qlist(rest[1].split(','))})")
+        elif kind == "unique_combination":
+            cols = ", ".join(rest)
+            add(f"{kind}__{table}__{'__'.join(rest)}", table, rest,
+                f"(select count(*) from (select {cols} from {t} group by {cols} having count(*) > 1) u)")
+        elif kind == "relationships":
+            add(f"{kind}__{table}__{col}", table, [col], f"(select count(*) from {t} ch where ch.{col} is not null and not exists "
+                f"(select 1 from {_tbl(rest[1])} p where p.{col} = ch.{col}))")
+        else:
+            failing = {
+                "assert_no_future_messages": f"message_date > timestamp '{as_of}' or message_date_only > cast(timestamp '{as_of}' as date)",
+                "assert_positive_views": "view_count < 0",
+                "assert_valid_date_range": "message_date_only < date '2020-01-01' or message_date_only > date '2030-12-31'",
+            }[kind]
+            add(kind, table, [col], f"(select count(*) from {t} where {failing})")
     return "\nunion all ".join(rows)
 
 
