@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     only where it is unset and Spark runs in one process (tests), never on a cluster."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="chanwh-llm-")
         spark.conf.set("spark.checkpoint.dir", conf)
@@ -49,8 +49,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-#: Rows of a narrow side (ids and hashes, under 100 bytes each) that may be broadcast.
-BROADCAST_ROWS = 500_000
+#: Rows of a narrow side (ids and hashes, under 300 bytes each in memory) that may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -62,7 +62,8 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: Column, id_col: str =
     """The rows of ``docs`` that ``decisions`` keep, with all their columns. A decision (id, key, kept) stands
     for one row; ``key`` is what an operator can tell about a row besides its id. Of rows that are
     the same to the operator and of which it keeps some but not all, one stays."""
-    per = decisions.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")).where("k < n")
+    # written first: what decided by key is not taken together by key again, so its join can be split
+    per = written(decisions, "judged").groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")).where("k < n")
     per = written(per.select(F.col("id").alias("__llm_id"), F.col("key").alias("__llm_key"), F.col("k").alias("__llm_kept")), "decisions")
     marked = docs.withColumn("__llm_own", key)
     marked = marked.join(small(per), marked[id_col].eqNullSafe(per["__llm_id"]) & (marked["__llm_own"] == per["__llm_key"]), "left")
