@@ -255,8 +255,8 @@ def read_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Da
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             skeletons, nodes, texts = [], [], []
-            for html in batch.column("html").to_pylist():
-                skeleton, blocks = read_page(html)
+            for html in batch.column("html"):
+                skeleton, blocks = read_page(html.as_py())
                 blocks = content_blocks(blocks)
                 skeletons.append(skeleton)
                 nodes.append([b[0] for b in blocks])

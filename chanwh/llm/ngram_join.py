@@ -32,8 +32,8 @@ WORDS = 5
 TREES, DEPTH, RECALL = 24, 8, 0.999
 #: Texts of a bucket that are compared with each other, and of a block that is verified.
 BLOCK = 256
-#: Rows of one Python call, and rows of a side that is broadcast (40 bytes each).
-BUCKET_ROWS, UNIT_ROWS, BROADCAST_ROWS = 20_000, 1_500, 500_000
+#: Rows of one Python call, and rows of a side that is broadcast (under 300 bytes each).
+BUCKET_ROWS, UNIT_ROWS, BROADCAST_ROWS = 20_000, 1_500, 200_000
 #: Words hashed at a time: bounds the memory of a very long text.
 CHUNK = 20_000
 
@@ -114,8 +114,8 @@ def signatures(rows: DataFrame, depth: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, low_bytes, keys = [], [], []
-            for text in batch.column("text").to_pylist():
-                shingles = shingle_hashes(text)
+            for text in batch.column("text"):  # one text at a time is a Python string
+                shingles = shingle_hashes(text.as_py())
                 low = signature(shingles)
                 n.append(len(shingles))
                 low_bytes.append((low & np.uint32(255)).astype(np.uint8).tobytes())

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,12 +63,12 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, ranks: str | None, pattern
     document's first piece has what its whole pieces leave over."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder(vocabulary, ranks, pattern), np.array([end_id], dtype="<u4")
         for batch in batches:
             at, number, starts, lengths, crcs = [], [], [], [], []
-            for k, text in enumerate(batch["text"]):
-                ids = np.concatenate([encoder.ids(text), end])
+            for k, text in enumerate(batch.column("text")):  # one text at a time is a Python string
+                ids = np.concatenate([encoder.ids(text.as_py()), end])
                 cuts = [0, *range(len(ids) % length or length, len(ids), length), len(ids)]
                 for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     at.append(k)
@@ -75,10 +76,11 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, ranks: str | None, pattern
                     starts.append(a)
                     lengths.append(b - a)
                     crcs.append(zlib.crc32(ids[a:b].tobytes()))
-            yield pd.DataFrame({"id": batch["id"].take(at).reset_index(drop=True), "piece": number, "start": starts, "length": lengths, "ids_crc32": crcs})
+            numbers = [pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs))]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int64())), *numbers], names=["id", "piece", "start", "length", "ids_crc32"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(encode, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return rows.mapInArrow(encode, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,8 +106,8 @@ def pack_runs(buckets: int):
     """Batches of texts to (bucket, runs, gone): packed runs for the bucket, and windows already
     known to be repeats, which only pass through."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def flush(found: list[np.ndarray]) -> pd.DataFrame:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(found: list[np.ndarray]) -> pa.RecordBatch:
             runs, gone = split_equal_runs(np.concatenate(found))
             sizes = np.diff(np.append(np.flatnonzero(changes(runs["h"])), len(runs)))
             often = np.repeat(sizes, sizes) >= SPREAD
@@ -121,14 +122,14 @@ def pack_runs(buckets: int):
             by = np.argsort(through, kind="stable")
             gone, through = gone[by], through[by].astype(np.int64)
             targets = np.union1d(to, through)
-            return pd.DataFrame({"bucket": targets,
-                                 "runs": [columns(runs[a:b]) for a, b in zip(np.searchsorted(to, targets), np.searchsorted(to, targets, "right"))],
-                                 "gone": [columns(gone[a:b]) for a, b in zip(np.searchsorted(through, targets), np.searchsorted(through, targets, "right"))]})
+            parts = [[columns(rows[a:b]) for a, b in zip(np.searchsorted(keys, targets), np.searchsorted(keys, targets, "right"))]
+                     for rows, keys in ((runs, to), (gone, through))]
+            return pa.RecordBatch.from_arrays([pa.array(targets, pa.int64()), *(pa.array(p, pa.binary()) for p in parts)], names=["bucket", "runs", "gone"])
 
         found, size = [], 0
         for batch in batches:
-            for i, t, text in zip(batch["id"].tolist(), batch["t"].tolist(), batch["text"]):
-                at, h, first, last, around = runs_of(text.encode("utf-8", "surrogatepass"))
+            for i, t, text in zip(batch.column("id").to_pylist(), batch.column("t").to_pylist(), batch.column("text")):
+                at, h, first, last, around = runs_of(text.as_buffer().to_pybytes())
                 runs = np.zeros(len(at), RUN)
                 runs["h"], runs["c"], runs["id"], runs["t"], runs["at"] = h.view(np.int64), around.view(np.int64), i, t, at
                 runs["lo"], runs["hi"] = at - last, at - first
@@ -269,7 +270,7 @@ def deduplicate_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = all_texts.join(copies, ["id", "t"], "left_anti")
 
     buckets = max(1, -(-(base.agg(F.sum("n_bytes")).first()[0] or 0) // (BUCKET * GRAM)))
-    packed = texts.mapInPandas(pack_runs(buckets), "bucket bigint, runs binary, gone binary")
+    packed = texts.mapInArrow(pack_runs(buckets), "bucket bigint, runs binary, gone binary")
     settled = written(packed.groupBy("bucket").applyInPandas(lambda b: settle_bucket(b), SETTLED), "settled")
 
     opened = settled.where("not settled").select("h", "id", "t", "at", "first", "last")

@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ MARK = "▁"
 #: Candidates for characters that stand alone; each is checked against the vocabulary.
 ALONE = "\n\t\r"
 #: Merged pre-tokens that a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def load(model: str):
@@ -95,20 +95,20 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     pattern = pretoken_pattern(processor)
     table = spark.sparkContext.broadcast(whole_tokens(processor) if pattern else {})  # at most the vocabulary
 
-    @F.pandas_udf("long")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         library = load(model)
-        if pattern is None:
-            for texts in batches:
-                yield pd.Series([len(library.encode(t)) for t in texts])
-            return
-        counts, cut = Counter(library, table.value), re.compile(pattern).findall
+        counts = Counter(library, table.value)
+        cut = re.compile(pattern).findall if pattern else None
+
+        def count(t: str) -> int:
+            if cut is None or MARK in t:
+                return len(library.encode(t))
+            counts.shrink()
+            return sum(map(counts.__getitem__, cut(" " + t))) if t else 0
+
         for texts in batches:
-            n = []
-            for t in texts:
-                n.append(len(library.encode(t)) if MARK in t else sum(map(counts.__getitem__, cut(" " + t))) if t else 0)
-                counts.shrink()
-            yield pd.Series(n, dtype="int64")
+            yield pa.array([count(t.as_py()) for t in texts], pa.int64())
 
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), tokens(text).alias("n_tokens"))

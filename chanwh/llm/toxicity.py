@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ EXAMPLES, FEATURES, NEIGHBOURS = 2500, 4096, 15
 LEAST_EXAMPLES, LEAST_RATIO = 4, 25.0
 BEGINNINGS = (4, 5, 6)
 BLOCK = 64
+#: Words whose features a Python worker remembers.
+REMEMBERED = 100_000
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -59,7 +62,7 @@ class Known(dict):
         self.numbers = numbers
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         self[word] = found = tuple(self.numbers[f] for f in features_of(word) if f in self.numbers)
         return found
@@ -99,19 +102,20 @@ def vectors(docs: DataFrame, features: list[str]) -> DataFrame:
     spark = docs.sparkSession
     numbers = spark.sparkContext.broadcast({f: k for k, f in enumerate(features)})  # FEATURES entries at most
 
-    @F.pandas_udf("terms array<int>, counts array<int>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<terms: array<int>, counts: array<int>>")
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Known(numbers.value)
         for texts in batches:
             terms, counts = [], []
-            for text in texts:
+            for text in texts:  # one text at a time is a Python string
                 found: Counter = Counter()
-                for numbers_of in filter(None, map(known.__getitem__, TOKEN.findall(text.lower()))):
+                for numbers_of in filter(None, map(known.__getitem__, TOKEN.findall(text.as_py().lower()))):
                     found.update(numbers_of)
                 order = sorted(found)
                 terms.append(order)
                 counts.append([found[t] for t in order])
-            yield pd.DataFrame({"terms": terms, "counts": counts})
+            kind = pa.list_(pa.int32())
+            yield pa.StructArray.from_arrays([pa.array(terms, kind), pa.array(counts, kind)], names=["terms", "counts"])
 
     return docs.withColumn("v", read("text")).select(*(c for c in docs.columns if c != "text"), "v.terms", "v.counts")
 
@@ -200,7 +204,7 @@ class Judge:
     def score(self, terms, counts, but=None) -> tuple[float, list[int], list[float]]:
         key = (tuple(terms), tuple(counts), but if but in self.known else None)
         if key not in self.cache:
-            if len(self.cache) > 100_000:
+            if len(self.cache) > 10_000:
                 self.cache.clear()
             vote, near = self.vote(terms, counts, key[2])
             s = self.none if vote is None else float(np.interp(vote, self.knots, self.values)) if len(self.knots) else vote
