@@ -94,12 +94,14 @@ def q_dim_dates(spark, sf_dir):
 
 @register("fct_messages", O.with_ctes("select * from fct_messages", "fct_messages"))
 def q_fct_messages(spark, sf_dir):
-    return warehouse(spark, sf_dir).fct_messages
+    w = warehouse(spark, sf_dir)
+    return M.fct_messages(w.stg_messages, w.dim_channels, w.dim_dates)
 
 
 @register("fct_image_detections", O.with_ctes("select * from fct_image_detections", "fct_image_detections"))
 def q_fct_image_detections(spark, sf_dir):
-    return warehouse(spark, sf_dir, detections=True).fct_image_detections
+    w = warehouse(spark, sf_dir, detections=True)
+    return M.fct_image_detections(w.stg_detections, w.stg_messages, w.dim_channels, w.dim_dates)
 
 
 # ---------------------------------------------------------------------------

@@ -138,6 +138,22 @@ def fct_image_detections(stg_d: DataFrame, stg_m: DataFrame, dc: DataFrame, dd:
     return dwm.join(c, "channel_name").join(d, "message_date_only").select(*FCT_DETECTION_COLUMNS)
 
 
+def keyed_messages(stg: DataFrame) -> DataFrame:
+    """M5 without its joins, for dimensions of the same staging rows: those hold every channel and every
+    day of them, and their keys are functions of the joined columns, so the inner joins keep every
+    row and add only the keys."""
+    keyed = stg.withColumns({"channel_key": X.surrogate_key("channel_name"), "date_key": X.date_key("message_date_only")})
+    return keyed.select(*FCT_MESSAGE_COLUMNS)
+
+
+def keyed_detections(stg_d: DataFrame, stg_m: DataFrame) -> DataFrame:
+    """M6 likewise: only the join with the message is left."""
+    m = stg_m.select("message_id", "channel_name", "message_date", "message_date_only", "view_count", "forward_count")
+    keyed = stg_d.drop("loaded_at").join(m, ["message_id", "channel_name"]).withColumns(
+        {"channel_key": X.surrogate_key("channel_name"), "date_key": X.date_key("message_date_only")})
+    return keyed.select(*FCT_DETECTION_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # Warehouse
 # ---------------------------------------------------------------------------
@@ -152,16 +168,15 @@ class Warehouse:
 
 
 def warehouse(raw_messages: DataFrame, raw_detections: DataFrame | None = None) -> Warehouse:
-    """Staging, dimensions and facts as lazy plans. Dimensions are joined by their keys without a
-    hint: adaptive execution broadcasts them by their measured bytes."""
+    """Staging, dimensions and facts as lazy plans. The facts carry their keys without joining the
+    dimensions, which come from the same staging rows; reports join dimensions without a hint, and
+    adaptive execution broadcasts them by their measured bytes."""
     sm = stg_messages(raw_messages)
-    dc, dd = dim_channels(sm), dim_dates(sm)
-    fm = fct_messages(sm, dc, dd)
     sd = fid = None
     if raw_detections is not None:
         sd = stg_detections(raw_detections)
-        fid = fct_image_detections(sd, sm, dc, dd)
-    return Warehouse(sm, sd, dc, dd, fm, fid)
+        fid = keyed_detections(sd, sm)
+    return Warehouse(sm, sd, dim_channels(sm), dim_dates(sm), keyed_messages(sm), fid)
 
 
 def mart_schemas() -> dict[str, str]:

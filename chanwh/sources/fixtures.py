@@ -39,7 +39,9 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw.channel_messages`` rows: one per event, and one per document. A document is the text of
     the event with five times its id; a document without that event has no date, an event without
     a document has a short text of its own, a blank one, or none."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # a merge join deals the texts out by key: what follows is as parallel as the shuffle, not as the
+    # number of splits of a small file
+    d = table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     j = e.join(d, e.event_id == d.doc_id * 5, "full_outer").withColumn("mid", F.coalesce("event_id", F.col("doc_id") * 5))
     mid = F.col("mid")
