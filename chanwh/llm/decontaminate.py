@@ -2,8 +2,10 @@
 
 1. Documents and items become words (lower case; anything but letters and digits separates) and
    hashes of five-word shingles.
-2. A window that is similar to an item shares a shingle with it, so every document shingle that the
-   benchmark has places one window: as many words as that item, starting where the item would.
+2. Windows have as many words as an item. They start where a shared shingle puts the item's start
+   (its own place minus its place in the item), and at every shared shingle itself: a window that starts
+   elsewhere keeps all its shared shingles when it moves right to the next one. Left out is what cannot
+   reach the similarity (too few shared shingles) or adds none to the window before it.
 3. Each window gets a 64-bit SimHash of its shingles. Items of the window's size are searched by a
    multi-index: the fingerprint is cut into blocks, and of two fingerprints within the radius at
    least one block differs in at most ``radius // blocks`` bits. Item blocks are stored with all
@@ -12,7 +14,7 @@
    the sum of the larger count of each shingle (shingles weigh as often as they occur).
 
 The benchmark is broadcast only while its rows stay under a stated bound, otherwise its joins
-shuffle. Windows are as many as shared shingles at most; nothing is collected.
+shuffle. Windows are at most twice as many as shared shingles; nothing is collected.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 import itertools
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanwh.llm.shared import small as small_up_to
@@ -86,6 +88,37 @@ def changes(radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(min(width, radius // BLOCKS) + 1) for bits in itertools.combinations(range(width), n)]
 
 
+def windows_of(placed: DataFrame, similarity: float) -> DataFrame:
+    """(id, t, start, size): for each document and size the windows among which is the most similar one of
+    every item of that size. ``placed``: (id, t, length, size, at, place), a shared shingle and its place in an
+    item; ``length`` is the document's number of shingles.
+
+    Both kinds of starts (see 2. above) are counted by running sums: a window's shared shingles are those
+    before its end less those before its start. Fewer than similarity x (m + size) / (1 + similarity) of its m
+    shingles are too few for any item. A window that ends within the document is no better than the one
+    from the shared shingle before if no other shared shingle ends it.
+    """
+    group = ["id", "t", "size"]
+    own = F.struct(F.col("at").alias("at"), F.lit(1).alias("hit"), F.lit(0).alias("seeded"))
+    put = F.struct(F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("at"), F.lit(0).alias("hit"), F.lit(1).alias("seeded"))
+    starts = placed.select(*group, "length", F.explode(F.array(own, put)).alias("s"))
+    starts = starts.groupBy(*group, "length", F.col("s.at").alias("start")).agg(F.max("s.hit").alias("hit"), F.max("s.seeded").alias("seeded"))
+    # an event at the start of each window and one just behind its end, which comes before a start there
+    begin = F.struct(F.col("start").alias("pos"), F.lit(1).alias("begins"), F.col("hit").alias("one"))
+    end = F.struct((F.col("start") + F.col("size")).alias("pos"), F.lit(0).alias("begins"), F.lit(0).alias("one"))
+    events = starts.select(*group, "length", "start", "hit", "seeded", F.explode(F.array(begin, end)).alias("e"))
+    running = Window.partitionBy(*group).orderBy("e.pos", "e.begins").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    events = events.withColumn("sum", F.sum("e.one").over(running))
+    counted = events.groupBy(*group, "length", "start", "hit", "seeded").agg(
+        F.max(F.when(F.col("e.begins") == 1, F.col("sum") - F.col("hit"))).alias("before"), F.max(F.when(F.col("e.begins") == 0, F.col("sum"))).alias("upto"))
+    earlier = Window.partitionBy(*group).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("last", F.coalesce(F.max(F.when(F.col("hit") == 1, F.col("upto"))).over(earlier), F.lit(-1)))
+    m = F.least(F.col("size"), F.col("length") - F.col("start"))
+    enough = (F.col("upto") - F.col("before")) * (1 + similarity) + 1e-6 >= (m + F.col("size")) * similarity
+    best = (F.col("seeded") == 1) | (F.col("upto") > F.col("last")) | (F.col("start") + F.col("size") > F.col("length"))
+    return counted.where(enough & best).select("id", "t", "start", "size")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item found in it: id, item id, ``similarity`` of the most similar
@@ -100,11 +133,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     items = written(with_shingles(items, "text").withColumn("size", F.size("sh")), "items").where(F.col("size") > 0)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
 
-    # windows: one for each shared shingle, most of them the same
+    # windows from the shared shingles
     seeds = items.select("size", F.posexplode("sh").alias("place", "h")).groupBy("h", "size", "place").count().drop("count")
     seeds = small(written(seeds, "seeds"))
-    placed = exploded(with_shingles(texts, "text"), ["id", "t"], "sh").join(seeds, "h")
-    windows = written(placed.select("id", "t", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start"), "size").distinct(), "windows")
+    placed = exploded(with_shingles(texts, "text").withColumn("length", F.size("sh")), ["id", "t", "length"], "sh").join(seeds, "h")
+    windows = written(windows_of(placed, similarity), "windows")
 
     # their shingles, from the texts that have one; repeated rows give the same ones
     wanted = windows.groupBy("id", "t").agg(F.collect_set(F.struct("start", "size")).alias("windows"))

@@ -145,6 +145,29 @@ def test_leaks_against_all_windows(spark):
     assert all(0.8 <= r.similarity <= 1 for r in got.values()) and got[None, None].similarity == 1
 
 
+def test_leaks_with_insertions_and_edited_ends(spark):
+    """Windows between two places where the item would start; at the documents' ends, between and alone."""
+    rng = random.Random(18)
+    pool = [f"word{k}" for k in range(5_000)]
+    items = [(k, " ".join(rng.choice(pool) for _ in range(n))) for k, n in enumerate([104, 104, 60, 80, 150, 40])]
+    items.append((6, "so it goes on and " * 12))
+    docs = []
+    for k in range(140):
+        p = items[k % 7][1].split()
+        a, b, n = (3, 3, 6) if k == 0 else (rng.randrange(5), rng.randrange(5), rng.randrange(1, 8))
+        p[:a], p[len(p) - b:] = [f"first{j}" for j in range(a)], [f"last{j}" for j in range(b)]
+        mid = len(p) // 2 if k == 0 else rng.randrange(a, len(p) - b)
+        p[mid:mid] = [f"new{j}" for j in range(n)]
+        around = [[rng.choice(pool) for _ in range(rng.choice([0, 0, 5, 200]))] for _ in range(2)]
+        docs.append((k, " ".join(around[0] + p + around[1])))
+    swapped = items[0][1].split()
+    docs.append((140, " ".join(swapped[52:] + swapped[:52])))
+    want = brute_leaks(docs, items)
+    got = leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert set(got) == want and (0, 0) in want and 40 < len(want) < 140
+    assert abs(got[0, 0].similarity - 90 / 110) < 1e-9
+
+
 def test_leaks_by_shuffled_joins(spark, monkeypatch):
     docs, items = documents(spark, SF), queries.table(spark, SF, "benchmark")
     broadcast = set(leaks(docs, items))
