@@ -122,11 +122,12 @@ def windows_of(placed: DataFrame, similarity: float) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item found in it: id, item id, ``similarity`` of the most similar
-    window, ``start_word``, ``n_words``, ``bits`` (Hamming distance). Clean documents have no row.
+    window, ``start_word``, ``n_words``, ``bits`` (Hamming distance), ``text_hash`` of the document's
+    text (``xxhash64``; null texts as they are). Clean documents have no row.
 
-    Null texts are empty; a text or item under five words has no shingle and matches nothing. Of rows
-    with the same id the most similar window counts; equal items are found each; null ids are ids
-    like others. Empty tables: no rows.
+    Null texts are empty; a text or item under five words has no shingle and matches nothing. Rows with
+    the same id and different texts are documents of their own, so are rows with a null id; those with
+    equal ids and texts are one. Equal items are found each. Empty tables: no rows.
     """
     small = lambda df: small_up_to(df, BROADCAST_ROWS)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).withColumn("no", F.monotonically_increasing_id())
@@ -172,6 +173,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     scored = shared.groupBy(*KEY, "no", "m", "item_m", "bits").agg(F.sum(F.least("c", "d")).alias("both"))
     scored = scored.withColumn("similarity", F.col("both") / (F.col("m") + F.col("item_m") - F.col("both"))).where(F.col("similarity") >= similarity)
     scored = scored.join(small(written(items.select("no", "item"), "item-ids")), "no")
-    best = scored.groupBy("id", "item").agg(F.max_by(F.struct("similarity", "start", "size", "bits"), F.struct("similarity", -F.col("start"), -F.col("bits"))).alias("best"))
+    best = scored.groupBy("id", "t", "item").agg(F.max_by(F.struct("similarity", "start", "size", "bits"), F.struct("similarity", -F.col("start"), -F.col("bits"))).alias("best"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.similarity", F.col("best.start").alias("start_word"),
-                       (F.col("best.size") + WORDS - 1).alias("n_words"), F.col("best.bits").cast("int").alias("bits"))
+                       (F.col("best.size") + WORDS - 1).alias("n_words"), F.col("best.bits").cast("int").alias("bits"), F.col("t").alias("text_hash"))

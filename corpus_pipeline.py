@@ -39,8 +39,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark (operator 8)."""
     leaks = decontaminate.find_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
-    ids = written(leaks.select(F.col("doc_id").alias("__llm_id")).distinct(), "leaks")
-    return docs.join(small(ids), docs["doc_id"].eqNullSafe(ids["__llm_id"]), "left_anti")
+    found = written(leaks.select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_key")).distinct(), "leaks")
+    marked = docs.withColumn("__llm_own", F.xxhash64("text"))
+    kept = marked.join(small(found), marked["doc_id"].eqNullSafe(found["__llm_id"]) & (marked["__llm_own"] == found["__llm_key"]), "left_anti")
+    return kept.drop("__llm_own")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,6 +201,20 @@ def test_leaks_of_nothing(spark, messy, nothing):
     assert {k for k, _ in leaks(messy, items)} == {1, 2, 3, None}
 
 
+def test_only_the_leaking_rows_go(spark, monkeypatch):
+    """Of rows without an id, or with the same id, only those with a passage of the benchmark are leaks."""
+    items = spark.createDataFrame([(1, TEXT)], "item_id bigint, text string")
+    clean = "a clean text that has nothing to do with any passage of the benchmark"
+    docs = [(None, TEXT), (None, clean), (None, None), (5, TEXT + " more"), (5, clean), (5, TEXT + " more"), (6, clean)]
+    docs = spark.createDataFrame([(*r, "x") for r in docs], "doc_id bigint, text string, text_hash string")
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: items)
+    kept = corpus_pipeline.drop_leaks(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([("5", clean), ("6", clean), ("None", clean), ("None", "None")])
+    found = decontaminate.find_leaks(docs, items).select("doc_id", "text_hash").collect()
+    assert len(found) == len(set(found)) == 2
+
+
 @pytest.fixture(scope="module")
 def staged(spark):
     """The pipeline's documents before and after each stage."""
