@@ -3,14 +3,15 @@
 A page is read into a *skeleton*, the tree of its block elements (tag and class; a run of equal
 siblings is one node), and the text blocks below each node. Pages of one host are then aligned:
 every skeleton is matched with the host's most frequent one by simple tree matching (the largest
-order-preserving mapping between two trees with equal labels). A node whose text is the same on
-all pages that align with it is template; nodes whose text varies are content slots.
+order-preserving mapping between two trees with equal labels). A text that stands in the same node on
+nearly all pages that align there is template; everything else is content.
 
 Regions that say by tag, role or class that they are not article text (menus, adverts, forms,
 comments and so on) are never content, whether or not they vary.
 
-Node statistics are counts, minima and maxima by (host, skeleton, node), combined before they are
-shuffled, so a host with a third of all pages costs no more than its number of skeletons.
+Node statistics are counts, sums of the texts' hash bits and sketches of the pages by (host, skeleton,
+node), combined before they are shuffled, so a host with a third of all pages costs no more than its
+number of skeletons.
 """
 
 from __future__ import annotations
@@ -248,26 +249,31 @@ def hash64(text: str) -> int:
 
 
 def read_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Each page's host, skeleton and blocks (node, text)."""
+    """Each page's host, skeleton and blocks (node, text, hash of all the texts of the node)."""
     host, _ = host_and_path(url_col)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            skeletons, nodes, texts = [], [], []
+            skeletons, nodes, texts, hashes = [], [], [], []
             for html in batch.column("html"):
                 skeleton, blocks = read_page(html.as_py())
                 blocks = content_blocks(blocks)
                 skeletons.append(skeleton)
                 nodes.append([b[0] for b in blocks])
                 texts.append([b[1] for b in blocks])
+                of: dict[int, list[str]] = {}
+                for b in blocks:
+                    of.setdefault(b[0], []).append(b[1])
+                node_hash = {node: hash64("\n".join(own)) for node, own in of.items()}
+                hashes.append([node_hash[b[0]] for b in blocks])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), batch.column("host"), pa.array(skeletons, pa.string()),
-                 pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))],
-                names=["id", "url", "host", "skeleton", "nodes", "texts"])
+                 pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
+                names=["id", "url", "host", "skeleton", "nodes", "texts", "hashes"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(read, f"id {kinds['id']}, url {kinds['url']}, host string, skeleton string, nodes array<int>, texts array<string>")
+    return rows.mapInArrow(read, f"id {kinds['id']}, url {kinds['url']}, host string, skeleton string, nodes array<int>, texts array<string>, hashes array<bigint>")
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -276,25 +282,43 @@ def aligned(skeletons: pd.Series, references: pd.Series) -> pd.Series:
 
 
 def template_nodes(read: DataFrame, least_pages: int, share: float) -> DataFrame:
-    """(host, skeleton, drop): the nodes of each skeleton that are template on its host. A reference
-    node is template if all pages that align with it have the same text there, if they are at least
-    ``share`` of the host's pages, and if those pages have at least ``least_pages`` different texts."""
+    """(host, skeleton, drop): the nodes of each skeleton that are template on its host, with the hash of
+    the template's text; a page with another text there keeps it. A reference node is template if
+    ``share`` of the pages that align with it have the same text there, if these pages, whatever their
+    skeletons, are at least ``share`` of the host's, and if they have at least ``least_pages`` different texts."""
     page = F.xxhash64(F.concat_ws("\n", "texts"))
     # one row for each page and node: the texts of a repeated node are taken together
-    per_page = read.where(F.col("host") != "").select("host", "skeleton", page.alias("page"), F.explode(F.array_distinct("nodes")).alias("node"), "nodes", "texts")
-    own = F.transform(F.filter(F.arrays_zip("nodes", "texts"), lambda b: b["nodes"] == F.col("node")), lambda b: b["texts"])
-    per_page = per_page.select("host", "skeleton", "page", "node", F.xxhash64(F.concat_ws("\n", own)).alias("h"))
-    stats = written(per_page.groupBy("host", "skeleton", "node").agg(
-        F.count(F.lit(1)).alias("n"), F.min("h").alias("low"), F.max("h").alias("high"), F.approx_count_distinct("page").alias("texts")), "slots")
-    kinds = written(read.where(F.col("host") != "").groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n")), "skeletons")
+    pages = read.where(F.col("host") != "")
+    per_page = pages.select("host", "skeleton", page.alias("page"), F.explode(F.array_distinct(F.arrays_zip("nodes", "hashes"))).alias("b"))
+    half = F.lit(0x0000000100000001)
+    sums = [F.sum(F.shiftrightunsigned("b.hashes", k).bitwiseAND(half)).alias(f"s{k}") for k in range(32)]
+    stats = written(per_page.groupBy("host", "skeleton", F.col("b.nodes").alias("node")).agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("page", 10).alias("texts"), *sums), "slots")
+    kinds = written(pages.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n")), "skeletons")
     hosts = kinds.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("reference"), F.sum("n").alias("pages"))
     maps = kinds.select("host", "skeleton").join(hosts, "host").withColumn("to", aligned("skeleton", "reference"))
-    placed = stats.join(maps, ["host", "skeleton"]).withColumn("at", F.get("to", F.col("node"))).where(F.col("at") >= 0)
-    placed = written(placed.select("host", "skeleton", "node", "at", "n", "low", "high", "texts", "pages"), "placed")
-    constant = placed.groupBy("host", "at").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"),
-                                                F.max("texts").alias("texts"), F.max("pages").alias("pages"))
-    constant = constant.where((F.col("low") == F.col("high")) & (F.col("texts") >= least_pages) & (F.col("n") >= F.col("pages") * share)).select("host", "at")
-    return placed.join(constant, ["host", "at"]).groupBy("host", "skeleton").agg(F.collect_set("node").alias("drop"))
+    placed = stats.join(maps, ["host", "skeleton"]).withColumn("at", F.get("to", F.col("node"))).where(F.col("at") >= 0).drop("reference", "to")
+    placed = written(placed, "placed")
+    # a text that more than half of the pages have there has the hash whose bits are the majority's
+    slots = placed.groupBy("host", "at").agg(F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("texts")).alias("texts"),
+                                             F.max("pages").alias("pages"), *(F.sum(f"s{k}").alias(f"s{k}") for k in range(32)))
+    slots = slots.where((F.col("texts") >= least_pages) & (F.col("n") >= F.col("pages") * share))
+    bits = []
+    for k in range(32):
+        low, high = F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"s{k}", 32)
+        bits += [F.when(c * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint")) for c, b in ((low, k), (high, k + 32))]
+    while len(bits) > 1:
+        bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2])]
+    slots = written(slots.select("host", "at", "n", bits[0].alias("h")), "slot-texts")
+    nodes = placed.select("host", "skeleton", "node", "at").join(slots, ["host", "at"])
+    # the pages that do have that text there are counted
+    tried = written(nodes.groupBy("host", "skeleton").agg(F.collect_set(F.struct("node", "h", "at")).alias("tried")), "tried")
+    has = F.filter("tried", lambda c: F.array_contains(F.arrays_zip("nodes", "hashes"), F.struct(c["node"].alias("nodes"), c["h"].alias("hashes"))))
+    having = pages.select("host", "skeleton", "nodes", "hashes").join(tried, ["host", "skeleton"]).select("host", F.explode(has).alias("c"))
+    having = having.groupBy("host", F.col("c.at").alias("at")).agg(F.count(F.lit(1)).alias("have"))
+    constant = slots.join(having, ["host", "at"]).where((F.col("have") * 2 > F.col("n")) & (F.col("have") >= F.col("n") * share)).select("host", "at")
+    drop = F.collect_set(F.struct(F.col("node").alias("nodes"), F.col("h").alias("hashes")))
+    return nodes.join(constant, ["host", "at"]).groupBy("host", "skeleton").agg(drop.alias("drop"))
 
 
 def extract_main_text(pages: DataFrame, least_pages: int = 5, share: float = 0.9, id_col: str = "page_id", url_col: str = "url",
@@ -309,8 +333,8 @@ def extract_main_text(pages: DataFrame, least_pages: int = 5, share: float = 0.9
     read = written(read_pages(pages, id_col, url_col, html_col), "pages-read")
     drop = written(template_nodes(read, least_pages, share), "templates")
     # hosts x skeletons that have template nodes; Spark broadcasts them by its own size limit
-    rows = read.join(drop, ["host", "skeleton"], "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<int>")))
-    kept = F.filter(F.arrays_zip("nodes", "texts"), lambda b: ~F.array_contains(F.col("drop"), b["nodes"]))
+    rows = read.join(drop, ["host", "skeleton"], "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<struct<nodes:int,hashes:bigint>>")))
+    kept = F.filter(F.arrays_zip("nodes", "texts", "hashes"), lambda b: ~F.array_contains(F.col("drop"), F.struct(b["nodes"].alias("nodes"), b["hashes"].alias("hashes"))))
     rows = rows.withColumn("kept", kept).withColumn("text", F.array_join(F.transform("kept", lambda b: b["texts"]), "\n"))
     return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("bigint").alias("n_chars"),
                        (F.size("nodes") - F.size("kept")).alias("template_blocks"))

@@ -58,6 +58,20 @@ def test_constant_nodes_are_template(spark):
         assert got[k].text == want and got[k].n_chars == len(want) and got[k].template_blocks == 2
 
 
+def test_template_over_varied_skeletons_and_odd_pages(spark):
+    """Every page has a skeleton of its own, and two of forty another footer."""
+    kinds = ["<h2>head {k}</h2>", "<p>text {k}</p>", "<ul><li>item {k}</ul>", "<table><tr><td>cell {k}</table>"]
+    rows, want = [], {}
+    for k in range(40):
+        body = [kinds[k // 4 ** j % 4].format(k=f"{k}-{j}") for j in range(3)]
+        end = "A note of this page" if k in (7, 23) else "All rights reserved"
+        rows.append((k, f"http://v.example.org/{k}", f"<div class=line>Welcome to our paper</div><div class=story>{''.join(body)}</div><div class=end>{end}</div>"))
+        want[k] = [f"{['head', 'text', 'item', 'cell'][k // 4 ** j % 4]} {k}-{j}" for j in range(3)] + (["A note of this page"] if k in (7, 23) else [])
+    got = {r.page_id: r for r in extract_main_text(pages(spark, rows)).collect()}
+    assert {k: r.text.split("\n") for k, r in got.items()} == want
+    assert all(r.template_blocks == (1 if k in (7, 23) else 2) for k, r in got.items())
+
+
 def test_few_or_equal_pages_have_no_template(spark):
     few = [(100 + k, f"http://b.org/{k}", h) for k, _, h in site(3)]
     copies = [(200 + k, f"http://c.org/{k}", site(2)[1][2]) for k in range(20)]
