@@ -7,7 +7,9 @@ order-preserving mapping between two trees with equal labels). A text that stand
 nearly all pages that align there is template; everything else is content.
 
 Regions that say by tag, role or class that they are not article text (menus, adverts, forms,
-comments and so on) are never content, whether or not they vary.
+comments and so on) are not content, whether or not they vary. Classes, ids and roles count as whole
+words, never on article, main, headings or an element that the page's only articles are inside of. An
+article or main element is what a page is about only if it has most of the text besides the template.
 
 Node statistics are counts, sums of the texts' hash bits and sketches of the pages by (host, skeleton,
 node), combined before they are shuffled, so a host with a third of all pages costs no more than its
@@ -36,13 +38,19 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup; their text is skipped.
 RAW = frozenset("script style textarea title noscript iframe template noembed noframes xmp svg math".split())
-#: Elements that are never article text, and words of class, id or role that say the same.
+#: Elements that are never article text, and classes, ids and roles (whole ones) that say the same.
 AWAY = frozenset("nav footer header aside form button select dialog menu head object canvas audio video".split())
 AWAY_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion
  menu nav navbar navigation navigational breadcrumb breadcrumbs sidebar aside rail widget widgets footer foot masthead topbar toolbar
  header site-header page-header comment comments commentlist disqus respond replies reply cookie cookies consent gdpr notice notices
  alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended
- contentinfo complementary""".split())
+ contentinfo complementary main-menu main-nav site-nav site-menu nav-menu nav-bar menu-bar side-bar site-footer page-footer
+ footer-widgets sidebar-left sidebar-right left-sidebar right-sidebar comment-list comment-form comments-area cookie-notice cookie-banner
+ cookie-consent cookie-bar ad-banner banner-ad social-links social-share share-buttons related-posts search-form newsletter-signup""".split())
+MAIN_WORDS = frozenset({"main", "main-content", "maincontent"})
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+#: Elements to which the words do not apply.
+UNNAMED = HEADINGS | {"html", "body", "main", "article"}
 HEADING_IN_ARTICLE = frozenset({"header"})
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}, "option": {"option"}, "body": {"head"}}
@@ -62,7 +70,7 @@ class Node:
 
 
 def attributes(text: str) -> tuple[str, set[str], bool]:
-    """(first class, words of class, id and role, whether hidden)."""
+    """(first class, tokens of class, id and role, whether hidden)."""
     first, words, hidden = "", set(), False
     if text and not text.isspace():
         for m in ATTRIBUTE.finditer(text):
@@ -71,8 +79,7 @@ def attributes(text: str) -> tuple[str, set[str], bool]:
                 hidden |= name == "hidden" or value == "true"
                 continue
             for token in value.split():
-                words.add(token)
-                words.update(re.split(r"[-_]+", token))
+                words.add(token.replace("_", "-"))
             if name == "class":
                 first = value.split()[0] if value.split() else ""
     return first, words, hidden
@@ -80,11 +87,18 @@ def attributes(text: str) -> tuple[str, set[str], bool]:
 
 def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
     """(skeleton, blocks in page order). A block is (node, text, whether it is outside every region
-    that is never content, whether it is inside an article or main element)."""
+    that is not content, whether it is inside an article or main element).
+
+    Regions excluded by words, and forms, are content after all if the page has articles only inside of such."""
     root = Node("#")
-    # open elements: tag, skeleton node, in an excluded region, in an article or main
-    stack: list[tuple[str, Node, bool, bool]] = [("#", root, False, False)]
-    found: list[tuple[Node, str, bool, bool]] = []
+    # open elements: tag, skeleton node, in an excluded region, in an article or main, begins an excluded
+    # region, the innermost open region that may be content after all (-1: none)
+    stack: list[tuple[str, Node, bool, bool, bool, int]] = [("#", root, False, False, False, -1)]
+    found: list[tuple[Node, str, bool, bool, int]] = []
+    # of these regions: the one around it, whether an article is inside
+    around: list[int] = []
+    holds: list[bool] = []
+    free_article = False
     buffer: list[str] = []
 
     def flush() -> None:
@@ -92,14 +106,14 @@ def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
-                _, node, away, main = stack[-1]
-                found.append((node, text, not away, main))
+                _, node, away, main, _, region = stack[-1]
+                found.append((node, text, not away, main, region))
 
     def close(tags, limit=()) -> None:
         """Close the innermost open element of ``tags``, unless one of ``limit`` is inside of it."""
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in tags:
-                if any(t[0] in BLOCK or t[2] for t in stack[k:]):
+                if any(t[0] in BLOCK or t[4] for t in stack[k:]):
                     flush()
                 del stack[k:]
                 return
@@ -135,8 +149,9 @@ def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
                 at = end.end() if end else n
             continue
         first, words, hidden = attributes(m[3])
-        _, parent, away, main = stack[-1]
-        away_here = hidden or (tag in AWAY and not (main and tag in HEADING_IN_ARTICLE)) or (tag not in ("html", "body", "main") and bool(words & AWAY_WORDS))
+        _, parent, away, main, _, region = stack[-1]
+        by_tag = hidden or (tag in AWAY and not (main and tag in HEADING_IN_ARTICLE))
+        away_here = by_tag or (tag not in UNNAMED and bool(words & AWAY_WORDS))
         block = tag in BLOCK
         if block or away_here:
             flush()
@@ -144,7 +159,7 @@ def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
                 close({"p"}, {"button", "table", "td", "th"}) if tag != "p" or any(t[0] == "p" for t in stack) else None
             if tag in CLOSED_BY:
                 close(CLOSED_BY[tag], LIMITS.get(tag, ()))
-            _, parent, away, main = stack[-1]
+            _, parent, away, main, _, region = stack[-1]
             if tag == "hr":
                 continue
             label = f"{tag}.{first}" if first else tag
@@ -154,8 +169,23 @@ def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
                 parent.kids.append(node := Node(label))
         else:
             node = parent
-        stack.append((tag, node, away or away_here, (main or tag in ("article", "main") or "main" in words) and not away_here))
+        article = tag in ("article", "main") or (tag not in HEADINGS and bool(words & MAIN_WORDS))
+        if away_here and not main and not hidden and (not by_tag or tag == "form"):
+            around.append(region)
+            holds.append(False)
+            region = len(around) - 1
+        elif away_here:
+            away = True
+        if article and not away and not away_here:
+            free_article |= region < 0
+            up = region
+            while up >= 0 and not holds[up]:
+                holds[up], up = True, around[up]
+        stack.append((tag, node, away, (main or article) and not away_here, away_here, region))
     flush()
+    excluded: list[bool] = []
+    for up, article_inside in zip(around, holds):
+        excluded.append((up >= 0 and excluded[up]) or free_article or not article_inside)
 
     parts, number = [], 0
     todo: list = [root]
@@ -168,13 +198,14 @@ def read_page(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
         parts.append("(" + re.sub(r"[()]", "", node.label))
         todo.append(")")
         todo.extend(reversed(node.kids))
-    return "".join(parts), [(node.number, text, ok, main) for node, text, ok, main in found]
+    return "".join(parts), [(node.number, text, ok and (region < 0 or not excluded[region]), main) for node, text, ok, main, region in found]
 
 
 def content_blocks(blocks: list[tuple[int, str, bool, bool]]) -> list[tuple[int, str]]:
-    """What may be content: blocks outside the excluded regions, of the article if the page marks one."""
+    """The content of a page without a template: blocks outside the excluded regions, of the article if
+    the page marks one that has most of their text."""
     kept = [b for b in blocks if b[2]]
-    if any(b[3] for b in kept):
+    if 2 * sum(len(b[1]) for b in kept if b[3]) > sum(len(b[1]) for b in kept):
         kept = [b for b in kept if b[3]]
     return [(b[0], b[1]) for b in kept]
 
@@ -249,19 +280,21 @@ def hash64(text: str) -> int:
 
 
 def read_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Each page's host, skeleton and blocks (node, text, hash of all the texts of the node)."""
+    """Each page's host, skeleton and the blocks outside its excluded regions (node, text, hash of all the
+    texts of the node, whether inside an article or main element)."""
     host, _ = host_and_path(url_col)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            skeletons, nodes, texts, hashes = [], [], [], []
+            skeletons, nodes, texts, hashes, mains = [], [], [], [], []
             for html in batch.column("html"):
                 skeleton, blocks = read_page(html.as_py())
-                blocks = content_blocks(blocks)
+                blocks = [b for b in blocks if b[2]]
                 skeletons.append(skeleton)
                 nodes.append([b[0] for b in blocks])
                 texts.append([b[1] for b in blocks])
+                mains.append([b[3] for b in blocks])
                 of: dict[int, list[str]] = {}
                 for b in blocks:
                     of.setdefault(b[0], []).append(b[1])
@@ -269,11 +302,12 @@ def read_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Da
                 hashes.append([node_hash[b[0]] for b in blocks])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), batch.column("host"), pa.array(skeletons, pa.string()),
-                 pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
-                names=["id", "url", "host", "skeleton", "nodes", "texts", "hashes"])
+                 pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64())),
+                 pa.array(mains, pa.list_(pa.bool_()))],
+                names=["id", "url", "host", "skeleton", "nodes", "texts", "hashes", "mains"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(read, f"id {kinds['id']}, url {kinds['url']}, host string, skeleton string, nodes array<int>, texts array<string>, hashes array<bigint>")
+    return rows.mapInArrow(read, f"id {kinds['id']}, url {kinds['url']}, host string, skeleton string, nodes array<int>, texts array<string>, hashes array<bigint>, mains array<boolean>")
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -334,7 +368,11 @@ def extract_main_text(pages: DataFrame, least_pages: int = 5, share: float = 0.9
     drop = written(template_nodes(read, least_pages, share), "templates")
     # hosts x skeletons that have template nodes; Spark broadcasts them by its own size limit
     rows = read.join(drop, ["host", "skeleton"], "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<struct<nodes:int,hashes:bigint>>")))
-    kept = F.filter(F.arrays_zip("nodes", "texts", "hashes"), lambda b: ~F.array_contains(F.col("drop"), F.struct(b["nodes"].alias("nodes"), b["hashes"].alias("hashes"))))
-    rows = rows.withColumn("kept", kept).withColumn("text", F.array_join(F.transform("kept", lambda b: b["texts"]), "\n"))
+    kept = F.filter(F.arrays_zip("nodes", "texts", "hashes", "mains"), lambda b: ~F.array_contains(F.col("drop"), F.struct(b["nodes"].alias("nodes"), b["hashes"].alias("hashes"))))
+    # what is left is the article's alone if that has most of it (as in content_blocks)
+    rows = rows.withColumn("kept", kept).withColumn("article", F.filter("kept", lambda b: b["mains"]))
+    chars = lambda blocks: F.aggregate(blocks, F.lit(0), lambda n, b: n + F.char_length(b["texts"]))
+    body = F.when(chars("article") * 2 > chars("kept"), F.col("article")).otherwise(F.col("kept"))
+    rows = rows.withColumn("body", body).withColumn("text", F.array_join(F.transform("body", lambda b: b["texts"]), "\n"))
     return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("bigint").alias("n_chars"),
                        (F.size("nodes") - F.size("kept")).alias("template_blocks"))

@@ -25,6 +25,22 @@ def test_what_is_never_content():
     assert text('<p title="a > b">q</p><p class=x/>r') == ["q", "r"]
 
 
+def test_marks_do_not_take_the_article_away():
+    story = "<div class='story'><p>A long first part of the story</p><p>and a long second part</p></div>"
+    want = ["A long first part of the story", "and a long second part"]
+    assert text(f"<h1 class='main-title'>Title</h1>{story}") == ["Title", *want]
+    assert text(f"<h1 class='main'>Title</h1>{story}") == ["Title", *want]
+    assert text(f"{story}<article>card 1</article><article>card 2</article>") == [*want, "card 1", "card 2"]
+    for box in ("article class='post no-sidebar'", "section id='related-work'", "h2 id='search'", "h2 id='sharing-data'", "p class='notice-period'",
+                "div class='social-policy'", "main class='search'", "article id='comment'"):
+        assert text(f"<p>one</p><{box}>words</{box.split()[0]}>") in (["one", "words"], ["words"]), box
+    # around the page's only article, whatever it is called; not around others than that
+    assert text(f"<div class='widget'><form><article>{story}a <b>bold</b> end</article></form><div class='ad'>buy</div></div>") == [*want, "a bold end"]
+    assert text(f"<article>{story}</article><div class='comments'><article>reader</article></div>") == want
+    assert text("<div hidden><article>no</article></div><p>yes</p>") == ["yes"]
+    assert text(f"{story}<div id='side_bar'>s</div><div class='cookie-notice'>c</div>") == want
+
+
 def test_deep_and_long_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000) == ["x"]
     assert text("<p>" + "word " * 200_000)[0].count(" ") == 199_999
@@ -72,6 +88,15 @@ def test_template_over_varied_skeletons_and_odd_pages(spark):
     assert all(r.template_blocks == (1 if k in (7, 23) else 2) for k, r in got.items())
 
 
+def test_article_marks_are_judged_after_the_template(spark):
+    """The article has most of the text only without the template; teaser cards do not."""
+    line = "Our paper has a long line that stands above and below every one of its pages, whatever they are about"
+    rows = [(k, f"http://m.example.org/{k}", f"<div class=line>{line}</div><main><p>Short story {k}</p></main><div class=by>of {k}</div>") for k in range(10)]
+    rows += [(100 + k, f"http://t.example.org/{k}", f"<div class=story><p>The whole story number {k}</p></div><article>card {k}</article>") for k in range(10)]
+    got = {r.page_id: r.text for r in extract_main_text(pages(spark, rows)).collect()}
+    assert got == {k: f"Short story {k}" for k in range(10)} | {100 + k: f"The whole story number {k}\ncard {k}" for k in range(10)}
+
+
 def test_few_or_equal_pages_have_no_template(spark):
     few = [(100 + k, f"http://b.org/{k}", h) for k, _, h in site(3)]
     copies = [(200 + k, f"http://c.org/{k}", site(2)[1][2]) for k in range(20)]
