@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanwh.llm import decontaminate, exact_dedup, html_extract, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
+from chanwh.llm import decontaminate, divergence, exact_dedup, html_extract, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing)}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing, op11_divergence)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,7 +115,40 @@ from hits h left join fits f using (page_id)
 OP3_SQL = OP3_SQL.replace("{strict_hits}", "cast(len(regexp_extract_all(regexp_replace(lu, '([^a-z0-9])', '\\1\\1', 'g'), '(^|[^a-z0-9])("
                           + "|".join(url_filter.STRICT) + ")([^a-z0-9]|$)')) as int)")
 
+OP11_SQL = rf"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+), terms as (select row, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term from terms group by all having count(distinct row) >= 3),
+kinds as (select lang, count(*) as v from kept group by 1),
+counts as (select lang, source, term, count(*) as n from terms semi join kept using (lang, term) group by all),
+totals as (
+  select g.lang, g.source, coalesce(any_value(k.v), 0) as v, coalesce(sum(c.n), 0) as total
+  from (select distinct lang, source from docs) g left join kinds k on k.lang = g.lang
+  left join counts c on c.lang = g.lang and c.source = g.source group by all
+), shares as (
+  select t.lang, t.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (t.total + t.v) as p
+  from totals t join kept k using (lang) left join counts c on c.lang = t.lang and c.source = t.source and c.term = k.term
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(n) + 1)) // (any_value(l.total) + any_value(l.v)) as q
+  from shares join (select lang, sum(total) as total, any_value(v) as v from totals group by 1) l using (lang) group by all
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  union all
+  select a.lang, a.source, 'pair', b.source, 0 from totals a join totals b on a.lang = b.lang and a.source <> b.source where a.v = 0
+), preferred as (
+  select lang, source, 'term' as part, term as item, (p - q) * (p - q) // q as value
+  from shares join whole using (lang, term) where n > 0 and p > q
+)
+select lang, source, part, item, cast(value as bigint) as value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from (select * from pairs union all select * from preferred) qualify part = 'pair' or rank <= 200
+"""
+
 ORACLE_SQL = {
+    "op11_divergence": OP11_SQL,
     "op2_digest_dedup": f"""
 select doc_id, max(doc_id) over (partition by s) as keep_id, count(*) over (partition by s) as group_size,
   doc_id is not distinct from max(doc_id) over (partition by s) and row_number() over (partition by s, doc_id) = 1 as kept,
