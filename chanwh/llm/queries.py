@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanwh.llm import decontaminate, divergence, exact_dedup, html_extract, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
+from chanwh.llm import decontaminate, divergence, exact_dedup, html_extract, lexical_search, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +69,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing, op11_divergence)}
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing, op11_divergence, op13_lexical_search)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -147,7 +151,30 @@ select lang, source, part, item, cast(value as bigint) as value,
 from (select * from pairs union all select * from preferred) qualify part = 'pair' or rank <= 200
 """
 
+OP13_SQL = rf"""
+with docs as (
+  select row_number() over () as row, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+), sized as (select *, len(terms) as n from docs where len(terms) > 0),
+corpus as (select count(*) as big_n, cast(sum(n) as bigint) as big_l from sized),
+counts as (select row, term, count(*) as tf from (select row, unnest(terms) as term from sized) group by all),
+queries as (
+  select distinct item, item_id, term from (
+    select item, item_id, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select row_number() over () as item, item_id, text from benchmark))
+), weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) as bigint) as w from counts, corpus group by 1
+), scores as (
+  select q.item, q.item_id, s.doc_id, s.row,
+    cast(sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (100 - 50 + (50 * s.n * big_n) // big_l)))) as bigint) as score
+  from queries q join weights w using (term) join counts c using (term) join sized s on s.row = c.row, corpus
+  group by all
+)
+select item_id, cast(row_number() over (partition by item order by score desc, doc_id) as int) as rank, doc_id, score
+from scores where score > 0 qualify rank <= 50
+"""
+
 ORACLE_SQL = {
+    "op13_lexical_search": OP13_SQL,
     "op11_divergence": OP11_SQL,
     "op2_digest_dedup": f"""
 select doc_id, max(doc_id) over (partition by s) as keep_id, count(*) over (partition by s) as group_size,
