@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanwh.llm import decontaminate, divergence, exact_dedup, html_extract, lexical_search, ngram_join, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
+from chanwh.llm import decontaminate, divergence, exact_dedup, html_extract, lexical_search, ngram_join, outliers, packing, sharding, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,11 +69,15 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge_quality(table(spark, sf_dir, "documents")).drop("distance", "cell")
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing, op11_divergence, op13_lexical_search)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_digest_dedup, op3_url_filter, op4_ngram_join, op5_suffix_dedup, op6_token_counts, op7_toxicity, op8_decontaminate, op9_uniform_shards, op10_packing, op11_divergence, op12_quality_outliers, op13_lexical_search)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -173,7 +177,84 @@ select item_id, cast(row_number() over (partition by item order by score desc, d
 from scores where score > 0 qualify rank <= 50
 """
 
+def op12_sql() -> str:
+    """The same estimates, step by step, with the quantiles of chi-square as decimal constants."""
+    low, final, c_step, c_final = 11.14328678187778, 18.466826952903048, 1.4864156071332657, 1.0644658582790703
+    pairs = [(i, j) for i in range(4) for j in range(i + 1)]
+    sums = ", ".join([f"sum(x{i}) as s{i}" for i in range(4)] + [f"sum(x{i} * x{j}) as p{i}{j}" for i, j in pairs])
+
+    def factor(name: str, source: str, variance: str, more: str = "") -> str:
+        """Cholesky factors, a lateral column after the other."""
+        cols = []
+        for i, j in pairs:
+            rest = variance.format(i=i, j=j) + (" + 40000" if i == j else "") + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            cols.append(f"sqrt({rest}) as l{i}{j}" if i == j else f"({rest}) / l{j}{j} as l{i}{j}")
+        return f"{name} as (select cell, start, {more}{', '.join(cols)}, l00 * l11 * l22 * l33 as det from {source})"
+
+    def means(c: float) -> tuple[str, str]:
+        return f"{c!r}::double * (p{{i}}{{j}} / n - m{{i}} * m{{j}})", "".join(f"s{i} / n as m{i}, " for i in range(4))
+
+    def distance(name: str, source: str) -> str:
+        ys = []
+        for i in range(4):
+            ys.append(f"(x{i} - m{i}" + "".join(f" - l{i}{k} * y{k}" for k in range(i)) + f") / l{i}{i} as y{i}")
+        return f"{name} as (select r.*, e.start, {', '.join(ys)}, y0 * y0 + y1 * y1 + y2 * y2 + y3 * y3 as d2 from rows r join {source} e on r.cell = e.cell)"
+
+    zero = lambda i, j: f"(1.4826::double * a{i}) ** 2" if i == j else "0"
+    medians = lambda c: ", ".join(f"quantile_disc({c.format(i=i)}, 0.5) as {{v}}{i}" for i in range(4))
+    steps = []
+    for k in range(6):
+        v, m = means(c_step)
+        steps += [distance(f"near{k}", f"start{k}"),
+                  f"bins{k} as (select *, floor(1000 * ln(1 + d2)) as bin from near{k})",
+                  f"cuts{k} as (select cell, start, bin, sum(c) over (partition by cell, start order by bin) - c as before, sum(c) over (partition by cell, start) as whole from (select cell, start, bin, count(*) as c from bins{k} group by all))",
+                  f"sums{k} as (select cell, start, count(*) as n, {sums} from bins{k} join cuts{k} using (cell, start, bin) where before < ceil(0.75::double * whole) group by all)",
+                  factor(f"start{k + 1}", f"sums{k}", v, m)]
+    first_v, first_m = means(1.0)
+    last_v, last_m = means(c_final)
+    spread = " union all ".join([f"select cell, 0 as start, {', '.join(f'v{i}::double as m{i}' for i in range(4))}, {', '.join(f'{zero(i, j)} as c{i}{j}' for i, j in pairs)} from deviations"])
+    return rf"""
+with texts as (select row_number() over () as row, doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t from documents),
+words as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from texts),
+windows as (select row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select row, w, unnest(range(1, len(w) - 1)) as i from words)),
+repeated as (
+  select row, count(distinct p) as n from (
+    select row, unnest([i, i + 1, i + 2]) as p from (select *, count(*) over (partition by row, g) as c from windows) where c > 1)
+  group by 1
+), stats as (
+  select row, doc_id, lang, source, len(w) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words
+  from words left join repeated r using (row)
+), judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from stats),
+groups as (select lang, source, count(*) as n from judged where not base_failed group by all),
+pools as (select lang, sum(n) as pool from groups where n < 60 group by 1),
+cells as (
+  select lang, source, case when n >= 60 then 'g|' || lang || '|' || source when pool >= 60 then 'l|' || lang
+    when (select sum(pool) from pools where pool < 60) >= 60 then 'all' end as cell from groups left join pools using (lang)
+), rows as (
+  select row, cell, cast(floor(1000 * ln(word_chars / n_words) + 0.5) as bigint) as x0, cast(floor(1000 * ln(1 + 10 * n_symbols / (n_words + 100)) + 0.5) as bigint) as x1,
+    cast(floor(1000 * ln(1 + 100 * n_dup_lines / (n_words + 100)) + 0.5) as bigint) as x2, cast(floor(1000 * ln(1 + 10 * n_repeat_words / (n_words + 100)) + 0.5) as bigint) as x3
+  from judged join cells using (lang, source) where not base_failed and cell is not null
+), middles as (select cell, {medians('x{i}').format(v='v')} from rows group by 1),
+deviations as (select r.cell, {', '.join(f'any_value(v{i}) as v{i}' for i in range(4))}, {medians('abs(x{i} - v{i})').format(v='a')} from rows r join middles using (cell) group by 1),
+robust as ({spread}),
+{factor('robust0', 'robust', 'c{i}{j}', ''.join(f'm{i}, ' for i in range(4)))},
+everything as (select cell, 1 as start, count(*) as n, {sums} from rows group by 1),
+{factor('classical0', 'everything', first_v, first_m)},
+start0 as (select * from robust0 union all by name select * from classical0),
+{', '.join(steps)},
+best as (select * from start6 qualify row_number() over (partition by cell order by det, start) = 1),
+{distance('reach', 'best')},
+inside as (select cell, 0 as start, count(*) as n, {sums} from reach where d2 <= {low!r} group by all),
+{factor('final', 'inside', last_v, last_m)},
+{distance('verdicts', 'final')}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(d2, 0) <= {final!r} as kept
+from judged left join verdicts using (row)
+"""
+
+
 ORACLE_SQL = {
+    "op12_quality_outliers": op12_sql(),
     "op13_lexical_search": OP13_SQL,
     "op11_divergence": OP11_SQL,
     "op2_digest_dedup": f"""
