@@ -247,7 +247,7 @@ def shard_divergences(key: tuple, cells: pd.DataFrame, shard: pd.DataFrame, most
             value = (p[i][at] - q[at]) ** 2 // q[at]
             top = np.lexsort((alphabetic[at], -value))[:most]
             add(source, "term", [keys[k].decode("utf-8", "replace") for k in at[top]], value[top].tolist())
-    return pd.DataFrame({"lang": lang, **out})
+    return pd.DataFrame({"lang": lang, **out}).astype({"lang": object, "source": object, "part": object, "item": object, "value": "int64"})
 
 
 def kept_terms(rows: DataFrame, least_documents: int) -> DataFrame:
@@ -284,16 +284,17 @@ def count_cells(rows: DataFrame, shards: DataFrame, broadcast_bytes: int) -> Dat
         cells = rows.mapInArrow(recount, "lang string, source string, cell long, n long")
     else:
         counts = rows.mapInArrow(source_terms, "lang string, source string, term binary, n long").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-        counts = counts.join(small(shards.select("lang", "shards").distinct()), "lang").withColumn("shard", shard_of(F.xxhash64("term"), F.col("shards")))
+        number = shards.groupBy("lang").agg(F.max("shards").alias("number"))
+        counts = counts.join(small(number), "lang").select("lang", "source", "term", "n", shard_of(F.xxhash64("term"), F.col("number")).alias("shard"))
 
         def recount_shard(key: tuple, terms: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-            out = [pd.DataFrame({"lang": [], "source": [], "cell": [], "n": []})]
+            out = [pd.DataFrame({c: [] for c in CELL.names})]
             if len(shard):
                 hashed = PerfectHashes([shard.iloc[0].to_dict()])
                 for source, g in terms.groupby("source"):
                     own = cells_of(key[0], source, list(g["term"]), list(g["n"]), hashed)
                     out.append(pd.DataFrame(own).assign(cell=lambda d: d["cell"] | (int(key[1]) << SLOT_BITS)))
-            return pd.concat(out).astype({"cell": "int64", "n": "int64"})
+            return pd.concat(out).astype({"lang": object, "source": object, "cell": "int64", "n": "int64"})
 
         cells = counts.groupBy("lang", "shard").cogroup(shards.groupBy("lang", "shard")).applyInPandas(recount_shard, "lang string, source string, cell long, n long")
     return cells.groupBy("lang", "source", "cell").agg(F.sum("n").alias("n"))

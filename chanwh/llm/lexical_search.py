@@ -1,7 +1,7 @@
 """Ranked lexical search: hashed max-sketches give upper bounds, exact scores follow until a threshold.
 
 1. One pass over the documents counts them, their terms, and the documents of each query term.
-2. In a second pass each document is folded into a *sketch*: its terms are hashed to ``WIDTH`` coordinates, and
+2. In a second pass each document is folded into a *sketch*: its terms are hashed to ``width`` coordinates, and
    a coordinate holds the largest impact (the part of a score that does not depend on the query) of
    the terms that meet there. A query's bound is the weighted sum of its terms' coordinates; since a
    maximum is at least each of its parts, no score is above its bound. The bounds of a batch of documents
@@ -66,30 +66,30 @@ def impact(tf: int, m: int) -> int:
 class Block:
     """Queries with the weights of their terms, and the corpus figures that scores need."""
 
-    items: list
     weights: list[dict[bytes, int]]
     documents: int
     length: int
+    width: int
 
     def matrix(self) -> np.ndarray:
         """Weights by coordinate and query; terms of a query that meet at a coordinate add up."""
-        out = np.zeros((WIDTH, len(self.items)), np.float64)
+        out = np.zeros((self.width, len(self.weights)), np.float64)
         for q, own in enumerate(self.weights):
-            np.add.at(out[:, q], coordinates(list(own)), np.fromiter(own.values(), np.float64, len(own)))
+            np.add.at(out[:, q], coordinates(list(own), self.width), np.fromiter(own.values(), np.float64, len(own)))
         return out.astype(np.float32)
 
 
-def coordinates(terms: list[bytes]) -> np.ndarray:
+def coordinates(terms: list[bytes], width: int) -> np.ndarray:
     digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(t) % WIDTH for t in terms), np.int64, len(terms))
+    return np.fromiter((digest(t) % width for t in terms), np.int64, len(terms))
 
 
-def sketches(counts: list[Counter], m: list[int]) -> np.ndarray:
+def sketches(counts: list[Counter], m: list[int], width: int) -> np.ndarray:
     """A row of coordinatewise maxima for each document; impacts are below 2^24, so single precision is exact."""
     doc = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
     tf = np.fromiter((n for c in counts for n in c.values()), np.int64, len(doc))
-    folded = np.zeros((len(counts), WIDTH), np.float32)
-    np.maximum.at(folded, (doc, coordinates([t for c in counts for t in c])), (1_000_000_000 * tf // (1000 * tf + 20 * np.array(m, np.int64)[doc])).astype(np.float32))
+    folded = np.zeros((len(counts), width), np.float32)
+    np.maximum.at(folded, (doc, coordinates([t for c in counts for t in c], width)), (1_000_000_000 * tf // (1000 * tf + 20 * np.array(m, np.int64)[doc])).astype(np.float32))
     return folded
 
 
@@ -98,8 +98,8 @@ class Best:
 
     def __init__(self, block: Block, most: int):
         self.block, self.most, self.matrix = block, most, block.matrix()
-        self.heaps: list[list[tuple]] = [[] for _ in block.items]
-        self.least = np.ones(len(block.items))
+        self.heaps: list[list[tuple]] = [[] for _ in block.weights]
+        self.least = np.ones(len(block.weights))
         self.scored = 0
 
     def score(self, q: int, counts: Counter, m: int) -> int:
@@ -107,7 +107,7 @@ class Best:
 
     def add(self, ids: list, counts: list[Counter]) -> None:
         m = [length_part(c.total(), self.block.documents, self.block.length) for c in counts]
-        bounds = (sketches(counts, m) @ self.matrix).astype(np.float64) * MARGIN
+        bounds = (sketches(counts, m, self.block.width) @ self.matrix).astype(np.float64) * MARGIN
         for q in np.flatnonzero((bounds >= self.least).any(0)):
             heap, column = self.heaps[q], bounds[:, q]
             near = np.flatnonzero(column >= self.least[q])
@@ -126,7 +126,7 @@ class Best:
                         self.least[q] = max(1, heap[0][0])
 
 
-def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[Counter]]]:
+def batches_of(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[tuple[list, list[Counter]]]:
     """Ids and term counts of documents with terms, some at a time; a text is held alone."""
     ids, counts, held = [], [], 0
     for batch in batches:
@@ -135,7 +135,7 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[C
                 ids.append(i)
                 counts.append(own)
                 held += len(own)
-            if len(ids) >= BATCH_ROWS or held >= BATCH_TERMS:
+            if len(ids) >= rows or held >= BATCH_TERMS:
                 yield ids, counts
                 ids, counts, held = [], [], 0
     if ids:
@@ -174,27 +174,30 @@ def query_blocks(items: DataFrame) -> Iterator[list[tuple]]:
         yield block
 
 
-def search_block(rows: DataFrame, queries: list[tuple], number: int, most: int, schema: str) -> DataFrame:
+def search_block(rows: DataFrame, queries: list[tuple], number: int, most: int, kind: str, width: int, batch_rows: int) -> DataFrame:
     """The task-wise best documents of a block's queries, ranked over all tasks."""
     documents, length, df = corpus_figures(rows, set().union(*(own for _, own in queries)))
     weights = [{t: weight(documents, df[t]) for t in own if t in df} for _, own in queries]
-    spread = rows.sparkSession.sparkContext.broadcast(Block([i for i, _ in queries], weights, documents, length))
+    spread = rows.sparkSession.sparkContext.broadcast(Block(weights, documents, length, width))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(spread.value, most)
-        for ids, counts in batches_of(batches):
+        for ids, counts in batches_of(batches, batch_rows):
             best.add(ids, counts)
-        found = [(q, best.block.items[q], i, s) for q, heap in enumerate(best.heaps) for s, *_, i in heap]
-        q, item, doc, score = zip(*found) if found else ((), (), (), ())
-        yield pa.RecordBatch.from_pydict({"block": pa.array([number] * len(q), pa.int32()), "q": pa.array(q, pa.int32()), "item": pa.array(item), "id": pa.array(doc), "score": pa.array(score, pa.int64())})
+        found = [(q, i, s) for q, heap in enumerate(best.heaps) for s, *_, i in heap]
+        for k in range(0, len(found), 10_000):
+            q, doc, score = zip(*found[k : k + 10_000])
+            yield pa.RecordBatch.from_pydict({"q": pa.array(q, pa.int32()), "id": pa.array(doc, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    found = rows.mapInArrow(searched, schema)
-    ranked = Window.partitionBy("block", "q").orderBy(F.desc("score"), F.asc_nulls_last("id"))
-    return written(found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most), f"search-{number}")
+    found = rows.mapInArrow(searched, "q int, id long, score long")
+    ranked = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("id"))
+    found = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most)
+    named = rows.sparkSession.createDataFrame([(q, i) for q, (i, _) in enumerate(queries)], f"q int, item {kind}")
+    return written(found.join(F.broadcast(named), "q").select("item", "rank", "id", "score"), f"search-{number}")
 
 
 def search(docs: DataFrame, items: DataFrame, most: int = 50, id_col: str = "doc_id", text_col: str = "text",
-           item_col: str = "item_id", query_col: str = "text") -> DataFrame:
+           item_col: str = "item_id", query_col: str = "text", width: int = WIDTH, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The ``most`` best documents for each row of ``items``: item, ``rank`` (from 1), id, ``score`` (above 0).
 
     Terms are runs of ASCII letters, digits and characters that are not ASCII, with A-Z lower-cased. With N
@@ -206,10 +209,9 @@ def search(docs: DataFrame, items: DataFrame, most: int = 50, id_col: str = "doc
     Null and empty texts have no terms: such documents are never found, such items get no rows. Every row
     is a document, every item row a query, repeated ones too. No rows on either side: an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
     queries = items.select(F.col(item_col).alias("item"), text_or_empty(query_col).cast("binary").alias("text"))
-    kinds = {c: rows.schema["id"].dataType.simpleString() if c == "id" else queries.schema["item"].dataType.simpleString() for c in ("id", "item")}
-    schema = f"block int, q int, item {kinds['item']}, id {kinds['id']}, score long"
-    blocks = [search_block(rows, block, number, most, schema) for number, block in enumerate(query_blocks(queries))]
-    found = reduce(DataFrame.unionByName, blocks) if blocks else rows.sparkSession.createDataFrame([], schema + ", rank int")
-    return found.select(F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")
+    kind = queries.schema["item"].dataType.simpleString()
+    blocks = [search_block(rows, block, number, most, kind, width, batch_rows) for number, block in enumerate(query_blocks(queries))]
+    found = reduce(DataFrame.unionByName, blocks) if blocks else rows.sparkSession.createDataFrame([], f"item {kind}, rank int, id long, score long")
+    return found.select(F.col("item").alias(item_col), "rank", F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "score")
