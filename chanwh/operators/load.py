@@ -5,19 +5,32 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chanwh import schemas as S
 from chanwh.functions import exprs as X
-from chanwh.sources.tables import partition_values
+from chanwh.sources.commits import RECORDS_PER_FILE, CommittedTable
+from chanwh.sources.tables import partition_values, staged
 
 
 DAY_PARTITION = "dt"
 #: Detections are stored by a hash of their key in so many partitions.
 BUCKET_PARTITION, KEY_BUCKETS = "bucket", 256
-#: Upper bound on the records of one written file.
-RECORDS_PER_FILE = 2_000_000
+#: The raw tables as they are stored: by message day, and by that hash.
+STORED_MESSAGES = T.StructType([*S.RAW_MESSAGES.fields, T.StructField(DAY_PARTITION, T.DateType())])
+STORED_DETECTIONS = T.StructType([*S.RAW_DETECTIONS.fields, T.StructField(BUCKET_PARTITION, T.IntegerType())])
+
+
+def message_table(spark: SparkSession, target: str) -> CommittedTable:
+    """The raw message table at ``target``."""
+    return CommittedTable(spark, target, STORED_MESSAGES, DAY_PARTITION)
+
+
+def detection_table(spark: SparkSession, target: str) -> CommittedTable:
+    """The raw detection table at ``target``."""
+    return CommittedTable(spark, target, STORED_DETECTIONS, BUCKET_PARTITION)
 
 
 def with_day_partition(df: DataFrame, date_col: str = "message_date") -> DataFrame:
@@ -100,13 +113,12 @@ def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None
         ex = stored.select("dt", "channel", F.col("message_id").alias("_id"))
         rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
                          & (rows.message_id.cast("string") == ex._id), "left_anti")
-    # staged beside the lake: what is counted is what is written, although the join reads the lake
-    staging = path.rstrip("/") + "_staging"
-    rows.write.mode("overwrite").parquet(staging)
-    rows = spark.read.schema(rows.schema).parquet(staging)
-    (rows.hint("rebalance", "dt", "channel").write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .partitionBy("dt", "channel").json(path))
-    return rows.count()
+    # staged beside the lake: the join reads the lake, which the write then adds to
+    with staged(rows, path) as ready:
+        seen = Observation()
+        gathered = ready.hint("rebalance", "dt", "channel").observe(seen, F.count(F.lit(1)).alias("rows"))
+        gathered.write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("dt", "channel").json(path)
+        return seen.get["rows"]
 
 
 # ---------------------------------------------------------------------------

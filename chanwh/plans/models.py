@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from chanwh import schemas as S
 from chanwh.functions import exprs as X
-from chanwh.operators.load import RECORDS_PER_FILE
+from chanwh.operators.load import detection_table, message_table
 from chanwh.operators.profile import layer_counts
+from chanwh.sources.commits import RECORDS_PER_FILE
 from chanwh.sources.tables import table_if_present
 
 
@@ -244,8 +245,9 @@ def open_warehouse(spark: SparkSession, out: str) -> Warehouse:
 
 def layer_listing(spark: SparkSession, out: str) -> DataFrame:
     """A22 over a warehouse's folders: each raw table and mart that should be there, present or missing."""
-    found = {("raw", "channel_messages"): table_if_present(spark, os.path.join(out, "raw", "channel_messages"), S.RAW_MESSAGES),
-             ("raw", "image_detections"): table_if_present(spark, os.path.join(out, "raw", "image_detections"), S.RAW_DETECTIONS)}
+    raw = {("raw", "channel_messages"): message_table(spark, os.path.join(out, "raw", "channel_messages")),
+           ("raw", "image_detections"): detection_table(spark, os.path.join(out, "raw", "image_detections"))}
+    found = {name: t.read() if t.exists() else None for name, t in raw.items()}
     found |= {("marts", n): table_if_present(spark, os.path.join(out, "marts", n), s) for n, s in mart_schemas().items()}
     if all(t is None for t in found.values()):
         raise FileNotFoundError(f"nothing under {out}")

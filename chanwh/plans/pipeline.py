@@ -11,18 +11,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chanwh import schemas as S
 from chanwh.operators.enrich import rollup_boxes
-from chanwh.operators.load import (BUCKET_PARTITION, DAY_PARTITION, KEY_BUCKETS, RECORDS_PER_FILE, insert_or_skip, with_key_bucket,
+from chanwh.operators.load import (BUCKET_PARTITION, KEY_BUCKETS, detection_table, insert_or_skip, message_table, with_key_bucket,
                                    write_detections_csv)
 from chanwh.operators.quality import run_checks
 from chanwh.plans.models import build_warehouse
 from chanwh.sources.coerce import coerce_messages
 from chanwh.sources.lake import parse_image_path, scan_images, scan_message_lake
-from chanwh.sources.tables import ensure_table, partition_values
-from chanwh.streaming.ingest import STORED_MESSAGES, append_messages
+from chanwh.sources.tables import partition_values, staged
+from chanwh.streaming.ingest import append_messages
 
 
 @dataclass
@@ -36,20 +35,13 @@ class PipelineConfig:
     as_of: str | None = None
 
 
-STORED_DETECTIONS = T.StructType([*S.RAW_DETECTIONS.fields, T.StructField(BUCKET_PARTITION, T.IntegerType())])
-
-
 def append_detections(spark: SparkSession, detections: DataFrame, target: str) -> int:
-    """Insert-or-skip into the raw detection table, stored by a hash of the key: only the buckets that
-    the batch has are read. Returns the rows added."""
-    batch = with_key_bucket(detections)
-    table = ensure_table(spark, target, STORED_DETECTIONS, BUCKET_PARTITION)
-    before = table.count()
-    new = insert_or_skip(table, batch, S.RAW_DETECTIONS_KEY, ["_file", "_pos"], reject_null_keys=True,
+    """Insert-or-skip into the raw detection table as one commit: only the buckets that the batch has are
+    read, and nothing of the table is counted. Returns the rows added."""
+    batch, table = with_key_bucket(detections), detection_table(spark, target)
+    new = insert_or_skip(table.read(), batch, S.RAW_DETECTIONS_KEY, ["_file", "_pos"], reject_null_keys=True,
                          prune={BUCKET_PARTITION: partition_values(batch, BUCKET_PARTITION, KEY_BUCKETS)})
-    (new.select(*[f.name for f in STORED_DETECTIONS.fields]).hint("rebalance", BUCKET_PARTITION).write.mode("append")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy(BUCKET_PARTITION).parquet(target))
-    return spark.read.schema(STORED_DETECTIONS).parquet(target).count() - before
+    return table.append(new)
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -71,14 +63,12 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
             rolled = rolled.withColumn("image_path", F.lit(None).cast("string"))
         stored = rolled.withColumns({"processed_at": now, "loaded_at": now, "max_confidence": F.col("max_confidence").cast("decimal(5,4)")})
         # one evaluation of the boxes, read by the export and the load
-        stored.write.mode("overwrite").parquet(raw_d_path + "_staging")
-        stored = spark.read.schema(stored.schema).parquet(raw_d_path + "_staging")
-        write_detections_csv(stored, os.path.join(cfg.out, "detections_csv"))
-        det = stored.select(*[f.name for f in S.RAW_DETECTIONS.fields], F.lit("").alias("_file"), F.lit(0).alias("_pos"))
-        counts["detections_loaded"] = append_detections(spark, det, raw_d_path)
+        with staged(stored, raw_d_path) as rows:
+            write_detections_csv(rows, os.path.join(cfg.out, "detections_csv"))
+            det = rows.select(*[f.name for f in S.RAW_DETECTIONS.fields], F.lit("").alias("_file"), F.lit(0).alias("_pos"))
+            counts["detections_loaded"] = append_detections(spark, det, raw_d_path)
 
-    raw_m = ensure_table(spark, raw_m_path, STORED_MESSAGES, DAY_PARTITION)
-    raw_d = ensure_table(spark, raw_d_path, STORED_DETECTIONS, BUCKET_PARTITION)
+    raw_m, raw_d = message_table(spark, raw_m_path).read(), detection_table(spark, raw_d_path).read()
     counts.update(build_warehouse(spark, raw_m, raw_d, cfg.out))
     tables = {n: spark.table(n) for n in ("stg_channel_messages", "stg_image_detections", "dim_channels",
                                           "dim_dates", "fct_messages", "fct_image_detections")}

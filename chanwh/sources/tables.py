@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
-    """The table at ``path``; if there is none, an empty one is written first."""
-    w = spark.createDataFrame([], schema).write.mode("ignore")
-    (w.partitionBy(partition) if partition else w).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+@contextmanager
+def staged(df: DataFrame, target: str) -> Iterator[DataFrame]:
+    """``df`` written once beside ``target``, under a name of its own, and removed afterwards."""
+    spark, path = df.sparkSession, f"{target.rstrip('/')}_staging-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def table_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def table_if_present(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     """The table at ``path``, or None if the path does not exist. The schema is given, as a table
     without rows may have no file to infer it from."""
     try:

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from chanwh.operators.load import detection_table, message_table
 from chanwh.plans.pipeline import PipelineConfig, run_pipeline
 from chanwh.streaming.ingest import ingest_increment
 from tests.conftest import SF001
@@ -26,7 +27,7 @@ def rec(i, ch="CheMed", day="2024-01-01", text="aspirin tablets"):
 
 def table_rows(spark, path):
     return sorted((r.message_id, r.channel_name, str(r.message_date))
-                  for r in spark.read.parquet(path).collect())
+                  for r in message_table(spark, path).read().collect())
 
 
 def test_incremental_ingest_matches_one_batch(spark, tmp_path):
@@ -82,7 +83,7 @@ def test_pipeline_on_uris_twice_without_detections(spark, tmp_path):
     assert listing["marts", "fct_messages"] == ("present", 5) and listing["raw", "image_detections"] == ("present", 1)
     build = str(tmp_path / "other")
     from chanwh.plans.models import build_warehouse
-    build_warehouse(spark, spark.read.parquet(os.path.join(out, "raw", "channel_messages")), None, build)
+    build_warehouse(spark, message_table(spark, os.path.join(out, "raw", "channel_messages")).read(), None, build)
     listing = {(r.layer, r.table_name): (r.status, r.row_count) for r in layer_listing(spark, build).collect()}
     assert listing["marts", "fct_image_detections"] == ("missing", None) and listing["raw", "channel_messages"] == ("missing", None)
 
@@ -120,6 +121,78 @@ def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
     assert len(table_rows(spark, tgt)) == 1
 
 
+@pytest.mark.parametrize("step", ["stage", "publish"])
+def test_a_run_that_dies_in_the_middle_of_a_commit_adds_its_rows_once(spark, tmp_path, monkeypatch, step):
+    """Killed before a batch is written, or between its rows and its manifest entry: nothing of it is seen, and the next
+    run adds it once, also the rows without a date."""
+    from chanwh.sources.commits import CommittedTable
+    lake, tgt = str(tmp_path / "lake"), str(tmp_path / "t")
+    drop(lake, "2024-01-01", "CheMed", [rec(1), {**rec(7), "message_date": None}])
+    ingest_increment(spark, lake, tgt)
+    drop(lake, "2024-01-02", "CheMed", [rec(1), rec(2), {**rec(8), "message_date": None}])
+
+    class Killed(Exception):
+        pass
+
+    def die(self, *a):
+        raise Killed("lost the driver")
+
+    real = getattr(CommittedTable, step)
+    monkeypatch.setattr(CommittedTable, step, die)
+    with pytest.raises(Exception, match="lost the driver"):
+        ingest_increment(spark, lake, tgt)
+    assert [r[0] for r in table_rows(spark, tgt)] == [1, 7]
+    on_disk = spark.read.parquet(tgt).count()
+    assert on_disk == (2 if step == "stage" else 4)
+    monkeypatch.setattr(CommittedTable, step, real)
+    ingest_increment(spark, lake, tgt)
+    ingest_increment(spark, lake, tgt)
+    assert [r[0] for r in table_rows(spark, tgt)] == [1, 2, 7, 8]
+    assert spark.read.parquet(tgt).count() == 4 and message_table(spark, tgt).rows() == 4
+    assert not [f for f in os.listdir(tmp_path) if "staging" in f]
+
+
+def test_commits_are_read_replaced_and_counted(spark, tmp_path):
+    from chanwh.streaming.ingest import append_messages
+    from chanwh.sources.coerce import coerce_messages
+    from chanwh.sources.lake import scan_message_lake
+    tgt = str(tmp_path / "t")
+    table = message_table(spark, tgt)
+    assert not table.exists() and table.rows() == 0 and table.read().count() == 0
+    for day in ("01", "02", "03"):
+        lake = str(tmp_path / f"lake{day}")
+        drop(lake, f"2024-01-{day}", "A", [rec(i, "A", f"2024-01-{day}") for i in range(1, 4)])
+        assert append_messages(spark, coerce_messages(scan_message_lake(spark, lake)), tgt, f"day-{day}") == 3
+    assert append_messages(spark, coerce_messages(scan_message_lake(spark, lake)), tgt, "day-03") == 0
+    assert table.commits() == {"day-01": 3, "day-02": 3, "day-03": 3}
+    before = table_rows(spark, tgt)
+    assert table.compact() == 3 and list(table.commits().values()) == [9]
+    assert table_rows(spark, tgt) == before and table.has("day-01")
+    assert append_messages(spark, coerce_messages(scan_message_lake(spark, lake)), tgt, "day-04") == 0   # all skipped
+    assert table.compact() == 2 and table.rows() == 9
+
+
+def test_a_load_counts_nothing_of_its_target(spark, tmp_path, monkeypatch):
+    """Rows added come from the write itself; the target is read for its keys alone."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from chanwh.plans.pipeline import append_detections
+    from chanwh.streaming.ingest import append_messages
+    from chanwh.sources.coerce import coerce_messages
+    from chanwh.sources.lake import scan_message_lake
+    lake, tgt = str(tmp_path / "lake"), str(tmp_path / "t")
+    drop(lake, "2024-01-01", "A", [rec(i, "A") for i in range(1, 4)])
+    counted = []
+    monkeypatch.setattr(DataFrame, "count", lambda self: counted.append(1))
+    for added in (3, 0):
+        assert append_messages(spark, coerce_messages(scan_message_lake(spark, lake)), tgt) == added
+    det = spark.range(5).selectExpr("id as message_id", "'A' as channel_name", "cast(null as string) as image_path", "'' as detected_classes", "0 as total_detections",
+                                    "cast(0 as decimal(5,4)) as max_confidence", "'other' as image_category", "timestamp_ntz'2024-01-01' as processed_at",
+                                    "timestamp_ntz'2024-01-01' as loaded_at", "'' as _file", "0 as _pos")
+    for added in (5, 0):
+        assert append_detections(spark, det, str(tmp_path / "d")) == added
+    assert not counted
+
+
 def test_marts_are_written_in_few_files(spark, tmp_path):
     import datetime as dt
     from chanwh.plans.models import build_warehouse
@@ -199,7 +272,7 @@ def test_pipeline_with_image_lake(spark, tmp_path):
     counts = run_pipeline(spark, PipelineConfig(lake=lake, out=out, boxes=boxes, as_of="2030-01-01",
                                                 image_lake=str(tmp_path / "data" / "raw" / "images")))
     assert counts["detections_loaded"] == 2 and counts["checks_failed"] == {}
-    cats = {r.message_id: r.image_category for r in spark.read.parquet(os.path.join(out, "raw", "image_detections")).collect()}
+    cats = {r.message_id: r.image_category for r in detection_table(spark, os.path.join(out, "raw", "image_detections")).read().collect()}
     assert cats == {1: "other", 2: "product_display"}
 
 
