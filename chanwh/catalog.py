@@ -510,9 +510,11 @@ def q_quota(spark, sf_dir):
     """W1 over all messages, copies of some under a second display name of the same channel (equal
     dates and ids) and copies without a channel; some images are stored already."""
     raw = raw_layer(spark, sf_dir, "messages")
-    second = raw.where((F.col("channel_name") == "CheMed") & (F.col("message_id") % 2 == 0)).withColumn("channel_name", F.lit("CheMed123"))
-    nameless = raw.where(F.col("channel_name") == " Beauty Hub ").withColumn("channel_name", F.lit(None).cast("string"))
-    messages = raw.unionByName(second).unionByName(nameless)
+    own = F.col("channel_name")
+    names = F.array(F.struct(own.alias("n")), F.when((own == "CheMed") & (F.col("message_id") % 2 == 0), F.struct(F.lit("CheMed123").alias("n"))),
+                    F.when(own == " Beauty Hub ", F.struct(F.lit(None).cast("string").alias("n"))))
+    copies = raw.withColumn("_copy", F.explode(F.filter(names, lambda c: c.isNotNull())))
+    messages = copies.withColumn("channel_name", F.col("_copy.n")).drop("_copy")
     stored = raw.where((F.col("image_path") != "") & (F.col("message_id") % 4 == 0) & (F.col("message_id") >= 200)).select("channel_name", "message_id")
     resolved = C.resolve_channels(C.distinct_names(messages), FX.channel_config(spark, QUOTA_CAPS))
     q = C.apply_quota(messages, resolved, stored)

@@ -7,7 +7,9 @@ names are reduced to their distinct values (a partial aggregate) before any thet
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanwh.functions import exprs as X
@@ -108,18 +110,63 @@ def valid_usernames(names: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # W1 quota
 # ---------------------------------------------------------------------------
-def _ranked(df: DataFrame, most: int) -> DataFrame:
-    """Rank within each configured channel, newest first, up to ``most``. The rows of newer days are
-    only counted: a row's rank is their number plus its rank within its own day, and days that
-    start beyond ``most`` are left out. So a task ranks one day of a channel, never all of it."""
-    df = df.withColumn("_day", F.to_date("message_date"))
-    days = df.groupBy(F.col("config_channel").alias("_c"), F.col("_day").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    newer = Window.partitionBy("_c").orderBy(F.desc("_d"))
-    days = days.withColumn("_before", F.sum("_n").over(newer) - F.col("_n")).where(F.col("_before") < F.lit(most))
-    rows = df.join(days, df["config_channel"].eqNullSafe(days["_c"]) & df["_day"].eqNullSafe(days["_d"]))
-    own = Window.partitionBy("config_channel", "_day").orderBy(F.desc("message_date"), F.desc("message_id"), F.asc_nulls_first("channel_name"))
-    rank = F.col("_before") + F.row_number().over(own)
-    return rows.withColumn("_rn", rank).where(F.col("_rn") <= F.lit(most)).drop("_c", "_d", "_n", "_before", "_day")
+#: Message ids that fall into one bin below a second; undated rows have no other bins.
+ID_BINS = 20
+
+
+def _reached(bins: DataFrame, group: list[str], newest: list[Column]) -> DataFrame:
+    """The bin of each group in which the summed weight reaches ``_need``, newest bins first; ``_need`` becomes
+    what is left to reach inside of it. A group that never reaches it has no row."""
+    w = Window.partitionBy(*group).orderBy(*newest)
+    upto = bins.withColumn("_upto", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    upto = upto.where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_w") < F.col("_need")))
+    return upto.withColumn("_need", F.col("_need") - (F.col("_upto") - F.col("_w"))).drop("_upto", "_w")
+
+
+def cutoffs(rows: DataFrame, held: DataFrame | None) -> DataFrame:
+    """Per configured channel, the row with which its message cap is used up and the photo with which its
+    image allowance is: (config_channel, kind ``m`` or ``p``, key). No row where a limit is not reached.
+
+    rows(config_channel, channel_name, message_id, message_date, _cap, _images, is_new). Weights are counted per
+    day first, then per second and id range of the one day that each limit falls into, then per
+    message of that one bin: a window orders bins, never a channel's rows.
+    """
+    day = F.to_date("message_date")
+    days = rows.groupBy("config_channel", day.alias("_day")).agg(F.count(F.lit(1)).alias("m"), F.count_if("is_new").alias("p"), F.max("_cap").alias("_cap"), F.max("_images").alias("_images"))
+    if held is not None:
+        days = days.join(held, days["config_channel"].eqNullSafe(held["_held_by"]), "left").withColumn("_images", F.col("_images") - F.coalesce("_held", F.lit(0)))
+    kinds = F.explode(F.array(F.struct(F.lit("m").alias("kind"), F.col("m").alias("_w"), F.col("_cap").cast("long").alias("_need")),
+                              F.struct(F.lit("p").alias("kind"), F.col("p").alias("_w"), F.col("_images").cast("long").alias("_need")))).alias("k")
+    days = days.select("config_channel", "_day", kinds).select("config_channel", "_day", "k.*").where("_need > 0")
+    first = _reached(days, ["config_channel", "kind"], [F.desc_nulls_last("_day")])
+
+    weight = F.when((F.col("kind") == "m") | F.col("is_new"), 1)
+    bins = [F.col("message_date").alias("_second"), F.shiftright("message_id", ID_BINS).alias("_ids")]
+
+    def inside(bound: DataFrame, keys: list[Column]) -> DataFrame:
+        """Rows of the bins that limits fall into; a bound has at most two rows for each channel."""
+        names = [c for c in bound.columns if c not in ("kind", "_need")]
+        b = bound.select(*[F.col(c).alias(f"_b{c}") for c in names], "kind", "_need")
+        same = reduce(lambda x, y: x & y, (c.eqNullSafe(F.col(f"_b{n}")) for n, c in zip(names, keys)))
+        return rows.join(b, same).withColumn("_w", weight).where("_w = 1")
+
+    own = [F.col("config_channel"), day]
+    second = inside(first, own).groupBy("config_channel", "kind", "_need", *bins).agg(F.sum("_w").alias("_w"))
+    second = _reached(second, ["config_channel", "kind"], [F.desc_nulls_last("_second"), F.desc_nulls_last("_ids")])
+    keys = [F.col("config_channel"), F.col("message_date"), F.shiftright("message_id", ID_BINS)]
+    third = inside(second, keys).groupBy("config_channel", "kind", "_need", "message_date", "message_id", "channel_name").agg(F.sum("_w").alias("_w"))
+    third = _reached(third, ["config_channel", "kind"], [F.desc_nulls_last("message_date"), F.desc_nulls_last("message_id"), F.asc_nulls_first("channel_name")])
+    return third.select("config_channel", "kind", F.struct("message_date", "message_id", "channel_name").alias("key"))
+
+
+def _at_or_before(key: str) -> Column:
+    """Whether a row comes up to the row ``key``, newest first: later dates, larger ids, names in order; missing
+    dates and ids last, a missing name first. Every row does if there is no such key."""
+    d, i, n = F.col("message_date"), F.col("message_id"), F.col("channel_name")
+    kd, ki, kn = (F.col(f"{key}.{c}") for c in ("message_date", "message_id", "channel_name"))
+    later = lambda a, b: F.coalesce(a > b, a.isNotNull() & b.isNull())
+    name = n.isNull() | F.coalesce(n <= kn, F.lit(False))
+    return F.col(key).isNull() | later(d, kd) | (d.eqNullSafe(kd) & (later(i, ki) | (i.eqNullSafe(ki) & name)))
 
 
 def apply_quota(messages: DataFrame, resolved: DataFrame, stored_images: DataFrame | None = None,
@@ -130,12 +177,15 @@ def apply_quota(messages: DataFrame, resolved: DataFrame, stored_images: DataFra
     messages(message_id, channel_name, message_date, image_path, ...)
     resolved: ``resolve_channels`` output; stored_images(channel_name, message_id): images on disk.
     N = least(request_limit, max_messages) (no cap → all). The allowance is the image cap less the
-    channel's stored images. Photos are taken newest first: a photo that is stored passes without
-    using the allowance, a new one uses it, and once it is used up every older photo is refused, as
-    is every photo of a channel without an allowance. An over-cap photo keeps its message row.
-    Equal dates and ids of several display names are ordered by name. Rows without a channel form
-    one group with the default cap.
+    channel's stored images (of all its display names). Photos are taken newest first: a photo that is
+    stored passes without using the allowance, a new one uses it, and once it is used up every older photo
+    is refused, as is every photo of a channel without an allowance. An over-cap photo keeps its
+    message row. Equal dates and ids of several display names are ordered by name; a repeated row counts
+    again and shares its verdict. Rows without a channel form one group with the default cap.
     Output: the kept message rows + config_channel, has_photo, image_downloaded.
+
+    One lazy plan: the messages are counted by bins three times, down to one cut-off row for each limit
+    (``cutoffs``), then filtered by it; no window orders a channel's rows.
     """
     caps = resolved.select("channel_name", "config_channel", "max_images", "max_messages")
     config = F.coalesce("config_channel", "channel_name").alias("config_channel")
@@ -144,33 +194,16 @@ def apply_quota(messages: DataFrame, resolved: DataFrame, stored_images: DataFra
         *[F.col(c) for c in messages.columns], config, limit.alias("_cap"),
         F.coalesce("max_images", F.lit(DEFAULT_MAX_IMAGES)).alias("_images"),
         F.coalesce(F.col("image_path") != "", F.lit(False)).alias("has_photo"))
-    # two numbers of the configuration
-    top = caps.agg(F.max("max_messages").alias("m"), F.max("max_images").alias("i")).first()
-    most_messages = min(x for x in (top["m"], request_limit) if x is not None) if request_limit is not None else top["m"]
-    most_images = max(top["i"] or 0, DEFAULT_MAX_IMAGES)
-    if most_messages is not None:
-        capped = _ranked(m.where(F.col("_cap").isNotNull()), max(most_messages, 0)).where(F.col("_rn") <= F.col("_cap")).drop("_rn")
-        m = m.where(F.col("_cap").isNull()).unionByName(capped)
-
-    photos = m.where("has_photo").groupBy("config_channel", "channel_name", "message_id").agg(
-        F.max("message_date").alias("message_date"), F.max("_images").alias("_images"))
+    rows, held = m.withColumn("is_new", F.col("has_photo")), None
     if stored_images is not None:
         stored = stored_images.select("channel_name", "message_id").distinct()
-        same = photos["channel_name"].eqNullSafe(stored["channel_name"]) & (photos["message_id"] == stored["message_id"])
-        new = photos.join(stored, same, "left_anti")
-        held = stored.join(caps, "channel_name", "left").select(config).groupBy("config_channel").agg(F.count(F.lit(1)).alias("_held"))
-        held = held.withColumnRenamed("config_channel", "_held_by")
-        m = m.join(held, F.col("config_channel").eqNullSafe(F.col("_held_by")), "left").drop("_held_by")
-        new = new.join(held, F.col("config_channel").eqNullSafe(F.col("_held_by")), "left").drop("_held_by")
-    else:
-        new = photos.withColumn("_held", F.lit(0))
-        m = m.withColumn("_held", F.lit(0))
-    room = F.col("_images") - F.coalesce("_held", F.lit(0))
-    # the photo that uses the last of the allowance; older ones are refused
-    last = _ranked(new, most_images).where(F.col("_rn") == room).select(
-        F.col("config_channel").alias("_of"), F.struct("message_date", "message_id").alias("_key"), F.col("channel_name").alias("_name"))
-    out = m.join(last, F.col("config_channel").eqNullSafe(F.col("_of")), "left")
-    key = F.struct("message_date", "message_id")
-    in_time = F.col("_key").isNull() | (key > F.col("_key")) | ((key == F.col("_key")) & (F.coalesce("channel_name", F.lit("")) <= F.coalesce("_name", F.lit(""))))
-    flag = F.col("has_photo") & (room > 0) & in_time
-    return out.withColumn("image_downloaded", flag).drop("_cap", "_images", "_held", "_of", "_key", "_name")
+        held = stored.join(caps, "channel_name", "left").select(config).groupBy(F.col("config_channel").alias("_held_by")).agg(F.count(F.lit(1)).alias("_held"))
+        s = stored.select(F.col("channel_name").alias("_sc"), F.col("message_id").alias("_si"), F.lit(True).alias("_stored"))
+        rows = rows.join(s, rows["channel_name"].eqNullSafe(s["_sc"]) & (rows["message_id"] == s["_si"]), "left").withColumn("is_new", F.col("has_photo") & F.col("_stored").isNull())
+        m = m.join(held, F.col("config_channel").eqNullSafe(F.col("_held_by")), "left").withColumn("_images", F.col("_images") - F.coalesce("_held", F.lit(0)))
+    found = cutoffs(rows.select("config_channel", "channel_name", "message_id", "message_date", "_cap", "_images", "is_new"), held)
+    found = found.groupBy(F.col("config_channel").alias("_of")).agg(F.max(F.when(F.col("kind") == "m", F.col("key"))).alias("_last"), F.max(F.when(F.col("kind") == "p", F.col("key"))).alias("_photo"))
+    out = m.join(found, F.col("config_channel").eqNullSafe(F.col("_of")), "left")
+    out = out.where(F.col("_cap").isNull() | ((F.col("_cap") > 0) & _at_or_before("_last")))
+    flag = F.col("has_photo") & (F.col("_images") > 0) & _at_or_before("_photo")
+    return out.select(*messages.columns, "config_channel", "has_photo", flag.alias("image_downloaded"))

@@ -10,6 +10,7 @@ from chanwh.operators import channels as C
 from chanwh.operators import load as L
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
+from chanwh.sources import fixtures as FX
 from tests.test_models import raw
 
 
@@ -27,18 +28,51 @@ def msgs(spark, n=40):
         "message_id long, channel_name string, message_date timestamp_ntz, image_path string")
 
 
-def test_quota_ranks_a_channel_day_by_day(spark):
-    """No window sorts the rows of a whole channel: rows are ranked within (channel, day); only the
-    day counts are taken together by channel."""
-    m = msgs(spark).withColumn("config_channel", F.col("channel_name"))
-    p = plan(C._ranked(m, 1500))
+def test_quota_finds_cutoffs_by_counting(spark):
+    """No window holds the rows of a channel or of one of its days: what is ordered are counted bins, and the messages
+    are joined with at most one cut-off for each limit."""
+    m = msgs(spark)
+    resolved = C.resolve_channels(C.distinct_names(m), FX.channel_config(spark, {"CheMed123": (5, 2)}))
+    p = plan(C.apply_quota(m, resolved, m.select("channel_name", "message_id").limit(3)))
+    assert "row_number" not in p and "rank(" not in p
     windows = [line for line in p.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    assert sum("row_number" in line and "config_channel" in line and "_day" in line for line in windows) == 1
-    assert sum("sum(" in line and "_c" in line for line in windows) == 1
-    ranks = {(r.channel_name, r.message_id): r._rn for r in C._ranked(m, 7).collect()}
-    hot = sorted((r.message_id for r in msgs(spark).where("channel_name = 'hot'").collect()), reverse=True)
-    assert [i for (c, i), _ in sorted(ranks.items(), key=lambda x: x[1]) if c == "hot"] == hot[:7]
+    assert len(windows) == 3 and all("sum(_w" in line for line in windows)
+
+
+def test_cutoffs_equal_ranking_all_rows(spark):
+    """Against plain ranking, with ties in dates, ids and names, missing dates, repeated rows, and a limit at each place."""
+    import random
+    rng = random.Random(4)
+    data = []
+    for _ in range(400):
+        d = rng.choice([None, dt.datetime(2024, 1, rng.randrange(1, 5), 0, 0, rng.randrange(3))])
+        data.append((rng.randrange(60) << rng.choice([0, 19, 21]), rng.choice(["hot", "Hot", "b", None]), d, rng.choice(["p.jpg", "", None])))
+    m = spark.createDataFrame(data, "message_id long, channel_name string, message_date timestamp_ntz, image_path string")
+    stored = {(r[1], r[0]) for r in rng.sample(data, 60) if r[1]}
+    held = spark.createDataFrame(sorted(stored), "channel_name string, message_id long")
+
+    def order(r):
+        return (r[2] is None, -(r[2] - dt.datetime(2024, 1, 1)).total_seconds() if r[2] else 0, -r[0], r[1] is not None, r[1] or "")
+
+    for cap, images in [(1, 70), (17, 61), (90, 100), (250, 90), (None, 80), (5000, 5000), (0, 9)]:
+        config = FX.values(spark, [("hot", "zzz", 1, images, cap)], "channel string, pattern string, pattern_order int, max_images int, max_messages int")
+        got = C.apply_quota(m, C.resolve_channels(C.distinct_names(m), config), held)
+        want = []
+        for names in (("hot", "Hot"), ("b",), (None,)):
+            own = sorted((r for r in data if r[1] in names), key=order)
+            room = (images if "hot" in names else 1500) - sum(n in names for n, _ in stored)
+            limit = cap if "hot" in names else None
+            # rows that are equal in date, id and name share the verdict of the first of them
+            ranks = {}
+            used = 0
+            for k, r in enumerate(own):
+                ranks.setdefault(r[:3], (k, used))
+                used += bool(r[3]) and (r[1], r[0]) not in stored
+            for r in own:
+                k, before = ranks[r[:3]]
+                if limit is None or k < limit:
+                    want.append((r[0], str(r[1]), str(r[2]), bool(r[3]), bool(r[3]) and room > 0 and before < room))
+        assert sorted((r.message_id, str(r.channel_name), str(r.message_date), r.has_photo, r.image_downloaded) for r in got.collect()) == sorted(want), (cap, images)
 
 
 def test_first_wins_dedupe_aggregates_map_side(spark):
