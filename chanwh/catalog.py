@@ -20,6 +20,7 @@ from chanwh.operators import profile as P
 from chanwh.operators import quality as Q
 from chanwh.plans import models as M
 from chanwh.plans import reports as R
+from chanwh.plans import search_index as SX
 from chanwh.sources import coerce as CO
 from chanwh.sources import fixtures as FX
 from chanwh.sources import lake as LK
@@ -246,6 +247,25 @@ def q_search_wildcard_count(spark, sf_dir):
     return R.search_count(w.fct_messages, w.dim_channels, WILDCARD_QUERY)
 
 
+TRIGRAM_QUERY = "tion_ed ment"      # 'tion', 'ed' and 'ment' between wildcards and spaces: tio ion men ent
+_TRIGRAMS = ["ent", "ion", "men", "tio"]
+
+
+@register("search_trigram_days", O.with_ctes(f"""
+select date_key, count(*) as trigrams, count(*) filter (where trigram in {tuple(_TRIGRAMS)}) = {len(_TRIGRAMS)} as candidate
+from (select distinct date_key, substr(word, cast(i as int), 3) as trigram
+  from (select date_key, word, unnest(range(1, length(word) - 1)) as i
+    from (select distinct date_key, unnest(string_split(lower(message_text), ' ')) as word from fct_messages) w
+    where length(word) >= 3) p) t
+group by date_key""", "fct_messages"))
+def q_search_trigram_days(spark, sf_dir):
+    """N3's trigram index over whole texts, by day in place of files: the index's size, and which days can hold a match."""
+    wanted = SX.query_trigrams(spark, TRIGRAM_QUERY)
+    postings = SX.trigram_postings(warehouse(spark, sf_dir).fct_messages, ["date_key"])
+    return postings.groupBy("date_key").agg(F.count(F.lit(1)).alias("trigrams"),
+                                            (F.count_if(F.col("trigram").isin(wanted)) == len(wanted)).alias("candidate"))
+
+
 QUERIES["search_envelope"] = lambda spark, sf_dir: R.search_envelope(
     warehouse(spark, sf_dir).fct_messages, warehouse(spark, sf_dir).dim_channels, SEARCH_QUERY, SEARCH_LIMIT)
 

@@ -15,6 +15,7 @@ from chanwh import schemas as S
 from chanwh.functions import exprs as X
 from chanwh.operators.load import detection_table, message_table
 from chanwh.operators.profile import layer_counts
+from chanwh.plans.search_index import build_search_index
 from chanwh.sources.commits import RECORDS_PER_FILE
 from chanwh.sources.tables import table_if_present
 
@@ -205,7 +206,7 @@ def build_warehouse(spark: SparkSession, raw_messages: DataFrame, raw_detections
     ``channel_key`` inside each file, so per-channel reports skip row groups by min/max
     statistics. Rows are gathered by day before they are written (adaptive execution splits large
     days), so files are as many as days, not tasks x days. The facts are joined with the written
-    dimensions.
+    dimensions, and the message fact's files get a trigram index for searches (``plans.search_index``).
     """
     sm = stg_messages(raw_messages)
     sm.createOrReplaceTempView("stg_channel_messages")
@@ -224,7 +225,7 @@ def build_warehouse(spark: SparkSession, raw_messages: DataFrame, raw_detections
         return back
 
     dc, dd = store("dim_channels", dim_channels(sm)), store("dim_dates", dim_dates(sm))
-    store("fct_messages", fct_messages(sm, dc, dd))
+    build_search_index(store("fct_messages", fct_messages(sm, dc, dd)), out)
     if raw_detections is not None:
         sd = stg_detections(raw_detections)
         sd.createOrReplaceTempView("stg_image_detections")
