@@ -6,7 +6,9 @@
    (its own place minus its place in the item), and at every shared shingle itself: a window that starts
    elsewhere keeps all its shared shingles when it moves right to the next one. Left out is what cannot
    reach the similarity (too few shared shingles) or adds none to the window before it.
-3. Each window gets a 64-bit SimHash of its shingles. Items of the window's size are searched by a
+3. Each window gets a 64-bit SimHash of its shingles, in which the k-th occurrence of a shingle votes as an
+   element of its own: the similarity of counts is then one of sets, whose angle bounds the bits that
+   differ, however often shingles repeat. Items of the window's size are searched by a
    multi-index: the fingerprint is cut into blocks, and of two fingerprints within the radius at
    least one block differs in at most ``radius // blocks`` bits. Item blocks are stored with all
    such changes, so an equality join on (size, block, value) finds every item within the radius.
@@ -54,8 +56,14 @@ def exploded(df: DataFrame, keys: list[str], array: str) -> DataFrame:
     return df.select(*keys, F.posexplode_outer(array).alias("at", "h")).where(F.col("h").isNotNull())
 
 
+def occurrences(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, h): of each shingle ``h`` that a group has ``c`` times, a hash for every occurrence."""
+    each = counts.select(*keys, "h", F.explode(F.sequence(F.lit(1).cast("bigint"), "c")).alias("k"))
+    return each.select(*keys, F.when(F.col("k") == 1, F.col("h")).otherwise(F.xxhash64("h", "k")).alias("h"))
+
+
 def fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
-    """SimHash of the shingles ``h`` of each group: a bit is set if more than half of them have it.
+    """SimHash of the hashes ``h`` of each group: a bit is set if more than half of them have it.
     Each of 32 sums counts two bits, in the halves of a long."""
     half = F.lit(0x0000000100000001)
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(half)).alias(f"s{k}") for k in range(32)]
@@ -70,8 +78,8 @@ def fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def radius_for(similarity: float) -> int:
-    """Bits within which fingerprints of sets of this similarity lie but for one in 10,000: the angle
-    between the sets gives the chance of a bit to differ, four standard deviations are added."""
+    """Bits within which fingerprints of this similarity lie, but for about one in 10,000: the angle between
+    the sets of occurrences gives the chance of a bit to differ, four standard deviations are added."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.ceil(BITS * p + 4 * math.sqrt(BITS * p * (1 - p)))
 
@@ -147,13 +155,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     found = with_shingles(found.select(texts["id"].alias("id"), texts["t"].alias("t"), "text", "windows"), "text")
     inside = found.select("id", "t", "sh", F.explode("windows").alias("w"))
     inside = exploded(inside.select("id", "t", "w.start", "w.size", F.slice("sh", F.col("w.start") + 1, F.col("w.size")).alias("sh")), KEY, "sh")
-    inside = written(inside.distinct(), "window-shingles")
-    prints = fingerprint(inside, KEY)
+    inside = written(inside.distinct().groupBy(*KEY, "h").agg(F.count(F.lit(1)).alias("c")), "window-shingles")
+    prints = fingerprint(occurrences(inside, KEY), KEY)
 
     # multi-index search among the items of the window's size
     radius = radius_for(similarity)
-    item_sh = items.select("no", "size", F.explode_outer("sh").alias("h"))
-    item_prints = written(fingerprint(item_sh, ["no", "size"]).withColumnsRenamed({"m": "item_m", "print": "item_print"}), "item-prints")
+    item_sh = written(items.select("no", "size", F.explode_outer("sh").alias("h")).groupBy("no", "size", "h").agg(F.count(F.lit(1)).alias("c")), "item-shingles")
+    item_prints = written(fingerprint(occurrences(item_sh, ["no", "size"]), ["no", "size"]).withColumnsRenamed({"m": "item_m", "print": "item_print"}), "item-prints")
     near = item_prints.select("no", "size", "item_m", "item_print", F.explode(block_values("item_print")).alias("b"))
     near = near.select("no", "size", "item_m", "item_print", "b.block", F.explode(F.array(*(F.col("b.value").bitwiseXOR(F.lit(c)) for c in changes(radius)))).alias("value"))
     near = small(written(near, "item-blocks"))
@@ -164,8 +172,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, i
     pairs = written(pairs, "near")
 
     # exact similarity of what was found
-    window_counts = inside.groupBy(*KEY, "h").agg(F.count(F.lit(1)).alias("c")).withColumnsRenamed({k: f"own_{k}" for k in KEY})
-    item_counts = small(written(item_sh.groupBy("no", "h").agg(F.count(F.lit(1)).alias("d")), "item-counts"))
+    window_counts = inside.withColumnsRenamed({k: f"own_{k}" for k in KEY})
+    item_counts = small(item_sh.select("no", "h", F.col("c").alias("d")))
     same = F.lit(True)
     for k in KEY:
         same &= F.col(k).eqNullSafe(F.col(f"own_{k}"))
