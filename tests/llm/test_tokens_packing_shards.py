@@ -70,6 +70,18 @@ def test_fast_ids_of_every_plain_character(encoder):
         assert encoder.ids(text).tolist() == library_ids(encoder, text), repr(text)
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 900_000 + "b", "abcde" * 1_000_000, "!" * 1_500_000, ("x" + " " * 499) * 400, "a" * 1999 + " " + "1" * 1999])
+def test_long_runs_have_the_librarys_ids(encoder, text):
+    assert np.array_equal(encoder.ids(text), library_ids(encoder, text))
+
+
+def test_long_runs_are_packed(spark, encoder):
+    rows = [(1, " " * 2_000_000), (2, "\n" * 2_000_000), (3, "w" * 5_000_000), (4, "short")]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY, RANKS, public_tokenizers.PATTERN).toPandas()
+    lengths = got.groupby("doc_id")["length"].sum()
+    assert {i: len(library_ids(encoder, t)) + 1 for i, t in rows} == lengths.to_dict()
+
+
 def check_packing(rows, got, encoder, length):
     """Exact pieces, and sequences without gaps; returns the number of sequences."""
     want = []
