@@ -11,7 +11,7 @@
    the exact one.
 4. The neighbours vote with their squared similarity, each class weighted by how many labelled rows
    an example stands for. Votes become probabilities by isotonic regression on the examples, each
-   judged without itself. A document with no feature has no neighbour and gets the share of toxic
+   judged without those of its own text. A document with no feature has no neighbour and gets the share of toxic
    rows among such examples.
 
 The index is bounded by the two parameters, whatever the input's size; it is broadcast.
@@ -127,8 +127,8 @@ class BlockMaxIndex:
     def __init__(self, examples: list[tuple], idf: np.ndarray):
         self.idf = idf
         rows = [(i, label, *self.weigh(t, c)) for i, label, t, c in examples]
-        rows.sort(key=lambda r: (sorted(r[2], key=lambda t: -idf[t])[:3], r[0] is None, r[0]))
-        self.ids = [r[0] for r in rows]
+        rows.sort(key=lambda r: (sorted(r[2], key=lambda t: -idf[t])[:3], r[0]))
+        self.ids, self.texts = [r[0][0] for r in rows], [r[0][1] for r in rows]
         self.labels = np.array([r[1] for r in rows], np.int8)
         self.blocks = -(-len(rows) // BLOCK)
         self.largest = np.zeros((len(idf), self.blocks), np.float32)
@@ -147,7 +147,7 @@ class BlockMaxIndex:
         return terms, w / np.sqrt((w * w).sum()) if len(w) else w
 
     def nearest(self, terms, counts, k: int, but=None) -> list[tuple[int, float]]:
-        """The ``k`` examples of the highest cosine (ties: the earlier in the index), without ``but``."""
+        """The ``k`` examples of the highest cosine (ties: the earlier in the index), without those with the text ``but``."""
         terms, query = self.weigh(terms, counts)
         if not terms:
             return []
@@ -162,7 +162,7 @@ class BlockMaxIndex:
                 if hi > lo:
                     scores[self.places[t][lo:hi] - b * BLOCK] += q * self.weights[t][lo:hi]
             for j in np.flatnonzero(scores).tolist():
-                if but is None or self.ids[b * BLOCK + j] != but:
+                if but is None or self.texts[b * BLOCK + j] != but:
                     best.append((-round(float(scores[j]), 9), b * BLOCK + j))
             best.sort()
             del best[k:]
@@ -187,8 +187,8 @@ class Judge:
 
     def calibrate(self, examples: list[tuple]) -> None:
         votes, labels, weights, none = [], [], [], np.zeros(2)
-        for i, label, terms, counts in examples:
-            vote, _ = self.vote(terms, counts, but=i)
+        for (_, text), label, terms, counts in examples:
+            vote, _ = self.vote(terms, counts, but=text)
             if vote is None:
                 none[label] += self.class_weights[label]
             else:
@@ -214,7 +214,7 @@ class Judge:
     @property
     def known(self) -> set:
         if "_known" not in self.__dict__:
-            self._known = set(self.index.ids)
+            self._known = set(self.index.texts)
         return self._known
 
 
@@ -244,7 +244,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     Only the text enters a score. Null texts are empty; a text without features (an empty one too)
     gets the score of such examples. A label row with a null id or label is ignored; of several
     labels of an id the largest counts. Without labelled rows every score is 0. Rows with equal ids
-    are scored one by one; a document that is an example is judged without itself.
+    are scored one by one, of those of a labelled id one is an example. A document is judged without the
+    examples that have its text, so equal texts have equal scores, whatever their ids.
     """
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
@@ -254,7 +255,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     take = lambda label: known.where(F.col("label") == label).orderBy(F.xxhash64(F.lit("example"), "id"), "id").limit(examples)
     sample = written(take(1).unionByName(take(0)), "sample")  # 2 x examples ids
-    chosen = written(rows.join(F.broadcast(sample), "id"), "example-texts")
+    # one row for each id, so that what is collected below is bounded by the sample
+    chosen = rows.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min_by(F.struct("text", "text_hash"), F.struct("text_hash", "text")).alias("one"))
+    chosen = written(chosen.select("id", "label", "one.*"), "example-texts")
     have = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     toxic, clean = have.get(1, 0), have.get(0, 0)
     names = select_features(count_examples(chosen), toxic, clean, features) if toxic and clean else []
@@ -263,7 +266,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     n = counted.count()
     seen = {r["t"]: r["count"] for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}  # FEATURES rows at most
     idf = np.array([np.log((n + 1) / (seen.get(t, 0) + 1)) + 1 for t in range(len(names))])
-    fitted = [(r["id"], r["label"], r["terms"], r["counts"]) for r in vectors(chosen.select("id", "label", "text"), names).collect()]
+    fitted = [((r["id"], r["text_hash"]), r["label"], r["terms"], r["counts"]) for r in vectors(chosen.select("id", "label", "text_hash", "text"), names).collect()]
     judge = Judge(BlockMaxIndex(fitted, idf), (sizes.get(0, 0) / clean if clean else 0.0, sizes.get(1, 0) / toxic if toxic else 0.0), k)
     judge.calibrate(fitted)
     # bounded by examples, features and the examples' features; bytes, so that classes travel along
@@ -273,10 +276,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     @F.pandas_udf(f"score double, neighbours array<{kind}>, similarities array<double>")
     def judged(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         own = pickle.loads(shared.value)
-        for ids, terms, counts in batches:
-            yield pd.DataFrame([own.score(t, c, i) for i, t, c in zip(ids, terms, counts)], columns=["score", "neighbours", "similarities"])
+        for texts, terms, counts in batches:
+            yield pd.DataFrame([own.score(t, c, h) for h, t, c in zip(texts, terms, counts)], columns=["score", "neighbours", "similarities"])
 
-    out = counted.withColumn("j", judged("id", "terms", "counts"))
+    out = counted.withColumn("j", judged("text_hash", "terms", "counts"))
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "j.score", (F.col("j.score") >= 0.5).cast("int").alias("predicted"),
                       "j.neighbours", "j.similarities", "text_hash")
 

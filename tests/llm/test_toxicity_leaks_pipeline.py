@@ -49,25 +49,37 @@ def test_index_is_exact():
         terms = sorted(rng.sample(range(40), rng.randrange(0, 6)))
         return terms, [rng.randrange(1, 4) for _ in terms]
 
-    examples = [(k, k % 2, *vector()) for k in range(500)]
+    examples = [((k, k % 499), k % 2, *vector()) for k in range(500)]  # the last has the first one's text
     index = toxicity.BlockMaxIndex(examples, idf)
     dense = np.zeros((500, 40))
-    for i, _, t, c in examples:
+    for (i, _), _, t, c in examples:
         if t:
             dense[i, t] = index.weigh(t, c)[1]
     for _ in range(200):
         t, c = vector()
-        got = index.nearest(t, c, 10, but=3)
+        got = index.nearest(t, c, 10, but=0)
         q = np.zeros(40)
         if t:
             q[t] = index.weigh(t, c)[1]
         cosine = dense @ q
-        cosine[3] = -1
+        cosine[[0, 499]] = -1
         best = np.sort(cosine[cosine > 0])[::-1][:10]
         assert np.allclose([s for _, s in got], best, atol=1e-6)
         assert all(abs(cosine[index.ids[p]] - s) < 1e-6 for p, s in got)
 
 
+def test_equal_texts_have_equal_scores_and_repeated_ids_one_example(spark):
+    docs = documents(spark, SF).select("doc_id", "text")
+    labels = queries.table(spark, SF, "labels")
+    again = docs.where("doc_id % 3 = 0").selectExpr("doc_id + 1000000 as doc_id", "text")
+    many = docs.where("doc_id < 40").crossJoin(spark.range(30)).drop("id")
+    got = toxicity.score_toxicity(docs.unionByName(again).unionByName(many), labels).toPandas()
+    assert (got.groupby("text_hash")["score"].nunique() == 1).all()
+    chosen = toxicity.score_toxicity(many, labels).toPandas()   # 30 rows of each id: an id is one example
+    assert (chosen.groupby("doc_id")["score"].nunique() == 1).all()
+    assert max(len(set(n)) - len(n) for n in chosen["neighbours"]) == 0
+
+
 def test_isotonic():
     knots, values = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.3, 0.9]), np.array([0, 1, 0, 0, 1.0]), np.ones(5))
     assert knots.tolist() == [0.1, 0.2, 0.3, 0.9] and np.allclose(values, [0, 1 / 3, 1 / 3, 1])
@@ -279,3 +291,47 @@ def queries_ids(text):
 
     library = queries_ids.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
     return [*library.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def edited(rng, text, kind):
+    """An item with an edit that keeps at least 0.8 of its shingles' weight, or about that."""
+    w = words(text)
+    n = len(w)
+    if kind == "repeated":      # the last ninth becomes one repeated word: many equal shingles
+        k = round(n * 0.105)
+        return " ".join(w[: n - k] + ["again"] * k)
+    if kind == "repeated inside":
+        k, at = round(n * 0.1), n // 2
+        return " ".join(w[:at] + ["ha"] * k + w[at + k:])
+    if kind == "replaced":
+        return " ".join("other" + str(rng.randrange(99)) if n * 0.4 < i < n * 0.4 + n * 0.07 else x for i, x in enumerate(w))
+    return " ".join(w[: round(n * 0.9)])
+
+
+@pytest.mark.parametrize("similarity", [0.8])
+def test_leaks_with_repeated_shingles_are_found(spark, similarity):
+    """Recall over edits of long items, also those that put one shingle many times into the window."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(900)]
+    items, docs = [], []
+    for k in range(160):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(60, 200)))
+        if k % 4 == 0:          # an item with repeats of its own
+            text += " " + " ".join(["la"] * 30)
+        items.append((k, text))
+        body = edited(rng, text, ["repeated", "repeated inside", "replaced", "cut"][k % 4 if k % 8 else 1])
+        docs.append((1000 + k, " ".join(rng.choice(vocabulary) for _ in range(40)) + " " + body + " " + " ".join(rng.choice(vocabulary) for _ in range(40))))
+    want = {(i, j) for (i, t), (j, x) in zip(docs, items) if (i, j) in brute_leaks([(i, t)], [(j, x)], similarity)}
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), similarity)
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(want) > 70
+    assert got == want
+
+
+def test_similarity_of_counts_is_one_of_occurrences(spark):
+    rows = spark.createDataFrame([(1, 7, 3), (1, 8, 1), (2, 7, 2), (2, 9, 1)], "g int, h long, c long")
+    sets = {}
+    for r in decontaminate.occurrences(rows, ["g"]).collect():
+        sets.setdefault(r["g"], []).append(r["h"])
+    assert {g: len(set(x)) for g, x in sets.items()} == {1: 4, 2: 3}
+    assert len(set(sets[1]) & set(sets[2])) == 2     # the smaller count of 7
