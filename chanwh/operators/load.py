@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from chanwh import schemas as S
 from chanwh.functions import exprs as X
 from chanwh.sources.commits import RECORDS_PER_FILE, CommittedTable
-from chanwh.sources.tables import partition_values, staged
+from chanwh.sources.lake import parse_lake_text
+from chanwh.sources.tables import files_if_present, partition_values, staged
 
 
 DAY_PARTITION = "dt"
@@ -94,25 +95,45 @@ def lake_partition(as_of=None) -> list:
     return [day.alias("dt"), X.safe_file_name("channel_name").alias("channel")]
 
 
+#: A file of the lake's other form: a JSON array (or one record) for a day and a channel.
+ARRAY_FILE = r"/(\d{4}-\d{2}-\d{2})/([^/]+)\.json$"
+
+
+def stored_ids(spark: SparkSession, path: str, days: list | None) -> DataFrame:
+    """(dt, channel, id) of the records in the lake at ``path``, of the given days if any are given: JSON Lines
+    under ``dt=.../channel=...`` as well as array files ``YYYY-MM-DD/<channel>.json``. No lake: no rows."""
+    lines = files_if_present(lambda: spark.read.schema("message_id string, dt string, channel string").option("basePath", path).json(f"{path.rstrip('/')}/dt=*"))
+    arrays = files_if_present(lambda: spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json"))
+    found = spark.createDataFrame([], "dt string, channel string, id string")
+    if lines is not None:
+        own = lines if days is None else lines.where(F.col("dt").isin(days))
+        found = found.unionByName(own.select("dt", "channel", F.col("message_id").alias("id")))
+    if arrays is not None:
+        file = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+        day = F.regexp_extract(file, ARRAY_FILE, 1)
+        texts = arrays.where(day != "" if days is None else day.isin(days)).select("value", F.col("_metadata.file_path").alias("_file"))
+        file = F.url_decode(F.regexp_replace(F.col("_file"), r"\+", "%2B"))
+        records = parse_lake_text(texts).select(F.regexp_extract(file, ARRAY_FILE, 1).alias("dt"), F.regexp_extract(file, ARRAY_FILE, 2).alias("channel"), F.col("message_id").alias("id"))
+        found = found.unionByName(records)
+    return found
+
+
 def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None) -> int:
     """File message records by day (no date → ``as_of``, default today) and file-safe
     channel name as JSON Lines under ``dt=YYYY-MM-DD/channel=<safe name>/``; returns how many.
 
     With ``merge``, a record whose id is already stored in the same day/channel partition is
     skipped (the stored record wins; repeats inside the batch are kept); only the batch's days
-    are read. Rows are gathered by partition before they are written, so that a partition gets
+    are read. Stored records may also be in array files, a file for a day and a channel; a lake that does
+    not exist yet is created. Rows are gathered by partition before they are written, so that a partition gets
     few files, with a bound on a file's records.
     """
     rows = df.select(*[F.col(c) for c in df.columns], *lake_partition(as_of))
     spark = df.sparkSession
     if merge:
-        stored = spark.read.schema("message_id string, dt string, channel string").json(path)
-        days = partition_values(rows, "dt")
-        if days is not None:
-            stored = stored.where(F.col("dt").isin(days))
-        ex = stored.select("dt", "channel", F.col("message_id").alias("_id"))
+        ex = stored_ids(spark, path, partition_values(rows, "dt"))
         rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
-                         & (rows.message_id.cast("string") == ex._id), "left_anti")
+                         & (rows.message_id.cast("string") == ex.id), "left_anti")
     # staged beside the lake: the join reads the lake, which the write then adds to
     with staged(rows, path) as ready:
         seen = Observation()

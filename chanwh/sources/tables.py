@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -26,8 +26,13 @@ def staged(df: DataFrame, target: str) -> Iterator[DataFrame]:
 def table_if_present(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     """The table at ``path``, or None if the path does not exist. The schema is given, as a table
     without rows may have no file to infer it from."""
+    return files_if_present(lambda: spark.read.schema(schema).parquet(path))
+
+
+def files_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` opens, or None if its path does not exist."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return read()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -94,6 +94,35 @@ def test_lake_writer_merges_partitions(spark, tmp_path):
         assert rows(back, "message_id", "message_text") == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
 
 
+def test_first_merge_creates_the_lake(spark, tmp_path):
+    root = "file://" + str(tmp_path / "new" / "lake")
+    recs = spark.createDataFrame([(1, "A", "2024-01-01T10:00:00"), (2, "A", None)], "message_id long, channel_name string, message_date string")
+    assert L.write_message_lake(recs, root, merge=True, as_of="2024-02-01") == 2
+    assert L.write_message_lake(recs, root, merge=True, as_of="2024-02-01") == 0
+    assert not [f for f in os.listdir(tmp_path / "new") if "staging" in f]
+
+
+def test_merge_into_array_files(spark, tmp_path):
+    """A lake of indented array files, a file for a day and a channel: their records are known, others are added; both forms
+    are read together, and a file of another day is not opened."""
+    root = tmp_path / "lake"
+    for day, name, text in [("2024-01-01", "Tikvah__Pharma", json.dumps([{"message_id": 1, "channel_name": "Tikvah | Pharma"}, {"message_id": 2}], indent=2)),
+                            ("2024-01-01", "ሰላም_ቻናል", json.dumps({"message_id": 5}, indent=2)), ("2024-01-02", "A+B c", "[{\"message_id\": 1}]"),
+                            ("2024-01-01", "broken", "{not json"), ("2023-12-31", "Tikvah__Pharma", "[{\"message_id\": 3}]")]:
+        (root / day).mkdir(parents=True, exist_ok=True)
+        (root / day / f"{name}.json").write_text(text, encoding="utf-8")
+    recs = spark.createDataFrame([(i, c, f"{day}T10:00:00") for i, c, day in [
+        (1, "Tikvah | Pharma", "2024-01-01"), (2, "Tikvah | Pharma", "2024-01-01"), (3, "Tikvah | Pharma", "2024-01-01"), (5, "ሰላም ቻናል", "2024-01-01"),
+        (6, "broken", "2024-01-01"), (1, "Tikvah | Pharma", "2024-01-02")]], "message_id long, channel_name string, message_date string")
+    assert L.write_message_lake(recs, str(root), merge=True) == 3          # 3, 6, and 1 of the other day
+    assert L.write_message_lake(recs, str(root), merge=True) == 0
+    stored = L.stored_ids(spark, str(root), ["2024-01-01"])
+    assert rows(stored) == [("2024-01-01", "Tikvah__Pharma", "1"), ("2024-01-01", "Tikvah__Pharma", "2"), ("2024-01-01", "Tikvah__Pharma", "3"),
+                            ("2024-01-01", "broken", "6"), ("2024-01-01", "ሰላም_ቻናል", "5")]
+    ids = sorted(r.message_id for r in LK.scan_message_lake(spark, str(root)).collect())
+    assert ids == ["1", "1", "1", "2", "3", "3", "5", "6"]
+
+
 def test_lake_merge_reads_the_batch_days_and_writes_few_files(spark, tmp_path):
     root = "file://" + str(tmp_path / "lake")
     schema = "message_id long, channel_name string, message_date string, message_text string"
