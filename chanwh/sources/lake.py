@@ -28,27 +28,79 @@ def _lake_elements(value: Column) -> Column:
 def parse_lake_text(files: DataFrame) -> DataFrame:
     """files(value, _file) → one row per JSON object element, every field as string, plus
     (_file, _pos) for a deterministic first-wins order."""
-    el = files.select("_file", F.posexplode(_lake_elements(F.col("value"))).alias("_pos", "e"))
-    el = el.where(F.schema_of_variant("e").startswith("OBJECT"))
+    return _records(files.select("_file", F.posexplode(_lake_elements(F.col("value"))).alias("_pos", "e")))
+
+
+def _records(elements: DataFrame) -> DataFrame:
+    """elements(_file, _pos, e): one row per element that is an object, every field as string."""
+    el = elements.where(F.schema_of_variant("e").startswith("OBJECT"))
     fields = [F.try_variant_get("e", f"$.{f}", "string").alias(f) for f in S.LAKE_FIELDS]
     return el.select(*fields, "_file", "_pos")
 
 
-def read_lake_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file text of every *.json under ``path`` (recursive)."""
-    # .text() has its own wholetext=False parameter, which would override an option
-    t = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    return t.select("value", F.col("_metadata.file_path").alias("_file"))
+#: Files up to this size are parsed whole, larger ones in pieces.
+WHOLE_FILE_BYTES = 32 << 20
+#: How a record of an array that is indented by two ends. A line feed inside a string is escaped and what is nested
+#: is indented further, so this text stands at the end of a top-level object only.
+RECORD_END = "\n  }"
 
 
-def scan_message_lake(spark: SparkSession, path: str) -> DataFrame:
+def read_lake_files(spark: SparkSession, path: str, most: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Whole-file text of every *.json of at most ``most`` bytes under ``path`` (recursive)."""
+    # .text() has its own wholetext=False parameter, which would override an option
+    t = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    return t.where(F.col("_metadata.file_size") <= most).select("value", F.col("_metadata.file_path").alias("_file"))
+
+
+def read_lake_pieces(spark: SparkSession, path: str, over: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Larger files between the ends of their records, several tasks a file: (_file, _at, value), where ``_at``
+    orders the pieces of a file. A split has fewer pieces than bytes, and so have the splits that its task reads
+    before it, so the place of its first byte and the number in the task give the order."""
+    t = spark.read.text(path, lineSep=RECORD_END, recursiveFileLookup=True, pathGlobFilter="*.json")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"))
+    return t.where(F.col("_metadata.file_size") > over).select(F.col("_metadata.file_path").alias("_file"), place.alias("_at"), "value")
+
+
+def parse_lake_pieces(pieces: DataFrame) -> DataFrame:
+    """``parse_lake_text`` for files in pieces. A piece is what precedes the end of a record: the opening bracket or a
+    comma, then elements, the last of which is an object without its end; the last piece of a file has the closing
+    bracket. If each piece of a file is one of these and they come in this order, the file is valid and
+    its pieces are parsed one by one; any other file is put together and parsed as a whole, in one task, or skipped."""
+    lead = F.regexp_extract("value", r"^\s*([\[,\]])", 1)
+    inner = F.regexp_replace("value", r"^\s*[\[,]", "")
+    middle = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), inner, F.lit(RECORD_END + "]"))), F.lit("$"), "array<variant>")
+    last = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.regexp_replace("value", r"^\s*,", ""))), F.lit("$"), "array<variant>")
+    kind = (F.when(F.col("middle").isNotNull() & F.col("lead").isin("[", ","), F.col("lead"))
+            .when(F.col("lead").isin(",", "]") & F.col("last").isNotNull(), F.lit("]")).otherwise(F.lit("bad")))
+    parsed = pieces.select("_file", "_at", lead.alias("lead"), middle.alias("middle"), last.alias("last"))
+    parsed = parsed.select("_file", "_at", kind.alias("kind"), F.when(kind != "bad", F.coalesce("middle", "last")).alias("elements"))
+    number = lambda k: F.count_if(F.col("kind") == k)
+    files = parsed.select("_file", "_at", "kind").groupBy("_file").agg(
+        number("bad").alias("bad"), number("[").alias("first"), number("]").alias("last"), F.min_by("kind", "_at").alias("a"), F.max_by("kind", "_at").alias("z"))
+    whole = files.where(~((F.col("bad") == 0) & (F.col("first") == 1) & (F.col("last") == 1) & (F.col("a") == "[") & (F.col("z") == "]"))).select("_file")
+
+    split = parsed.join(whole, "_file", "left_anti").select("_file", "_at", F.posexplode("elements").alias("k", "e"))
+    split = split.select("_file", (F.shiftleft(F.col("_at.block") + F.col("_at.row"), 16) + F.col("k")).alias("_pos"), "e")
+    texts = pieces.join(whole, "_file", "left_semi").groupBy("_file").agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("p"))
+    texts = texts.select("_file", F.concat_ws(RECORD_END, F.transform("p", lambda p: p.value)).alias("value"))
+    # elements one by one: a variant of the whole text would have a bound on its size
+    listed = F.from_json("value", "array<string>", {"allowSingleQuotes": "false"})
+    elements = F.when(listed.isNotNull(), F.transform(listed, lambda e: F.try_parse_json(e))).otherwise(_lake_elements(F.col("value")))
+    rest = texts.select("_file", F.posexplode(elements).alias("_pos", "e")).withColumn("_pos", F.col("_pos").cast("long"))
+    return _records(split.unionByName(rest.select(split.columns)))
+
+
+def scan_message_lake(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Records of the message lake as strings (coerce with ``coerce.coerce_messages``).
 
     Elements that are not objects are skipped individually; an unparseable file is skipped
-    whole. Each file is one task (a JSON array cannot be split), so files stay day×channel sized;
-    ``scan_written_lake`` reads this library's own files without that bound.
+    whole. Files up to ``whole_file_bytes`` are a task each; a larger array is read by several tasks, from one
+    end of a record to another, if it is indented by two (``parse_lake_pieces``). ``scan_written_lake`` reads
+    this library's own files line by line.
     """
-    return parse_lake_text(read_lake_files(spark, path))
+    small = parse_lake_text(read_lake_files(spark, path, whole_file_bytes))
+    large = parse_lake_pieces(read_lake_pieces(spark, path, whole_file_bytes))
+    return small.withColumn("_pos", F.col("_pos").cast("long")).unionByName(large)
 
 
 def scan_written_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -123,6 +123,61 @@ def test_merge_into_array_files(spark, tmp_path):
     assert ids == ["1", "1", "1", "2", "3", "3", "5", "6"]
 
 
+def _lake_of_forms(root):
+    """Files of all forms and kinds of damage; the names of those that parse, with their records in order."""
+    os.makedirs(root)
+    recs = [{"message_id": i, "channel_name": "A", "message_text": f"line\n  }}{{ \" , {i}", "views": {"a": [{"b": 1}, {"c": "\n  }"}]}} for i in range(400)]
+    indented, text = json.dumps(recs, indent=2, ensure_ascii=False), {}
+    text["indented"] = indented
+    text["mixed"] = indented.replace("\n]", ",\n  7,\n  null\n]").replace("[", "[\n  \"x\",", 1)
+    text["compact"], text["wide"], text["narrow"] = json.dumps(recs), json.dumps(recs, indent=4), json.dumps(recs, indent=1)
+    text["crlf"] = indented.replace("\n", "\r\n")
+    text["lines"] = "\n".join(json.dumps(r) for r in recs)
+    text["single"] = json.dumps({"message_id": 1, "views": {"x": {"y": 1}}}, indent=2)
+    text["empty"] = "[\n]"
+    good = {"indented": 400, "mixed": 400, "compact": 400, "wide": 400, "narrow": 400, "crlf": 400, "lines": 400, "single": 1, "empty": 0}
+    half = indented.index('"message_id": 200')
+    text["truncated"], text["cut_at_a_record"] = indented[: half + 5], indented[: indented.rindex("\n  },", 0, half)] + "\n  }"
+    text["damaged"] = indented[:half] + "oops " + indented[half:]
+    text["no_comma"] = indented[: indented.index("\n  },", half)] + indented[indented.index("\n  },", half):].replace("},", "}", 1)
+    text["blank"] = " "
+    for name, t in text.items():
+        with open(f"{root}/{name}.json", "w", encoding="utf-8", newline="") as f:
+            f.write(t)
+    return good
+
+
+def test_large_arrays_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    """All forms in pieces, with splits of a few kilobytes: the same records in the same order as whole."""
+    root = str(tmp_path / "lake")
+    good = _lake_of_forms(root)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        pieces = LK.read_lake_pieces(spark, root, 0)
+        tasks = pieces.groupBy("_file", F.spark_partition_id().alias("p")).count().groupBy(F.regexp_extract("_file", "([a-z_]+).json", 1)).count().collect()
+        assert dict(map(tuple, tasks))["indented"] >= 5
+        got = LK.scan_message_lake(spark, root, whole_file_bytes=0).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    found = {}
+    for r in sorted(got, key=lambda r: r["_pos"]):
+        found.setdefault(os.path.basename(r["_file"])[:-5], []).append(r["message_id"])
+    want = {name: [str(i) for i in range(n)] if n > 1 else ["1"] for name, n in good.items() if n}
+    assert found == want
+    whole = LK.scan_message_lake(spark, root).drop("_pos").collect()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, whole)) == sorted(key(r[:-1]) for r in got)
+
+
+def test_files_of_either_size_are_scanned_once(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    good = _lake_of_forms(root)
+    sizes = sorted(os.path.getsize(f"{root}/{f}") for f in os.listdir(root))
+    got = LK.scan_message_lake(spark, root, whole_file_bytes=sizes[len(sizes) // 2])
+    assert got.count() == sum(good.values())
+
+
 def test_lake_merge_reads_the_batch_days_and_writes_few_files(spark, tmp_path):
     root = "file://" + str(tmp_path / "lake")
     schema = "message_id long, channel_name string, message_date string, message_text string"
