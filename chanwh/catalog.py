@@ -158,7 +158,7 @@ from dim_channels dc,
 where dc.channel_name = {O.q(ACTIVITY_CHANNEL)}""", "fct_messages"))
 def q_channel_totals(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    return R.channel_totals(w.fct_messages, w.dim_channels, ACTIVITY_CHANNEL)
+    return R.channel_totals(w.fct_messages, w.dim_channels, ACTIVITY_CHANNEL, check=False)
 
 
 @register("channel_daily", O.with_ctes(f"""
@@ -172,7 +172,7 @@ where dc.channel_name = {O.q(ACTIVITY_CHANNEL)} and dd.full_date >= date '{AS_OF
 group by dd.full_date order by dd.full_date desc""", "fct_messages"))
 def q_channel_daily(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF)
+    return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF, check=False)
 
 
 @register("channel_daily_short", O.with_ctes(f"""
@@ -186,12 +186,12 @@ where dc.channel_name = 'Tikvah | Pharma' and dd.full_date >= date '2024-01-10'
 group by dd.full_date order by dd.full_date desc""", "fct_messages"))
 def q_channel_daily_short(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, "Tikvah | Pharma", 3, "2024-01-10")
+    return R.channel_daily(w.fct_messages, w.dim_channels, w.dim_dates, "Tikvah | Pharma", 3, "2024-01-10", check=False)
 
 
 QUERIES["channel_activity_envelope"] = lambda spark, sf_dir: R.channel_activity_envelope(
     warehouse(spark, sf_dir).fct_messages, warehouse(spark, sf_dir).dim_channels,
-    warehouse(spark, sf_dir).dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF)
+    warehouse(spark, sf_dir).dim_dates, ACTIVITY_CHANNEL, ACTIVITY_DAYS, AS_OF, check=False)
 
 
 # ---------------------------------------------------------------------------

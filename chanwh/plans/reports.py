@@ -92,12 +92,10 @@ def top_terms_envelope(fct: DataFrame, limit: int = 10, min_length: int = 4) ->
 # ---------------------------------------------------------------------------
 # N2 channel activity
 # ---------------------------------------------------------------------------
-def channel_row(dc: DataFrame, channel: str) -> DataFrame:
-    """The channel's dimension row; raises ChannelNotFound when absent."""
-    row = dc.where(F.col("channel_name") == channel)
-    if row.limit(1).count() == 0:
+def require_channel(dc: DataFrame, channel: str) -> None:
+    """Raises ChannelNotFound if the channel has no dimension row (one small job)."""
+    if dc.where(F.col("channel_name") == channel).isEmpty():
         raise ChannelNotFound(channel)
-    return row
 
 
 def _channel_facts(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
@@ -108,9 +106,12 @@ def _channel_facts(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
     return fct.where(F.col("channel_key") == key).join(c, "channel_key")
 
 
-def channel_totals(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
-    """N2 header: dimension attributes + lifetime totals (A7); ignores the look-back window."""
-    info = channel_row(dc, channel).select("channel_name", "channel_type", "first_post_date", "last_post_date")
+def channel_totals(fct: DataFrame, dc: DataFrame, channel: str, check: bool = True) -> DataFrame:
+    """N2 header: dimension attributes + lifetime totals (A7); ignores the look-back window. An unknown channel is
+    an error at once (P16), or without ``check`` no row."""
+    if check:
+        require_channel(dc, channel)
+    info = dc.where(F.col("channel_name") == channel).select("channel_name", "channel_type", "first_post_date", "last_post_date")
     s = _channel_facts(fct, dc, channel).groupBy("channel_name").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("view_count").alias("_tv"),
@@ -129,10 +130,12 @@ def channel_totals(fct: DataFrame, dc: DataFrame, channel: str) -> DataFrame:
 
 
 def channel_daily(fct: DataFrame, dc: DataFrame, dd: DataFrame, channel: str, days: int = 30,
-                  as_of=None) -> DataFrame:
-    """N2 rows: per-day activity of one channel from ``as_of - days`` on."""
+                  as_of=None, check: bool = True) -> DataFrame:
+    """N2 rows: per-day activity of one channel from ``as_of - days`` on (P11, A8, J6, T3). An unknown channel is
+    an error at once (P16), or without ``check`` no row."""
     check_range("days", days, 1, 365)
-    channel_row(dc, channel)
+    if check:
+        require_channel(dc, channel)
     f = _channel_facts(fct, dc, channel)
     d = dd.select("date_key", "full_date").where(F.col("full_date") >= F.date_sub(_as_of(as_of), days))
     g = f.join(d, "date_key").groupBy("full_date").agg(
@@ -149,14 +152,30 @@ def channel_daily(fct: DataFrame, dc: DataFrame, dd: DataFrame, channel: str, da
     ).orderBy(F.desc("activity_date"))
 
 
-def channel_activity_envelope(fct, dc, dd, channel: str, days: int = 30, as_of=None) -> DataFrame:
+def channel_activity_envelope(fct, dc, dd, channel: str, days: int = 30, as_of=None, check: bool = True) -> DataFrame:
     """N2 response: the header row with ``daily_activity`` (newest first) as an array of structs;
-    the array holds one entry per day of the look-back, so it is bounded by the date dimension."""
-    head = channel_totals(fct, dc, channel)
-    daily = channel_daily(fct, dc, dd, channel, days, as_of)
-    arr = daily.agg(F.sort_array(F.collect_list(F.struct(
-        "activity_date", "message_count", "total_views", "avg_views", "total_forwards")), asc=False).alias("daily_activity"))
-    return head.select("*", arr.select(F.coalesce("daily_activity", F.array())).scalar().alias("daily_activity"))
+    the array holds one entry per day of the look-back, so it is bounded by the date dimension.
+
+    One pass over the channel's facts: they are summed by day, and the days once more, all of them for the
+    totals and those of the look-back into the array. An unknown channel is an error at once (P16), or without
+    ``check`` when the response is read."""
+    check_range("days", days, 1, 365)
+    if check:
+        require_channel(dc, channel)
+    by_day = fct.where(F.col("channel_key") == X.surrogate_key(F.lit(channel))).groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("view_count").alias("tv"), F.sum("forward_count").alias("tf"))
+    by_day = by_day.join(dd.select("date_key", "full_date"), "date_key", "left")
+    entry = F.struct(F.col("full_date").alias("activity_date"), F.col("n").alias("message_count"), F.coalesce("tv", F.lit(0)).alias("total_views"),
+                     F.coalesce(X.mean("tv", "n"), F.lit(0.0)).alias("avg_views"), F.coalesce("tf", F.lit(0)).alias("total_forwards"))
+    recent = F.when(F.col("full_date") >= F.date_sub(_as_of(as_of), days), entry)
+    sums = by_day.agg(F.sum("n").alias("n"), F.sum("tv").alias("tv"), F.sum("tf").alias("tf"), F.sort_array(F.collect_list(recent), asc=False).alias("days"))
+    # the header comes from the dimension's one row, as a struct; without it there is nothing to answer
+    info = dc.where(F.col("channel_name") == channel).select(F.struct("channel_name", "channel_type", "first_post_date", "last_post_date")).scalar()
+    out = sums.withColumn("c", info).withColumn("c", F.coalesce("c", F.raise_error(F.lit(f"ChannelNotFound: {channel}"))))
+    return out.select(
+        "c.channel_name", "c.channel_type", F.coalesce("n", F.lit(0)).alias("total_messages"), F.coalesce("tv", F.lit(0)).alias("total_views"),
+        F.coalesce(X.mean("tv", "n"), F.lit(0.0)).alias("avg_views"), F.coalesce("tf", F.lit(0)).alias("total_forwards"),
+        "c.first_post_date", "c.last_post_date", F.col("days").alias("daily_activity"))
 
 
 # ---------------------------------------------------------------------------
@@ -234,10 +253,10 @@ def visual_by_channel(fid: DataFrame, dc: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_images"), F.asc("channel_name"))
 
 
-def visual_overall(fid: DataFrame, dc: DataFrame) -> DataFrame:
-    """A11 as a re-aggregation of A10's per-channel counts (one scan of the fact, not two)."""
-    per = visual_by_channel(fid, dc)
+def _visual_sums(per: DataFrame, *more: F.Column) -> DataFrame:
+    """A11 over A10's rows; ``more`` aggregates of these, by name."""
     o = per.agg(
+        *more,
         F.coalesce(F.sum("total_images"), F.lit(0)).alias("total_images"),
         F.count(F.lit(1)).alias("total_channels"),
         F.sum("promotional_count").alias("_p"),
@@ -245,8 +264,9 @@ def visual_overall(fid: DataFrame, dc: DataFrame) -> DataFrame:
         F.sum("lifestyle_count").alias("_l"),
         F.sum("other_count").alias("_o"),
     )
+    kept = [c for c in o.columns if not c.startswith("_") and c not in ("total_images", "total_channels")]
     return o.select(
-        "total_images", "total_channels",
+        "total_images", "total_channels", *kept,
         X.pct_or_zero("_p", "total_images").alias("overall_promotional_pct"),
         X.pct_or_zero("_d", "total_images").alias("overall_product_display_pct"),
         X.pct_or_zero("_l", "total_images").alias("overall_lifestyle_pct"),
@@ -254,11 +274,16 @@ def visual_overall(fid: DataFrame, dc: DataFrame) -> DataFrame:
     )
 
 
+def visual_overall(fid: DataFrame, dc: DataFrame) -> DataFrame:
+    """A11 as a re-aggregation of A10's per-channel counts (one scan of the fact, not two)."""
+    return _visual_sums(visual_by_channel(fid, dc))
+
+
 def visual_envelope(fid: DataFrame, dc: DataFrame) -> DataFrame:
-    """N4 response: the totals with one entry per channel in an array. The nested response grows with
-    the channels; ``visual_by_channel`` is the form for very many."""
+    """N4 response: the totals with one entry per channel in an array, both from one aggregate of the per-channel
+    rows. The nested response grows with the channels; ``visual_by_channel`` is the form for very many."""
     per = visual_by_channel(fid, dc)
-    arr = per.agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("total_images")).alias("k"), *[F.col(c) for c in per.columns]))).alias("c"))
-    arr = arr.select(F.transform("c", lambda s: F.struct(*[s[c].alias(c) for c in per.columns])).alias("channels"))
-    return visual_overall(fid, dc).select("*", arr.select(F.coalesce("channels", F.array())).scalar().alias("channels"))
+    entry = F.struct((-F.col("total_images")).alias("k"), *[F.col(c) for c in per.columns])
+    out = _visual_sums(per, F.sort_array(F.collect_list(entry)).alias("channels"))
+    channels = F.transform("channels", lambda s: F.struct(*[s[c].alias(c) for c in per.columns]))
+    return out.select(*[c for c in out.columns if c != "channels"], channels.alias("channels"))

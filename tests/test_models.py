@@ -87,6 +87,13 @@ def test_channel_activity(spark, wh):
     assert env.total_messages == 2 and env.daily_activity == []
     with pytest.raises(R.ChannelNotFound):
         R.channel_totals(wh.fct_messages, wh.dim_channels, "Nope")
+    args = (wh.fct_messages, wh.dim_channels, wh.dim_dates, "Nope", 1, "2024-03-01")
+    with pytest.raises(R.ChannelNotFound):
+        R.channel_activity_envelope(*args)
+    late = R.channel_activity_envelope(*args, check=False)                # no job yet
+    with pytest.raises(Exception, match="ChannelNotFound: Nope"):
+        late.collect()
+    assert R.channel_daily(*args, check=False).count() == 0
 
 
 def test_top_terms(spark, wh):
