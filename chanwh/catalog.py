@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chanwh import oracle as O
+from chanwh import schemas as S
 from chanwh.operators import channels as C
 from chanwh.operators import enrich as EN
 from chanwh.operators import load as L
@@ -375,6 +376,17 @@ def q_channel_counts(spark, sf_dir):
     return P.channel_counts(raw_layer(spark, sf_dir, "messages_dup"))
 
 
+@register("channel_ranking", O.with_ctes("""
+select channel_name, count(*) as message_count,
+  cast(row_number() over (order by count(*) desc, channel_name nulls first) as int) as place
+from raw_messages_dup group by channel_name""", "raw_messages_dup"))
+def q_channel_ranking(spark, sf_dir):
+    """The order of A17's rows, as a column (one row a channel)."""
+    counts = P.channel_counts(raw_layer(spark, sf_dir, "messages_dup"))
+    place = F.row_number().over(Window.orderBy(F.desc("message_count"), F.asc_nulls_first("channel_name")))
+    return counts.select("channel_name", "message_count", place.alias("place"))
+
+
 # ---------------------------------------------------------------------------
 # Duplicate reports A19-A21
 # ---------------------------------------------------------------------------
@@ -428,14 +440,14 @@ def q_quality_report(spark, sf_dir):
 # S6 / S7 insert-or-skip
 # ---------------------------------------------------------------------------
 def _batch_sql(table: str, col: str) -> str:
-    return (f"target as (select * from {table} where {col} < timestamp '2024-01-08'),\n"
-            f"batch as (select *, 0 as batch_seq from {table} where {col} >= timestamp '2024-01-05'\n"
-            f"  union all select *, 1 as batch_seq from {table} where {col} >= timestamp '2024-01-12'),\n")
+    return (f"target as (select * from {table} where {col} < timestamp '2024-01-08' or {col} is null),\n"
+            f"batch as (select *, 0 as batch_seq from {table} where {col} >= timestamp '2024-01-05' or {col} is null\n"
+            f"  union all select *, 1 as batch_seq from {table} where {col} >= timestamp '2024-01-12' or {col} is null),\n")
 
 
 _INSERT_SQL = O.with_ctes("""
 d as (select * exclude (rn) from (select *, row_number() over (partition by message_id, channel_name, message_date
-   order by batch_seq) as rn from batch) b where rn = 1)
+   order by batch_seq) as rn from batch) b where rn = 1 or message_id is null or channel_name is null or message_date is null)
 select * exclude (batch_seq) from d where not exists (select 1 from target t where t.message_id = d.message_id
   and t.channel_name = d.channel_name and t.message_date = d.message_date)""", "raw_messages")
 _INSERT_SQL = _INSERT_SQL.replace("\nd as (", ",\n" + _batch_sql("raw_messages", "message_date") + "d as (", 1)
@@ -692,6 +704,27 @@ def q_lake_layout(spark, sf_dir):
         F.count(F.lit(1)).alias("message_count"))
 
 
+_SAFE_NAME = r"replace(trim(regexp_replace(channel_name, '[^\p{L}\p{N} _-]', '', 'g')), ' ', '_')"
+
+
+@register("lake_merge", O.with_ctes(f"""
+select message_id, dt, channel, message_text from (
+  select message_id, strftime(coalesce(cast(message_date as date), date '2024-02-01'), '%Y-%m-%d') as dt, {_SAFE_NAME} as channel, message_text,
+    message_date from raw_messages_dup) b
+where (message_date >= timestamp '2024-01-05' or message_date is null) and not exists (
+  select 1 from raw_messages s where (s.message_date < timestamp '2024-01-08' or s.message_date is null) and s.message_id = b.message_id
+    and strftime(coalesce(cast(s.message_date as date), date '2024-02-01'), '%Y-%m-%d') = b.dt
+    and {_SAFE_NAME.replace('channel_name', 's.channel_name')} = b.channel)""", "raw_messages", "raw_messages_dup"))
+def q_lake_merge(spark, sf_dir):
+    """S8's merge: what a batch (all from Jan 5, with re-dated copies) adds to a lake that holds all before Jan 8; rows without a
+    date, filed under the day of the load, are in both."""
+    day, undated = F.col("message_date"), F.col("message_date").isNull()
+    filed = lambda r: FX.lake_strings(r).select(F.col("message_id").try_cast("double").cast("bigint").alias("message_id"), "message_text", *L.lake_partition(as_of="2024-02-01"))
+    stored = filed(raw_layer(spark, sf_dir, "messages").where((day < F.lit("2024-01-08").cast("timestamp_ntz")) | undated))
+    batch = filed(raw_layer(spark, sf_dir, "messages_dup").where((day >= F.lit("2024-01-05").cast("timestamp_ntz")) | undated))
+    return L.lake_additions(batch, stored.select("dt", "channel", F.col("message_id").cast("string").alias("id")))
+
+
 @register("lake_channel_counts", O.with_ctes("""
 select channel_name, count(*) as message_count from raw_messages where channel_name is not null
 group by channel_name""", "raw_messages"))
@@ -818,6 +851,16 @@ def q_lake_parse_counts(spark, sf_dir):
     return P.lake_channel_counts(LK.parse_lake_text(files))
 
 
+@register("detection_csv", O.with_ctes("""
+select message_id, channel_name, image_path, detected_classes, coalesce(total_detections, 0) as total_detections, max_confidence,
+  image_category, processed_at from raw_image_detections""", "raw_image_detections"))
+def q_detection_csv(spark, sf_dir):
+    """S2 and S4 over every detection row as a line of CSV: must give the table again, a missing total as 0."""
+    det = raw_layer(spark, sf_dir, "detections")
+    lines = det.select(F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in S.DETECTION_CSV_FIELDS]), L.CSV_KEEPS_SPACES).alias("value"))
+    return CO.coerce_detections(LK.parse_detection_lines(lines)).drop("loaded_at")
+
+
 @register("coerce_detections", O.with_ctes("""
 select message_id, channel_name, image_path, detected_classes, coalesce(total_detections, 0) as total_detections, max_confidence,
   image_category, processed_at from raw_image_detections

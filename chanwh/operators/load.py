@@ -118,6 +118,12 @@ def stored_ids(spark: SparkSession, path: str, days: list | None) -> DataFrame:
     return found
 
 
+def lake_additions(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Of rows(dt, channel, message_id, ...) those whose id their day and channel don't have yet (``stored``: dt, channel, id
+    as text); repeats among the rows all stay, and so do rows without an id."""
+    return rows.join(stored, (rows["dt"] == stored["dt"]) & (rows["channel"] == stored["channel"]) & (rows["message_id"].cast("string") == stored["id"]), "left_anti")
+
+
 def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None) -> int:
     """File message records by day (no date → ``as_of``, default today) and file-safe
     channel name as JSON Lines under ``dt=YYYY-MM-DD/channel=<safe name>/``; returns how many.
@@ -131,9 +137,7 @@ def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None
     rows = df.select(*[F.col(c) for c in df.columns], *lake_partition(as_of))
     spark = df.sparkSession
     if merge:
-        ex = stored_ids(spark, path, partition_values(rows, "dt"))
-        rows = rows.join(ex, (rows.dt == ex.dt) & (rows.channel == ex.channel)
-                         & (rows.message_id.cast("string") == ex.id), "left_anti")
+        rows = lake_additions(rows, stored_ids(spark, path, partition_values(rows, "dt")))
     # staged beside the lake: the join reads the lake, which the write then adds to
     with staged(rows, path) as ready:
         seen = Observation()
@@ -145,11 +149,15 @@ def write_message_lake(df: DataFrame, path: str, merge: bool = False, as_of=None
 # ---------------------------------------------------------------------------
 # S11 detection CSV writer
 # ---------------------------------------------------------------------------
+#: Spark's CSV writer would trim the fields.
+CSV_KEEPS_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_detections_csv(df: DataFrame, path: str) -> None:
-    """Fixed field order, missing fields written as empty strings, header line."""
+    """Fixed field order, missing fields written as empty strings, header line; spaces of a field stay."""
     cols = [(F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string")).alias(f)
             for f in S.DETECTION_CSV_FIELDS]
-    df.select(*cols).na.fill("").write.mode("overwrite").option("header", True).csv(path)
+    df.select(*cols).na.fill("").write.mode("overwrite").options(header=True, **CSV_KEEPS_SPACES).csv(path)
 
 
 # ---------------------------------------------------------------------------

@@ -24,6 +24,12 @@ def check_range(name: str, value: int, lo: int, hi: int) -> None:
         raise ValueError(f"{name} must be an integer in [{lo}, {hi}], got {value!r}")
 
 
+def stamped(envelope: DataFrame, generated_at: _dt.datetime | None = None) -> DataFrame:
+    """A response with ``generated_at``, the time it is made (default now), as the last column."""
+    at = F.current_timestamp().cast("timestamp_ntz") if generated_at is None else F.lit(generated_at).cast("timestamp_ntz")
+    return envelope.withColumn("generated_at", at)
+
+
 def _as_of(as_of) -> F.Column:
     if as_of is None:
         return F.current_date()

@@ -81,10 +81,11 @@ def raw_messages_dup(spark: SparkSession, sf_dir: str, r: DataFrame | None = Non
 def insert_scenario(r: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(target, batch) for insert-or-skip over raw messages ``r``: the target holds messages
     before Jan 8; the batch re-delivers everything from Jan 5, and everything from Jan 12 a
-    second time. ``batch_seq`` orders the deliveries (first wins)."""
-    target = r.where(F.col("message_date") < F.lit("2024-01-08").cast("timestamp_ntz"))
-    first = r.where(F.col("message_date") >= F.lit("2024-01-05").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(0))
-    again = r.where(F.col("message_date") >= F.lit("2024-01-12").cast("timestamp_ntz")).withColumn("batch_seq", F.lit(1))
+    second time. Rows without a date are in all of them. ``batch_seq`` orders the deliveries (first wins)."""
+    ts, at = F.col("message_date"), lambda day: F.lit(day).cast("timestamp_ntz")
+    target = r.where((ts < at("2024-01-08")) | ts.isNull())
+    first = r.where((ts >= at("2024-01-05")) | ts.isNull()).withColumn("batch_seq", F.lit(0))
+    again = r.where((ts >= at("2024-01-12")) | ts.isNull()).withColumn("batch_seq", F.lit(1))
     return target, first.unionByName(again)
 
 

@@ -111,11 +111,20 @@ def scan_written_lake(spark: SparkSession, path: str) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
 
 
-def scan_detections_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Detection CSV(s) with header, all columns as strings, plus (_file, _pos) order."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.monotonically_increasing_id().alias("_pos"))
+def scan_detections_csv(spark: SparkSession, path: str, quoted_line_feeds: bool = False) -> DataFrame:
+    """Detection CSV(s) with header, all columns as strings, plus (_file, _pos) order. A file is read line by
+    line, large ones by several tasks; ``quoted_line_feeds`` declares that a field may hold a line feed,
+    and then a file is one task."""
+    df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", quoted_line_feeds).csv(path)
+    # rows of a split are fewer than its bytes, so this orders the rows of a file
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), place.alias("_pos"))
+
+
+def parse_detection_lines(lines: DataFrame) -> DataFrame:
+    """S2's parser over lines(value) without a header, in the fixed field order, all columns as strings."""
+    schema = ", ".join(f"{f} string" for f in S.DETECTION_CSV_FIELDS)
+    return lines.select(F.from_csv("value", F.lit(schema)).alias("r"), *[c for c in lines.columns if c != "value"]).select("r.*", *[c for c in lines.columns if c != "value"])
 
 
 IMAGE_SUFFIX_GLOB = "*.{jpg,jpeg,png}"

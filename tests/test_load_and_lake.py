@@ -213,6 +213,28 @@ def test_detection_csv_round_trip(spark, tmp_path):
     assert str(got[0][4]) == "0.9123" and back.schema["max_confidence"].dataType == S.RAW_DETECTIONS["max_confidence"].dataType
 
 
+def test_csv_keeps_spaces_and_declared_line_feeds(spark, tmp_path):
+    path = str(tmp_path / "det")
+    df = spark.createDataFrame([(1, " Beauty Hub ", "two\nlines"), (2, "B", 'say "x", y')], "message_id long, channel_name string, image_path string")
+    L.write_detections_csv(df, path)
+    back = LK.scan_detections_csv(spark, path, quoted_line_feeds=True)
+    assert rows(back, "message_id", "channel_name", "image_path") == [("1", " Beauty Hub ", "two\nlines"), ("2", "B", 'say "x", y')]
+    assert LK.scan_detections_csv(spark, path).count() == 3               # line by line, a line feed ends a row
+
+
+def test_csv_is_read_by_several_tasks_in_order(spark, tmp_path):
+    path = str(tmp_path / "det")
+    L.write_detections_csv(spark.range(2000).selectExpr("id as message_id", "'A' as channel_name").coalesce(1), path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        back = LK.scan_detections_csv(spark, path)
+        assert back.select(F.spark_partition_id()).distinct().count() >= 5
+        assert [r.message_id for r in back.orderBy("_file", "_pos").collect()] == [str(i) for i in range(2000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_shape_message_records(spark):
     api = spark.createDataFrame([
         (10, "CheMed", T(2024, 1, 1, 9), None, "photo", None, 3, True, 9),

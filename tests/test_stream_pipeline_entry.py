@@ -67,6 +67,36 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert again["fct_messages"] == 8 and again["fct_image_detections"] == 2
 
 
+def test_a_run_that_died_is_resumed_by_its_name(spark, tmp_path, monkeypatch):
+    """Its loads were committed and are not repeated, although a row without a date equals no stored one."""
+    from chanwh.plans import pipeline
+    lake, out = str(tmp_path / "lake"), str(tmp_path / "wh")
+    drop(lake, "2024-01-01", "CheMed", [*[rec(i) for i in range(1, 4)], {**rec(9), "message_date": None}])
+    boxes = spark.createDataFrame([("CheMed", 2, "person", 0.9)], "channel_name string, message_id long, class_name string, confidence double")
+    cfg = PipelineConfig(lake=lake, out=out, boxes=boxes, as_of="2030-01-01", run_id="daily-2024-01-01")
+    real = pipeline.build_warehouse
+
+    def die(*a):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(pipeline, "build_warehouse", die)
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, cfg)
+    monkeypatch.setattr(pipeline, "build_warehouse", real)
+    monkeypatch.setattr(pipeline, "scan_message_lake", die)                # not even read again
+    counts = run_pipeline(spark, cfg)
+    assert counts["messages_loaded"] == 4 and counts["detections_loaded"] == 1 and counts["fct_messages"] == 3
+    assert message_table(spark, os.path.join(out, "raw", "channel_messages")).commits() == {"daily-2024-01-01": 4}
+
+
+def test_responses_are_stamped(spark):
+    import datetime as dt
+    from chanwh.plans import reports as R
+    at = dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert R.stamped(spark.range(1), at).first().generated_at == at
+    assert abs(R.stamped(spark.range(1)).first().generated_at - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=5)
+
+
 def test_pipeline_on_uris_twice_without_detections(spark, tmp_path):
     from chanwh.plans.models import layer_listing, open_warehouse
     lake, out = str(tmp_path / "lake"), "file://" + str(tmp_path / "wh")
