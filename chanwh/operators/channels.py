@@ -21,6 +21,21 @@ def distinct_names(df: DataFrame, col: str = "channel_name") -> DataFrame:
     return df.where(F.col(col).isNotNull()).select(F.col(col).alias("channel_name")).distinct()
 
 
+def _grams(text: Column) -> Column:
+    """The strings of up to three characters in a short text, and the empty one: what holds a text holds its first
+    three characters (or all, if fewer), which makes "contains" an equality of keys."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    of = lambda n: F.transform(at, lambda i: F.substr(text, i, F.lit(n)))
+    return F.array_distinct(F.concat(F.array(F.lit("")), of(1), of(2), of(3)))
+
+
+def _keyed(df: DataFrame, into: str, **keys: Column) -> DataFrame:
+    """``df`` with a row for each key of each kind, as a struct; nulls give none."""
+    none = F.array().cast("array<struct<kind:string,key:string>>")
+    of = lambda kind, c: F.coalesce(F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key"))), none)
+    return df.withColumn(into, F.explode_outer(F.concat(*(of(kind, c) for kind, c in keys.items()))))
+
+
 def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
     """Display name → configured channel and caps.
 
@@ -30,18 +45,22 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
 
     names(channel_name) distinct; config(channel, pattern, pattern_order, max_images, max_messages)
     → (channel_name, config_channel, max_images, max_messages, matched)
+
+    Candidates meet by equal keys, the lower-cased name or the beginning of a pattern; the tiers are then
+    checked as they are written.
     """
     n = F.col("channel_name")
     c = F.col("channel")
     rank = (F.when(n == c, F.lit(1))
             .when(F.lower(n) == F.lower(c), F.lit(2))
             .when(X.normalized_name(n).contains(F.col("pattern")), F.lit(10) + F.col("pattern_order")))
-    cond = (n == c) | (F.lower(n) == F.lower(c)) | X.normalized_name(n).contains(F.col("pattern"))
+    own = _keyed(names, "_k", name=F.array(F.lower(n)), part=_grams(X.normalized_name(n)))
+    theirs = _keyed(config, "_ck", name=F.array(F.lower(c)), part=F.array(F.left(F.col("pattern"), F.lit(3))))
     # left outer: every name keeps a row; min_by skips the NULL rank of a name without a match,
     # so no join back to the names is needed
     # the pattern order and the name settle equal ranks
     order = F.when(rank.isNotNull(), F.struct(rank.alias("r"), "pattern_order", "channel"))
-    pairs = names.join(config, cond, "left").select(
+    pairs = own.join(theirs, F.col("_k") == F.col("_ck"), "left").select(
         "channel_name", order.alias("rank"),
         F.struct(F.col("channel").alias("config_channel"), "max_images", "max_messages").alias("cfg"))
     out = pairs.groupBy("channel_name").agg(F.min_by("cfg", "rank").alias("cfg"))
@@ -57,7 +76,10 @@ def resolve_channels(names: DataFrame, config: DataFrame) -> DataFrame:
 def _presence(names: DataFrame, expected: DataFrame, label: str) -> DataFrame:
     """Per expected channel: is any variant a case-insensitive substring of a name, or vice versa."""
     ln, lv = F.lower(F.col("channel_name")), F.lower(F.col("variant"))
-    hits = names.join(expected, ln.contains(lv) | lv.contains(ln), "inner")
+    first = lambda c: F.array(F.left(c, F.lit(3)))
+    own = _keyed(names, "_k", holds=_grams(ln), held=first(ln))
+    theirs = _keyed(expected, "_ck", holds=first(lv), held=_grams(lv))
+    hits = own.join(theirs, F.col("_k") == F.col("_ck")).where(ln.contains(lv) | lv.contains(ln))
     return hits.groupBy("expected_channel").agg(F.count_distinct("channel_name").alias(label))
 
 

@@ -44,15 +44,13 @@ def dup_mart(fct: DataFrame, dc: DataFrame) -> DataFrame:
     """Message ids repeated in the message fact, with their distinct channel keys and names.
 
     Rows are first counted per (id, channel), so a heavily repeated id costs one row per
-    channel, not one per copy, and lists are built for repeated ids only. A list has one entry
-    per channel that uses the id: it grows with the number of channels, as the report does.
+    channel, not one per copy. A list has one entry per channel that uses the id: it grows with the
+    number of channels, as the report does.
     """
-    f = fct.join(dc.select("channel_key", "channel_name"), "channel_key")
-    pairs = f.groupBy("message_id", "channel_key", "channel_name").agg(F.count(F.lit(1)).alias("n"))
-    counts = pairs.groupBy("message_id").agg(F.sum("n").alias("count")).where(F.col("count") > 1)
-    lists = pairs.join(counts, "message_id").groupBy("message_id", "count").agg(
-        _joined("channel_key").alias("channel_keys"), _joined("channel_name").alias("channel_names"))
-    return lists.orderBy(F.desc("count"), F.asc("message_id"))
+    pairs = fct.groupBy("message_id", "channel_key").agg(F.count(F.lit(1)).alias("n"))
+    named = pairs.join(dc.select("channel_key", "channel_name"), "channel_key")
+    ids = named.groupBy("message_id").agg(F.sum("n").alias("count"), _joined("channel_key").alias("channel_keys"), _joined("channel_name").alias("channel_names"))
+    return ids.where(F.col("count") > 1).orderBy(F.desc("count"), F.asc("message_id"))
 
 
 def dup_raw(raw: DataFrame, top: int = 10) -> DataFrame:

@@ -5,13 +5,14 @@ A check passes with 0 failures. Failure counts follow the usual test semantics:
 not_null / accepted_range / custom → failing rows; unique / unique_combination → duplicated
 values; accepted_values → distinct invalid values; relationships → orphan child rows.
 
-All row-level checks of one table, and its relationships to broadcastable parents, run in
-ONE aggregation pass; each uniqueness check is one grouped count.
+All checks run in one pass: each table is scanned once, and one grouped count serves uniqueness and
+relationships of all tables.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,59 +142,67 @@ def failing_rows(tables: dict[str, DataFrame], c: Check, as_of=None) -> DataFram
     raise ValueError(c.kind)
 
 
-def _result_sql(c: Check, failures: str) -> str:
-    return (f"named_struct('check_id', {_lit(c.check_id)}, 'table_name', {_lit(c.table)}, "
-            f"'column_name', {_lit(','.join(c.columns))}, 'failures', CAST({failures} AS BIGINT))")
+def _entries_sql(table: str, checks: list[Check], links: dict[Check, int], parents: set[tuple[str, str]], as_of) -> list[str]:
+    """What a row of ``table`` contributes, as SQL structs (slot, key, part), null for nothing: its keys for
+    uniqueness and as a parent (part -1), its foreign keys (part: the number of the relationship), invalid
+    values, and row checks that it fails."""
+    def entry(slot: str, columns: tuple[str, ...], when: str, part: int = -1) -> str:
+        key = ", ".join(f"CAST({_ident(c)} AS STRING)" for c in columns)
+        return f"CASE WHEN {when} THEN named_struct('slot', {_lit(slot)}, 'key', CAST(array({key}) AS ARRAY<STRING>), 'part', {part}) END"
+
+    out = {}
+    for c in checks:
+        col = _ident(c.columns[0])
+        if c.kind == "relationships":
+            out[c.check_id] = entry(_slot(*c.to), c.columns, f"{col} IS NOT NULL", links[c])
+        elif c.kind == "unique":
+            out[_slot(table, c.columns[0])] = entry(_slot(table, c.columns[0]), c.columns, f"{col} IS NOT NULL")
+        elif c.kind == "unique_combination":
+            out[c.check_id] = entry(c.check_id, c.columns, "true")
+        elif c.kind == "accepted_values":
+            out[c.check_id] = entry(c.check_id, c.columns, f"NOT ({col} IN ({', '.join(_lit(v) for v in c.values)}))")
+        else:
+            out[c.check_id] = entry(c.check_id, (), row_predicate_sql(c, as_of))
+    for ptable, pcol in parents:
+        if ptable == table:
+            out.setdefault(_slot(table, pcol), entry(_slot(table, pcol), (pcol,), f"{_ident(pcol)} IS NOT NULL"))
+    return list(out.values())
 
 
-def _rows(df: DataFrame, structs: list[str]) -> DataFrame:
-    return df.selectExpr(f"inline(array({', '.join(structs)}))")
+def _slot(table: str, column: str) -> str:
+    return f"key__{table}__{column}"
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, as_of=None) -> DataFrame:
     """Run ``checks`` over ``tables`` (name → DataFrame) and return one row per check.
 
-    Per table, every row-level check and every relationship is evaluated in ONE scan: the child
-    is left-joined to each parent's key set (distinct, so no fan-out; adaptive execution
-    broadcasts it by its measured bytes) and all failures are counted in a single aggregate.
-    Uniqueness checks are one grouped count each. Aggregates and result rows are built as
-    SQL expressions (one call per table), so a long check list costs little on the driver.
+    Each table is scanned ONCE: a row emits its keys, its foreign keys and the row checks that it fails (most
+    rows: keys only), all tables' entries are counted by (slot, key) in one grouped count, combined in the
+    tasks, and one aggregate over these counts gives all failures: keys counted twice are not unique, foreign
+    keys counted where no parent row has the key are orphans. Entries and results are built as SQL
+    expressions (one call per table), so a long check list costs little on the driver.
     """
     checks = ALL_CHECKS if checks is None else checks
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    separate: list[Check] = []
-    parent_keys: dict[Check, DataFrame] = {}
-    for c in checks:
-        if c.kind in ("not_null", "accepted_range", "custom", "accepted_values"):
-            by_table.setdefault(c.table, []).append(c)
-        elif c.kind == "relationships":
-            ptable, pcol = c.to
-            parent_keys[c] = tables[ptable].where(F.col(pcol).isNotNull()).select(pcol).distinct()
-            by_table.setdefault(c.table, []).append(c)
-        else:
-            separate.append(c)
-    for table, cs in by_table.items():
-        df = tables[table]
-        aggs = []
-        for i, c in enumerate(cs):
-            col = _ident(c.columns[0])
-            if c.kind == "relationships":
-                rk = f"_rk{i}"
-                keys = parent_keys[c].selectExpr(f"{_ident(c.to[1])} AS {rk}")
-                df = df.join(keys, df[c.columns[0]] == keys[rk], "left")
-                aggs.append(f"sum(CASE WHEN {col} IS NOT NULL AND {rk} IS NULL THEN 1 ELSE 0 END) AS _c{i}")
-            elif c.kind == "accepted_values":
-                vals = ", ".join(_lit(v) for v in c.values)
-                aggs.append(f"count(DISTINCT CASE WHEN NOT ({col} IN ({vals})) THEN {col} END) AS _c{i}")
-            else:
-                aggs.append(f"sum(CASE WHEN {row_predicate_sql(c, as_of)} THEN 1 ELSE 0 END) AS _c{i}")
-        one = df.selectExpr(*aggs)
-        parts.append(_rows(one, [_result_sql(c, f"coalesce(_c{i}, 0)") for i, c in enumerate(cs)]))
-    for c in separate:
-        n = failing_rows(tables, c, as_of).selectExpr("count(*) AS _n")
-        parts.append(_rows(n, [_result_sql(c, "_n")]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.selectExpr("*", "failures = 0 AS passed")
+    links = {c: i for i, c in enumerate(c for c in checks if c.kind == "relationships")}
+    parents = {c.to for c in links}
+    used = dict.fromkeys([c.table for c in checks] + [t for t, _ in sorted(parents)])
+    entries = []
+    for table in used:
+        structs = _entries_sql(table, [c for c in checks if c.table == table], links, parents, as_of)
+        entries.append(tables[table].selectExpr(f"inline(filter(array({', '.join(structs)}), e -> e IS NOT NULL))"))
+    counts = reduce(DataFrame.unionByName, entries).groupBy("slot", "key").agg(
+        F.count_if(F.col("part") == -1).alias("n"), *(F.count_if(F.col("part") == i).alias(f"c{i}") for i in links.values()))
+
+    def failures(c: Check) -> str:
+        if c.kind == "relationships":
+            return f"coalesce(sum(CASE WHEN slot = {_lit(_slot(*c.to))} AND n = 0 THEN c{links[c]} END), 0)"
+        if c.kind in ("unique", "unique_combination"):
+            return f"count_if(slot = {_lit(_slot(c.table, c.columns[0]) if c.kind == 'unique' else c.check_id)} AND n > 1)"
+        if c.kind == "accepted_values":
+            return f"count_if(slot = {_lit(c.check_id)})"
+        return f"coalesce(sum(CASE WHEN slot = {_lit(c.check_id)} THEN n END), 0)"
+
+    one = counts.selectExpr(*(f"{failures(c)} AS _c{i}" for i, c in enumerate(checks)))
+    structs = [f"named_struct('check_id', {_lit(c.check_id)}, 'table_name', {_lit(c.table)}, 'column_name', {_lit(','.join(c.columns))}, "
+               f"'failures', CAST(_c{i} AS BIGINT))" for i, c in enumerate(checks)]
+    return one.selectExpr(f"inline(array({', '.join(structs)}))").selectExpr("*", "failures = 0 AS passed")

@@ -113,6 +113,30 @@ def test_quality_checks_on_fixture(spark):
     assert [r.date_key for r in row_ids.collect()] == [19000101]
 
 
+def test_one_pass_counts_what_the_failing_rows_are(spark):
+    """Each check of a damaged warehouse against its own query, and every table scanned once."""
+    import contextlib
+    import io
+    schema = "message_id long, channel_key string, date_key int, message_text string, message_length int, view_count int, forward_count int, has_image boolean"
+    fm = spark.createDataFrame([(1, "a", 1, "x", 1, 1, 0, True), (1, "a", 9, "x", 1, 1, 0, True), (None, "a", None, None, 1, 1, 0, None), (None, "a", 8, "x", 1, 1, 0, True),
+                                (2, "zz", 1, "x", 1, None, 0, True), (2, "yy", 2, "x", 1, 1, 0, True), (3, None, 2, "x", 1, 1, 0, True), (1, "b", 2, "x", 1, 1, 0, True)], schema)
+    dc = spark.createDataFrame([("a", "n", "Pharmaceutical", 5, 1.5), ("a", "n", "odd", -1, None), ("b", "n", "odd", 0, -2.0), (None, None, None, None, 0.0), (None, "m", "odder", 1, 0.0)],
+                               "channel_key string, channel_name string, channel_type string, total_posts long, avg_views double")
+    dd = spark.createDataFrame([(1,), (2,), (2,), (None,)], "date_key int")
+    tables = {"fct_messages": fm, "dim_channels": dc, "dim_dates": dd}
+    checks = [c for c in Q.SCHEMA_CHECKS if c.table in tables and all(x in tables[c.table].columns for x in c.columns)]
+    assert len({c.kind for c in checks}) == 6
+    res = Q.run_checks(tables, checks)
+    got = {r.check_id: r.failures for r in res.collect()}
+    assert got == {c.check_id: Q.failing_rows(tables, c).count() for c in checks}
+    assert got["relationships__fct_messages__channel_key"] == 2 and got["unique__dim_channels__channel_key"] == 1
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        Q.run_checks(tables, checks).explain()
+    assert buf.getvalue().count("LocalTableScan") + buf.getvalue().count("Scan ExistingRDD") == 3
+    assert {r.failures for r in Q.run_checks({t: df.limit(0) for t, df in tables.items()}, checks).collect()} == {0}
+
+
 def test_existing_images_feed_the_quota(spark, tmp_path):
     from chanwh.sources import lake as LK
     root = tmp_path / "data" / "raw" / "images"

@@ -171,3 +171,37 @@ def test_terms_are_exploded_once_for_rows_and_totals(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in final or "ReusedSubquery" in final
+
+
+def test_names_meet_the_configuration_by_keys(spark):
+    """No nested loop, and the same as comparing each name with each row of the configuration."""
+    import itertools
+    import random
+    import re
+    rng = random.Random(8)
+    names = [*{"".join(rng.choice("aAbB é-_日") for _ in range(rng.randrange(1, 7))) for _ in range(150)}]
+    config = [(f"{c}{i}" if i % 3 else c, p, i, 100 + i, None) for i, (c, p) in enumerate(zip(["ab", "A b", "B", "日", "x", "aab"], ["ab", "aab", "é", None, "日a", "b"]))]
+    df = spark.createDataFrame([(n,) for n in names], "channel_name string")
+    cf = FX.values(spark, config, "channel string, pattern string, pattern_order int, max_images int, max_messages int")
+    got = C.resolve_channels(df, cf)
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+
+    def tier(n, c, p, order):
+        if n == c:
+            return 1
+        return 2 if n.lower() == c.lower() else 10 + order if p is not None and p in re.sub("[ _-]", "", n.lower()) else None
+
+    want = []
+    for n in names:
+        ranks = [(t, order, c, m) for c, p, order, m, _ in config if (t := tier(n, c, p, order))]
+        best = min(ranks) if ranks else None
+        want.append((n, best[2] if best else n, best[3] if best else 1500))
+    assert sorted(map(tuple, got.select("channel_name", "config_channel", "max_images").collect())) == sorted(want)
+
+    expected = [(f"e{i}", v) for i, v in enumerate(["AB", "日", "abAB é", "x", "b-"])] + [("e0", "_é"), ("e3", "")]
+    ex = FX.values(spark, expected, "expected_channel string, variant string")
+    half = df.where(F.length("channel_name") > 3)
+    found = C.expected_presence(half, df, ex)
+    assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
+    hit = lambda e, some: any(v.lower() in n.lower() or n.lower() in v.lower() for (x, v), n in itertools.product(expected, some) if x == e)
+    assert sorted(map(tuple, found.collect())) == sorted((e, hit(e, [n for n in names if len(n) > 3]), hit(e, names)) for e in {e for e, _ in expected})
