@@ -1,11 +1,11 @@
 """Similarity self-join of texts on five-word shingles (Jaccard), by a MinHash LSH forest.
 
 1. Equal texts are one *text* from here on, with their number of copies.
-2. Each text gets ``TREES`` x ``DEPTH`` MinHash values. A tree of the forest is the sorted trie of its
-   ``DEPTH`` values in order: texts meet where their prefixes agree. Matched prefixes are shortened
-   from the full depth, level by level, until the chance of a pair at the threshold to meet in some
-   tree, 1 - (1 - s^d)^TREES, reaches the target recall; the nodes of that depth are the buckets
-   (all deeper matches lie inside of them).
+2. Each text gets ``TREES`` x ``DEPTH`` MinHash values, a tree of the forest for each ``DEPTH`` of them. Texts
+   meet where their prefixes agree. The length of the prefixes is shortened from the full depth until the
+   chance of a pair at the threshold to meet in some tree, 1 - (1 - s^d)^TREES, reaches the target recall;
+   this needs no data. The tries are not built: a node of that depth is the bucket of a hash of its prefix
+   (all deeper matches lie inside of it).
 3. Pairs in a bucket whose signatures or sizes rule the similarity out (more than six standard
    deviations below the threshold) are dropped; the others join groups. In a bucket of more than
    ``BLOCK`` texts all are put into one group without comparing, which only makes groups larger.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -12,17 +13,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session. It is set here
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. A folder of our own serves
     only where it is unset and Spark runs in one process (tests), never on a cluster."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        conf = "file://" + tempfile.mkdtemp(prefix="chanwh-llm-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        conf = local_folder()
     return conf.rstrip("/")
 
 
+@functools.cache
+def local_folder() -> str:
+    """The folder of a session in one process that names none: the same for its whole life."""
+    return "file://" + tempfile.mkdtemp(prefix="chanwh-llm-")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
