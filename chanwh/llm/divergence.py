@@ -38,7 +38,7 @@ SHARD_KEYS, GAMMA, LEVELS = 4096, 2, 24
 #: Sources of a tile.
 TILE = 32
 #: Entries that a task counts before it hands them on, and bytes of perfect hashes and keys that are broadcast.
-HELD, BROADCAST_BYTES = 300_000, 64 << 20
+HELD, BROADCAST_BYTES = 500_000, 64 << 20
 #: Spark's xxhash64 of one value.
 SEED = 42
 #: A slot and its shard in one long.
@@ -190,9 +190,17 @@ def source_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 CELL = pa.schema([("lang", pa.string()), ("source", pa.string()), ("cell", pa.int64()), ("n", pa.int64())])
 
 
-def cells_of(lang: str, source: str, terms: list[bytes], n: list[int], hashed: PerfectHashes) -> dict:
-    found, shard, slot = hashed.find(terms)
-    return {"lang": [lang] * len(found), "source": [source] * len(found), "cell": (shard << SLOT_BITS) | slot, "n": np.array(n, np.int64)[found]}
+def cells_of(lang: str, counts: dict[str, dict[bytes, int]], hashed: PerfectHashes) -> Iterator[dict]:
+    """The cells of a language's counts by source; a term of several sources is looked up once."""
+    numbers: dict[bytes, int] = {}
+    own = [np.fromiter((numbers.setdefault(t, len(numbers)) for t in c), np.int64, len(c)) for c in counts.values()]
+    found, shard, slot = hashed.find(list(numbers))
+    cells = np.full(len(numbers), -1, np.int64)
+    cells[found] = (shard << SLOT_BITS) | slot
+    for (source, c), at in zip(counts.items(), own):
+        kept = cells[at] >= 0
+        rows = int(kept.sum())
+        yield {"lang": [lang] * rows, "source": [source] * rows, "cell": cells[at][kept], "n": np.fromiter(c.values(), np.int64, len(c))[kept]}
 
 
 def share(count: np.ndarray, total: int) -> np.ndarray:
@@ -277,9 +285,9 @@ def count_cells(rows: DataFrame, shards: DataFrame, broadcast_bytes: int) -> Dat
         def recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashed = {lang: PerfectHashes(s) for lang, s in spread.value.items()}
             for counts in grouped(batches, ["lang", "source"], once=False):
-                for (lang, source), c in counts.items():
-                    if lang in hashed:
-                        yield from in_batches(cells_of(lang, source, list(c), list(c.values()), hashed[lang]), CELL)
+                for lang in {x for x, _ in counts} & hashed.keys():
+                    for cells in cells_of(lang, {s: c for (x, s), c in counts.items() if x == lang}, hashed[lang]):
+                        yield from in_batches(cells, CELL)
 
         cells = rows.mapInArrow(recount, "lang string, source string, cell long, n long")
     else:
@@ -291,9 +299,8 @@ def count_cells(rows: DataFrame, shards: DataFrame, broadcast_bytes: int) -> Dat
             out = [pd.DataFrame({c: [] for c in CELL.names})]
             if len(shard):
                 hashed = PerfectHashes([shard.iloc[0].to_dict()])
-                for source, g in terms.groupby("source"):
-                    own = cells_of(key[0], source, list(g["term"]), list(g["n"]), hashed)
-                    out.append(pd.DataFrame(own).assign(cell=lambda d: d["cell"] | (int(key[1]) << SLOT_BITS)))
+                own = {source: dict(zip(g["term"], g["n"])) for source, g in terms.groupby("source")}
+                out += [pd.DataFrame(c).assign(cell=lambda d: d["cell"] | (int(key[1]) << SLOT_BITS)) for c in cells_of(key[0], own, hashed)]
             return pd.concat(out).astype({"lang": object, "source": object, "cell": "int64", "n": "int64"})
 
         cells = counts.groupBy("lang", "shard").cogroup(shards.groupBy("lang", "shard")).applyInPandas(recount_shard, "lang string, source string, cell long, n long")
